@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The selection job is a full re-read of the registry per run: it has no watermark, window,
+trigger, state or late data, so there is no Structured Streaming operator to provide.
+"""
