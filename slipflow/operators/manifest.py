@@ -23,7 +23,7 @@ def creation_order_keys() -> list[Column]:
     return [F.col("CreateDate").asc_nulls_last(), F.col("DocumentID").asc()]
 
 
-def creation_order(selected: DataFrame, *, strategy: str = "split") -> DataFrame:
+def creation_order(selected: DataFrame, *, strategy: str = "auto") -> DataFrame:
     """Every selected document with its 0-based position in creation order (one global index,
     computed without moving all rows into one partition)."""
     return number_rows(selected, [], creation_order_keys(), "position", start=0, strategy=strategy)
@@ -46,7 +46,7 @@ def landing_file_name(doc_id: Column, root_id: Column, reference: Column, file_t
                 first_token(reference.cast("string")), ".", first_token(file_type))
 
 
-def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "split") -> DataFrame:
+def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "auto") -> DataFrame:
     """Per department: ``record_num`` 0.. in creation order, ``folder_num``, the folder name
     ``" {folder_num} {dept}"``, the landing file name and path ``{folder}/{record_num} - {file}``.
 
@@ -66,7 +66,7 @@ def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "sp
     return out.select(*MANIFEST_COLUMNS)
 
 
-def batch_orders(orders: DataFrame, folder_size: int, *, strategy: str = "split") -> DataFrame:
+def batch_orders(orders: DataFrame, folder_size: int, *, strategy: str = "auto") -> DataFrame:
     """The same numbering on orders grouped by priority (five groups: every group is huge)."""
     numbered = number_rows(orders.select("o_orderpriority", "o_orderkey", "o_orderdate"),
                            ["o_orderpriority"],

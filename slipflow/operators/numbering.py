@@ -5,16 +5,25 @@ one task: with 25 departments that is at most 25 busy tasks, and a contract hold
 all documents puts a third of the data into one task. ``number_rows`` gives the same numbers
 while splitting every group over many tasks:
 
-1. Range-partition on ``(group, order)`` with ``repartitionByRange``. The bounds come from a
-   sample of the full composite key, so a hot group is cut into many consecutive *slices*.
-   The slice id (``spark_partition_id``) is stored in a column and the result is written as a
-   table in the shared checkpoint folder, so later jobs and retried tasks see fixed slices.
+1. Write the input once as a table in the shared checkpoint folder (the upstream joins run
+   once, and the input becomes a fixed set of files), then range-partition it on
+   ``(group, order)`` with ``repartitionByRange``. The bounds come from a sample of the full
+   composite key, so a hot group is cut into many consecutive *slices*; because the input is
+   fixed files the sample, and so every slice id (``spark_partition_id``), is the same in every
+   job and in every retried task.
 2. Number rows inside each ``(group, slice)`` pair (one window task holds at most one slice).
 3. Count rows per ``(group, slice)`` (partial aggregation) and take, per group, the running sum
    of the counts of earlier slices. Only a group that began in an earlier slice needs an offset
    and each slice starts at most one such group, so the offset table has at most one row per
    slice: a proven bound, broadcast to the final step.
 
+``strategy="auto"`` (the default) first measures the staged input: when its largest group is
+within ``single_task_rows`` rows (at least ``MIN_SINGLE_TASK_ROWS``, or the fair share of one
+task, whichever is larger) no group can overload a task, and the plain one-window plan over the
+staged table is used; otherwise the split plan. Contracts at scale are typically small groups
+(plain plan, one shuffle), departments are huge groups (split plan), and one hot contract
+switches its numbering to the split plan.
+
 ``order_by`` must make the order total (end it with a unique key) so the numbering is
 deterministic.
 """
@@ -30,6 +39,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 SLICE = "_slice"
+# A window task may hold a whole group of up to this many rows (sorted, spillable).
+MIN_SINGLE_TASK_ROWS = 1_000_000
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -48,25 +59,46 @@ def write_stage(df: DataFrame, label: str, partition_by: list[str] | None = None
     return df.sparkSession.read.parquet(path)
 
 
+def _plain(df: DataFrame, partition_by, order_by, out_col, start) -> DataFrame:
+    w = Window.orderBy(*order_by) if not partition_by else \
+        Window.partitionBy(*partition_by).orderBy(*order_by)
+    return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
+
+
+def largest_group(df: DataFrame, partition_by: list[str]) -> int:
+    """Rows in the largest group (partial aggregation; one number reaches the driver)."""
+    if not partition_by:
+        return df.count()
+    row = df.groupBy(*partition_by).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
-                out_col: str = "row_num", start: int = 1, *, strategy: str = "split",
-                num_slices: int | None = None) -> DataFrame:
+                out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
+                num_slices: int | None = None, single_task_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
-    ``strategy="split"`` is the skew-proof plan described above; ``strategy="window"`` is the
-    plain one-window plan (kept for comparison and for groups known to be small).
+    ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
+    ``"window"`` (always one plain window on the unstaged input; for comparisons).
     """
     if strategy == "window":
-        w = Window.orderBy(*order_by) if not partition_by else \
-            Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-    if strategy != "split":
+        return _plain(df, partition_by, order_by, out_col, start)
+    if strategy not in ("auto", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
 
     n = num_slices or _shuffle_partitions(df)
+    staged = write_stage(df, "numbering")
+    if strategy == "auto":
+        total = staged.count()
+        bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
+        if total <= bound or largest_group(staged, partition_by) <= bound:
+            return _plain(staged, partition_by, order_by, out_col, start)
+    return _split(staged, partition_by, order_by, out_col, start, n)
+
+
+def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + list(order_by)
-    sliced = write_stage(
-        df.repartitionByRange(n, *keys).withColumn(SLICE, F.spark_partition_id()), "numbering")
+    sliced = staged.repartitionByRange(n, *keys).withColumn(SLICE, F.spark_partition_id())
 
     local_w = Window.partitionBy(*partition_by, SLICE).orderBy(*order_by)
     local = sliced.withColumn("_local", F.row_number().over(local_w))
@@ -83,7 +115,7 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     cond += [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in partition_by]
     joined = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, cond), "left")
     return joined.select(
-        *[local[c] for c in df.columns],
+        *[local[c] for c in staged.columns],
         (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)) + F.lit(start - 1))
         .cast("long").alias(out_col),
     )

@@ -130,7 +130,7 @@ def rank_order() -> list[Column]:
 
 
 def rank_documents(prioritised: DataFrame, *, top_priority_only: bool = False,
-                   strategy: str = "split") -> DataFrame:
+                   strategy: str = "auto") -> DataFrame:
     """``DocumentPriorityOrdinal``: position of each document inside its contract.
 
     With ``top_priority_only`` rows of priority above 1 are dropped *before* ranking. Priority

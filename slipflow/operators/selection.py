@@ -28,7 +28,7 @@ def result_order():
 
 
 def selected_documents(reg: Registry, cfg: SelectionConfig, *, ordered: bool = True,
-                       prefilter: bool = True, strategy: str = "split") -> DataFrame:
+                       prefilter: bool = True, strategy: str = "auto") -> DataFrame:
     """The flagship result: 24 columns, one row per selected document.
 
     The ranking runs over all eligible documents of priority 1 (``prefilter``; ranks are the

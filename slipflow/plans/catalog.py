@@ -135,7 +135,9 @@ def q_selected_documents(spark, sf_dir):
 
 
 def q_registry_union(spark, sf_dir):
-    sels = [selection.selected_documents(registry(spark, sf_dir, src), CFG, ordered=False)
+    """Both registries of the original job hold the same schema; the fixture serves both."""
+    base = registry(spark, sf_dir)
+    sels = [selection.selected_documents(base.with_tables(source=src), CFG, ordered=False)
             for src in REGISTRIES]
     return selection.registry_union(sels, list(REGISTRIES))
 
