@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import SelectionConfig
 from ..sources.registry import Registry
-from .joins import dimension, is_bounded, join_on_constant, key_text
+from .joins import dimension, join_on_constant, key_text
 
 CONTRACT_COLUMNS = [
     "ObjectID", "ObjectCode", "ObjectName", "Reference", "UniqueMarketRef", "InceptionDate",
@@ -51,7 +51,7 @@ def policy_contracts(reg: Registry, cfg: SelectionConfig) -> DataFrame:
     dept = dimension(reg.departments).select("DepartmentID", "DepartmentName")
     sub = dimension(reg.sub_departments).select(
         "SubDepartmentID", F.col("Name").alias("SubDepartmentName"))
-    j = join_on_constant(p.join(dept, "DepartmentID"), bo, bounded=is_bounded(reg.business_objects))
+    j = join_on_constant(p.join(dept, "DepartmentID"), bo)
     j = j.join(sub, "SubDepartmentID")
     return j.select(
         F.col("PolicyID").alias("ObjectID"), "ObjectCode", "ObjectName",

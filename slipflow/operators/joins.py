@@ -48,23 +48,32 @@ def key_text(c: Column, case_sensitive: bool) -> Column:
     return c if case_sensitive else F.lower(c)
 
 
+# A constant-condition join inlines the matching rows as literals up to this many rows.
+INLINE_ROW_LIMIT = 1_000
+
+
 def join_on_constant(left: DataFrame, right: DataFrame, salt_buckets: int = 64,
-                     limit: int = DIMENSION_ROW_LIMIT, bounded: bool | None = None) -> DataFrame:
+                     inline_limit: int = INLINE_ROW_LIMIT) -> DataFrame:
     """Inner join where every ``left`` row matches every ``right`` row (``JOIN .. ON col = 'P'``
-    once ``right`` is filtered): ``left`` is multiplied by the rows of ``right``.
-
-    Planned as an equi-join on a constant key, never a cross join. A right side with a proven
-    small size is broadcast; otherwise left rows get a salt in ``[0, salt_buckets)`` and right
-    rows are replicated once per salt (a hash of the row, so retries give the same salt), so the constant key does not pull everything into one
-    shuffle partition. ``bounded`` passes a size check already made (for example on the
-    unfiltered table ``right`` comes from).
+    once ``right`` is filtered): ``left`` is repeated once per row of ``right``.
+
+    Never planned as a cross or nested-loop join. When ``right`` is proven to hold at most
+    ``inline_limit`` rows (normally one: a code is a key), those rows are read once and inlined
+    as a literal array that each ``left`` row is exploded over (no join, no shuffle). Beyond the
+    limit ``left`` rows get a salt in ``[0, salt_buckets)`` (a hash of the row, so retries give
+    the same salt) and ``right`` rows are replicated once per salt, an equi-join on the salt
+    that spreads the work over ``salt_buckets`` keys.
     """
-    if bounded is None:
-        bounded = row_count_at_most(right, limit)
-    if bounded:
-        l2 = left.withColumn("_k", F.lit(0))
-        r2 = right.withColumn("_k", F.lit(0))
-        return l2.join(F.broadcast(r2), "_k").drop("_k")
+    small = right.limit(inline_limit + 1).collect()
+    if len(small) <= inline_limit:
+        fields = right.schema.fields
+        if not small:  # nothing matches the constant condition: no rows
+            return left.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name)
+                                                for f in fields]).where(F.lit(False))
+        rows = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+                         for r in small])
+        exploded = left.withColumn("_r", F.explode(rows))
+        return exploded.select(*left.columns, *[F.col(f"_r.{f.name}").alias(f.name) for f in fields])
     l2 = left.withColumn("_k", F.pmod(F.xxhash64(*left.columns), F.lit(salt_buckets)).cast("int"))
     r2 = right.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
     return l2.join(r2, "_k").drop("_k")

@@ -58,3 +58,11 @@ def run_log_lines(status: DataFrame, run_time: _dt.datetime) -> DataFrame:
                        plus(F.col("DepartmentName"), " ", F.col("_n").cast("string")).alias("line")))
     return docs.unionByName(headers).withColumn(
         "log_file", F.concat(run_stamp(run_time), F.lit(".txt")))
+
+
+def write_run_log(log: DataFrame, path: str) -> None:
+    """Write the log as text, one line per row, ordered by department then record (header
+    first). The global sort is range-partitioned, so many tasks write consecutive part files
+    whose concatenation in name order is the whole log; no single task holds it."""
+    (log.orderBy(F.col("DepartmentName").asc_nulls_first(), F.col("record_num").asc())
+     .select("line").write.mode("overwrite").text(path))

@@ -112,3 +112,15 @@ def test_prefilter_keeps_ranks(spark, tmp_path):
     b = selection.selected_documents(reg, CFG, prefilter=False, ordered=False)
     assert a.count() == 34
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_constant_join_salted_path_matches_inline(spark):
+    from slipflow.operators.joins import join_on_constant
+    left = spark.range(50).withColumnRenamed("id", "x")
+    right = spark.createDataFrame([("P", "A"), ("P", "B")], "ObjectCode string, ObjectName string")
+    inline = join_on_constant(left, right)
+    salted = join_on_constant(left, right, salt_buckets=7, inline_limit=0)
+    assert inline.count() == 100
+    assert inline.exceptAll(salted).count() == 0 and salted.exceptAll(inline).count() == 0
+    empty = join_on_constant(left, right.where("false"))
+    assert empty.count() == 0 and empty.columns == ["x", "ObjectCode", "ObjectName"]

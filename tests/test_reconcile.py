@@ -41,3 +41,15 @@ def test_fetch_status_against_landed_files(spark, tmp_path):
     assert lines[("Marine", 1)] == "2_7_FAC.pdf , FILE NOT FOUND  , U2"
     assert lines[("Aviation", 0)] == "3_7_POL.pdf , OK , "
     assert {r["log_file"] for r in log.collect()} == {"04-08-21 14PM.txt"}
+
+
+def test_write_run_log_keeps_order(spark, tmp_path):
+    rows = [("B", 1, "b1.pdf", "x", "U"), ("A", 0, "a0.pdf", "y", "U"), ("B", 0, "b0.pdf", "z", "U")]
+    man = spark.createDataFrame(rows, MAN_SCHEMA)
+    inv = man.select("landing_path")
+    log = reconcile.run_log_lines(reconcile.fetch_status(man, inv), dt.datetime(2021, 8, 4, 9, 0))
+    out = tmp_path / "log"
+    reconcile.write_run_log(log, str(out))
+    parts = sorted(p for p in os.listdir(out) if p.startswith("part-"))
+    lines = [ln for p in parts for ln in (out / p).read_text().splitlines()]
+    assert lines == ["A 1", "a0.pdf , OK , U", "B 2", "b0.pdf , OK , U", "b1.pdf , OK , U"]
