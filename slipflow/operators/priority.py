@@ -152,9 +152,18 @@ RANKED_COLUMNS = [
 ]
 
 
+RANK_INPUT_COLUMNS = [c for c in RANKED_COLUMNS if c != "DocumentPriorityOrdinal"] + ["RootObjectCode"]
+
+
+def rank_input(prioritised: DataFrame) -> DataFrame:
+    """Only the columns the result and the ranking need (the business-object name is the
+    document's), so shuffles and staged tables carry nothing else."""
+    return prioritised.withColumnRenamed("BusObjectName", "ObjectName").select(*RANK_INPUT_COLUMNS)
+
+
 def output_columns(df: DataFrame) -> DataFrame:
-    """The 24 result columns, in order (the business-object name is the document's)."""
-    return df.withColumnRenamed("BusObjectName", "ObjectName").select(*RANKED_COLUMNS)
+    """The 24 result columns, in order."""
+    return df.select(*RANKED_COLUMNS)
 
 
 def best_document(prioritised: DataFrame) -> DataFrame:

@@ -118,12 +118,12 @@ def q_priority_histogram(spark, sf_dir):
 
 def q_document_rank(spark, sf_dir):
     p = priority.prioritised_documents(registry(spark, sf_dir), CFG)
-    return priority.output_columns(priority.rank_documents(p))
+    return priority.output_columns(priority.rank_documents(priority.rank_input(p)))
 
 
 def q_best_document(spark, sf_dir):
     p = priority.prioritised_documents(registry(spark, sf_dir), CFG)
-    return priority.output_columns(priority.best_document(p))
+    return priority.output_columns(priority.best_document(priority.rank_input(p)))
 
 
 def q_stopword_hits(spark, sf_dir):
