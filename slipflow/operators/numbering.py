@@ -41,6 +41,9 @@ from ..session import ensure_checkpoint_dir
 SLICE = "_slice"
 # A window task may hold a whole group of up to this many rows (sorted, spillable).
 MIN_SINGLE_TASK_ROWS = 1_000_000
+# Target rows per slice of the split plan: the slice count grows with the data, so no window
+# task holds more than about this many rows whatever the scale.
+ROWS_PER_SLICE = 1_000_000
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -78,6 +81,9 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 num_slices: int | None = None, single_task_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
+    The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
+    count and ``rows / ROWS_PER_SLICE``.
+
     ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
     ``"window"`` (always one plain window on the unstaged input; for comparisons).
     """
@@ -86,10 +92,10 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     if strategy not in ("auto", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    n = num_slices or _shuffle_partitions(df)
     staged = write_stage(df, "numbering")
+    total = staged.count()  # Parquet footers: no data pass
+    n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
     if strategy == "auto":
-        total = staged.count()
         bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
         if total <= bound or largest_group(staged, partition_by) <= bound:
             return _plain(staged, partition_by, order_by, out_col, start)
