@@ -68,17 +68,21 @@ def policy_ref_flags(reg: Registry, docs: DataFrame, cfg: SelectionConfig) -> Da
     """Dormant option: flag documents whose name equals a master-policy reference.
 
     A left join to the distinct references (a shuffle join; Spark may broadcast the reference
-    side when its statistics are small), giving a boolean per document.
+    side when its statistics are small), giving a boolean per document. Documents without a
+    name get NULL and bypass the join (NULL keys would all hash to one partition).
     """
     cs = cfg.case_sensitive
     refs = (reg.master_policy.select(key_text(F.col("PolicyRef"), cs).alias("_ref"))
             .where(F.col("_ref").isNotNull()).distinct()
             .withColumn("_is_ref", F.lit(True)))
-    d = docs.withColumn("_ref", key_text(F.col("DocumentName"), cs))
-    return (d.join(refs, "_ref", "left")
-            .withColumn("IsPolicyRef", F.when(F.col("DocumentName").isNull(), F.lit(None))
-                        .otherwise(F.coalesce(F.col("_is_ref"), F.lit(False))))
-            .drop("_ref", "_is_ref"))
+    named = docs.where(F.col("DocumentName").isNotNull()) \
+        .withColumn("_ref", key_text(F.col("DocumentName"), cs))
+    flagged = (named.join(refs, "_ref", "left")
+               .withColumn("IsPolicyRef", F.coalesce(F.col("_is_ref"), F.lit(False)))
+               .drop("_ref", "_is_ref"))
+    unnamed = docs.where(F.col("DocumentName").isNull()) \
+        .withColumn("IsPolicyRef", F.lit(None).cast("boolean"))
+    return flagged.unionByName(unnamed)
 
 
 def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:

@@ -22,17 +22,22 @@ def fetch_status(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     FILE NOT FOUND. ``inventory`` has a ``landing_path`` column (relative to the landing root).
 
     Manifest and inventory both grow with the data: a shuffle join on the path (Spark or AQE
-    switch to a broadcast only from measured sizes).
+    switch to a broadcast only from measured sizes). Rows without a landing path cannot match;
+    they bypass the join instead of all hashing to one partition.
     """
-    landed = inventory.select("landing_path").distinct().withColumn("_landed", F.lit(True))
-    j = manifest.join(landed, "landing_path", "left")
+    landed = (inventory.select("landing_path").where(F.col("landing_path").isNotNull()).distinct()
+              .withColumn("_landed", F.lit(True)))
+    keyed = manifest.where(F.col("landing_path").isNotNull()).join(landed, "landing_path", "left")
+    unkeyed = manifest.where(F.col("landing_path").isNull()).withColumn("_landed", F.lit(None).cast("boolean"))
     status = F.when(F.col("_landed"), F.lit(LOG_OK)).otherwise(F.lit(LOG_NOT_FOUND))
-    return j.withColumn("status", status).drop("_landed")
+    return keyed.unionByName(unkeyed).withColumn("status", status).drop("_landed")
 
 
 def missing_files(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Manifest rows with no landed file (left anti join)."""
-    return manifest.join(inventory.select("landing_path"), "landing_path", "left_anti")
+    """Manifest rows with no landed file (left anti join; rows without a path bypass it)."""
+    keyed = manifest.where(F.col("landing_path").isNotNull()).join(
+        inventory.select("landing_path"), "landing_path", "left_anti")
+    return keyed.unionByName(manifest.where(F.col("landing_path").isNull()))
 
 
 def fetch_summary(status: DataFrame) -> DataFrame:

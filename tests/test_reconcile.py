@@ -18,7 +18,8 @@ MAN_SCHEMA = T.StructType([
 def test_fetch_status_against_landed_files(spark, tmp_path):
     rows = [("Marine", 0, "1_7_FAC.pdf", " 0 Marine/0 - 1_7_FAC.pdf", "U1"),
             ("Marine", 1, "2_7_FAC.pdf", " 0 Marine/1 - 2_7_FAC.pdf", "U2"),
-            ("Aviation", 0, "3_7_POL.pdf", " 0 Aviation/0 - 3_7_POL.pdf", None)]
+            ("Aviation", 0, "3_7_POL.pdf", " 0 Aviation/0 - 3_7_POL.pdf", None),
+            ("Aviation", 1, None, None, "U4")]
     man = spark.createDataFrame(rows, MAN_SCHEMA)
     for rel in (" 0 Marine/0 - 1_7_FAC.pdf", " 0 Aviation/0 - 3_7_POL.pdf", "notes.txt"):
         p = tmp_path / rel
@@ -28,15 +29,18 @@ def test_fetch_status_against_landed_files(spark, tmp_path):
     assert sorted(r["landing_path"] for r in inv.collect()) == [" 0 Aviation/0 - 3_7_POL.pdf",
                                                               " 0 Marine/0 - 1_7_FAC.pdf"]
     status = {r["filename"]: r["status"] for r in reconcile.fetch_status(man, inv).collect()}
-    assert status == {"1_7_FAC.pdf": "OK", "2_7_FAC.pdf": "FILE NOT FOUND", "3_7_POL.pdf": "OK"}
-    assert [r["filename"] for r in reconcile.missing_files(man, inv).collect()] == ["2_7_FAC.pdf"]
+    assert status == {"1_7_FAC.pdf": "OK", "2_7_FAC.pdf": "FILE NOT FOUND", "3_7_POL.pdf": "OK",
+                      None: "FILE NOT FOUND"}
+    assert sorted(r["record_num"] for r in reconcile.missing_files(man, inv).collect()) == [1, 1]
     summary = {(r["DepartmentName"], r["status"]): r["documents"]
                for r in reconcile.fetch_summary(reconcile.fetch_status(man, inv)).collect()}
-    assert summary == {("Marine", "OK"): 1, ("Marine", "FILE NOT FOUND"): 1, ("Aviation", "OK"): 1}
+    assert summary == {("Marine", "OK"): 1, ("Marine", "FILE NOT FOUND"): 1, ("Aviation", "OK"): 1,
+                       ("Aviation", "FILE NOT FOUND"): 1}
 
     log = reconcile.run_log_lines(reconcile.fetch_status(man, inv), dt.datetime(2021, 8, 4, 14, 10))
     lines = {(r["DepartmentName"], r["record_num"]): r["line"] for r in log.collect()}
-    assert lines[("Marine", -1)] == "Marine 2"
+    assert lines[("Marine", -1)] == "Marine 2" and lines[("Aviation", -1)] == "Aviation 2"
+    assert lines[("Aviation", 1)] == " , FILE NOT FOUND  , U4"
     assert lines[("Marine", 0)] == "1_7_FAC.pdf , OK , U1"
     assert lines[("Marine", 1)] == "2_7_FAC.pdf , FILE NOT FOUND  , U2"
     assert lines[("Aviation", 0)] == "3_7_POL.pdf , OK , "
