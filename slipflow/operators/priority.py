@@ -13,7 +13,9 @@ from .joins import dimension, key_text
 from .locations import located_documents
 from .numbering import number_rows
 
-CONTRACT_KEYS = ["RootObjectID", "RootObjectCode"]
+# A contract is (object id, object code); the code compared under the registry collation
+# (``ContractCode`` = folded code), the same key the contract join uses.
+CONTRACT_KEYS = ["RootObjectID", "ContractCode"]
 
 # Ladder outcomes that never occur unless the dormant policy-reference match is switched on.
 POLICY_REF_OUTCOMES = (2, 8)
@@ -103,11 +105,12 @@ def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
     d = (located.join(statuses, "DocumentSystemStatusID")
          .withColumn("_code", key_text(F.col("RootObjectCode"), cs))
          .join(bo, "_code")
+         .withColumnRenamed("_code", "ContractCode")
          .join(depts, "DepartmentID"))
     c = contract_objects(reg, cfg).select(
         F.col("ObjectID"), key_text(F.col("ObjectCode"), cs).alias("_ocode"), "UniqueMarketRef",
         "Reference", "InceptionDate", "SubDepartmentName")
-    return d.join(c, (d["RootObjectID"] == c["ObjectID"]) & (d["_code"] == c["_ocode"])) \
+    return d.join(c, (d["RootObjectID"] == c["ObjectID"]) & (d["ContractCode"] == c["_ocode"])) \
         .drop("_ocode", "ObjectID")
 
 
@@ -156,7 +159,7 @@ RANKED_COLUMNS = [
 ]
 
 
-RANK_INPUT_COLUMNS = [c for c in RANKED_COLUMNS if c != "DocumentPriorityOrdinal"] + ["RootObjectCode"]
+RANK_INPUT_COLUMNS = [c for c in RANKED_COLUMNS if c != "DocumentPriorityOrdinal"] + ["ContractCode"]
 
 
 def rank_input(prioritised: DataFrame) -> DataFrame:

@@ -183,7 +183,7 @@ RANKED_SELECT = """DocumentID, FolderType, UniqueMarketRef, RootObjectID, Refere
 PRIORITY_CTES = f"""
 prioritised AS (SELECT *, {_ladder(False)} AS DocumentTypePriorityOrdinal FROM eligible),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY RootObjectID, RootObjectCode
+  SELECT *, row_number() OVER (PARTITION BY RootObjectID, lower(rtrim(RootObjectCode))
     ORDER BY DocumentTypePriorityOrdinal ASC, CreateDate DESC NULLS LAST, DocumentID ASC)
     AS DocumentPriorityOrdinal
   FROM prioritised),

@@ -124,3 +124,15 @@ def test_constant_join_salted_path_matches_inline(spark):
     assert inline.exceptAll(salted).count() == 0 and salted.exceptAll(inline).count() == 0
     empty = join_on_constant(left, right.where("false"))
     assert empty.count() == 0 and empty.columns == ["x", "ObjectCode", "ObjectName"]
+
+
+def test_contract_code_compared_under_collation(spark):
+    """Codes 'P' and 'p ' name the same contract: one ranking, ranks 1 and 2."""
+    docs = [doc(1, "MRC", code="P", created=dt.datetime(1999, 2, 1)),
+            doc(2, "MRC", code="p ", created=dt.datetime(1999, 1, 1))]
+    p = priority.prioritised_documents(registry(spark, docs), CFG)
+    for strategy in ("auto", "split"):
+        got = {r["DocumentID"]: r["DocumentPriorityOrdinal"]
+               for r in priority.rank_documents(p, strategy=strategy).collect()}
+        assert got == {1: 1, 2: 2}
+    assert [r["DocumentID"] for r in priority.best_document(p).collect()] == [1]
