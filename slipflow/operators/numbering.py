@@ -17,12 +17,14 @@ while splitting every group over many tasks:
    and each slice starts at most one such group, so the offset table has at most one row per
    slice: a proven bound, broadcast to the final step.
 
-``strategy="auto"`` (the default) first measures the staged input: when its largest group is
-within ``single_task_rows`` rows (at least ``MIN_SINGLE_TASK_ROWS``, or the fair share of one
-task, whichever is larger) no group can overload a task, and the plain one-window plan over the
-staged table is used; otherwise the split plan. Contracts at scale are typically small groups
-(plain plan, one shuffle), departments are huge groups (split plan), and one hot contract
-switches its numbering to the split plan.
+``strategy="auto"`` (the default) first measures the staged input. A group is *hot* when it
+has more than ``single_task_rows`` rows (at least ``MIN_SINGLE_TASK_ROWS``, or the fair share of
+one task, whichever is larger). Groups that are not hot go through the plain one-window plan
+(one shuffle; each provably fits a task); only the rows of hot groups take the split plan. The
+hot keys are found by a partial aggregation and there are at most ``rows / bound`` of them (each
+has more than ``bound`` rows), a proven bound, so they are broadcast to separate the two parts.
+Contracts at scale are typically all small (plain plan), departments are all hot (split plan),
+and one hot contract sends only its own rows to the split plan.
 
 ``order_by`` must make the order total (end it with a unique key) so the numbering is
 deterministic.
@@ -68,12 +70,8 @@ def _plain(df: DataFrame, partition_by, order_by, out_col, start) -> DataFrame:
     return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
 
 
-def largest_group(df: DataFrame, partition_by: list[str]) -> int:
-    """Rows in the largest group (partial aggregation; one number reaches the driver)."""
-    if not partition_by:
-        return df.count()
-    row = df.groupBy(*partition_by).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str], prefix: str):
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in cols])
 
 
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
@@ -95,11 +93,24 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     staged = write_stage(df, "numbering")
     total = staged.count()  # Parquet footers: no data pass
     n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
-    if strategy == "auto":
-        bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
-        if total <= bound or largest_group(staged, partition_by) <= bound:
-            return _plain(staged, partition_by, order_by, out_col, start)
-    return _split(staged, partition_by, order_by, out_col, start, n)
+    bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
+    if strategy == "split":
+        return _split(staged, partition_by, order_by, out_col, start, n)
+    if total <= bound:
+        return _plain(staged, partition_by, order_by, out_col, start)
+    if not partition_by:  # one group holding every row: it is the hot group
+        return _split(staged, partition_by, order_by, out_col, start, n)
+    hot = (staged.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+           .where(F.col("_rows") > F.lit(bound))
+           .select(*[F.col(c).alias(f"_h_{c}") for c in partition_by]))
+    if hot.limit(1).count() == 0:
+        return _plain(staged, partition_by, order_by, out_col, start)
+    # At most total // bound hot keys: a proven bound, so the key set is broadcast.
+    hot_b = F.broadcast(hot)
+    hot_rows = staged.join(hot_b, _null_safe_on(staged, hot_b, partition_by, "_h_"), "left_semi")
+    cold_rows = staged.join(hot_b, _null_safe_on(staged, hot_b, partition_by, "_h_"), "left_anti")
+    return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
+        _split(hot_rows, partition_by, order_by, out_col, start, n))
 
 
 def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:

@@ -58,3 +58,19 @@ def test_numbers_are_contiguous_per_group(spark):
                                F.countDistinct("rn").alias("d")).collect()
     for r in agg:
         assert r["lo"] == 0 and r["hi"] == r["n"] - 1 and r["d"] == r["n"]
+
+
+def test_auto_splits_only_hot_groups(spark):
+    """With a bound between the small groups and the hot one, only the hot group is split."""
+    df = data(spark, n=2500, seed=13)
+    want = as_map(number_rows(df, ["g"], order(), "rn", start=0, strategy="window"))
+    out = number_rows(df, ["g"], order(), "rn", start=0, strategy="auto", single_task_rows=200)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Union" in plan
+    assert as_map(out) == want
+
+
+def test_auto_global_numbering_above_bound_is_split(spark):
+    df = data(spark, n=800, seed=17)
+    want = as_map(number_rows(df, [], order(), "rn", start=0, strategy="window"))
+    assert as_map(number_rows(df, [], order(), "rn", start=0, single_task_rows=100)) == want
