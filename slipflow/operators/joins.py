@@ -29,19 +29,12 @@ def is_bounded(df: DataFrame, limit: int = DIMENSION_ROW_LIMIT) -> bool:
 
 
 def dimension(df: DataFrame, limit: int = DIMENSION_ROW_LIMIT) -> DataFrame:
-    """``bounded_broadcast`` for a registry table, checking each table object once."""
+    """Broadcast hint for a registry lookup table when its row count is proven to be within
+    ``limit`` (checked once per table object). Beyond the limit the table is returned unhinted,
+    so Spark plans a shuffle join (and AQE may still switch to a broadcast from runtime sizes)."""
     return F.broadcast(df) if is_bounded(df, limit) else df
 
 
-def bounded_broadcast(df: DataFrame, limit: int = DIMENSION_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint for ``df`` when its row count is proven to be within ``limit``.
-
-    Beyond the limit the frame is returned unhinted, so Spark plans a shuffle join (and AQE
-    may still switch to a broadcast from runtime sizes).
-    """
-    return F.broadcast(df) if row_count_at_most(df, limit) else df
-
-
 def key_text(c: Column, case_sensitive: bool) -> Column:
     """Join key for text compared under the registry collation (trailing blanks ignored)."""
     c = F.rtrim(c)

@@ -18,7 +18,7 @@ from ..operators import contracts, locations, manifest, priority, reconcile, sel
 from ..operators.joins import dimension, key_text
 from ..operators.numbering import write_stage
 from ..sources.fixtures import fixture_registry
-from ..sources.inventory import decode_latin1
+from ..sources.encoding import decode_latin1
 from ..sources.registry import Registry
 
 # Parameters of the registered queries.

@@ -21,8 +21,3 @@ def landed_inventory(spark: SparkSession, root: str, suffix: str | None = None)
     pos = F.instr(F.col("path"), F.lit(base))
     rel = F.when(pos > 0, F.substring(F.col("path"), pos + F.lit(len(base)), F.lit(2 ** 31 - 1)))
     return files.select(rel.alias("landing_path"), "path", "length", "modificationTime")
-
-
-def decode_latin1(c):
-    """Text of a Latin-1 (ISO-8859-1) encoded binary column."""
-    return F.decode(c, "ISO-8859-1")

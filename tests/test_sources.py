@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from slipflow.config import FIXTURE
 from slipflow.operators import selection
 from slipflow.sources.fixtures import fixture_registry
-from slipflow.sources.inventory import decode_latin1
+from slipflow.sources.encoding import decode_latin1
 from slipflow.sources.registry import SCHEMAS, Registry, conform, load_parquet
 
 
@@ -34,3 +34,9 @@ def test_conform_adds_missing_optional_columns_and_ignores_extra(spark):
 def test_latin1_decoding(spark):
     df = spark.createDataFrame([(bytearray(b"caf\xe9 na\xefve"),)], "b binary")
     assert df.select(decode_latin1(F.col("b")).alias("t")).first()["t"] == "café naïve"
+
+
+def test_read_latin1_text_lines(spark, tmp_path):
+    from slipflow.sources.encoding import read_latin1_text
+    (tmp_path / "a.txt").write_bytes(b'caf\xe9 "x", y\n  na\xefve \n')
+    assert [r["value"] for r in read_latin1_text(spark, str(tmp_path)).collect()] == ['café "x", y', "  naïve "]
