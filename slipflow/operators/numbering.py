@@ -11,7 +11,8 @@ while splitting every group over many tasks:
    composite key, so a hot group is cut into many consecutive *slices*; because the input is
    fixed files the sample, and so every slice id (``spark_partition_id``), is the same in every
    job and in every retried task.
-2. Number rows inside each ``(group, slice)`` pair (one window task holds at most one slice).
+2. Number rows inside each ``(group, slice)`` pair: a window partition holds at most one slice
+   (about ``ROWS_PER_SLICE`` rows), never a whole hot group.
 3. Count rows per ``(group, slice)`` (partial aggregation) and take, per group, the running sum
    of the counts of earlier slices. Only a group that began in an earlier slice needs an offset
    and each slice starts at most one such group, so the offset table has at most one row per

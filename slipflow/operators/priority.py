@@ -137,17 +137,18 @@ def rank_order() -> list[Column]:
 
 
 def rank_documents(prioritised: DataFrame, *, top_priority_only: bool = False,
-                   strategy: str = "auto") -> DataFrame:
+                   strategy: str = "auto", **numbering) -> DataFrame:
     """``DocumentPriorityOrdinal``: position of each document inside its contract.
 
     With ``top_priority_only`` rows of priority above 1 are dropped *before* ranking. Priority
     is the leading sort key and 1 its minimum, so the remaining rows keep their ranks; this is
-    the only reordering of filter and ranking that is allowed.
+    the only reordering of filter and ranking that is allowed. ``numbering`` passes options to
+    ``number_rows`` (``num_slices``, ``single_task_rows``).
     """
     if top_priority_only:
         prioritised = prioritised.where(F.col("DocumentTypePriorityOrdinal") == 1)
     return number_rows(prioritised, CONTRACT_KEYS, rank_order(), "DocumentPriorityOrdinal",
-                       strategy=strategy)
+                       strategy=strategy, **numbering)
 
 
 RANKED_COLUMNS = [
