@@ -77,7 +77,8 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str], prefix: st
 
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
-                num_slices: int | None = None, single_task_rows: int | None = None) -> DataFrame:
+                num_slices: int | None = None, single_task_rows: int | None = None,
+                stage_input: bool = True) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
     The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
@@ -85,33 +86,42 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
 
     ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
     ``"window"`` (always one plain window on the unstaged input; for comparisons).
+
+    ``stage_input=False`` is for inputs that are cheap to recompute (a Parquet scan, or frames
+    read from an earlier staged table): the plain window is deterministic whatever the row
+    order, so only rows that take the split plan are staged (its range sample needs fixed
+    input).
     """
     if strategy == "window":
         return _plain(df, partition_by, order_by, out_col, start)
     if strategy not in ("auto", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    staged = write_stage(df, "numbering")
-    total = staged.count()  # Parquet footers: no data pass
+    base = write_stage(df, "numbering") if stage_input else df
+
+    def fixed(x: DataFrame) -> DataFrame:
+        return x if stage_input else write_stage(x, "numbering")
+
+    total = base.count()  # on a staged table: Parquet footers, no data pass
     n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
     bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
     if strategy == "split":
-        return _split(staged, partition_by, order_by, out_col, start, n)
+        return _split(fixed(base), partition_by, order_by, out_col, start, n)
     if total <= bound:
-        return _plain(staged, partition_by, order_by, out_col, start)
+        return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
-        return _split(staged, partition_by, order_by, out_col, start, n)
-    hot = (staged.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+        return _split(fixed(base), partition_by, order_by, out_col, start, n)
+    hot = (base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
            .where(F.col("_rows") > F.lit(bound))
            .select(*[F.col(c).alias(f"_h_{c}") for c in partition_by]))
     if hot.limit(1).count() == 0:
-        return _plain(staged, partition_by, order_by, out_col, start)
+        return _plain(base, partition_by, order_by, out_col, start)
     # At most total // bound hot keys: a proven bound, so the key set is broadcast.
     hot_b = F.broadcast(hot)
-    hot_rows = staged.join(hot_b, _null_safe_on(staged, hot_b, partition_by, "_h_"), "left_semi")
-    cold_rows = staged.join(hot_b, _null_safe_on(staged, hot_b, partition_by, "_h_"), "left_anti")
+    hot_rows = base.join(hot_b, _null_safe_on(base, hot_b, partition_by, "_h_"), "left_semi")
+    cold_rows = base.join(hot_b, _null_safe_on(base, hot_b, partition_by, "_h_"), "left_anti")
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
-        _split(hot_rows, partition_by, order_by, out_col, start, n))
+        _split(fixed(hot_rows), partition_by, order_by, out_col, start, n))
 
 
 def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
