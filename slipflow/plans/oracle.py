@@ -9,7 +9,7 @@ original ``+`` and NULL-skipping concatenation (``coalesce(x, '')``) for ``CONCA
 
 from __future__ import annotations
 
-from ..config import FIXTURE
+from ..config import FIXTURE, STOP_WORDS
 
 INCEPTION_AFTER = FIXTURE.inception_after.isoformat()
 CREATED_BEFORE = FIXTURE.created_before.isoformat(sep=" ")
@@ -168,11 +168,8 @@ def _ladder(policy_ref: bool) -> str:
       ELSE 99 END"""
 
 
-STOP_WORDS_SQL = [
-    "note", "bind", "binder", "cert", "certificate", "invoices", "withhold", "wording", "debit",
-    "debitnote", "credit", "note", "covernote", "quote", "client", "cc", "cv", "subscription", "fon",
-    "endt", "endors", "placing", "amend", "excess", "xs", "dec", "schedule", "cover", "consort",
-]
+# The fixed stop-word list of config.py, folded for the case-insensitive LIKE.
+STOP_WORDS_SQL = [w.lower() for w in STOP_WORDS]
 
 RANKED_SELECT = """DocumentID, FolderType, UniqueMarketRef, RootObjectID, Reference, InceptionDate,
     BusObjectName AS ObjectName, DepartmentID, DepartmentName, SubDepartmentName, ServerName, SiteName,
@@ -265,10 +262,7 @@ GROUP BY DocumentTypePriorityOrdinal""",
     "stopword_hits": BASE + f"""
 SELECT p.DocumentID, p.DocumentName, w.StopWord
 FROM prioritised p
-JOIN (VALUES {', '.join(f"('{w}')" for w in dict.fromkeys([
-        "Note", "Bind", "Binder", "Cert", "Certificate", "Invoices", "Withhold", "Wording", "Debit",
-        "DebitNote", "Credit", "CoverNote", "Quote", "Client", "cc", "cv", "subscription", "FON",
-        "Endt", "Endors", "Placing", "Amend", "Excess", "xs", "dec", "schedule", "cover", "consort"]))})
+JOIN (VALUES {', '.join(f"('{w}')" for w in dict.fromkeys(STOP_WORDS))})
   AS w(StopWord)
   ON position(lower(w.StopWord) IN lower(p.DocumentName)) > 0""",
     "selected_documents": BASE + "SELECT * FROM selected ORDER BY UniqueMarketRef DESC NULLS LAST, "
