@@ -5,12 +5,11 @@ one task: with 25 departments that is at most 25 busy tasks, and a contract hold
 all documents puts a third of the data into one task. ``number_rows`` gives the same numbers
 while splitting every group over many tasks:
 
-1. Write the input once as a table in the shared checkpoint folder (the upstream joins run
-   once, and the input becomes a fixed set of files), then range-partition it on
-   ``(group, order)`` with ``repartitionByRange``. The bounds come from a sample of the full
-   composite key, so a hot group is cut into many consecutive *slices*; because the input is
-   fixed files the sample, and so every slice id (``spark_partition_id``), is the same in every
-   job and in every retried task.
+1. Range-partition the rows on ``(group, order)`` with ``repartitionByRange``. The bounds come
+   from a sample of the full composite key, so a hot group is cut into many consecutive
+   *slices*. The rows are first written as a table in the shared checkpoint folder, so the
+   sample, and so every slice id (``spark_partition_id``), is the same in every job and in every
+   retried task.
 2. Number rows inside each ``(group, slice)`` pair: a window partition holds at most one slice
    (about ``ROWS_PER_SLICE`` rows), never a whole hot group.
 3. Count rows per ``(group, slice)`` (partial aggregation) and take, per group, the running sum
@@ -18,14 +17,15 @@ while splitting every group over many tasks:
    and each slice starts at most one such group, so the offset table has at most one row per
    slice: a proven bound, broadcast to the final step.
 
-``strategy="auto"`` (the default) first measures the staged input. A group is *hot* when it
-has more than ``single_task_rows`` rows (at least ``MIN_SINGLE_TASK_ROWS``, or the fair share of
-one task, whichever is larger). Groups that are not hot go through the plain one-window plan
-(one shuffle; each provably fits a task); only the rows of hot groups take the split plan. The
-hot keys are found by a partial aggregation and there are at most ``rows / bound`` of them (each
-has more than ``bound`` rows), a proven bound, so they are broadcast to separate the two parts.
-Contracts at scale are typically all small (plain plan), departments are all hot (split plan),
-and one hot contract sends only its own rows to the split plan.
+``strategy="auto"`` (the default) first measures group sizes with one aggregation (a narrow
+pass: only key columns). A group is *hot* when it has more than ``single_task_rows`` rows (at
+least ``MIN_SINGLE_TASK_ROWS``, or the fair share of one task, whichever is larger). Groups that
+are not hot go through the plain one-window plan (each provably fits a task, and the window
+reuses an upstream shuffle on the same keys); only the rows of hot groups take the split plan.
+There are at most ``rows / bound`` hot keys (each has more than ``bound`` rows), a proven bound,
+so they are broadcast to separate the two parts. Contracts at scale are typically all small
+(plain plan, no extra shuffle), departments are all hot (split plan), and one hot contract
+sends only its own rows to the split plan.
 
 ``order_by`` must make the order total (end it with a unique key) so the numbering is
 deterministic.
@@ -78,19 +78,22 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str], prefix: st
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
                 num_slices: int | None = None, single_task_rows: int | None = None,
-                stage_input: bool = True) -> DataFrame:
+                stage_input: bool = False) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
-    The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
-    count and ``rows / ROWS_PER_SLICE``.
-
     ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
-    ``"window"`` (always one plain window on the unstaged input; for comparisons).
+    ``"window"`` (always one plain window, no measurement; for comparisons).
+
+    Group sizes are measured by one aggregation over the input, for which Catalyst keeps only
+    the key columns of the upstream plan (a narrow pass). When no group is hot the plain window
+    runs on the input itself, so it reuses an upstream shuffle on the same keys (the contract
+    join for the ranking): no extra shuffle and no write. The plain window is deterministic
+    whatever the row order, so only rows taking the split plan are staged (written under the
+    checkpoint folder) first: its range sample needs fixed input. ``stage_input=True`` writes
+    the whole input first instead (for inputs whose upstream is too costly to run twice).
 
-    ``stage_input=False`` is for inputs that are cheap to recompute (a Parquet scan, or frames
-    read from an earlier staged table): the plain window is deterministic whatever the row
-    order, so only rows that take the split plan are staged (its range sample needs fixed
-    input).
+    The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
+    count and ``rows / ROWS_PER_SLICE``.
     """
     if strategy == "window":
         return _plain(df, partition_by, order_by, out_col, start)
@@ -102,22 +105,23 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     def fixed(x: DataFrame) -> DataFrame:
         return x if stage_input else write_stage(x, "numbering")
 
-    total = base.count()  # on a staged table: Parquet footers, no data pass
+    if partition_by:
+        sizes = base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+        row = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+        total, largest = int(row[0] or 0), int(row[1] or 0)
+    else:
+        total = largest = base.count()
     n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
     bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
     if strategy == "split":
         return _split(fixed(base), partition_by, order_by, out_col, start, n)
-    if total <= bound:
+    if largest <= bound:
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
         return _split(fixed(base), partition_by, order_by, out_col, start, n)
-    hot = (base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-           .where(F.col("_rows") > F.lit(bound))
-           .select(*[F.col(c).alias(f"_h_{c}") for c in partition_by]))
-    if hot.limit(1).count() == 0:
-        return _plain(base, partition_by, order_by, out_col, start)
     # At most total // bound hot keys: a proven bound, so the key set is broadcast.
-    hot_b = F.broadcast(hot)
+    hot_b = F.broadcast(sizes.where(F.col("_rows") > F.lit(bound))
+                        .select(*[F.col(c).alias(f"_h_{c}") for c in partition_by]))
     hot_rows = base.join(hot_b, _null_safe_on(base, hot_b, partition_by, "_h_"), "left_semi")
     cold_rows = base.join(hot_b, _null_safe_on(base, hot_b, partition_by, "_h_"), "left_anti")
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(

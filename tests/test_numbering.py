@@ -76,8 +76,9 @@ def test_auto_global_numbering_above_bound_is_split(spark):
     assert as_map(number_rows(df, [], order(), "rn", start=0, single_task_rows=100)) == want
 
 
-def test_unstaged_input_gives_same_numbers(spark):
+def test_staged_and_unstaged_input_give_same_numbers(spark):
     df = data(spark, n=2000, seed=23)
     want = as_map(number_rows(df, ["g"], order(), "rn", strategy="window"))
-    for kw in (dict(strategy="auto"), dict(strategy="auto", single_task_rows=150), dict(strategy="split")):
-        assert as_map(number_rows(df, ["g"], order(), "rn", stage_input=False, **kw)) == want
+    for stage in (False, True):
+        for kw in (dict(strategy="auto"), dict(strategy="auto", single_task_rows=150), dict(strategy="split")):
+            assert as_map(number_rows(df, ["g"], order(), "rn", stage_input=stage, **kw)) == want
