@@ -23,7 +23,8 @@ least ``MIN_SINGLE_TASK_ROWS``, or the fair share of one task, whichever is larg
 are not hot go through the plain one-window plan (each provably fits a task, and the window
 reuses an upstream shuffle on the same keys); only the rows of hot groups take the split plan.
 There are at most ``rows / bound`` hot keys (each has more than ``bound`` rows), a proven bound,
-so they are broadcast to separate the two parts. Contracts at scale are typically all small
+so their key hashes are read and the two parts are separated by a membership filter that
+Catalyst pushes below upstream joins. Contracts at scale are typically all small
 (plain plan, no extra shuffle), departments are all hot (split plan), and one hot contract
 sends only its own rows to the split plan.
 
@@ -71,10 +72,6 @@ def _plain(df: DataFrame, partition_by, order_by, out_col, start) -> DataFrame:
     return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str], prefix: str):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in cols])
-
-
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
                 num_slices: int | None = None, single_task_rows: int | None = None,
@@ -119,11 +116,15 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
         return _split(fixed(base), partition_by, order_by, out_col, start, n)
-    # At most total // bound hot keys: a proven bound, so the key set is broadcast.
-    hot_b = F.broadcast(sizes.where(F.col("_rows") > F.lit(bound))
-                        .select(*[F.col(c).alias(f"_h_{c}") for c in partition_by]))
-    hot_rows = base.join(hot_b, _null_safe_on(base, hot_b, partition_by, "_h_"), "left_semi")
-    cold_rows = base.join(hot_b, _null_safe_on(base, hot_b, partition_by, "_h_"), "left_anti")
+    # At most total // bound hot keys (a proven bound): their 64-bit key hashes are read and
+    # the split is a plain membership filter, which Catalyst pushes below upstream joins, so hot
+    # rows never enter the cold branch's shuffle. A hash shared with a cold group only moves
+    # that group to the (equally exact) split plan; a group never straddles the two branches.
+    key_hash = F.xxhash64(*[F.col(c) for c in partition_by])
+    hot_hashes = sorted({r[0] for r in sizes.where(F.col("_rows") > F.lit(bound))
+                         .select(key_hash.alias("_h")).collect()})
+    is_hot = key_hash.isin(hot_hashes)
+    cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
         _split(fixed(hot_rows), partition_by, order_by, out_col, start, n))
 

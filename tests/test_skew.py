@@ -34,6 +34,9 @@ def test_hot_contract_is_split_and_exact(spark):
     auto = priority.rank_documents(p, single_task_rows=sizes[1]["count"])
     plan = auto._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan and "Union" in plan   # hot rows split, rest plain
+    # the hot/cold split is a filter pushed into the document scan, below the contract join
+    physical = auto._jdf.queryExecution().executedPlan().toString()
+    assert any("FileScan parquet" in ln and "xxhash64" in ln for ln in physical.splitlines())
     assert ranks(auto) == want
     assert ranks(priority.rank_documents(p, strategy="split", num_slices=16)) == want
 
