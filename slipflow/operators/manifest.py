@@ -23,10 +23,12 @@ def creation_order_keys() -> list[Column]:
     return [F.col("CreateDate").asc_nulls_last(), F.col("DocumentID").asc()]
 
 
-def creation_order(selected: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def creation_order(selected: DataFrame, *, strategy: str = "auto", max_rows: int | None = None) -> DataFrame:
     """Every selected document with its 0-based position in creation order (one global index,
-    computed without moving all rows into one partition)."""
-    return number_rows(selected, [], creation_order_keys(), "position", start=0, strategy=strategy)
+    computed without moving all rows into one partition). ``max_rows``: a proven bound on the
+    selection's size (``priority.registry_row_bound``), if known."""
+    return number_rows(selected, [], creation_order_keys(), "position", start=0, strategy=strategy,
+                       max_rows=max_rows)
 
 
 def first_documents(selected: DataFrame, n: int = 5) -> DataFrame:
@@ -46,16 +48,18 @@ def landing_file_name(doc_id: Column, root_id: Column, reference: Column, file_t
                 first_token(reference.cast("string")), ".", first_token(file_type))
 
 
-def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "auto") -> DataFrame:
+def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "auto",
+                   max_rows: int | None = None) -> DataFrame:
     """Per department: ``record_num`` 0.. in creation order, ``folder_num``, the folder name
     ``" {folder_num} {dept}"``, the landing file name and path ``{folder}/{record_num} - {file}``.
 
     Documents without a department are not batched (the per-department loop never reached
     them). Rows whose file name cannot be built keep a NULL name and path (see rejected_rows).
+    ``max_rows``: a proven bound on the selection's size (``priority.registry_row_bound``).
     """
     rows = selected.where(F.col("DepartmentName").isNotNull())
     numbered = number_rows(rows, ["DepartmentName"], creation_order_keys(), "record_num", start=0,
-                           strategy=strategy)
+                           strategy=strategy, max_rows=max_rows)
     folder = folder_number(F.col("record_num"), folder_size)
     fname = landing_file_name(F.col("DocumentID"), F.col("RootObjectID"), F.col("Reference"),
                               F.col("DocumentFileType"))
@@ -67,11 +71,13 @@ def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "au
 
 
 def batch_orders(orders: DataFrame, folder_size: int, *, strategy: str = "auto") -> DataFrame:
-    """The same numbering on orders grouped by priority (five groups: every group is huge)."""
+    """The same numbering on orders grouped by priority (five groups: every group is huge).
+    ``orders`` is a table scan, so its row count (Parquet footers) bounds every group."""
+    bound = orders.count() if strategy == "auto" else None
     numbered = number_rows(orders.select("o_orderpriority", "o_orderkey", "o_orderdate"),
                            ["o_orderpriority"],
                            [F.col("o_orderdate").asc_nulls_last(), F.col("o_orderkey").asc()],
-                           "record_num", start=0, strategy=strategy)
+                           "record_num", start=0, strategy=strategy, max_rows=bound)
     return numbered.withColumn("folder_num", folder_number(F.col("record_num"), folder_size))
 
 

@@ -75,7 +75,7 @@ def _plain(df: DataFrame, partition_by, order_by, out_col, start) -> DataFrame:
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
                 num_slices: int | None = None, single_task_rows: int | None = None,
-                stage_input: bool = False) -> DataFrame:
+                stage_input: bool = False, max_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
     ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
@@ -89,6 +89,10 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     checkpoint folder) first: its range sample needs fixed input. ``stage_input=True`` writes
     the whole input first instead (for inputs whose upstream is too costly to run twice).
 
+    ``max_rows`` is a proven upper bound on the input's row count (from source statistics, see
+    ``priority.registry_row_bound``). When it is within one task, no group can be hot and the
+    plain window is used without measuring.
+
     The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
     count and ``rows / ROWS_PER_SLICE``.
     """
@@ -96,6 +100,8 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
         return _plain(df, partition_by, order_by, out_col, start)
     if strategy not in ("auto", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "auto" and max_rows is not None and max_rows <= (single_task_rows or MIN_SINGLE_TASK_ROWS):
+        return _plain(df, partition_by, order_by, out_col, start)
 
     base = write_stage(df, "numbering") if stage_input else df
 

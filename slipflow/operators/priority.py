@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..functions.text import contains_text, same_text
 from ..sources.registry import Registry
 from .contracts import contract_objects
 from .joins import dimension, key_text
-from .locations import located_documents
+from .locations import located_documents, version_key
 from .numbering import number_rows
 
 # A contract is (object id, object code); the code compared under the registry collation
@@ -114,6 +116,37 @@ def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
         .drop("_ocode", "ObjectID")
 
 
+_ROW_BOUNDS: "weakref.WeakKeyDictionary[Registry, dict]" = weakref.WeakKeyDictionary()
+
+
+def _max_per_key(df: DataFrame, *keys: Column) -> int:
+    row = df.groupBy(*keys).count().agg(F.max("count")).first()
+    return max(1, int(row[0] or 0))
+
+
+def registry_row_bound(reg: Registry, cfg: SelectionConfig) -> int:
+    """Proven upper bound on the rows of any document pipeline (eligible, ranked, selected).
+
+    Every joined row is one document with one matching row of each lookup and one contract, so
+    a document becomes at most ``fan-out`` rows: the product of the largest number of rows
+    sharing a key in each lookup table and in the contracts. The bound is documents x fan-out.
+    Like table statistics it is computed once per registry (small lookups, one narrow
+    aggregation over the contracts, a row count of the documents).
+    """
+    cache = _ROW_BOUNDS.setdefault(reg, {})
+    cs = cfg.case_sensitive
+    if cs not in cache:
+        fan_out = (_max_per_key(reg.folders, F.col("FolderID"))
+                   * _max_per_key(reg.divisions, F.col("DivisionID"), version_key(F.col("Version")))
+                   * _max_per_key(reg.statuses, F.col("DocumentSystemStatusID"))
+                   * _max_per_key(reg.business_objects, key_text(F.col("ObjectCode"), cs))
+                   * _max_per_key(reg.departments, F.col("DepartmentID"))
+                   * _max_per_key(contract_objects(reg, cfg), F.col("ObjectID"),
+                                  key_text(F.col("ObjectCode"), cs)))
+        cache[cs] = reg.docs.count() * fan_out
+    return cache[cs]
+
+
 def eligibility(cfg: SelectionConfig) -> Column:
     return (F.col("FolderTypeID").isin(*cfg.eligible_folder_types)
             & same_text(F.col("StatusName"), cfg.required_status, cfg.case_sensitive)

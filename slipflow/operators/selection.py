@@ -9,7 +9,8 @@ from ..config import SelectionConfig
 from ..functions.text import contains_any, matched_words, same_text
 from ..sources.registry import Registry
 from .joins import key_text
-from .priority import output_columns, prioritised_documents, rank_documents, rank_input
+from .priority import (output_columns, prioritised_documents, rank_documents, rank_input,
+                       registry_row_bound)
 
 
 def final_filter(ranked: DataFrame, cfg: SelectionConfig):
@@ -34,8 +35,9 @@ def selected_documents(reg: Registry, cfg: SelectionConfig, *, ordered: bool = T
     The ranking runs over all eligible documents of priority 1 (``prefilter``; ranks are the
     same as over all eligible documents); the file-type and stop-word filters apply after it.
     """
+    bound = registry_row_bound(reg, cfg) if strategy == "auto" else None
     ranked = rank_documents(rank_input(prioritised_documents(reg, cfg)), top_priority_only=prefilter,
-                            strategy=strategy)
+                            strategy=strategy, max_rows=bound)
     out = output_columns(ranked.where(final_filter(ranked, cfg)))
     return out.orderBy(*result_order()) if ordered else out
 

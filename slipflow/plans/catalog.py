@@ -43,8 +43,13 @@ def _selected(spark, sf_dir, **kw) -> DataFrame:
     return selection.selected_documents(registry(spark, sf_dir), CFG, ordered=False, **kw)
 
 
+def _bound(spark, sf_dir) -> int:
+    return priority.registry_row_bound(registry(spark, sf_dir), CFG)
+
+
 def _manifest(spark, sf_dir) -> DataFrame:
-    return manifest.batch_manifest(_selected(spark, sf_dir), MANIFEST_FOLDER_SIZE)
+    return manifest.batch_manifest(_selected(spark, sf_dir), MANIFEST_FOLDER_SIZE,
+                                   max_rows=_bound(spark, sf_dir))
 
 
 def simulated_inventory(man: DataFrame) -> DataFrame:
@@ -118,7 +123,8 @@ def q_priority_histogram(spark, sf_dir):
 
 def q_document_rank(spark, sf_dir):
     p = priority.prioritised_documents(registry(spark, sf_dir), CFG)
-    return priority.output_columns(priority.rank_documents(priority.rank_input(p)))
+    return priority.output_columns(priority.rank_documents(priority.rank_input(p),
+                                                           max_rows=_bound(spark, sf_dir)))
 
 
 def q_best_document(spark, sf_dir):
@@ -150,7 +156,7 @@ def q_decoded_text(spark, sf_dir):
 
 
 def q_creation_order(spark, sf_dir):
-    return manifest.creation_order(_selected(spark, sf_dir))
+    return manifest.creation_order(_selected(spark, sf_dir), max_rows=_bound(spark, sf_dir))
 
 
 def q_first_documents(spark, sf_dir):

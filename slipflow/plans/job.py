@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import REFERENCE, SelectionConfig
 from ..operators import manifest, reconcile, selection
+from ..operators.priority import registry_row_bound
 from ..operators.numbering import write_stage
 from ..session import ensure_checkpoint_dir
 from ..sources.inventory import landed_inventory
@@ -46,7 +47,7 @@ def run(spark: SparkSession, reg: Registry, cfg: SelectionConfig, out_dir: str,
     selected = write_stage(selection.selected_documents(reg, cfg, ordered=False), "selected")
     selected.orderBy(*selection.result_order()).write.mode("overwrite").parquet(f"{base}/selected")
 
-    man = manifest.batch_manifest(selected, cfg.folder_size)
+    man = manifest.batch_manifest(selected, cfg.folder_size, max_rows=registry_row_bound(reg, cfg))
     man.repartition("DepartmentName", "folder_num").write.mode("overwrite") \
         .partitionBy("DepartmentName", "folder_num").parquet(f"{base}/manifest")
     man = spark.read.parquet(f"{base}/manifest")

@@ -42,3 +42,12 @@ def test_hot_contract_is_split_and_exact(spark):
 
     best = {r["DocumentID"] for r in priority.best_document(p).collect()}
     assert best == {d for d, r in want.items() if r == 1}
+
+
+def test_registry_row_bound(spark):
+    from slipflow.sources.fixtures import fixture_registry
+    reg = fixture_registry(spark, "/root/testdata/sf0.001")
+    assert priority.registry_row_bound(reg, FIXTURE) == reg.docs.count()      # keys unique: fan-out 1
+    bos = reg.business_objects.unionByName(reg.business_objects.where("ObjectCode = 'P'"))
+    doubled = reg.with_tables(business_objects=bos)                           # code P twice
+    assert priority.registry_row_bound(doubled, FIXTURE) == 4 * reg.docs.count()  # lookup x contracts
