@@ -136,3 +136,17 @@ def test_contract_code_compared_under_collation(spark):
                for r in priority.rank_documents(p, strategy=strategy).collect()}
         assert got == {1: 1, 2: 2}
     assert [r["DocumentID"] for r in priority.best_document(p).collect()] == [1]
+
+
+def test_dormant_policy_reference_outcomes(spark):
+    """I1: with the option on, a name equal to a policy reference gives outcome 2 (signed) or
+    8 (placing); off, the same documents fall through as before."""
+    docs = [doc(1, "pol 100 ", folder=60, file_name="/a.docx"), doc(2, "POL 100", folder=44, file_name="/b.docx"),
+            doc(3, None, folder=60, file_name="/c.pdf"), doc(4, "other", folder=60, file_name="/d.docx")]
+    reg = registry(spark, docs)
+    on = {r["DocumentID"]: (r["DocumentTypePriorityOrdinal"], r["IsPolicyRef"]) for r in
+          priority.prioritised_documents(reg, CFG.with_(match_policy_refs=True)).collect()}
+    assert on == {1: (2, True), 2: (8, True), 3: (13, None), 4: (99, False)}
+    off = {r["DocumentID"]: r["DocumentTypePriorityOrdinal"] for r in
+           priority.prioritised_documents(reg, CFG).collect()}
+    assert off == {1: 99, 2: 99, 3: 13, 4: 99}
