@@ -63,7 +63,8 @@ def write_stage(df: DataFrame, label: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # read back with the written schema: partition columns keep their types (no inference)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _plain(df: DataFrame, partition_by, order_by, out_col, start) -> DataFrame:

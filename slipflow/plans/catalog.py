@@ -8,6 +8,7 @@ dates of ``config.FIXTURE`` and the folder sizes named below.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from ..operators.joins import dimension, key_text
 from ..operators.numbering import write_stage
 from ..sources.fixtures import fixture_registry
 from ..sources.encoding import decode_latin1
+from ..session import ensure_checkpoint_dir
 from ..sources.registry import Registry
 
 # Parameters of the registered queries.
@@ -229,12 +231,22 @@ def q_filter_by_reference(spark, sf_dir):
 
 
 def q_write_manifest(spark, sf_dir):
-    """Write the manifest partitioned by department and folder, read it back."""
+    """Write the manifest partitioned by department and folder (the landing folder layout),
+    read it back."""
     man = _manifest(spark, sf_dir)
     return write_stage(man.repartition("DepartmentName", "folder_num"), "manifest",
                        partition_by=["DepartmentName", "folder_num"])
 
 
+def q_run_log_file(spark, sf_dir):
+    """Write the run log as text (ordered part files), read the lines back."""
+    man = _manifest(spark, sf_dir)
+    log = reconcile.run_log_lines(reconcile.fetch_status(man, simulated_inventory(man)), RUN_TIME)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-log-{uuid.uuid4().hex}"
+    reconcile.write_run_log(log, path)
+    return spark.read.text(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -306,6 +306,14 @@ FROM fetch_status
 UNION ALL
 SELECT DepartmentName, CAST(-1 AS BIGINT), DepartmentName || ' ' || CAST(count(*) AS VARCHAR), '{LOG_FILE}'
 FROM fetch_status GROUP BY DepartmentName""",
+    "write_manifest": BASE + "SELECT * FROM manifest",
+    "run_log_file": BASE + f"""
+SELECT line AS value FROM (
+  SELECT CASE WHEN status = 'OK' THEN coalesce(filename, '') || ' , OK , ' || coalesce(UniqueMarketRef, '')
+              ELSE coalesce(filename, '') || ' , FILE NOT FOUND  , ' || coalesce(UniqueMarketRef, '') END AS line
+  FROM fetch_status
+  UNION ALL
+  SELECT DepartmentName || ' ' || CAST(count(*) AS VARCHAR) FROM fetch_status GROUP BY DepartmentName) t""",
     "policy_ref_matches": BASE.replace(
         "prioritised AS (SELECT *, " + _ladder(False),
         "prioritised AS (SELECT *, " + _ladder(True)).replace(

@@ -31,5 +31,5 @@ def test_query_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
-def test_every_query_but_the_file_writer_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"write_manifest"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
