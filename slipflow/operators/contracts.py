@@ -9,6 +9,7 @@ from ..config import SelectionConfig
 from ..sources.registry import Registry
 from .joins import dimension, join_on_constant, key_text
 
+# Both branches, in this order (stacked by position).
 CONTRACT_COLUMNS = [
     "ObjectID", "ObjectCode", "ObjectName", "Reference", "UniqueMarketRef", "InceptionDate",
     "ExpiryDate", "CreateDate", "DepartmentID", "DepartmentName", "SubDepartmentID",
@@ -32,12 +33,8 @@ def facility_contracts(reg: Registry, cfg: SelectionConfig) -> DataFrame:
          .join(bo, "_code")
          .join(dept, "DepartmentID")
          .join(sub, "SubDepartmentID"))
-    return j.select(
-        F.col("FacilityID").alias("ObjectID"), "ObjectCode", "ObjectName",
-        F.col("FacilityRef").alias("Reference"), "UniqueMarketRef", "InceptionDate", "ExpiryDate",
-        "CreateDate", "DepartmentID", "DepartmentName", "SubDepartmentID", "SubDepartmentName",
-        "BrokerID",
-    )
+    out = j.withColumnsRenamed({"FacilityID": "ObjectID", "FacilityRef": "Reference"})
+    return out.select(*CONTRACT_COLUMNS)
 
 
 def policy_contracts(reg: Registry, cfg: SelectionConfig) -> DataFrame:
@@ -53,12 +50,9 @@ def policy_contracts(reg: Registry, cfg: SelectionConfig) -> DataFrame:
         "SubDepartmentID", F.col("Name").alias("SubDepartmentName"))
     j = join_on_constant(p.join(dept, "DepartmentID"), bo)
     j = j.join(sub, "SubDepartmentID")
-    return j.select(
-        F.col("PolicyID").alias("ObjectID"), "ObjectCode", "ObjectName",
-        F.col("PolicyRef").alias("Reference"), "UniqueMarketRef", "InceptionDate", "ExpiryDate",
-        "CreateDate", "DepartmentID", "DepartmentName", "SubDepartmentID", "SubDepartmentName",
-        F.col("BrokerProducerID").alias("BrokerID"),
-    )
+    out = j.withColumnsRenamed({"PolicyID": "ObjectID", "PolicyRef": "Reference",
+                                "BrokerProducerID": "BrokerID"})
+    return out.select(*CONTRACT_COLUMNS)
 
 
 def contract_objects(reg: Registry, cfg: SelectionConfig) -> DataFrame:

@@ -19,9 +19,6 @@ from .numbering import number_rows
 # (``ContractCode`` = folded code), the same key the contract join uses.
 CONTRACT_KEYS = ["RootObjectID", "ContractCode"]
 
-# Ladder outcomes that never occur unless the dormant policy-reference match is switched on.
-POLICY_REF_OUTCOMES = (2, 8)
-
 
 def ladder(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: Column,
            policy_ref: Column | None = None) -> Column:
