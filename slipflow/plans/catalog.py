@@ -34,7 +34,7 @@ _REGISTRY_CACHE: dict[tuple, Registry] = {}
 
 
 def registry(spark: SparkSession, sf_dir: str, source: str = "default") -> Registry:
-    key = (id(spark), sf_dir, source)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, source)
     reg = _REGISTRY_CACHE.get(key)
     if reg is None:
         reg = _REGISTRY_CACHE[key] = fixture_registry(spark, sf_dir, source)
