@@ -122,7 +122,7 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     if largest <= bound:
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
-        return _split(fixed(base), partition_by, order_by, out_col, start, n)
+        return _split_few_groups(fixed(base), partition_by, order_by, out_col, start, n)
     # At most total // bound hot keys (a proven bound): their 64-bit key hashes are read and
     # the split is a plain membership filter, which Catalyst pushes below upstream joins, so hot
     # rows never enter the cold branch's shuffle. A hash shared with a cold group only moves
@@ -133,7 +133,7 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     is_hot = key_hash.isin(hot_hashes)
     cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
-        _split(fixed(hot_rows), partition_by, order_by, out_col, start, n))
+        _split_few_groups(fixed(hot_rows), partition_by, order_by, out_col, start, n))
 
 
 def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
@@ -159,3 +159,35 @@ def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> Data
         (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)) + F.lit(start - 1))
         .cast("long").alias(out_col),
     )
+
+
+def _split_few_groups(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
+    """The split plan for inputs with few groups (the hot groups, or one global group), with a
+    single full shuffle: the range exchange.
+
+    Each range partition is one slice. Sorted within the partition, a row's
+    ``monotonically_increasing_id`` holds the slice (high bits) and its position in the slice
+    (low 33 bits), so no second shuffle is needed to number rows inside slices. A row's number
+    is its position minus the first position of its group in the slice, plus the group's rows
+    in earlier slices; those two come from an aggregation per (group, slice) with at most
+    ``groups + slices`` rows, a bounded table that is broadcast.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in partition_by] + list(order_by)
+    sliced = (staged.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    sliced = sliced.withColumns({SLICE: F.shiftright(F.col("_mid"), 33),
+                                 "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
+    stats = sliced.groupBy(*partition_by, SLICE).agg(F.min("_pos").alias("_first"),
+                                                     F.count(F.lit(1)).alias("_n"))
+    before_w = (Window.partitionBy(*partition_by).orderBy(SLICE) if partition_by
+                else Window.orderBy(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select(*[F.col(c).alias(f"_o_{c}") for c in partition_by],
+                         F.col(SLICE).alias("_o_slice"), "_first",
+                         F.coalesce(F.sum("_n").over(before_w), F.lit(0)).alias("_before"))
+    cond = [sliced[SLICE] == stats["_o_slice"]]
+    cond += [sliced[c].eqNullSafe(stats[f"_o_{c}"]) for c in partition_by]
+    joined = sliced.join(F.broadcast(stats), reduce(lambda a, b: a & b, cond), "inner")
+    return joined.select(
+        *[sliced[c] for c in staged.columns],
+        (F.col("_pos") - F.col("_first") + F.col("_before") + F.lit(start)).cast("long").alias(out_col),
+    )

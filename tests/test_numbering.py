@@ -82,3 +82,24 @@ def test_staged_and_unstaged_input_give_same_numbers(spark):
     for stage in (False, True):
         for kw in (dict(strategy="auto"), dict(strategy="auto", single_task_rows=150), dict(strategy="split")):
             assert as_map(number_rows(df, ["g"], order(), "rn", stage_input=stage, **kw)) == want
+
+
+def test_hot_split_uses_one_full_shuffle(spark):
+    df = data(spark, n=2500, seed=29)
+    want = as_map(number_rows(df, ["g"], order(), "rn", start=0, strategy="window"))
+    for n in (3, 16):
+        out = number_rows(df, ["g"], order(), "rn", start=0, single_task_rows=200, num_slices=n)
+        assert as_map(out) == want
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]  # final plan
+    ranges = [ln for ln in plan.splitlines() if "Exchange rangepartitioning" in ln and "Reused" not in ln]
+    assert len(ranges) == 1                                        # the slices, computed once
+    assert "ReusedExchange" in plan                                # the small stats branch reads it
+    # rows are numbered inside slices without a second shuffle of full rows
+    assert not any("hashpartitioning(" in ln and "_slice" in ln and "id#" in ln for ln in plan.splitlines())
+
+
+def test_global_split_many_slices(spark):
+    df = data(spark, n=1200, seed=31)
+    want = as_map(number_rows(df, [], order(), "rn", strategy="window"))
+    assert as_map(number_rows(df, [], order(), "rn", single_task_rows=50, num_slices=11)) == want
