@@ -48,6 +48,9 @@ MIN_SINGLE_TASK_ROWS = 1_000_000
 # Target rows per slice of the split plan: the slice count grows with the data, so no window
 # task holds more than about this many rows whatever the scale.
 ROWS_PER_SLICE = 1_000_000
+# The single-shuffle split plan broadcasts one row per (group, slice); it is used when the
+# number of groups is proven to be at most this.
+FEW_GROUPS = 200_000
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -111,14 +114,16 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
 
     if partition_by:
         sizes = base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-        row = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
-        total, largest = int(row[0] or 0), int(row[1] or 0)
+        row = sizes.agg(F.sum("_rows"), F.max("_rows"), F.count(F.lit(1))).first()
+        total, largest, groups = int(row[0] or 0), int(row[1] or 0), int(row[2] or 0)
     else:
         total = largest = base.count()
+        groups = 1
     n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
     bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
     if strategy == "split":
-        return _split(fixed(base), partition_by, order_by, out_col, start, n)
+        split = _split_few_groups if groups <= FEW_GROUPS else _split
+        return split(fixed(base), partition_by, order_by, out_col, start, n)
     if largest <= bound:
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
@@ -132,8 +137,9 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                          .select(key_hash.alias("_h")).collect()})
     is_hot = key_hash.isin(hot_hashes)
     cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
+    split = _split_few_groups if len(hot_hashes) <= FEW_GROUPS else _split
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
-        _split_few_groups(fixed(hot_rows), partition_by, order_by, out_col, start, n))
+        split(fixed(hot_rows), partition_by, order_by, out_col, start, n))
 
 
 def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:

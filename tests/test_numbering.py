@@ -103,3 +103,13 @@ def test_global_split_many_slices(spark):
     df = data(spark, n=1200, seed=31)
     want = as_map(number_rows(df, [], order(), "rn", strategy="window"))
     assert as_map(number_rows(df, [], order(), "rn", single_task_rows=50, num_slices=11)) == want
+
+
+def test_many_groups_split_variant(spark, monkeypatch):
+    """The split plan for many groups (window per slice, broadcast per-slice offsets)."""
+    from slipflow.operators import numbering
+    monkeypatch.setattr(numbering, "FEW_GROUPS", 0)
+    df = data(spark, n=2000, seed=37)
+    want = as_map(number_rows(df, ["g"], order(), "rn", strategy="window"))
+    for kw in (dict(strategy="split", num_slices=7), dict(single_task_rows=150)):
+        assert as_map(number_rows(df, ["g"], order(), "rn", **kw)) == want
