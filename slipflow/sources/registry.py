@@ -92,6 +92,14 @@ SCHEMAS: dict[str, T.StructType] = {
     ]),
 }
 
+# Columns a query only carries (never joins or filters on): they may be absent from a source and
+# then load as typed NULLs. Every other column of SCHEMAS is required.
+OPTIONAL_COLUMNS = {
+    "facility": {"ExpiryDate", "CreateDate", "BrokerID"},
+    "master_policy": {"ExpiryDate", "CreateDate", "BrokerProducerID"},
+    "docs": {"TemplateID", "UserName"},
+}
+
 # Source table name in the registry database for each registry member.
 SOURCE_TABLES = {
     "divisions": "dbo.todmDivisions",
@@ -134,10 +142,15 @@ class Registry:
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select and cast the needed columns of table ``name``; missing optional columns (those a
-    query only carries, never filters on) become typed NULLs. Raises on a missing key column."""
+    """Select and cast the needed columns of table ``name`` (names matched case-insensitively,
+    extra columns such as secrets dropped); missing optional columns become typed NULLs.
+    Raises ``ValueError`` when a required column is missing."""
     schema = SCHEMAS[name]
     have = {c.lower(): c for c in df.columns}
+    missing = [f.name for f in schema.fields
+               if f.name.lower() not in have and f.name not in OPTIONAL_COLUMNS.get(name, set())]
+    if missing:
+        raise ValueError(f"table {name!r} lacks required columns {missing}")
     cols = []
     for f in schema.fields:
         src = have.get(f.name.lower())

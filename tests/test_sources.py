@@ -1,6 +1,8 @@
 """Registry sources: Parquet layout round trip, schema conformance, Latin-1 decoding."""
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slipflow.config import FIXTURE
 from slipflow.operators import selection
@@ -27,8 +29,12 @@ def test_conform_adds_missing_optional_columns_and_ignores_extra(spark):
     df = spark.createDataFrame([(1, "Marine", "secret")], "departmentid int, DepartmentName string, pwd string")
     out = conform(df, "departments")
     assert out.columns == ["DepartmentID", "DepartmentName"]
-    docs = conform(spark.createDataFrame([(1, 2)], "DocumentID long, RootObjectID long"), "docs")
+    cols = [f for f in SCHEMAS["docs"].fields if f.name not in ("TemplateID", "UserName")]
+    partial = spark.createDataFrame([tuple([None] * len(cols))], T.StructType(cols))
+    docs = conform(partial, "docs")
     assert docs.first()["UserName"] is None and docs.schema == SCHEMAS["docs"]
+    with pytest.raises(ValueError, match="FolderID"):
+        conform(partial.drop("FolderID"), "docs")
 
 
 def test_latin1_decoding(spark):
