@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SelectionConfig
-from ..functions.text import contains_text, same_text
+from ..functions.text import same_text
 from ..sources.registry import Registry
 from .contracts import contract_objects
 from .joins import dimension, key_text
@@ -32,9 +32,10 @@ def ladder(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: C
     signed = folder_type.isin(*cfg.signed_folder_types)
     placing = folder_type.isin(*cfg.placing_folder_types)
     pdf = same_text(file_type, cfg.selected_file_type, cs)
+    folded = name if cs else F.lower(name)  # built once, shared by every keyword test
 
     def kw(word: str) -> Column:
-        return contains_text(name, word, cs)
+        return folded.contains(F.lit(word if cs else word.lower()))
 
     steps: list[tuple[Column, int]] = [
         ((signed & kw("Slip")) | kw("MRC") | kw("Contract") | kw("London Market")
