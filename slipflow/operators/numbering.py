@@ -7,15 +7,18 @@ while splitting every group over many tasks:
 
 1. Range-partition the rows on ``(group, order)`` with ``repartitionByRange``. The bounds come
    from a sample of the full composite key, so a hot group is cut into many consecutive
-   *slices*. The rows are first written as a table in the shared checkpoint folder, so the
-   sample, and so every slice id (``spark_partition_id``), is the same in every job and in every
+   *slices* of about ``ROWS_PER_SLICE`` rows. The rows are first written as a table in the shared
+   checkpoint folder, so the sample, and so every slice, is the same in every job and in every
    retried task.
-2. Number rows inside each ``(group, slice)`` pair: a window partition holds at most one slice
-   (about ``ROWS_PER_SLICE`` rows), never a whole hot group.
-3. Count rows per ``(group, slice)`` (partial aggregation) and take, per group, the running sum
-   of the counts of earlier slices. Only a group that began in an earlier slice needs an offset
-   and each slice starts at most one such group, so the offset table has at most one row per
-   slice: a proven bound, broadcast to the final step.
+2. Number rows inside slices. With few groups (at most ``FEW_GROUPS``: the hot groups, or one
+   global group) each range partition is sorted within itself and
+   ``monotonically_increasing_id`` gives every row its slice and position, with no second
+   shuffle. With many groups a window over ``(group, slice)`` does it; a window partition then
+   holds at most one slice, never a whole hot group.
+3. Add the rows of the same group in earlier slices: a running sum over per-(group, slice)
+   counts (partial aggregation). That table has at most ``groups + slices`` rows (few groups)
+   or, keeping only groups that began in an earlier slice, at most one row per slice; either
+   way a proven bound, so it is broadcast to the final step.
 
 ``strategy="auto"`` (the default) first measures group sizes with one aggregation (a narrow
 pass: only key columns). A group is *hot* when it has more than ``single_task_rows`` rows (at
