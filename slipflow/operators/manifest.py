@@ -49,17 +49,18 @@ def landing_file_name(doc_id: Column, root_id: Column, reference: Column, file_t
 
 
 def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "auto",
-                   max_rows: int | None = None) -> DataFrame:
+                   max_rows: int | None = None, **numbering) -> DataFrame:
     """Per department: ``record_num`` 0.. in creation order, ``folder_num``, the folder name
     ``" {folder_num} {dept}"``, the landing file name and path ``{folder}/{record_num} - {file}``.
 
     Documents without a department are not batched (the per-department loop never reached
     them). Rows whose file name cannot be built keep a NULL name and path (see rejected_rows).
-    ``max_rows``: a proven bound on the selection's size (``priority.registry_row_bound``).
+    ``max_rows``: a proven bound on the selection's size (``priority.registry_row_bound``);
+    ``numbering`` passes further options to ``number_rows``.
     """
     rows = selected.where(F.col("DepartmentName").isNotNull())
     numbered = number_rows(rows, ["DepartmentName"], creation_order_keys(), "record_num", start=0,
-                           strategy=strategy, max_rows=max_rows)
+                           strategy=strategy, max_rows=max_rows, **numbering)
     folder = folder_number(F.col("record_num"), folder_size)
     fname = landing_file_name(F.col("DocumentID"), F.col("RootObjectID"), F.col("Reference"),
                               F.col("DocumentFileType"))

@@ -51,3 +51,14 @@ def test_registry_row_bound(spark):
     bos = reg.business_objects.unionByName(reg.business_objects.where("ObjectCode = 'P'"))
     doubled = reg.with_tables(business_objects=bos)                           # code P twice
     assert priority.registry_row_bound(doubled, FIXTURE) == 4 * reg.docs.count()  # lookup x contracts
+
+
+def test_manifest_with_every_department_hot(spark):
+    """At scale every department is hot: the manifest then comes from the split plan only."""
+    from slipflow.operators import manifest, selection
+    sel = selection.selected_documents(registry(spark, SF), FIXTURE, ordered=False)
+    plain = manifest.batch_manifest(sel, 10, strategy="window")
+    hot = manifest.batch_manifest(sel, 10, single_task_rows=5, num_slices=12)
+    plan = hot._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    assert plain.count() == 541 and plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
