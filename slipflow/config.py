@@ -23,8 +23,8 @@ PLACING_FOLDER_TYPES = (44,)
 # Document status that counts as present, and the file type of a selectable document.
 REQUIRED_STATUS = "Exists"
 SELECTED_FILE_TYPE = "pdf"
-# Name keywords of the priority ladder.
-LADDER_KEYWORDS = ("Slip", "MRC", "Contract", "London Market", "Final", "Sign", "Scan", "FOS", "Policy")
+# The name keywords of the priority ladder (Slip, MRC, Contract, London Market, Final, Sign, Scan,
+# FOS, Policy) are written in the ladder itself, operators/priority.py, next to their outcomes.
 # Stop-words of the final selection, in the original order (Note appears twice there).
 STOP_WORDS = (
     "Note", "Bind", "Binder", "Cert", "Certificate", "Invoices", "Withhold", "Wording", "Debit",

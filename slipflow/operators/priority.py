@@ -37,6 +37,7 @@ def ladder(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: C
     def kw(word: str) -> Column:
         return folded.contains(F.lit(word if cs else word.lower()))
 
+    # The keywords and outcome numbers of the original ladder, in its order.
     steps: list[tuple[Column, int]] = [
         ((signed & kw("Slip")) | kw("MRC") | kw("Contract") | kw("London Market")
          | (kw("Final") & pdf), 1),
