@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import SelectionConfig
 from ..sources.registry import Registry
-from .joins import dimension, join_on_constant, key_text
+from .joins import dimension, join_on_constant, key_text, small_rows
 
 # Both branches, in this order (stacked by position).
 CONTRACT_COLUMNS = [
@@ -48,7 +48,8 @@ def policy_contracts(reg: Registry, cfg: SelectionConfig) -> DataFrame:
     dept = dimension(reg.departments).select("DepartmentID", "DepartmentName")
     sub = dimension(reg.sub_departments).select(
         "SubDepartmentID", F.col("Name").alias("SubDepartmentName"))
-    j = join_on_constant(p.join(dept, "DepartmentID"), bo)
+    rows = small_rows(bo, cache_on=reg.business_objects, key=(POLICY_CODE, cs))
+    j = join_on_constant(p.join(dept, "DepartmentID"), bo, inline=rows)
     j = j.join(sub, "SubDepartmentID")
     out = j.withColumnsRenamed({"PolicyID": "ObjectID", "PolicyRef": "Reference",
                                 "BrokerProducerID": "BrokerID"})

@@ -45,8 +45,27 @@ def key_text(c: Column, case_sensitive: bool) -> Column:
 INLINE_ROW_LIMIT = 1_000
 
 
+_INLINE: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
+def small_rows(df: DataFrame, limit: int = INLINE_ROW_LIMIT, *, cache_on: DataFrame | None = None,
+               key=None) -> list | None:
+    """The rows of ``df`` when there are at most ``limit`` (read once), else None. With
+    ``cache_on`` (a registry table ``df`` is derived from) the answer is kept per ``key``."""
+    if cache_on is not None:
+        memo = _INLINE.setdefault(cache_on, {})
+        if key not in memo:
+            memo[key] = small_rows(df, limit)
+        return memo[key]
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
+_READ_HERE = object()
+
+
 def join_on_constant(left: DataFrame, right: DataFrame, salt_buckets: int = 64,
-                     inline_limit: int = INLINE_ROW_LIMIT) -> DataFrame:
+                     inline_limit: int = INLINE_ROW_LIMIT, *, inline=_READ_HERE) -> DataFrame:
     """Inner join where every ``left`` row matches every ``right`` row (``JOIN .. ON col = 'P'``
     once ``right`` is filtered): ``left`` is repeated once per row of ``right``.
 
@@ -55,10 +74,11 @@ def join_on_constant(left: DataFrame, right: DataFrame, salt_buckets: int = 64,
     as a literal array that each ``left`` row is exploded over (no join, no shuffle). Beyond the
     limit ``left`` rows get a salt in ``[0, salt_buckets)`` (a hash of the row, so retries give
     the same salt) and ``right`` rows are replicated once per salt, an equi-join on the salt
-    that spreads the work over ``salt_buckets`` keys.
+    that spreads the work over ``salt_buckets`` keys. ``inline`` passes the result of an earlier
+    ``small_rows`` call (rows, or None for too many); by default it is read here.
     """
-    small = right.limit(inline_limit + 1).collect()
-    if len(small) <= inline_limit:
+    small = small_rows(right, inline_limit) if inline is _READ_HERE else inline
+    if small is not None:
         fields = right.schema.fields
         if not small:  # nothing matches the constant condition: no rows
             return left.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name)
