@@ -115,13 +115,21 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     def fixed(x: DataFrame) -> DataFrame:
         return x if stage_input else write_stage(x, "numbering")
 
+    floor = single_task_rows or MIN_SINGLE_TASK_ROWS
+    key_hash = F.xxhash64(*[F.col(c) for c in partition_by]) if partition_by else None
     if partition_by:
-        sizes = base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-        row = sizes.agg(F.sum("_rows"), F.max("_rows"), F.count(F.lit(1))).first()
+        # One aggregation gives the totals and the candidates for hot groups: groups above the
+        # single-task floor, at most rows / floor of them (a proven bound), as (key hash, rows).
+        sizes = base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")) \
+            .select(key_hash.alias("_h"), "_rows")
+        row = sizes.agg(F.sum("_rows"), F.max("_rows"), F.count(F.lit(1)),
+                        F.collect_list(F.when(F.col("_rows") > F.lit(floor),
+                                              F.struct("_h", "_rows")))).first()
         total, largest, groups = int(row[0] or 0), int(row[1] or 0), int(row[2] or 0)
+        candidates = [(r["_h"], r["_rows"]) for r in row[3]]
     else:
         total = largest = base.count()
-        groups = 1
+        groups, candidates = 1, []
     n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
     bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
     if strategy == "split":
@@ -131,13 +139,11 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
         return _split_few_groups(fixed(base), partition_by, order_by, out_col, start, n)
-    # At most total // bound hot keys (a proven bound): their 64-bit key hashes are read and
-    # the split is a plain membership filter, which Catalyst pushes below upstream joins, so hot
-    # rows never enter the cold branch's shuffle. A hash shared with a cold group only moves
-    # that group to the (equally exact) split plan; a group never straddles the two branches.
-    key_hash = F.xxhash64(*[F.col(c) for c in partition_by])
-    hot_hashes = sorted({r[0] for r in sizes.where(F.col("_rows") > F.lit(bound))
-                         .select(key_hash.alias("_h")).collect()})
+    # The hot groups' 64-bit key hashes split the input with a plain membership filter, which
+    # Catalyst pushes below upstream joins, so hot rows never enter the cold branch's shuffle. A
+    # hash shared with a cold group only moves that group to the (equally exact) split plan; a
+    # group never straddles the two branches.
+    hot_hashes = sorted({h for h, rows in candidates if rows > bound})
     is_hot = key_hash.isin(hot_hashes)
     cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
     split = _split_few_groups if len(hot_hashes) <= FEW_GROUPS else _split
