@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def landed_inventory(spark: SparkSession, root: str, suffix: str | None = None) -> DataFrame:
+def landed_inventory(spark: SparkSession, root: str, suffix: str | None = None,
+                     folders: list[str] | None = None) -> DataFrame:
     """``landing_path`` (relative to ``root``), ``path``, ``length``, ``modificationTime`` of
-    every file below ``root`` (optionally only names ending in ``suffix``)."""
+    every file below ``root`` (optionally only names ending in ``suffix``).
+
+    ``folders`` (names below ``root``, e.g. the manifest's distinct folder names) lists only those
+    folders; with many folders Spark lists them in parallel on the executors."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    files = reader.load(root).select("path", "length", "modificationTime")
+    paths = [f"{root.rstrip('/')}/{f}" for f in folders] if folders else [root]
+    files = reader.load(paths).select("path", "length", "modificationTime")
     base = root.rstrip("/") + "/"
     if base.startswith("file:"):
         base = base[len("file:"):]

@@ -28,6 +28,8 @@ def test_fetch_status_against_landed_files(spark, tmp_path):
     inv = landed_inventory(spark, str(tmp_path), suffix=".pdf")
     assert sorted(r["landing_path"] for r in inv.collect()) == [" 0 Aviation/0 - 3_7_POL.pdf",
                                                               " 0 Marine/0 - 1_7_FAC.pdf"]
+    by_folder = landed_inventory(spark, str(tmp_path), suffix=".pdf", folders=[" 0 Marine", " 0 Aviation"])
+    assert sorted(r["landing_path"] for r in by_folder.collect()) == sorted(r["landing_path"] for r in inv.collect())
     status = {r["filename"]: r["status"] for r in reconcile.fetch_status(man, inv).collect()}
     assert status == {"1_7_FAC.pdf": "OK", "2_7_FAC.pdf": "FILE NOT FOUND", "3_7_POL.pdf": "OK",
                       None: "FILE NOT FOUND"}
