@@ -169,25 +169,29 @@ def load_parquet(spark: SparkSession, root: str, source: str = "default") -> Reg
     )
 
 
-def read_jdbc(spark: SparkSession, url: str, name: str, *, properties: dict | None = None,
-              partition_column: str | None = None, lower_bound: int | None = None,
-              upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Read one registry table over JDBC, only its needed columns.
+def jdbc_options(url: str, name: str, *, properties: dict | None = None,
+                 partition_column: str | None = None, lower_bound: int | None = None,
+                 upper_bound: int | None = None, num_partitions: int | None = None) -> dict:
+    """Reader options for one registry table: a subquery of only the needed columns, and, for
+    large tables, a range partitioning on an integer key (``num_partitions`` parallel queries)."""
+    cols = ", ".join(f.name for f in SCHEMAS[name].fields)
+    opts = {"url": url, "dbtable": f"(SELECT {cols} FROM {SOURCE_TABLES[name]}) AS t"}
+    opts.update(properties or {})
+    if partition_column is not None:
+        if None in (lower_bound, upper_bound, num_partitions):
+            raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
+        opts.update({"partitionColumn": partition_column, "lowerBound": str(lower_bound),
+                     "upperBound": str(upper_bound), "numPartitions": str(num_partitions)})
+    return opts
+
+
+def read_jdbc(spark: SparkSession, url: str, name: str, **options) -> DataFrame:
+    """Read one registry table over JDBC, only its needed columns (see ``jdbc_options``).
 
     Large tables (documents, contracts) should pass ``partition_column`` with bounds so Spark
     issues ``num_partitions`` range queries in parallel instead of one single-connection scan.
     """
-    schema = SCHEMAS[name]
-    cols = ", ".join(f.name for f in schema.fields)
-    query = f"(SELECT {cols} FROM {SOURCE_TABLES[name]}) AS t"
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column)
-                  .option("lowerBound", lower_bound).option("upperBound", upper_bound)
-                  .option("numPartitions", num_partitions))
-    return conform(reader.load(), name)
+    return conform(spark.read.format("jdbc").options(**jdbc_options(url, name, **options)).load(), name)
 
 
 def load_jdbc(spark: SparkSession, url: str, *, properties: dict | None = None,

@@ -46,3 +46,17 @@ def test_read_latin1_text_lines(spark, tmp_path):
     from slipflow.sources.encoding import read_latin1_text
     (tmp_path / "a.txt").write_bytes(b'caf\xe9 "x", y\n  na\xefve \n')
     assert [r["value"] for r in read_latin1_text(spark, str(tmp_path)).collect()] == ['café "x", y', "  naïve "]
+
+
+def test_jdbc_options_read_only_needed_columns_in_parallel():
+    from slipflow.sources.registry import jdbc_options
+    opts = jdbc_options("jdbc:sqlserver://host;databaseName=x", "docs", properties={"user": "u"},
+                        partition_column="DocumentID", lower_bound=1, upper_bound=10_000_000,
+                        num_partitions=200)
+    assert opts["dbtable"].startswith("(SELECT DocumentID, RootObjectID, RootObjectCode, FolderID")
+    assert "FROM dbo.todmDocuments) AS t" in opts["dbtable"]
+    assert (opts["partitionColumn"], opts["numPartitions"], opts["user"]) == ("DocumentID", "200", "u")
+    divisions = jdbc_options("jdbc:x", "divisions")["dbtable"]
+    assert "Password" not in divisions and "partitionColumn" not in jdbc_options("jdbc:x", "divisions")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "docs", partition_column="DocumentID")
