@@ -92,8 +92,8 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     the key columns of the upstream plan (a narrow pass). When no group is hot the plain window
     runs on the input itself, so it reuses an upstream shuffle on the same keys (the contract
     join for the ranking): no extra shuffle and no write. The plain window is deterministic
-    whatever the row order, so only rows taking the split plan are staged (written under the
-    checkpoint folder) first: its range sample needs fixed input. ``stage_input=True`` writes
+    whatever the row order, so only rows taking the split plan are staged: they are sliced and
+    written under the checkpoint folder in one job (``_sliced``). ``stage_input=True`` writes
     the whole input first instead (for inputs whose upstream is too costly to run twice).
 
     ``max_rows`` is a proven upper bound on the input's row count (from source statistics, see
@@ -111,10 +111,6 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
         return _plain(df, partition_by, order_by, out_col, start)
 
     base = write_stage(df, "numbering") if stage_input else df
-
-    def fixed(x: DataFrame) -> DataFrame:
-        return x if stage_input else write_stage(x, "numbering")
-
     floor = single_task_rows or MIN_SINGLE_TASK_ROWS
     key_hash = F.xxhash64(*[F.col(c) for c in partition_by]) if partition_by else None
     if partition_by:
@@ -134,11 +130,11 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
     if strategy == "split":
         split = _split_few_groups if groups <= FEW_GROUPS else _split
-        return split(fixed(base), partition_by, order_by, out_col, start, n)
+        return split(base, partition_by, order_by, out_col, start, n)
     if largest <= bound:
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
-        return _split_few_groups(fixed(base), partition_by, order_by, out_col, start, n)
+        return _split_few_groups(base, partition_by, order_by, out_col, start, n)
     # The hot groups' 64-bit key hashes split the input with a plain membership filter, which
     # Catalyst pushes below upstream joins, so hot rows never enter the cold branch's shuffle. A
     # hash shared with a cold group only moves that group to the (equally exact) split plan; a
@@ -148,12 +144,28 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
     split = _split_few_groups if len(hot_hashes) <= FEW_GROUPS else _split
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
-        split(fixed(hot_rows), partition_by, order_by, out_col, start, n))
+        split(hot_rows, partition_by, order_by, out_col, start, n))
 
 
-def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
+def _sliced(rows: DataFrame, partition_by, order_by, n, positions: bool) -> DataFrame:
+    """Range-partition ``rows`` on (group, order) into ``n`` slices, tag every row with its slice
+    (and, with ``positions``, its position inside the sorted slice), and write the result as a
+    table under the checkpoint folder. The range sample and the tags are computed once, in one
+    job; every later branch reads the same files, so retries and re-reads see the same slices."""
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + list(order_by)
-    sliced = staged.repartitionByRange(n, *keys).withColumn(SLICE, F.spark_partition_id())
+    ranged = rows.repartitionByRange(n, *keys)
+    if positions:
+        # sorted inside the partition: monotonically_increasing_id = slice << 33 | position
+        ranged = ranged.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
+        ranged = ranged.withColumns({SLICE: F.shiftright(F.col("_mid"), 33),
+                                     "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_mid")
+    else:
+        ranged = ranged.withColumn(SLICE, F.spark_partition_id())
+    return write_stage(ranged, "slices")
+
+
+def _split(rows: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
+    sliced = _sliced(rows, partition_by, order_by, n, positions=False)
 
     local_w = Window.partitionBy(*partition_by, SLICE).orderBy(*order_by)
     local = sliced.withColumn("_local", F.row_number().over(local_w))
@@ -170,28 +182,23 @@ def _split(staged: DataFrame, partition_by, order_by, out_col, start, n) -> Data
     cond += [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in partition_by]
     joined = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, cond), "left")
     return joined.select(
-        *[local[c] for c in staged.columns],
+        *[local[c] for c in rows.columns],
         (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)) + F.lit(start - 1))
         .cast("long").alias(out_col),
     )
 
 
-def _split_few_groups(staged: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
+def _split_few_groups(rows: DataFrame, partition_by, order_by, out_col, start, n) -> DataFrame:
     """The split plan for inputs with few groups (the hot groups, or one global group), with a
     single full shuffle: the range exchange.
 
-    Each range partition is one slice. Sorted within the partition, a row's
-    ``monotonically_increasing_id`` holds the slice (high bits) and its position in the slice
-    (low 33 bits), so no second shuffle is needed to number rows inside slices. A row's number
-    is its position minus the first position of its group in the slice, plus the group's rows
-    in earlier slices; those two come from an aggregation per (group, slice) with at most
+    Each range partition is one slice, sorted within itself, so every row gets its slice and its
+    position in the slice in the same job (``_sliced``), with no second shuffle. A row's number
+    is its position minus the first position of its group in the slice, plus the group's rows in
+    earlier slices; those two come from an aggregation per (group, slice) with at most
     ``groups + slices`` rows, a bounded table that is broadcast.
     """
-    keys = [F.col(c).asc_nulls_first() for c in partition_by] + list(order_by)
-    sliced = (staged.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    sliced = sliced.withColumns({SLICE: F.shiftright(F.col("_mid"), 33),
-                                 "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
+    sliced = _sliced(rows, partition_by, order_by, n, positions=True)
     stats = sliced.groupBy(*partition_by, SLICE).agg(F.min("_pos").alias("_first"),
                                                      F.count(F.lit(1)).alias("_n"))
     before_w = (Window.partitionBy(*partition_by).orderBy(SLICE) if partition_by
@@ -203,6 +210,6 @@ def _split_few_groups(staged: DataFrame, partition_by, order_by, out_col, start,
     cond += [sliced[c].eqNullSafe(stats[f"_o_{c}"]) for c in partition_by]
     joined = sliced.join(F.broadcast(stats), reduce(lambda a, b: a & b, cond), "inner")
     return joined.select(
-        *[sliced[c] for c in staged.columns],
+        *[sliced[c] for c in rows.columns],
         (F.col("_pos") - F.col("_first") + F.col("_before") + F.lit(start)).cast("long").alias(out_col),
     )

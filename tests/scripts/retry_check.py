@@ -1,5 +1,6 @@
-"""Run in its own JVM (local[4,4]: tasks may be retried): the split numbering's final stage
-fails on the first attempt of half its tasks, and the retried tasks must give the same numbers."""
+"""Run in its own JVM (local[4,4]: tasks may be retried): the first attempt of half the tasks
+fails, both in the stage feeding the split numbering's range shuffle and in its final stage, and
+the retried tasks must give the same numbers."""
 
 import os
 import random
@@ -37,7 +38,8 @@ def main():
     spark.sparkContext.setLogLevel("OFF")
     rnd = random.Random(3)
     rows = [("hot" if rnd.random() < 0.4 else f"g{rnd.randrange(20)}", rnd.randrange(30), i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, k int, id long")
+    # failures also hit the input stage feeding the range shuffle of the slicing job
+    df = spark.createDataFrame(rows, "g string, k int, id long").withColumn("id", fail_first_attempt("id"))
     order = [F.col("k").desc(), F.col("id").asc()]
     # expected numbers from plain Python
     want = {}
