@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from .line_dedup import OP4_SQL, op4_line_dedup
+from .near_dedup import op10_probminhash
 from .pii_crf import op1_pii_crf
 from .quality_ftrl import op8_quality_ftrl
 from .toxicity_cnn import op5_toxicity_cnn
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii_crf, op4_line_dedup, op5_toxicity_cnn, op8_quality_ftrl,
+    op1_pii_crf, op4_line_dedup, op5_toxicity_cnn, op8_quality_ftrl, op10_probminhash,
 )}
 
 ORACLE = {"op4_line_dedup": OP4_SQL}
