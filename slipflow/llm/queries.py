@@ -7,10 +7,11 @@ from .line_dedup import OP4_SQL, op4_line_dedup
 from .near_dedup import op10_probminhash
 from .pii_crf import op1_pii_crf
 from .quality_ftrl import op8_quality_ftrl
+from .sentencepieces import op9_sentencepiece
 from .toxicity_cnn import op5_toxicity_cnn
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii_crf, op4_line_dedup, op5_toxicity_cnn, op6_decontamination, op8_quality_ftrl, op10_probminhash,
+    op1_pii_crf, op4_line_dedup, op5_toxicity_cnn, op6_decontamination, op8_quality_ftrl, op9_sentencepiece, op10_probminhash,
 )}
 
 ORACLE = {"op4_line_dedup": OP4_SQL}
