@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, pieces, table, texts
+from .common import packed, pieces, staged, table, texts
 
 TERM_BITS = 16
 TERMS = 1 << TERM_BITS
@@ -289,6 +289,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in whose texts ``leaks`` finds no item."""
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    return docs.join(staged(found.distinct(), "leaks"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key")), "left_anti")
+
+
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, one row per pair."""
     found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, texts
+from .common import staged, table, texts
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,18 +23,9 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as (doc_id, text, n_lines, n_dropped, kept_text).
-
-    Lines whose key has ``min_chars`` code points or more and occurs in ``min_docs`` documents or
-    more are dropped, but for those of the smallest doc_id that holds the key (that document keeps
-    all its occurrences). Null and empty texts count as one empty line. Rows that repeat a doc_id
-    are one document (each row is returned with its own lines). A row without doc_id keeps all its
-    lines and is no witness for others. An empty table gives an empty result; other columns are
-    ignored, whatever their names.
-    """
-    rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+def repeated_lines(rows: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """(doc_id, text_key, drop): positions of the lines to drop of each text that has some; ``rows``
+    are (doc_id, text, text_key)."""
     lines = (rows.filter("doc_id IS NOT NULL")
              .select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
              .select("doc_id", "text_key", "pos", line_key(F.col("line")).alias("key"))
@@ -50,24 +41,57 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
                 .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") >= min_docs))
     keys = staged(keys.select("h1", "h2", "first_doc"), "line-keys")
-    drops = (lines.join(keys, ["h1", "h2"]).filter("doc_id > first_doc")
-             .groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("drop")))
-    split = F.split("text", "\n", -1)
-    n_lines = F.size(split)
+    return (lines.join(keys, ["h1", "h2"]).filter("doc_id > first_doc")
+            .groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("drop")))
+
+
+def without(text: Column, drop: Column) -> Column:
+    """The text without the lines at the positions in ``drop`` (null: the text itself)."""
+    lines = F.split(text, "\n", -1)
     # array_except hashes, so this is linear in the lines of a text
-    left = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("drop"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+    return F.when(drop.isNull(), text).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of ``docs`` as (doc_id, text, n_lines, n_dropped, kept_text).
+
+    Lines whose key has ``min_chars`` code points or more and occurs in ``min_docs`` documents or
+    more are dropped, but for those of the smallest doc_id that holds the key (that document keeps
+    all its occurrences). Null and empty texts count as one empty line. Rows that repeat a doc_id
+    are one document (each row is returned with its own lines). A row without doc_id keeps all its
+    lines and is no witness for others. An empty table gives an empty result; other columns are
+    ignored, whatever their names.
+    """
+    rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    drops = repeated_lines(rows, min_chars, min_docs)
     return (rows.join(drops, ["doc_id", "text_key"], "left")
-            .select("doc_id", "text", n_lines.cast("long").alias("n_lines"),
-                    F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
-                    F.when(F.col("drop").isNull(), F.col("text")).otherwise(
-                        F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n"))
-                    .alias("kept_text"))
-            .withColumn("n_dropped", F.greatest("n_dropped", F.lit(0).cast("long"))))
+            .select("doc_id", "text", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+                    F.greatest(F.coalesce(F.size("drop"), F.lit(0)), F.lit(0)).cast("long").alias("n_dropped"),
+                    without(F.col("text"), F.col("drop")).alias("kept_text")))
+
+
+def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
+    """``docs`` with all its columns, ``text`` without the repeated lines and ``n_chars``, if there,
+    counted anew where the text changed. The same rules and cases as ``dedup_lines``; a null text
+    stays null."""
+    rows = texts(docs).withColumn("text_key", F.xxhash64("text"))
+    drops = repeated_lines(rows, min_chars, min_docs).select(
+        F.col("doc_id").alias("_drop_id"), F.col("text_key").alias("_drop_key"), F.col("drop").alias("_drop"))
+    found = docs.join(drops, (docs["doc_id"].cast("long") == F.col("_drop_id"))
+                      & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_drop_key")), "left")
+    changed = F.col("_drop").isNotNull()
+    text = F.when(changed, without(docs["text"], F.col("_drop"))).otherwise(docs["text"])
+    columns = [text.alias("text") if c == "text" else
+               F.when(changed, F.char_length(text)).otherwise(docs[c]).cast(docs.schema[c].dataType).alias(c)
+               if c == "n_chars" else docs[c] for c in docs.columns]
+    return found.select(*columns)
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Line deduplication of the whole ``documents`` table."""
-    from .common import table
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

@@ -101,7 +101,7 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_doc
 
 
 def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(doc_id, node, bands, registers): ``node`` is a 128-bit hash of the text's words, null for a
+    """(doc_id, text_key, node, bands, registers): ``node`` is a 128-bit hash of the text's words, null for a
     text without words; ``registers`` has 8 bits of every register's element."""
     for run in pieces(batches, 3_000_000):
         doc, element, weight, n = shingles(run)
@@ -116,7 +116,7 @@ def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         node = [hashlib.md5(b" ".join(t.encode().lower().split())).hexdigest() if h else None
                 for t, h in zip(run["text"], has)]
         yield pd.DataFrame({
-            "doc_id": run["doc_id"].to_numpy(), "node": node,
+            "doc_id": run["doc_id"].to_numpy(), "text_key": run["text_key"].to_numpy(), "node": node,
             "bands": [b if h else None for b, h in zip(band.view(np.int64), has)],
             "registers": [r.tobytes() if h else None for r, h in zip(low, has)]})
 
@@ -221,18 +221,19 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as (doc_id, class_id, n_class, n_copies).
+    """Every row of ``docs`` as (doc_id, class_id, n_class, n_copies, kept, text_key, node).
 
     ``class_id`` is the smallest doc_id reachable by links of J_P >= ``similarity``; ``n_class``
-    counts the rows of the class and ``n_copies`` those with the same words. Texts are compared by
+    counts the rows of the class and ``n_copies`` those with the same words; ``kept`` marks the row of
+    each class that stays (that of the smallest doc_id). Texts are compared by
     their words between ASCII blanks, A-Z lower-cased. A null or empty text, or one of blanks
     only, has no shingles and links with nothing, not even with its like. Repeated rows are copies
     of each other. A row without doc_id joins its class but gives it no id (its own class_id is
     null when no member has one). An empty table gives an empty result; other columns are ignored.
     """
-    rows = texts(docs, id_col, text_col)
-    signed = staged(rows.mapInPandas(signatures, "doc_id long, node string, bands array<long>, registers binary"),
-                    "signatures")
+    rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    signed = staged(rows.mapInPandas(signatures, "doc_id long, text_key long, node string, bands array<long>, "
+                                     "registers binary"), "signatures")
     copies = staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"),
         F.first("bands").alias("bands"), F.first("registers").alias("registers")), "nodes")
@@ -271,13 +272,35 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     else:
         members = members.withColumn("component", F.lit(None).cast("string"))
     members = members.withColumn("component", F.coalesce("component", "node"))
-    classes = members.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("n_copies").alias("n_class"))
-    of_node = staged(members.join(classes, "component").select("node", "class_id", "n_class", "n_copies"), "classes")
-    out = signed.select("doc_id", "node").join(of_node, "node", "left")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node"))
+    classes = members.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("n_copies").alias("n_class"),
+                                               first.alias("first"))
+    of_node = staged(members.join(classes, "component").select(
+        "node", "class_id", "n_class", "n_copies",
+        F.when(F.col("first.node") == F.col("node"), F.struct("least")).alias("chosen")), "classes")
+    out = signed.select("doc_id", "text_key", "node").join(of_node, "node", "left")
     alone = F.col("node").isNull()
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce("n_class", F.lit(1)).cast("long").alias("n_class"),
-                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+                      F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+                      (alone | (F.col("chosen").isNotNull() & F.col("doc_id").eqNullSafe(F.col("chosen.least"))))
+                      .alias("kept"), "text_key", "node")
+
+
+def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without near duplicates: of each class of
+    ``near_duplicates`` the row marked ``kept`` stays, of rows equal in doc_id and words one."""
+    found = near_duplicates(docs, similarity).filter("kept")
+    chosen = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
+                           F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("_rows"))
+    chosen = staged(chosen, "kept")
+    out = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
+                    & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key")))
+    again = chosen.groupBy("_id", "_node").agg(F.sum("_rows").alias("n")).filter("n > 1 AND _node IS NOT NULL")
+    if not again.isEmpty():  # rows that repeat a doc_id with the same words
+        alone = out.filter("_node IS NULL")
+        out = alone.unionByName(out.filter("_node IS NOT NULL").dropDuplicates(["_id", "_node"]))
+    return out.select(*[docs[c] for c in docs.columns])
 
 
 def _texts_of(rows: DataFrame, signed: DataFrame, copies: DataFrame, near: DataFrame) -> DataFrame:
@@ -294,4 +317,4 @@ def _texts_of(rows: DataFrame, signed: DataFrame, copies: DataFrame, near: DataF
 
 def op10_probminhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_class", "n_copies", "kept")

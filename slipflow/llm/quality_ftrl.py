@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +117,24 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFram
     return texts(docs).mapInPandas(scorer(shared), "doc_id long, score double")
 
 
+def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns as they are, whose text scores at least
+    ``threshold``; the same cases as ``quality_scores``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        for batch in batches:
+            column = batch.schema.get_field_index("text")
+            frame = pd.DataFrame({"doc_id": np.arange(batch.num_rows),
+                                  "text": [t or "" for t in batch.column(column).to_pylist()]})
+            scored = pd.concat([pd.DataFrame({"doc_id": [], "score": []}), *scorer(shared)(iter([frame]))])
+            good = np.zeros(batch.num_rows, bool)
+            good[scored["doc_id"].to_numpy(np.int64)] = scored["score"].to_numpy(float) >= threshold
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op8_quality_ftrl(spark, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labelled rows outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
