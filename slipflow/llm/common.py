@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -31,6 +31,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_with(df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """``staged``, and aggregates of its rows that are taken while they are written."""
+    seen = Observation()
+    out = staged(df.observe(seen, *measures), label)
+    return out, seen.get
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string), null texts as empty. Other columns of ``docs``, whatever their
     names, do not reach the operators."""

@@ -8,13 +8,47 @@ joined back from a written table, so adaptive execution can split a node with ve
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, staged_with
+
+
+def _mark():
+    """What tells one set of edges from another."""
+    return F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("mark")
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges of a batch as stars: every node linked to the smallest node that the batch's edges
+    reach from it. Shortens chains before the first round, without a shuffle."""
+    for batch in batches:
+        names, code = np.unique(np.concatenate([batch["u"], batch["v"]]), return_inverse=True)
+        parent = np.arange(len(names))
+        u, v = code[:len(batch)], code[len(batch):]
+        while True:
+            a, b = parent[u], parent[v]
+            low = np.minimum(a, b)
+            new = parent.copy()
+            np.minimum.at(new, a, low)
+            np.minimum.at(new, b, low)
+            while True:
+                jump = new[new]
+                if (jump == new).all():
+                    break
+                new = jump
+            if (new == parent).all():
+                break
+            parent = new
+        child = np.flatnonzero(parent != np.arange(len(names)))
+        yield pd.DataFrame({"u": names[child], "v": names[parent[child]]})
+
+
+def _star(edges: DataFrame, large: bool) -> tuple[DataFrame, dict]:
     """One star step over undirected edges (u, v). Large: every larger neighbour of u is linked to
     u's smallest neighbour (or u). Small: u and its smaller neighbours are linked to the smallest."""
     if large:
@@ -29,22 +63,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.filter("m < u").select("u", F.col("m").alias("v")))
-    return staged(out.filter("u <> v").distinct(), "star")
+    return staged_with(out.filter("u <> v").distinct(), "star", *_mark())
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns u, v: two long ids or two strings);
     component is the smallest node reachable. Loops, repeated edges and nulls are ignored."""
-    now = staged(edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
+    whole = edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
+    now, state = staged_with(whole.mapInPandas(_contract, whole.schema).distinct(), "edges", *_mark())
     for _ in range(rounds):
-        now = _star(_star(now, True), False)
-        new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-                      F.bit_xor(F.xxhash64("u", "v"))).first()
-        if new == mark or new[0] == 0:
+        if not state["n"]:
+            break
+        before = state
+        now, state = _star(_star(now, True)[0], False)
+        if state == before:  # a round that changes nothing: all are stars
             break
-        mark = new
     else:
         raise RuntimeError("components did not settle")
     # stars now: every node but the centre has one edge, to its centre

@@ -150,6 +150,12 @@ class Benchmark:
         self.idf = np.append(idf, 0.0).astype(np.float32)
         self.project = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
         self.items, owner, vectors = [], [], []
+        # a word that no item has weighs at most as much in a window's norm as the items' median
+        # word: a few rare words put into a copy must not hide it
+        own = np.unique([term(w) for _, t in items for w in map(plain, t.encode().lower().split())])
+        own = own[own < TERMS]
+        self.norm = np.minimum(self.idf, np.median(idf[own]) if len(own) else np.inf).astype(np.float32)
+        self.norm[own] = self.idf[own]
         for item_id, text in items:
             sentences = [[w for w in map(plain, s.encode().lower().split()) if w]
                          for s in re.split(r"(?<=[.!?])\s+|\n", text)]
@@ -208,7 +214,7 @@ def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, f
     norm = np.zeros(first[-1], np.float32)
     for j in range(STEP):
         part += bench.project[line[j::STEP]]
-        norm += bench.idf[line[j::STEP]] ** 2
+        norm += bench.norm[line[j::STEP]] ** 2
     size = max(0, first[-1] - tail)
     window = sum(part[j:j + size] for j in range(tail + 1))
     norm = np.sqrt(sum(norm[j:j + size] for j in range(tail + 1)))
@@ -281,8 +287,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 some = run.iloc[[f[0] for f in found]]
                 yield pd.DataFrame({
                     "doc_id": some["doc_id"].to_numpy(), "text_key": some["text_key"].to_numpy(),
-                    **{c: [f[i + 1] for f in found] for i, c in enumerate(
-                        ("item_id", "cosine", "lcs", "answer", "verdict"))}})
+                    **{c: pd.Series([f[i + 1] for f in found], dtype=kind) for i, (c, kind) in enumerate((
+                        ("item_id", "int64"), ("cosine", float), ("lcs", float), ("answer", float),
+                        ("verdict", object)))}})
 
         part = keyed.mapInPandas(scan, schema)
         out = part if out is None else out.unionByName(part)

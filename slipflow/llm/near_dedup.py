@@ -10,10 +10,11 @@ and every link is verified by the exact J_P.
 Scale and skew. Exact copies meet in an aggregation and go on as one node, so a group of copies
 costs one row per task. In a bucket, texts are compared by their registers in numpy, blocks of at
 most ``CHUNK`` rows against each other, and only a spanning forest of the likely links leaves the
-task. Links that fail the exact test are followed by further rounds over the buckets that still
-hold several components: the best few partners of every node, then all of them. Only connected
-components are asked for, so pairs inside one component are never looked at again, and none
-between two components stays unexamined.
+task. Links that fail the exact test are followed by a second round over the buckets that still
+hold several components, with the ``FEW`` best partners of every node in other components, and,
+if some node has more, by a last one with all of them. Only connected components are asked for, so
+pairs inside one component are never looked at again, and none between two components stays
+unexamined.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, packed, pieces, staged, table, texts
+from .common import mix64, packed, pieces, staged, staged_with, table, texts
 from .components import components
 
 WORDS = 5
 BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
 CHUNK = 512
+FEW = 16
 SIMILARITY = 0.8
 #: A pair goes to the exact test when at least this share of its registers agrees: more than six
 #: standard errors under the threshold, sqrt(0.8 * 0.2 / 180) = 0.03.
@@ -84,6 +86,7 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_doc
     """(n_docs, REGISTERS) elements, by rounds of one arrival of every process still running."""
     earliest = np.full(n_docs * REGISTERS, np.inf)
     holder = np.zeros(n_docs * REGISTERS, np.uint64)
+    limit = np.full(n_docs, np.inf)
     time = np.zeros(len(doc))
     arrival = 0
     while len(doc):
@@ -94,7 +97,8 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_doc
         np.minimum.at(earliest, at, time)
         won = earliest[at] == time
         holder[at[won]] = element[won]
-        limit = earliest.reshape(n_docs, REGISTERS).max(1)
+        running = np.unique(doc) if len(doc) < n_docs else slice(None)
+        limit[running] = earliest.reshape(n_docs, REGISTERS)[running].max(1)
         go = time < limit[doc]
         doc, element, weight, time = doc[go], element[go], weight[go], time[go]
     return holder.reshape(n_docs, REGISTERS)
@@ -102,22 +106,20 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_doc
 
 def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(doc_id, text_key, node, bands, registers): ``node`` is a 128-bit hash of the text's words, null for a
-    text without words; ``registers`` has 8 bits of every register's element."""
+    text without words; ``registers`` has 8 bits of every register's element, ``bands`` the buckets."""
     for run in pieces(batches, 3_000_000):
         doc, element, weight, n = shingles(run)
         holder = prob_minhash(doc, element, weight, len(run))
-        with np.errstate(over="ignore"):
-            band = np.zeros((len(run), BANDS), np.uint64)
-            for j in range(ROWS):
-                band = mix64(band + holder[:, j::ROWS])
-            band += np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            low = (mix64(holder) >> np.uint64(56)).astype(np.uint8)
+        low = (mix64(holder) >> np.uint64(56)).astype(np.uint8)
+        band = np.repeat(np.arange(BANDS, dtype=np.int64)[None, :], len(run), axis=0)
+        for j in range(ROWS):  # band number and the kept bits of its registers: the bucket itself
+            band = (band << 8) | low[:, j::ROWS]
         has = n > 0
         node = [hashlib.md5(b" ".join(t.encode().lower().split())).hexdigest() if h else None
                 for t, h in zip(run["text"], has)]
         yield pd.DataFrame({
             "doc_id": run["doc_id"].to_numpy(), "text_key": run["text_key"].to_numpy(), "node": node,
-            "bands": [b if h else None for b, h in zip(band.view(np.int64), has)],
+            "bands": [b if h else None for b, h in zip(band, has)],
             "registers": [r.tobytes() if h else None for r, h in zip(low, has)]})
 
 
@@ -147,10 +149,44 @@ def probability_jaccard(a: np.ndarray, u: np.ndarray, b: np.ndarray, v: np.ndarr
     return float(sum(c / np.maximum(x / p, y / q).sum() for (p, q), c in zip(kinds.T, counts)))
 
 
+def spanning(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Positions of a spanning forest of the edges (u, v), the first edges preferred. The number
+    of components is counted first, so that the walk ends with the last edge needed."""
+    size = max(u.max(), v.max()) + 1
+    label = np.arange(size)
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    needed = size - len(np.unique(label))
+    parent, kept = list(range(size)), []
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    for k, (a, b) in enumerate(zip(u.tolist(), v.tolist())):
+        if len(kept) == needed:
+            break
+        p, q = root(a), root(b)
+        if p != q:
+            parent[p] = q
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
 def likely_links(take: int):
     """Function for applyInPandas over one block pair of a bucket: pairs of different components
     that agree on LIKELY of the registers. take 0: a spanning forest of the best of them;
-    otherwise the best ``take`` of every node (below 0: all)."""
+    otherwise the best ``take`` of every node (below 0: all). A pair of nulls tells that a node
+    had more than were taken."""
     def find(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates(["node", "side"]).sort_values("node", ignore_index=True)
         left, right = part[part["side"] != 2].reset_index(drop=True), part[part["side"] != 1].reset_index(drop=True)
@@ -159,34 +195,29 @@ def likely_links(take: int):
         names = [p["node"].to_numpy(object) for p in (left, right)]
         comp = pd.factorize(np.concatenate([left["component"], right["component"]]))[0]
         comp = [comp[:len(left)], comp[len(left):]]
-        found = []
+        found, more = [], False
+        band, alike = int(part["bucket"].iloc[0]) >> 8 * ROWS, (part["side"] == 0).all()
         for i in range(len(left)):
-            same = (sig[1] == sig[0][i]).sum(1)
+            equal = sig[1] == sig[0][i]
+            same = equal.sum(1)
             ok = np.flatnonzero((same >= LIKELY * REGISTERS) & (comp[1] != comp[0][i]) & (names[1] != names[0][i]))
+            if alike and take <= 0:
+                ok = ok[ok > i]
+            if band and len(ok):  # a pair counts in the first of its buckets
+                ok = ok[~equal[ok, :band * ROWS].reshape(len(ok), band, ROWS).all(2).any(1)]
             if take > 0 and len(ok) > take:
+                more = True
                 ok = ok[np.argsort(-same[ok], kind="stable")[:take]]
             if len(ok):
                 found.append(np.stack([np.full(len(ok), i), ok, same[ok]], axis=1))
         pairs = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
         if take == 0 and len(pairs):
-            parent = np.arange(max(comp[0].max(), comp[1].max()) + 1)
-
-            def root(c):
-                while parent[c] != c:
-                    parent[c] = parent[parent[c]]
-                    c = parent[c]
-                return c
-
-            kept = []
-            for i, j, s in pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]:
-                p, q = root(comp[0][i]), root(comp[1][j])
-                if p != q:
-                    parent[p] = q
-                    kept.append((i, j, s))
-            pairs = np.array(kept)
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]
+            pairs = pairs[spanning(comp[0][pairs[:, 0]], comp[1][pairs[:, 1]])]
         a, b = names[0][pairs[:, 0]], names[1][pairs[:, 1]]
-        swap = a > b
-        return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b)})
+        swap, mark = a > b, [None] * more
+        return pd.DataFrame({"a": pd.Series([*np.where(swap, b, a), *mark], dtype=object),
+                             "b": pd.Series([*np.where(swap, a, b), *mark], dtype=object)})
     return find
 
 
@@ -237,8 +268,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     copies = staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"),
         F.first("bands").alias("bands"), F.first("registers").alias("registers")), "nodes")
-    hits = copies.select("node", "registers", F.posexplode("bands").alias("band", "key")) \
-        .select(F.xxhash64("band", "key").alias("bucket"), "node", "registers")
+    hits = copies.select("node", "registers", F.explode("bands").alias("bucket"))
     shared = hits.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     hits = staged(hits.join(staged(shared, "shared"), "bucket"), "hits")
     near = staged(hits.select("node").distinct(), "near")
@@ -246,26 +276,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     sets = staged(_texts_of(rows, signed, copies, near)
                   .mapInPandas(weighted_shingles, "node string, elements binary, weights binary"), "shingles")
     labels, links, tried = None, None, None
-    for take in (0, 8, 64, -1):
-        if labels is None:
-            rows_now = hits.withColumn("component", F.col("node"))
-        else:
-            rows_now = hits.join(labels, "node", "left").withColumn(
-                "component", F.coalesce("component", "node"))
-        found = (_blocks(rows_now).groupBy("bucket", "x", "y")
+    for take in (0, FEW, -1):
+        component = hits.withColumn("component", F.col("node")) if labels is None else hits.join(
+            labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        found = (_blocks(component).groupBy("bucket", "x", "y")
                  .applyInPandas(likely_links(take), "a string, b string").distinct())
         if tried is not None:
             found = found.join(tried, ["a", "b"], "left_anti")
-        found = staged(found, "candidates")
-        if found.isEmpty():
+        found, state = staged_with(found, "candidates", F.count("a").alias("pairs"),
+                                   F.count(F.lit(1)).alias("rows"))
+        found = found.filter("a IS NOT NULL")
+        if state["pairs"]:
+            held, kept = staged_with(_with_sets(found, sets).mapInPandas(verify(similarity), "a string, b string"),
+                                     "links", F.count(F.lit(1)).alias("rows"))
+            if kept["rows"]:
+                links = held if links is None else links.unionByName(held)
+                labels = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+            tried = found if tried is None else tried.unionByName(found)
+        if take and state["rows"] == state["pairs"]:  # no node had more partners
             break
-        side = lambda c, e, w: sets.select(F.col("node").alias(c), F.col("elements").alias(e),
-                                           F.col("weights").alias(w))
-        held = staged(found.join(side("a", "ea", "wa"), "a").join(side("b", "eb", "wb"), "b")
-                      .mapInPandas(verify(similarity), "a string, b string"), "links")
-        links = held if links is None else links.unionByName(held)
-        tried = found if tried is None else tried.unionByName(found)
-        labels = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
     members = copies.select("node", "least", "n_copies")
     if labels is not None:
         members = members.join(labels, "node", "left")
@@ -303,6 +332,13 @@ def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
     return out.select(*[docs[c] for c in docs.columns])
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the shingles of both."""
+    side = lambda c, e, w: sets.select(F.col("node").alias(c), F.col("elements").alias(e),
+                                       F.col("weights").alias(w))
+    return pairs.join(side("a", "ea", "wa"), "a").join(side("b", "eb", "wb"), "b")
+
+
 def _texts_of(rows: DataFrame, signed: DataFrame, copies: DataFrame, near: DataFrame) -> DataFrame:
     """(node, text) of the nodes in ``near``, one row each: the text is found by its id and hash."""
     chosen = copies.join(near, "node", "left_semi").select("node", F.col("least").alias("doc_id"))

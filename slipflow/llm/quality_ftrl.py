@@ -35,13 +35,15 @@ def streams(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
     same = np.append(ids[1:] == ids[:-1], False)
     yield (mix64(word) >> top).astype(np.int32)[ids], starts, ends
     yield (mix64(form + np.uint64(1 << 40)) >> top).astype(np.int32)[ids], starts, ends
-    last = np.maximum(ends - 1, starts)  # pairs never cross texts
+    # pairs never cross texts; there is one pair less than words
+    first = np.minimum(starts, max(len(ids) - 1, 0))
+    last = np.maximum(np.minimum(ends - 1, len(ids) - 1), first)
     for values, salt in ((word, 2 << 40), (form, 3 << 40)):
         v = values[ids]
         with np.errstate(over="ignore"):
             pair = v[:-1] * np.uint64(0x9E3779B1) + v[1:] * np.uint64(0x85EBCA77) + np.uint64(salt)
-        yield (mix64(pair) >> top).astype(np.int32), starts, last
-    yield same.astype(np.int32), starts, last  # slots 0 and 1: a word again, or another
+        yield (mix64(pair) >> top).astype(np.int32), first, last
+    yield same.astype(np.int32), first, last  # slots 0 and 1: a word again, or another
 
 
 def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

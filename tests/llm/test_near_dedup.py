@@ -1,0 +1,123 @@
+import collections
+
+import numpy as np
+import pandas as pd
+import pytest
+
+import __spark_entry__ as E
+from conftest import ODD, SF
+from slipflow.llm import near_dedup as N
+from slipflow.llm.components import components
+
+
+def shingle_counts(text):
+    w = (text or "").encode().lower().split()
+    return collections.Counter(tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))) if w else collections.Counter()
+
+
+def jp(u, v):
+    every = list(set(u) | set(v))
+    x, y = np.array([u[e] for e in every], float), np.array([v[e] for e in every], float)
+    return sum(1 / np.maximum(x / x[d], y / y[d]).sum() for d in range(len(every)) if x[d] and y[d])
+
+
+def brute(rows):
+    """class id by row number, over all pairs."""
+    sets = [shingle_counts(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            n = len(sets[a] & sets[b])
+            if n and n >= 0.5 * max(len(sets[a]), len(sets[b])) and jp(sets[a], sets[b]) >= 0.8:
+                x, y = group[a], group[b]
+                group = [y if g == x else g for g in group]
+    ids = {}
+    for g, (i, _) in zip(group, rows):
+        ids[g] = min((x for x in (ids.get(g), i) if x is not None), default=None)
+    return sorted((str(i), str(ids[g])) for g, (i, _) in zip(group, rows))
+
+
+def classes(df):
+    return sorted((str(r.doc_id), str(r.class_id)) for r in df.collect())
+
+
+def test_query_against_all_pairs(spark, sample):
+    assert classes(E.queries()["op10_probminhash"](spark, SF)) == brute(sample)
+
+
+def variants(rng, words, n, changes):
+    out = []
+    for _ in range(n):
+        w = list(words)
+        for _ in range(changes):
+            w[rng.integers(len(w))] = f"new{rng.integers(10 ** 6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_large_group_in_small_blocks(spark, make_docs, monkeypatch):
+    """A group of near copies that are linked through their original only, odd rows beside it."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(100 + i, t) for i, t in enumerate([" ".join(words), *variants(rng, words, 60, 2), *variants(rng, words, 20, 5)])]
+    rows += ODD
+    monkeypatch.setattr(N, "CHUNK", 7)
+    assert classes(N.near_duplicates(make_docs(rows))) == brute(rows)
+
+
+def test_odd_cases(spark, make_docs):
+    got = N.near_duplicates(make_docs(ODD))
+    rows = got.collect()
+    assert len(rows) == len(ODD)
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append(r)
+    assert {r.class_id for i in (1, 2, 3) for r in by[i]} == {1, 2, 3}  # no words: alone
+    assert [r.class_id for r in by[4]] == [4] and sorted(r.class_id for r in by[5]) == [4, 4, 5]
+    assert N.near_duplicates(make_docs([])).count() == 0
+    assert N.near_duplicates(make_docs([(None, "a b c d e f"), (None, "a b c d e f")])).select("class_id").distinct().count() == 1
+
+
+def test_one_of_each_stays(spark, make_docs):
+    docs = make_docs(ODD)
+    kept = N.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    left = sorted((str(r.doc_id), r.text) for r in kept.select("doc_id", "text").collect() if r.text and r.text.strip())
+    assert [x for x in left if x[1].lower().split() == ["word"]] == [("4", "word")]
+    assert len([x for x in left if x[1].lower().startswith("a line of some length\nshort")]) == 1
+    assert kept.filter("doc_id IN (1, 2, 3)").count() == 3
+    again = N.keep_one_of_each(make_docs([(5, "same words here"), (5, "same  words here"), (None, "q"), (None, "q")]))
+    assert again.count() == 2
+
+
+def test_estimate_is_near_the_probability_jaccard():
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base), *variants(rng, base, 20, 8), " ".join(base + base[:100])]
+    doc, element, weight, _ = N.shingles(pd.DataFrame({"text": texts}))
+    sig = N.prob_minhash(doc, element, weight, len(texts))
+    for i in range(1, len(texts)):
+        exact = jp(shingle_counts(texts[0]), shingle_counts(texts[i]))
+        a, b = doc == 0, doc == i
+        assert N.probability_jaccard(element[a], weight[a], element[b], weight[b]) == pytest.approx(exact)
+        assert abs((sig[0] == sig[i]).mean() - exact) < 5 * np.sqrt(0.25 / N.REGISTERS)
+
+
+def test_signature_does_not_depend_on_the_batch():
+    texts = ["a b c", "", "one two three four five six", "x " * 200, "a b c"]
+    together = N.prob_minhash(*N.shingles(pd.DataFrame({"text": texts}))[:3], len(texts))
+    for i, t in enumerate(texts):
+        assert (N.prob_minhash(*N.shingles(pd.DataFrame({"text": [t]}))[:3], 1)[0] == together[i]).all()
+
+
+def test_components_of_random_edges(spark):
+    rng = np.random.default_rng(9)
+    edges = [tuple(map(int, e)) for e in rng.integers(0, 400, (330, 2))] + [(500 + i, 501 + i) for i in range(40)]
+    edges += [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7)]
+    label = {n: n for e in edges for n in e}
+    for _ in range(len(label)):
+        for u, v in edges:
+            label[u] = label[v] = min(label[u], label[v])
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {n: c for n, c in label.items() if any(n in e and e[0] != e[1] for e in edges)}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
