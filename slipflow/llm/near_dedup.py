@@ -36,6 +36,7 @@ BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
 CHUNK = 512
 FEW = 16
+SHARE = 20_000
 SIMILARITY = 0.8
 #: A pair goes to the exact test when at least this share of its registers agrees: more than six
 #: standard errors under the threshold, sqrt(0.8 * 0.2 / 180) = 0.03.
@@ -183,41 +184,60 @@ def spanning(u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def likely_links(take: int):
-    """Function for applyInPandas over one block pair of a bucket: pairs of different components
-    that agree on LIKELY of the registers. take 0: a spanning forest of the best of them;
-    otherwise the best ``take`` of every node (below 0: all). A pair of nulls tells that a node
-    had more than were taken."""
-    def find(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates(["node", "side"]).sort_values("node", ignore_index=True)
-        left, right = part[part["side"] != 2].reset_index(drop=True), part[part["side"] != 1].reset_index(drop=True)
-        sig = [np.stack([np.frombuffer(x, np.uint8) for x in p["registers"]]) if len(p) else
-               np.zeros((0, REGISTERS), np.uint8) for p in (left, right)]
-        names = [p["node"].to_numpy(object) for p in (left, right)]
-        comp = pd.factorize(np.concatenate([left["component"], right["component"]]))[0]
-        comp = [comp[:len(left)], comp[len(left):]]
-        found, more = [], False
-        band, alike = int(part["bucket"].iloc[0]) >> 8 * ROWS, (part["side"] == 0).all()
-        for i in range(len(left)):
-            equal = sig[1] == sig[0][i]
-            same = equal.sum(1)
-            ok = np.flatnonzero((same >= LIKELY * REGISTERS) & (comp[1] != comp[0][i]) & (names[1] != names[0][i]))
-            if alike and take <= 0:
-                ok = ok[ok > i]
-            if band and len(ok):  # a pair counts in the first of its buckets
-                ok = ok[~equal[ok, :band * ROWS].reshape(len(ok), band, ROWS).all(2).any(1)]
-            if take > 0 and len(ok) > take:
-                more = True
-                ok = ok[np.argsort(-same[ok], kind="stable")[:take]]
-            if len(ok):
-                found.append(np.stack([np.full(len(ok), i), ok, same[ok]], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
-        if take == 0 and len(pairs):
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]
-            pairs = pairs[spanning(comp[0][pairs[:, 0]], comp[1][pairs[:, 1]])]
-        a, b = names[0][pairs[:, 0]], names[1][pairs[:, 1]]
-        swap, mark = a > b, [None] * more
-        return pd.DataFrame({"a": pd.Series([*np.where(swap, b, a), *mark], dtype=object),
-                             "b": pd.Series([*np.where(swap, a, b), *mark], dtype=object)})
+    """Function for applyInPandas over one share of the block pairs: pairs of different components
+    that agree on LIKELY of the registers. take 0: of every block pair a spanning forest of the
+    best of them; otherwise the best ``take`` of every node (below 0: all). A pair of nulls tells
+    that a node had more than were taken."""
+    def find(share: pd.DataFrame) -> pd.DataFrame:
+        share = share.sort_values(["bucket", "x", "y", "node"], ignore_index=True)
+        bucket, x, y, side = (share[c].to_numpy(np.int64) for c in ("bucket", "x", "y", "side"))
+        node = share["node"].to_numpy(object)
+        comp = pd.factorize(share["component"])[0]
+        sig = np.frombuffer(b"".join(share["registers"]), np.uint8).reshape(len(share), REGISTERS)
+        new = np.ones(len(share), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        cut = np.append(np.flatnonzero(new), len(share))
+        found, more = [np.zeros((0, 2), np.int64)], False
+        # buckets of two, which most are: all at once
+        two = cut[:-1][np.diff(cut) == 2]
+        two = two[x[two] == y[two]]
+        equal = sig[two] == sig[two + 1]
+        earlier = equal.reshape(len(two), BANDS, ROWS).all(2)
+        ok = (equal.sum(1) >= LIKELY * REGISTERS) & (comp[two] != comp[two + 1])
+        ok &= earlier.argmax(1) == bucket[two] >> 8 * ROWS  # a pair counts in the first of its buckets
+        found.append(np.stack([two[ok], two[ok] + 1], axis=1))
+        for a, b in zip(cut[:-1], cut[1:]):
+            if b - a < 2 or b - a == 2 and x[a] == y[a]:
+                continue
+            alike, band = x[a] == y[a], bucket[a] >> 8 * ROWS
+            left = np.arange(a, b) if alike else a + np.flatnonzero(side[a:b] == 1)
+            right = left if alike else a + np.flatnonzero(side[a:b] == 2)
+            pairs = [np.zeros((0, 3), np.int64)]
+            for i in left:
+                equal = sig[right] == sig[i]
+                same = equal.sum(1)
+                ok = (same >= LIKELY * REGISTERS) & (comp[right] != comp[i])
+                if alike and take <= 0:
+                    ok &= right > i
+                ok = np.flatnonzero(ok)
+                if band and len(ok):
+                    ok = ok[~equal[ok, :band * ROWS].reshape(len(ok), band, ROWS).all(2).any(1)]
+                if take > 0 and len(ok) > take:
+                    more = True
+                    ok = ok[np.argsort(-same[ok], kind="stable")[:take]]
+                pairs.append(np.stack([np.full(len(ok), i), right[ok], same[ok]], axis=1))
+            pairs = np.concatenate(pairs)
+            if take == 0 and len(pairs):
+                pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]
+                names, at = np.unique(comp[pairs[:, :2]], return_inverse=True)
+                at = at.reshape(-1, 2)
+                pairs = pairs[spanning(at[:, 0], at[:, 1])]
+            found.append(pairs[:, :2])
+        pairs = np.unique(np.concatenate(found), axis=0)
+        p, q, mark = node[pairs[:, 0]], node[pairs[:, 1]], [None] * more
+        swap = p > q
+        return pd.DataFrame({"a": pd.Series([*np.where(swap, q, p), *mark], dtype=object),
+                             "b": pd.Series([*np.where(swap, p, q), *mark], dtype=object)})
     return find
 
 
@@ -235,17 +255,22 @@ def verify(similarity: float):
     return check
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, registers: DataFrame) -> DataFrame:
     """The rows of the buckets that hold several components, dealt to block pairs. A bucket of n
-    nodes has ceil(n / CHUNK) blocks; a row goes to the pair of its block with every block."""
-    size = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
-                                             F.max("component").alias("hi"))
-                  .filter("lo < hi").select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("k")), "buckets")
+    nodes has ceil(n / CHUNK) blocks; a row goes to the pair of its block with every block. Block
+    pairs go by hash to shares of about ``SHARE`` rows, one task's work at a time."""
+    size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
+                                      F.max("component").alias("hi")).filter("lo < hi") \
+        .select("bucket", "n", F.ceil(F.col("n") / CHUNK).cast("int").alias("k"))
+    size, total = staged_with(size, "buckets", F.sum(F.col("n") * F.col("k")).alias("rows"))
+    shares = 1 + (total["rows"] or 0) // SHARE
     mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-    dealt = (rows.join(size, "bucket").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))))
+    dealt = (rows.join(size.select("bucket", "k"), "bucket").withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+             .withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other"))
+             .join(registers, "node"))
     # side 1 and 2: the two blocks of a pair; 0: a block against itself
-    return dealt.select("bucket", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
+    return dealt.select(F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(shares)).alias("share"), "bucket", "x", "y",
                         F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
                         .otherwise(2).alias("side"), "node", "component", "registers")
 
@@ -265,21 +290,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     signed = staged(rows.mapInPandas(signatures, "doc_id long, text_key long, node string, bands array<long>, "
                                      "registers binary"), "signatures")
+    # of each node the row of its smallest doc_id stands for it (null ids last)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     copies = staged(signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"),
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.min(place).alias("place"),
         F.first("bands").alias("bands"), F.first("registers").alias("registers")), "nodes")
-    hits = copies.select("node", "registers", F.explode("bands").alias("bucket"))
+    hits = copies.select("node", F.explode("bands").alias("bucket"))
     shared = hits.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     hits = staged(hits.join(staged(shared, "shared"), "bucket"), "hits")
-    near = staged(hits.select("node").distinct(), "near")
-    # the shingles of the texts that share a bucket, once per node: the smallest doc_id's row
-    sets = staged(_texts_of(rows, signed, copies, near)
-                  .mapInPandas(weighted_shingles, "node string, elements binary, weights binary"), "shingles")
+    near = copies.join(hits.select("node").distinct(), "node", "left_semi")
+    near = staged(near.select("node", "place", "registers"), "near")
+    registers = near.select("node", "registers")
+    # the shingles of the texts that share a bucket, once per node
+    sets = staged(_texts_of(rows, near).mapInPandas(
+        weighted_shingles, "node string, elements binary, weights binary"), "shingles")
     labels, links, tried = None, None, None
     for take in (0, FEW, -1):
         component = hits.withColumn("component", F.col("node")) if labels is None else hits.join(
             labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        found = (_blocks(component).groupBy("bucket", "x", "y")
+        found = (_blocks(component, registers).groupBy("share")
                  .applyInPandas(likely_links(take), "a string, b string").distinct())
         if tried is not None:
             found = found.join(tried, ["a", "b"], "left_anti")
@@ -339,16 +368,11 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(side("a", "ea", "wa"), "a").join(side("b", "eb", "wb"), "b")
 
 
-def _texts_of(rows: DataFrame, signed: DataFrame, copies: DataFrame, near: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in ``near``, one row each: the text is found by its id and hash."""
-    chosen = copies.join(near, "node", "left_semi").select("node", F.col("least").alias("doc_id"))
-    spelt = F.md5(F.array_join(F.filter(F.split(F.translate(
-        "text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[\\x20\\x09-\\x0D]+"),
-        lambda w: w != ""), " ").cast("binary"))
-    some = rows.join(chosen.select("doc_id", F.col("node").alias("want")),
-                     rows["doc_id"].eqNullSafe(chosen["doc_id"]), "inner").select("want", "text")
-    return some.filter(spelt == F.col("want")).groupBy("want").agg(F.first("text").alias("text")) \
-        .select(F.col("want").alias("node"), "text")
+def _texts_of(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``near``, one row each: the text of the row that stands for it."""
+    wanted = near.select("node", F.col("place.doc_id").alias("_id"), F.col("place.text_key").alias("_key"))
+    some = rows.join(wanted, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["text_key"] == F.col("_key")))
+    return some.groupBy("node").agg(F.first("text").alias("text"))
 
 
 def op10_probminhash(spark, sf_dir: str) -> DataFrame:
