@@ -98,6 +98,11 @@ def matched_words(c: Column, words, case_sensitive: bool = False) -> Column:
     return F.filter(arr, lambda w: F.instr(low, F.lower(w)) > 0)
 
 
+# The characters that Python's ``str.split`` takes as blanks.
+PYTHON_BLANKS = (r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def first_token(c: Column) -> Column:
-    """Python ``s.rsplit()[0]``: first whitespace-separated token, NULL when there is none."""
-    return blank_to_null(F.regexp_extract(c, r"(\S+)", 1))
+    """Python ``s.rsplit()[0]``: first token between Unicode blanks, NULL when there is none."""
+    token = F.regexp_extract(c, f"([^{PYTHON_BLANKS}]+)", 1)
+    return F.when(token != F.lit(""), token)

@@ -9,7 +9,7 @@ from ..config import SelectionConfig
 from ..sources.registry import Registry
 from .joins import dimension, join_on_constant, key_text, small_rows
 
-# Both branches, in this order (stacked by position).
+# The 13 contract columns of both branches, in this order (stacked by position).
 CONTRACT_COLUMNS = [
     "ObjectID", "ObjectCode", "ObjectName", "Reference", "UniqueMarketRef", "InceptionDate",
     "ExpiryDate", "CreateDate", "DepartmentID", "DepartmentName", "SubDepartmentID",

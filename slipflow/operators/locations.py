@@ -11,7 +11,7 @@ from ..functions.text import (blank_to_null, concat_blank_null, last_extension,
 from ..sources.registry import Registry
 from .joins import dimension
 
-BACKSLASH = chr(92)
+BACKSLASH = "\\"
 
 
 def division_path(reg: Registry, cfg: SelectionConfig) -> DataFrame:

@@ -13,32 +13,35 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_token, plus
 from .numbering import number_rows
+from .priority import TIE_BREAK
 
 MANIFEST_COLUMNS = ["DepartmentName", "record_num", "folder_num", "folder_name", "filename",
-                    "landing_path", "DocumentFileURL", "UniqueMarketRef", "DocumentID"]
+                    "landing_path", "DocumentFileURL", "UniqueMarketRef", "DocumentID", "reason"]
 
 
-def creation_order_keys() -> list[Column]:
-    """Creation date ascending with missing dates last, then document id (stable order)."""
-    return [F.col("CreateDate").asc_nulls_last(), F.col("DocumentID").asc()]
+def creation_order_keys(columns: list[str]) -> list[Column]:
+    """Creation date ascending with missing dates last, document id, then the tie-break columns
+    that the rows have."""
+    return [F.col("CreateDate").asc_nulls_last(), F.col("DocumentID").asc(),
+            *[F.col(c).asc_nulls_first() for c in TIE_BREAK if c in columns]]
 
 
 def creation_order(selected: DataFrame, *, strategy: str = "auto", max_rows: int | None = None) -> DataFrame:
     """Every selected document with its 0-based position in creation order (one global index,
     computed without moving all rows into one partition). ``max_rows``: a proven bound on the
     selection's size (``priority.registry_row_bound``), if known."""
-    return number_rows(selected, [], creation_order_keys(), "position", start=0, strategy=strategy,
+    return number_rows(selected, [], creation_order_keys(selected.columns), "position", start=0, strategy=strategy,
                        max_rows=max_rows)
 
 
 def first_documents(selected: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` documents in creation order (top-k; Spark plans TakeOrderedAndProject)."""
-    return selected.orderBy(*creation_order_keys()).limit(n)
+    return selected.orderBy(*creation_order_keys(selected.columns)).limit(n)
 
 
 def folder_number(record_num: Column, folder_size: int) -> Column:
     """``record_num // folder_size``."""
-    return F.floor(record_num / F.lit(folder_size)).cast("long")
+    return F.call_function("div", record_num, F.lit(folder_size)).cast("long")
 
 
 def landing_file_name(doc_id: Column, root_id: Column, reference: Column, file_type: Column) -> Column:
@@ -54,12 +57,13 @@ def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "au
     ``" {folder_num} {dept}"``, the landing file name and path ``{folder}/{record_num} - {file}``.
 
     Documents without a department are not batched (the per-department loop never reached
-    them). Rows whose file name cannot be built keep a NULL name and path (see rejected_rows).
+    them). Rows whose file name cannot be built keep a NULL name and path, with the first ``reason``
+    found (see rejected_rows).
     ``max_rows``: a proven bound on the selection's size (``priority.registry_row_bound``);
     ``numbering`` passes further options to ``number_rows``.
     """
     rows = selected.where(F.col("DepartmentName").isNotNull())
-    numbered = number_rows(rows, ["DepartmentName"], creation_order_keys(), "record_num", start=0,
+    numbered = number_rows(rows, ["DepartmentName"], creation_order_keys(rows.columns), "record_num", start=0,
                            strategy=strategy, max_rows=max_rows, **numbering)
     folder = folder_number(F.col("record_num"), folder_size)
     fname = landing_file_name(F.col("DocumentID"), F.col("RootObjectID"), F.col("Reference"),
@@ -68,7 +72,11 @@ def batch_manifest(selected: DataFrame, folder_size: int, *, strategy: str = "au
         "folder_name", plus(" ", F.col("folder_num").cast("string"), " ", F.col("DepartmentName")))
     out = out.withColumn("landing_path", plus(F.col("folder_name"), "/", F.col("record_num").cast("string"),
                                               " - ", F.col("filename")))
-    return out.select(*MANIFEST_COLUMNS)
+    parts = [F.col(c).isNull() for c in ("DocumentID", "RootObjectID", "Reference", "DocumentFileType")]
+    reason = (F.when(parts[0] | parts[1] | parts[2] | parts[3], F.lit("file name part missing"))
+              .when(F.col("filename").isNull(), F.lit("file name cannot be built"))
+              .when(F.col("UniqueMarketRef").isNull(), F.lit("market reference missing")))
+    return out.withColumn("reason", reason).select(*MANIFEST_COLUMNS)
 
 
 def batch_orders(orders: DataFrame, folder_size: int, *, strategy: str = "auto") -> DataFrame:
@@ -111,8 +119,22 @@ def department_column_counts(selected: DataFrame) -> DataFrame:
 
 
 def rejected_rows(manifest: DataFrame) -> DataFrame:
-    """Manifest rows the original driver could not process, with the first reason found."""
-    reason = (F.when(F.col("filename").isNull(), F.lit("file name cannot be built"))
-              .when(F.col("UniqueMarketRef").isNull(), F.lit("market reference missing")))
-    return (manifest.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    """Manifest rows that need a look, with the first reason found: a part of the file name is NULL
+    (the original driver wrote the text ``None`` there and fetched on; here NULL stays NULL), a
+    part has no token (the driver stopped there), or the market reference is missing."""
+    return (manifest.where(F.col("reason").isNotNull())
             .select("DocumentID", "DepartmentName", "record_num", "reason"))
+
+
+def department_key(name: Column) -> Column:
+    """A folder key of a department name that is never empty and keeps every name apart."""
+    return F.concat(F.lit("d"), F.hex(F.encode(name, "UTF-8")))
+
+
+def sink_layout(manifest: DataFrame) -> DataFrame:
+    """The manifest as its file sink wants it: clustered by department and folder range, sorted,
+    with the partition key ``department_key`` beside the name. Files follow the bytes: a range
+    task holds many folders of a department, or several small departments."""
+    keyed = manifest.withColumn("department_key", department_key(F.col("DepartmentName")))
+    return keyed.repartitionByRange("department_key", "folder_num", "record_num") \
+        .sortWithinPartitions("department_key", "folder_num", "record_num")

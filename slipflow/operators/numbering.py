@@ -62,7 +62,8 @@ def _shuffle_partitions(df: DataFrame) -> int:
 
 def write_stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Materialise ``df`` as Parquet under the shared checkpoint folder and read it back (cuts
-    lineage and fixes nondeterministic values such as slice ids; survives executor loss)."""
+    lineage and fixes nondeterministic values such as slice ids; survives executor loss). Columns
+    of ``partition_by`` must never be empty: a folder name keeps no difference between '' and NULL."""
     folder = ensure_checkpoint_dir(df.sparkSession)
     path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
@@ -82,7 +83,8 @@ def _plain(df: DataFrame, partition_by, order_by, out_col, start) -> DataFrame:
 def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
                 num_slices: int | None = None, single_task_rows: int | None = None,
-                stage_input: bool = False, max_rows: int | None = None) -> DataFrame:
+                stage_input: bool = False, max_rows: int | None = None,
+                group_sizes=None) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
     ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
@@ -100,6 +102,10 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     ``priority.registry_row_bound``). When it is within one task, no group can be hot and the
     plain window is used without measuring.
 
+    ``group_sizes`` is a function without arguments giving upper bounds of the group sizes (the
+    group columns and ``_rows``), for inputs whose own aggregation would run in the tasks of a
+    join on the same keys (``priority.contract_sizes``). It is called only when sizes are needed.
+
     The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
     count and ``rows / ROWS_PER_SLICE``.
     """
@@ -116,8 +122,9 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     if partition_by:
         # One aggregation gives the totals and the candidates for hot groups: groups above the
         # single-task floor, at most rows / floor of them (a proven bound), as (key hash, rows).
-        sizes = base.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")) \
-            .select(key_hash.alias("_h"), "_rows")
+        measured = group_sizes() if group_sizes else base.groupBy(*partition_by).agg(
+            F.count(F.lit(1)).alias("_rows"))
+        sizes = measured.select(key_hash.alias("_h"), "_rows")
         row = sizes.agg(F.sum("_rows"), F.max("_rows"), F.count(F.lit(1)),
                         F.collect_list(F.when(F.col("_rows") > F.lit(floor),
                                               F.struct("_h", "_rows")))).first()
@@ -140,9 +147,11 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
     # hash shared with a cold group only moves that group to the (equally exact) split plan; a
     # group never straddles the two branches.
     hot_hashes = sorted({h for h, rows in candidates if rows > bound})
+    split = _split_few_groups if len(hot_hashes) <= FEW_GROUPS else _split
+    if sum(1 for _, rows in candidates if rows > bound) == groups:  # every group is hot: no second branch
+        return split(base, partition_by, order_by, out_col, start, n)
     is_hot = key_hash.isin(hot_hashes)
     cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
-    split = _split_few_groups if len(hot_hashes) <= FEW_GROUPS else _split
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
         split(hot_rows, partition_by, order_by, out_col, start, n))
 

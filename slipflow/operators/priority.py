@@ -20,6 +20,19 @@ from .numbering import number_rows
 CONTRACT_KEYS = ["RootObjectID", "ContractCode"]
 
 
+def top_priority(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: Column) -> Column:
+    """Condition of outcome 1 of the ladder (UNKNOWN for a NULL name, like every keyword test)."""
+    cs = cfg.case_sensitive
+    folded = name if cs else F.lower(name)
+
+    def kw(word: str) -> Column:
+        return folded.contains(F.lit(word if cs else word.lower()))
+
+    # The keywords of the first outcome.
+    return ((folder_type.isin(*cfg.signed_folder_types) & kw("Slip")) | kw("MRC") | kw("Contract")
+            | kw("London Market") | (kw("Final") & same_text(file_type, cfg.selected_file_type, cs)))
+
+
 def ladder(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: Column,
            policy_ref: Column | None = None) -> Column:
     """Type priority of a document: the first matching outcome, else 99.
@@ -38,10 +51,7 @@ def ladder(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: C
         return folded.contains(F.lit(word if cs else word.lower()))
 
     # The keywords and outcome numbers of the original ladder, in its order.
-    steps: list[tuple[Column, int]] = [
-        ((signed & kw("Slip")) | kw("MRC") | kw("Contract") | kw("London Market")
-         | (kw("Final") & pdf), 1),
-    ]
+    steps: list[tuple[Column, int]] = [(top_priority(cfg, name, folder_type, file_type), 1)]
     if policy_ref is not None:
         steps.append((signed & policy_ref, 2))
     steps += [
@@ -67,33 +77,36 @@ def ladder(cfg: SelectionConfig, name: Column, folder_type: Column, file_type: C
     return out.otherwise(F.lit(99))
 
 
+# A frequent document name is spread over this many tasks in the join to the policy references.
+REF_SALTS = 32
+
+
 def policy_ref_flags(reg: Registry, docs: DataFrame, cfg: SelectionConfig) -> DataFrame:
     """Dormant option: flag documents whose name equals a master-policy reference.
 
-    A left join to the distinct references (a shuffle join; Spark may broadcast the reference
-    side when its statistics are small), giving a boolean per document. Documents without a
-    name get NULL and bypass the join (NULL keys would all hash to one partition).
+    A left join to the distinct references, giving a boolean per document (NULL without a name).
+    The distinct references stand ``REF_SALTS`` times with a salt and every document draws one, so
+    a name that a third of the documents carry is joined by many tasks. Documents without a name
+    take a salt of their own kind that no reference has, spread by document.
     """
     cs = cfg.case_sensitive
     refs = (reg.master_policy.select(key_text(F.col("PolicyRef"), cs).alias("_ref"))
             .where(F.col("_ref").isNotNull()).distinct()
+            .select("_ref", F.explode(F.sequence(F.lit(0), F.lit(REF_SALTS - 1))).alias("_salt"))
             .withColumn("_is_ref", F.lit(True)))
-    named = docs.where(F.col("DocumentName").isNotNull()) \
-        .withColumn("_ref", key_text(F.col("DocumentName"), cs))
-    flagged = (named.join(refs, "_ref", "left")
-               .withColumn("IsPolicyRef", F.coalesce(F.col("_is_ref"), F.lit(False)))
-               .drop("_ref", "_is_ref"))
-    unnamed = docs.where(F.col("DocumentName").isNull()) \
-        .withColumn("IsPolicyRef", F.lit(None).cast("boolean"))
-    return flagged.unionByName(unnamed)
-
-
-def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
-    """Documents joined to folder, location, status, business object, department and contract.
-
-    The small lookups are size-checked broadcasts; the contract join is the one shuffle join
-    (documents and contracts both grow with the data).
-    """
+    spread = F.xxhash64("DocumentID", "FileName")
+    keyed = docs.withColumn("_ref", F.coalesce(key_text(F.col("DocumentName"), cs), F.lit(""))) \
+        .withColumn("_salt", F.when(F.col("DocumentName").isNotNull(), F.pmod(spread, F.lit(REF_SALTS)).cast("int"))
+                    .otherwise(-1 - F.pmod(spread, F.lit(2 ** 30)).cast("int")))
+    return (keyed.join(refs, ["_ref", "_salt"], "left")
+            .withColumn("IsPolicyRef", F.when(F.col("DocumentName").isNotNull(),
+                                              F.coalesce(F.col("_is_ref"), F.lit(False))))
+            .drop("_ref", "_salt", "_is_ref"))
+
+
+def document_side(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+    """Documents joined to folder, location, status, business object and department (all of them
+    size-checked broadcasts), before the contract join."""
     cs = cfg.case_sensitive
     statuses = dimension(reg.statuses).select("DocumentSystemStatusID", "StatusName")
     bo = dimension(reg.business_objects).select(
@@ -103,14 +116,23 @@ def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
     if cfg.match_policy_refs:
         docs = policy_ref_flags(reg, docs, cfg)
     located = located_documents(reg, cfg, docs=docs)
-    d = (located.join(statuses, "DocumentSystemStatusID")
-         .withColumn("_code", key_text(F.col("RootObjectCode"), cs))
-         .join(bo, "_code")
-         .withColumnRenamed("_code", "ContractCode")
-         .join(depts, "DepartmentID"))
-    c = contract_objects(reg, cfg).select(
-        F.col("ObjectID"), key_text(F.col("ObjectCode"), cs).alias("_ocode"), "UniqueMarketRef",
-        "Reference", "InceptionDate", "SubDepartmentName")
+    return (located.join(statuses, "DocumentSystemStatusID")
+            .withColumn("_code", key_text(F.col("RootObjectCode"), cs))
+            .join(bo, "_code")
+            .withColumnRenamed("_code", "ContractCode")
+            .join(depts, "DepartmentID"))
+
+
+def contract_side(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+    """The contract columns a document takes, with the join keys ``ObjectID`` and ``_ocode``."""
+    return contract_objects(reg, cfg).select(
+        F.col("ObjectID"), key_text(F.col("ObjectCode"), cfg.case_sensitive).alias("_ocode"), *CONTRACT_TAKEN)
+
+
+def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+    """Documents with their lookups, joined to their contract: the one shuffle join (documents and
+    contracts both grow with the data)."""
+    d, c = document_side(reg, cfg), contract_side(reg, cfg)
     return d.join(c, (d["RootObjectID"] == c["ObjectID"]) & (d["ContractCode"] == c["_ocode"])) \
         .drop("_ocode", "ObjectID")
 
@@ -123,6 +145,10 @@ def _max_per_key(df: DataFrame, *keys: Column) -> int:
     return max(1, int(row[0] or 0))
 
 
+# Above this many documents the bound below cannot spare the measuring, so the fan-out is not computed.
+BOUND_WORTH_ROWS = 1_000_000
+
+
 def registry_row_bound(reg: Registry, cfg: SelectionConfig) -> int:
     """Proven upper bound on the rows of any document pipeline (eligible, ranked, selected).
 
@@ -130,11 +156,17 @@ def registry_row_bound(reg: Registry, cfg: SelectionConfig) -> int:
     a document becomes at most ``fan-out`` rows: the product of the largest number of rows
     sharing a key in each lookup table and in the contracts. The bound is documents x fan-out.
     Like table statistics it is computed once per registry (small lookups, one narrow
-    aggregation over the contracts, a row count of the documents).
+    aggregation over the contracts, a row count of the documents). With more than
+    ``BOUND_WORTH_ROWS`` documents no bound is small enough to matter: the count is the end of
+    it, and the answer is larger than any single task's share.
     """
     cache = _ROW_BOUNDS.setdefault(reg, {})
     cs = cfg.case_sensitive
     if cs not in cache:
+        documents = reg.docs.count()
+        if documents > BOUND_WORTH_ROWS:
+            cache[cs] = 2 ** 62
+            return cache[cs]
         fan_out = (_max_per_key(reg.folders, F.col("FolderID"))
                    * _max_per_key(reg.divisions, F.col("DivisionID"), version_key(F.col("Version")))
                    * _max_per_key(reg.statuses, F.col("DocumentSystemStatusID"))
@@ -142,30 +174,70 @@ def registry_row_bound(reg: Registry, cfg: SelectionConfig) -> int:
                    * _max_per_key(reg.departments, F.col("DepartmentID"))
                    * _max_per_key(contract_objects(reg, cfg), F.col("ObjectID"),
                                   key_text(F.col("ObjectCode"), cs)))
-        cache[cs] = reg.docs.count() * fan_out
+        cache[cs] = documents * fan_out
     return cache[cs]
 
 
-def eligibility(cfg: SelectionConfig) -> Column:
+def document_eligibility(cfg: SelectionConfig) -> Column:
+    """The conditions on a document itself: folder type, status, creation date."""
     return (F.col("FolderTypeID").isin(*cfg.eligible_folder_types)
             & same_text(F.col("StatusName"), cfg.required_status, cfg.case_sensitive)
-            & (F.col("InceptionDate") > F.lit(cfg.inception_after))
             & (F.col("CreateDate") < F.lit(cfg.created_before.isoformat(sep=" ")).cast("timestamp_ntz")))
 
 
+def contract_eligibility(cfg: SelectionConfig) -> Column:
+    """Inception strictly after midnight of the boundary day: later that day counts."""
+    return F.col("InceptionDate") > F.lit(cfg.inception_after.isoformat()).cast("timestamp_ntz")
+
+
+def eligibility(cfg: SelectionConfig) -> Column:
+    return document_eligibility(cfg) & contract_eligibility(cfg)
+
+
+def type_priority(cfg: SelectionConfig) -> Column:
+    return ladder(cfg, F.col("DocumentName"), F.col("FolderTypeID"), F.col("DocumentFileType"),
+                  F.col("IsPolicyRef") if cfg.match_policy_refs else None)
+
+
 def prioritised_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
     """Eligible documents (folder type, status, date window) with their type priority."""
     d = joined_documents(reg, cfg).where(eligibility(cfg))
-    policy_ref = F.col("IsPolicyRef") if cfg.match_policy_refs else None
-    return d.withColumn("DocumentTypePriorityOrdinal",
-                        ladder(cfg, F.col("DocumentName"), F.col("FolderTypeID"),
-                               F.col("DocumentFileType"), policy_ref))
+    return d.withColumn("DocumentTypePriorityOrdinal", type_priority(cfg))
+
+
+def top_priority_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+    """Eligible documents of priority 1: the condition of the first outcome alone, which is what
+    reaches the scan, and the priority as a literal."""
+    first = top_priority(cfg, F.col("DocumentName"), F.col("FolderTypeID"), F.col("DocumentFileType"))
+    d = joined_documents(reg, cfg).where(eligibility(cfg) & first)
+    return d.withColumn("DocumentTypePriorityOrdinal", F.lit(1))
 
 
-def rank_order() -> list[Column]:
-    """Type priority, newest first (NULL dates last), then document id (tie-break)."""
+# Tie-break of every order: all other result columns, those of the document before those of its
+# contract. Document ids repeat when a lookup has several rows for a key, so they alone order nothing.
+DOCUMENT_TIES = ["DocumentFileURL", "DocumentFilePath", "LibraryPath", "ServerName", "SiteName", "FolderType",
+                 "FolderPath", "DepartmentName", "ObjectName", "RootObjectID", "FolderID", "DocumentName",
+                 "FileName", "DocNumber"]
+CONTRACT_TAKEN = ["UniqueMarketRef", "Reference", "InceptionDate", "SubDepartmentName"]
+TIE_BREAK = DOCUMENT_TIES + CONTRACT_TAKEN
+
+
+def rank_order(columns: list[str] = TIE_BREAK) -> list[Column]:
+    """Type priority, newest first (NULL dates last), document id, then the tie-break columns that
+    the rows have."""
     return [F.col("DocumentTypePriorityOrdinal").asc(), F.col("CreateDate").desc_nulls_last(),
-            F.col("DocumentID").asc()]
+            F.col("DocumentID").asc(), *[F.col(c).asc_nulls_first() for c in TIE_BREAK if c in columns]]
+
+
+def contract_sizes(reg: Registry, cfg: SelectionConfig, top_only: bool = False) -> DataFrame:
+    """Upper bound of the ranked rows per contract (``CONTRACT_KEYS``, ``_rows``), measured before
+    the contract join: eligible documents per key (map-side combine, so a hot contract costs a
+    row per task) times the contracts' largest fan-out."""
+    d = document_side(reg, cfg).where(document_eligibility(cfg))
+    if top_only:
+        d = d.where(top_priority(cfg, F.col("DocumentName"), F.col("FolderTypeID"), F.col("DocumentFileType")))
+    fan_out = _max_per_key(contract_side(reg, cfg), F.col("ObjectID"), F.col("_ocode"))
+    return d.groupBy(*CONTRACT_KEYS).agg((F.count(F.lit(1)) * fan_out).alias("_rows"))
 
 
 def rank_documents(prioritised: DataFrame, *, top_priority_only: bool = False,
@@ -179,10 +251,11 @@ def rank_documents(prioritised: DataFrame, *, top_priority_only: bool = False,
     """
     if top_priority_only:
         prioritised = prioritised.where(F.col("DocumentTypePriorityOrdinal") == 1)
-    return number_rows(prioritised, CONTRACT_KEYS, rank_order(), "DocumentPriorityOrdinal",
+    return number_rows(prioritised, CONTRACT_KEYS, rank_order(prioritised.columns), "DocumentPriorityOrdinal",
                        strategy=strategy, **numbering)
 
 
+# The 24 result columns, in the original order.
 RANKED_COLUMNS = [
     "DocumentID", "FolderType", "UniqueMarketRef", "RootObjectID", "Reference", "InceptionDate",
     "ObjectName", "DepartmentID", "DepartmentName", "SubDepartmentName", "ServerName", "SiteName",
@@ -206,18 +279,43 @@ def output_columns(df: DataFrame) -> DataFrame:
     return df.select(*RANKED_COLUMNS)
 
 
-def best_document(prioritised: DataFrame) -> DataFrame:
-    """Rank-1 document per contract, as an aggregation (``min`` of the sort key) instead of a
-    window, so partial aggregation splits hot contracts over many tasks."""
-    payload = [c for c in prioritised.columns if c not in CONTRACT_KEYS]
+def _first_row(rows: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:
+    """The first row of every key in rank order, as one ``min`` aggregation of (order, row)."""
+    payload = [c for c in rows.columns if c not in keys]
     key = F.struct(
         F.col("DocumentTypePriorityOrdinal").alias("k1"),
         F.col("CreateDate").isNull().alias("k2"),
         (-F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                            F.col("CreateDate"))).alias("k3"),
         F.col("DocumentID").alias("k4"),
+        *[F.col(c).alias(f"t_{c}") for c in ties if c in rows.columns],
         *[F.col(c).alias(f"v_{c}") for c in payload],
     )
-    best = prioritised.groupBy(*CONTRACT_KEYS).agg(F.min(key).alias("_best"))
-    return best.select(*CONTRACT_KEYS, *[F.col(f"_best.v_{c}").alias(c) for c in payload]) \
+    best = rows.groupBy(*keys).agg(F.min(key).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.v_{c}").alias(c) for c in payload])
+
+
+def best_document(prioritised: DataFrame) -> DataFrame:
+    """Rank-1 document per contract of rows that are joined to their contracts already, as an
+    aggregation instead of a window. On top of the contract join both halves of the aggregation
+    run in the task of the join; ``best_documents`` has no such hot task."""
+    return _first_row(prioritised, CONTRACT_KEYS, TIE_BREAK) \
         .withColumn("DocumentPriorityOrdinal", F.lit(1).cast("long"))
+
+
+def best_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+    """Rank-1 document per contract, with the documents aggregated per contract before the
+    contract join: the map-side halves run on the scan, so a hot contract costs a row per task,
+    and the join has one row per key on either side. The order's document columns come before its
+    contract columns, so the first document with the first contract is the first pair."""
+    docs = document_side(reg, cfg).where(document_eligibility(cfg)) \
+        .withColumn("DocumentTypePriorityOrdinal", type_priority(cfg)) \
+        .withColumnRenamed("BusObjectName", "ObjectName") \
+        .select(*[c for c in RANK_INPUT_COLUMNS if c not in CONTRACT_TAKEN])
+    ties = [c for c in DOCUMENT_TIES if c not in CONTRACT_KEYS]
+    docs = _first_row(docs, CONTRACT_KEYS, ties)
+    contracts = (contract_side(reg, cfg).where(contract_eligibility(cfg)).groupBy("ObjectID", "_ocode")
+                 .agg(F.min(F.struct(*CONTRACT_TAKEN)).alias("_c")))
+    joined = docs.join(contracts, (docs["RootObjectID"] == contracts["ObjectID"])
+                       & (docs["ContractCode"] == contracts["_ocode"]))
+    return joined.select(*docs.columns, "_c.*").withColumn("DocumentPriorityOrdinal", F.lit(1).cast("long"))

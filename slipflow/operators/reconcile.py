@@ -17,27 +17,36 @@ from ..config import LOG_NOT_FOUND, LOG_OK, RUN_STAMP_FORMAT
 from ..functions.text import plus
 
 
-def fetch_status(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Every manifest row with ``status`` OK (its landing path is in the inventory) or
-    FILE NOT FOUND. ``inventory`` has a ``landing_path`` column (relative to the landing root).
+def _match_key(on: str):
+    """``on`` as text; a row without it gets a key of its own that no landed file has, so such
+    rows neither match nor meet in one partition."""
+    return F.coalesce(F.concat(F.lit("="), F.col(on).cast("string")),
+                      F.concat(F.lit("?"), F.xxhash64("DepartmentName", "record_num").cast("string")))
 
-    Manifest and inventory both grow with the data: a shuffle join on the path (Spark or AQE
-    switch to a broadcast only from measured sizes). Rows without a landing path cannot match;
-    they bypass the join instead of all hashing to one partition.
+
+def fetch_status(manifest: DataFrame, landed: DataFrame, on: str = "landing_path") -> DataFrame:
+    """Every manifest row with ``status`` OK (its ``on`` is among the landed ones) or FILE NOT
+    FOUND. ``landed`` is a landed-file inventory (``on`` = ``landing_path``, relative to the
+    landing root) or a table of fetch results with another column of the manifest; it may repeat
+    keys, and a row of the manifest without a landing path is never OK.
+
+    Both sides grow with the data: one left join on the key (Spark or AQE switch to a broadcast
+    only from measured sizes).
     """
-    landed = (inventory.select("landing_path").where(F.col("landing_path").isNotNull()).distinct()
-              .withColumn("_landed", F.lit(True)))
-    keyed = manifest.where(F.col("landing_path").isNotNull()).join(landed, "landing_path", "left")
-    unkeyed = manifest.where(F.col("landing_path").isNull()).withColumn("_landed", F.lit(None).cast("boolean"))
-    status = F.when(F.col("_landed"), F.lit(LOG_OK)).otherwise(F.lit(LOG_NOT_FOUND))
-    return keyed.unionByName(unkeyed).withColumn("status", status).drop("_landed")
+    keys = (landed.select(F.concat(F.lit("="), F.col(on).cast("string")).alias("_key"))
+            .where(F.col("_key").isNotNull()).distinct().withColumn("_landed", F.lit(True)))
+    ok = F.col("_landed").isNotNull() & F.col("landing_path").isNotNull()
+    return (manifest.withColumn("_key", _match_key(on)).join(keys, "_key", "left")
+            .withColumn("status", F.when(ok, F.lit(LOG_OK)).otherwise(F.lit(LOG_NOT_FOUND)))
+            .drop("_key", "_landed"))
 
 
-def missing_files(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Manifest rows with no landed file (left anti join; rows without a path bypass it)."""
-    keyed = manifest.where(F.col("landing_path").isNotNull()).join(
-        inventory.select("landing_path"), "landing_path", "left_anti")
-    return keyed.unionByName(manifest.where(F.col("landing_path").isNull()))
+def missing_files(manifest: DataFrame, landed: DataFrame, on: str = "landing_path") -> DataFrame:
+    """Manifest rows with no landed file (left anti join)."""
+    keys = landed.select(F.concat(F.lit("="), F.col(on).cast("string")).alias("_key"))
+    keyed = manifest.withColumn("_key", F.when(F.col("landing_path").isNotNull(), _match_key(on)).otherwise(
+        F.concat(F.lit("?"), F.xxhash64("DepartmentName", "record_num").cast("string"))))
+    return keyed.join(keys, "_key", "left_anti").drop("_key")
 
 
 def fetch_summary(status: DataFrame) -> DataFrame:
@@ -52,7 +61,8 @@ def run_stamp(run_time: _dt.datetime):
 
 def run_log_lines(status: DataFrame, run_time: _dt.datetime) -> DataFrame:
     """The run log as rows: a header ``"{dept} {count}"`` per department (``record_num`` -1) and
-    one line per document. ``line_order`` sorts the log; nothing is collected."""
+    one line per document. ``status`` is read twice, for the lines and for the counts: pass a
+    written table (``numbering.write_stage``), not a long plan. Nothing is collected."""
     umr = F.coalesce(F.col("UniqueMarketRef"), F.lit(""))
     fname = F.coalesce(F.col("filename"), F.lit(""))
     doc_line = (F.when(F.col("status") == LOG_OK, F.concat(fname, F.lit(" , OK , "), umr))
@@ -62,7 +72,12 @@ def run_log_lines(status: DataFrame, run_time: _dt.datetime) -> DataFrame:
                .select("DepartmentName", F.lit(-1).cast("long").alias("record_num"),
                        plus(F.col("DepartmentName"), " ", F.col("_n").cast("string")).alias("line")))
     return docs.unionByName(headers).withColumn(
-        "log_file", F.concat(run_stamp(run_time), F.lit(".txt")))
+        "log_file", log_file_name(run_time))
+
+
+def log_file_name(run_time: _dt.datetime):
+    """Name of the run's log: a blank, the run stamp, ``.txt`` (the original name begins with a blank)."""
+    return F.concat(F.lit(" "), run_stamp(run_time), F.lit(".txt"))
 
 
 def write_run_log(log: DataFrame, path: str) -> None:

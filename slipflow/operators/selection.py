@@ -9,8 +9,8 @@ from ..config import SelectionConfig
 from ..functions.text import contains_any, matched_words, same_text
 from ..sources.registry import Registry
 from .joins import key_text
-from .priority import (output_columns, prioritised_documents, rank_documents, rank_input,
-                       registry_row_bound)
+from .priority import (TIE_BREAK, contract_sizes, output_columns, prioritised_documents, rank_documents,
+                       rank_input, registry_row_bound, top_priority_documents)
 
 
 def final_filter(ranked: DataFrame, cfg: SelectionConfig):
@@ -23,9 +23,9 @@ def final_filter(ranked: DataFrame, cfg: SelectionConfig):
 
 
 def result_order():
-    """Market reference descending (NULLs last, as the lowest value), then rank, then id."""
+    """Market reference descending (NULLs last, as the lowest value), rank, id, then the tie-break."""
     return [F.col("UniqueMarketRef").desc_nulls_last(), F.col("DocumentPriorityOrdinal").asc(),
-            F.col("DocumentID").asc()]
+            F.col("DocumentID").asc(), *[F.col(c).asc_nulls_first() for c in TIE_BREAK]]
 
 
 def selected_documents(reg: Registry, cfg: SelectionConfig, *, ordered: bool = True,
@@ -36,8 +36,9 @@ def selected_documents(reg: Registry, cfg: SelectionConfig, *, ordered: bool = T
     same as over all eligible documents); the file-type and stop-word filters apply after it.
     """
     bound = registry_row_bound(reg, cfg) if strategy == "auto" else None
-    ranked = rank_documents(rank_input(prioritised_documents(reg, cfg)), top_priority_only=prefilter,
-                            strategy=strategy, max_rows=bound)
+    rows = top_priority_documents(reg, cfg) if prefilter else prioritised_documents(reg, cfg)
+    ranked = rank_documents(rank_input(rows), strategy=strategy, max_rows=bound,
+                            group_sizes=lambda: contract_sizes(reg, cfg, top_only=prefilter))
     out = output_columns(ranked.where(final_filter(ranked, cfg)))
     return out.orderBy(*result_order()) if ordered else out
 
@@ -52,9 +53,10 @@ def stopword_hits(reg: Registry, cfg: SelectionConfig) -> DataFrame:
 def filter_by_reference(selected: DataFrame, references: DataFrame, cfg: SelectionConfig,
                         column: str = "UniqueMarketRef") -> DataFrame:
     """Dormant option: keep only documents whose market reference is in ``references``
-    (a one-column DataFrame of references), as a left-semi join."""
+    (a one-column DataFrame of references), as a left-semi join. References may repeat: without a
+    ``distinct`` both sides have a plain exchange, which adaptive execution splits on a hot key."""
     cs = cfg.case_sensitive
-    refs = references.select(key_text(F.col(references.columns[0]), cs).alias("_ref")).distinct()
+    refs = references.select(key_text(F.col(references.columns[0]), cs).alias("_ref"))
     s = selected.withColumn("_ref", key_text(F.col(column), cs))
     return s.join(refs, "_ref", "left_semi").drop("_ref")
 

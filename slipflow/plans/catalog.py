@@ -20,6 +20,7 @@ from ..operators.joins import dimension, key_text
 from ..operators.numbering import write_stage
 from ..sources.fixtures import fixture_registry
 from ..sources.encoding import decode_latin1
+from ..sources.inventory import landed_inventory
 from ..session import ensure_checkpoint_dir
 from ..sources.registry import Registry
 
@@ -28,7 +29,7 @@ CFG = FIXTURE
 MANIFEST_FOLDER_SIZE = 10     # the selection is small: size 10 gives several folders per department
 ORDERS_FOLDER_SIZE = 300      # the original folder size, on orders grouped by priority
 RUN_TIME = _dt.datetime(2021, 8, 4, 14, 10, 12)
-REGISTRIES = ("RKH", "LUX")
+REGISTRIES = ("registry_a", "registry_b")
 
 _REGISTRY_CACHE: dict[tuple, Registry] = {}
 
@@ -54,13 +55,15 @@ def _manifest(spark, sf_dir) -> DataFrame:
                                    max_rows=_bound(spark, sf_dir))
 
 
-def simulated_inventory(man: DataFrame) -> DataFrame:
-    """Stand-in for the landing folder listing: a document lands unless its manifest row has
-    no landing path or its source URL carries the ``*`` overflow marker of a folder number
-    that did not fit (an unusable URL). In deployment use ``sources.inventory.landed_inventory``.
-    """
-    return (man.where(F.col("landing_path").isNotNull() & ~F.col("DocumentFileURL").contains("*"))
-            .select("landing_path"))
+def fetch_results(spark, sf_dir) -> DataFrame:
+    """Fetch results that know nothing of the manifest: a document was fetched when one of its
+    order's lines was shipped and settled. Documents repeat, and some have no line like that."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return lines.where(F.col("l_returnflag") != "N").select(F.col("l_orderkey").alias("DocumentID"))
+
+
+def _status(spark, sf_dir) -> DataFrame:
+    return reconcile.fetch_status(_manifest(spark, sf_dir), fetch_results(spark, sf_dir), "DocumentID")
 
 
 # --- queries ------------------------------------------------------------------------------------
@@ -125,13 +128,14 @@ def q_priority_histogram(spark, sf_dir):
 
 def q_document_rank(spark, sf_dir):
     p = priority.prioritised_documents(registry(spark, sf_dir), CFG)
-    return priority.output_columns(priority.rank_documents(priority.rank_input(p),
-                                                           max_rows=_bound(spark, sf_dir)))
+    reg = registry(spark, sf_dir)
+    return priority.output_columns(priority.rank_documents(
+        priority.rank_input(p), max_rows=_bound(spark, sf_dir),
+        group_sizes=lambda: priority.contract_sizes(reg, CFG)))
 
 
 def q_best_document(spark, sf_dir):
-    p = priority.prioritised_documents(registry(spark, sf_dir), CFG)
-    return priority.output_columns(priority.best_document(priority.rank_input(p)))
+    return priority.output_columns(priority.best_documents(registry(spark, sf_dir), CFG))
 
 
 def q_stopword_hits(spark, sf_dir):
@@ -143,18 +147,19 @@ def q_selected_documents(spark, sf_dir):
 
 
 def q_registry_union(spark, sf_dir):
-    """Both registries of the original job hold the same schema; the fixture serves both."""
-    base = registry(spark, sf_dir)
-    sels = [selection.selected_documents(base.with_tables(source=src), CFG, ordered=False)
-            for src in REGISTRIES]
+    """Two registries with different documents, the second without an optional column: each is
+    selected for itself, and the selections are appended."""
+    sels = [selection.selected_documents(registry(spark, sf_dir, src), CFG, ordered=False) for src in REGISTRIES]
     return selection.registry_union(sels, list(REGISTRIES))
 
 
 def q_decoded_text(spark, sf_dir):
-    """Latin-1 decoding of the UTF-8 bytes of every document text: one character per byte."""
+    """Latin-1 decoding of the UTF-8 bytes of every document text: one character per byte. The
+    decoded text itself is compared, as its hash."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     decoded = decode_latin1(F.encode(F.col("text"), "UTF-8"))
-    return d.select("doc_id", F.length(decoded).cast("long").alias("decoded_length"))
+    return d.select("doc_id", F.length(decoded).cast("long").alias("decoded_length"),
+                    F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"))
 
 
 def q_creation_order(spark, sf_dir):
@@ -199,23 +204,19 @@ def q_rejected_rows(spark, sf_dir):
 
 
 def q_fetch_status(spark, sf_dir):
-    man = _manifest(spark, sf_dir)
-    return reconcile.fetch_status(man, simulated_inventory(man))
+    return _status(spark, sf_dir)
 
 
 def q_missing_files(spark, sf_dir):
-    man = _manifest(spark, sf_dir)
-    return reconcile.missing_files(man, simulated_inventory(man))
+    return reconcile.missing_files(_manifest(spark, sf_dir), fetch_results(spark, sf_dir), "DocumentID")
 
 
 def q_fetch_summary(spark, sf_dir):
-    man = _manifest(spark, sf_dir)
-    return reconcile.fetch_summary(reconcile.fetch_status(man, simulated_inventory(man)))
+    return reconcile.fetch_summary(_status(spark, sf_dir))
 
 
 def q_run_log_lines(spark, sf_dir):
-    man = _manifest(spark, sf_dir)
-    return reconcile.run_log_lines(reconcile.fetch_status(man, simulated_inventory(man)), RUN_TIME)
+    return reconcile.run_log_lines(write_stage(_status(spark, sf_dir), "status"), RUN_TIME)
 
 
 def q_policy_ref_matches(spark, sf_dir):
@@ -231,17 +232,37 @@ def q_filter_by_reference(spark, sf_dir):
 
 
 def q_write_manifest(spark, sf_dir):
-    """Write the manifest partitioned by department and folder (the landing folder layout),
-    read it back."""
+    """Write the manifest as its sink does (partitioned by the department's key, the name beside
+    it), read it back."""
     man = _manifest(spark, sf_dir)
-    return write_stage(man.repartition("DepartmentName", "folder_num"), "manifest",
-                       partition_by=["DepartmentName", "folder_num"])
+    return write_stage(manifest.sink_layout(man), "manifest", partition_by=["department_key"]) \
+        .select(*manifest.MANIFEST_COLUMNS)
+
+
+def q_landed_departments(spark, sf_dir):
+    """List the files that the manifest sink has written (only those ending in ``.parquet``) and
+    hold them to the manifest's folder sizes: per department its documents, its folders and
+    whether files of it landed. One more department, without documents, has none."""
+    man = write_stage(_manifest(spark, sf_dir), "manifest-rows")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    manifest.sink_layout(man).write.partitionBy("department_key").parquet(root)
+    files = landed_inventory(spark, root, suffix=".parquet")
+    landed = (files.select(F.regexp_extract("landing_path", "department_key=([^/]+)/", 1).alias("department_key"))
+              .distinct().withColumn("landed", F.lit(True)))
+    sizes = manifest.folder_sizes(man).groupBy("DepartmentName").agg(
+        F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("folders"))
+    every = registry(spark, sf_dir).departments.select("DepartmentName")
+    return (every.join(sizes, "DepartmentName", "left")
+            .withColumn("department_key", manifest.department_key(F.col("DepartmentName")))
+            .join(landed, "department_key", "left")
+            .select("DepartmentName", F.coalesce("documents", F.lit(0)).alias("documents"),
+                    F.coalesce("folders", F.lit(0)).alias("folders"),
+                    F.coalesce("landed", F.lit(False)).alias("landed")))
 
 
 def q_run_log_file(spark, sf_dir):
     """Write the run log as text (ordered part files), read the lines back."""
-    man = _manifest(spark, sf_dir)
-    log = reconcile.run_log_lines(reconcile.fetch_status(man, simulated_inventory(man)), RUN_TIME)
+    log = reconcile.run_log_lines(write_stage(_status(spark, sf_dir), "status"), RUN_TIME)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-log-{uuid.uuid4().hex}"
     reconcile.write_run_log(log, path)
     return spark.read.text(path)

@@ -6,8 +6,9 @@ the log and the outcome summary.
         [--landing /data/landing] [--folder-size 300] [--inception-after 2021-07-01] ...
 
 ``--registry`` is a folder holding one Parquet dataset per registry table (see
-``sources.registry.load_parquet``); JDBC deployments build the registry with
-``sources.registry.load_jdbc`` and call ``run`` directly.
+``sources.registry.load_parquet``), or ``name=folder``; it may be given several times, and the
+selections of all registries are then appended before batching. JDBC deployments build the
+registries with ``sources.registry.load_jdbc`` and call ``run`` directly.
 """
 
 from __future__ import annotations
@@ -21,22 +22,23 @@ from pyspark.sql import functions as F
 from ..config import REFERENCE, SelectionConfig
 from ..operators import manifest, reconcile, selection
 from ..operators.priority import registry_row_bound
-from ..operators.numbering import write_stage
 from ..session import ensure_checkpoint_dir
 from ..sources.inventory import landed_inventory
 from ..sources.registry import Registry, load_parquet
 
 
-def run(spark: SparkSession, reg: Registry, cfg: SelectionConfig, out_dir: str, *,
+def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfig, out_dir: str, *,
         landing_root: str | None = None, run_time: _dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Run every step and write the outputs under ``out_dir``:
+    """Run every step, for one registry or the appended selections of several, and write the
+    outputs under ``out_dir``:
 
-    - ``selected/``: the selected documents (24 columns), in the original result order;
-    - ``manifest/``: the batch manifest, partitioned by department and folder number;
+    - ``selected/``: the selected documents (24 columns, and ``Source`` with several registries),
+      in the original result order;
+    - ``manifest/``: the batch manifest, partitioned by the department's key, clustered by folder;
     - ``status/`` and ``summary/`` (with ``landing_root``): OK / FILE NOT FOUND per document and
       counts per department; without a landing root every document is reported as not found;
-    - ``log/``: the run log as text (part files in order), named by the run stamp in ``log_file``;
-    - ``rejected/``: rows the original script could not have processed, with a reason.
+    - ``" {stamp}.txt"``: the run log as text (part files in order), named by the run stamp;
+    - ``rejected/``: rows that need a look, with a reason.
 
     Returns the written outputs read back as DataFrames.
     """
@@ -44,30 +46,36 @@ def run(spark: SparkSession, reg: Registry, cfg: SelectionConfig, out_dir: str,
     run_time = run_time or _dt.datetime.now()
     base = out_dir.rstrip("/")
 
-    selected = write_stage(selection.selected_documents(reg, cfg, ordered=False), "selected")
-    selected.orderBy(*selection.result_order()).write.mode("overwrite").parquet(f"{base}/selected")
+    regs = reg if isinstance(reg, list) else [reg]
+    selections = [selection.selected_documents(r, cfg, ordered=False) for r in regs]
+    picked = selections[0] if len(regs) == 1 else selection.registry_union(selections, [r.source for r in regs])
+    picked.orderBy(*selection.result_order()).write.mode("overwrite").parquet(f"{base}/selected")
+    selected = spark.read.schema(picked.schema).parquet(f"{base}/selected")
 
-    man = manifest.batch_manifest(selected, cfg.folder_size, max_rows=registry_row_bound(reg, cfg))
-    man.repartition("DepartmentName", "folder_num").write.mode("overwrite") \
-        .partitionBy("DepartmentName", "folder_num").parquet(f"{base}/manifest")
-    man = spark.read.parquet(f"{base}/manifest")
+    man = manifest.batch_manifest(selected, cfg.folder_size,
+                                  max_rows=sum(registry_row_bound(r, cfg) for r in regs))
+    laid = manifest.sink_layout(man)
+    laid.write.mode("overwrite").partitionBy("department_key").parquet(f"{base}/manifest")
+    man = spark.read.schema(laid.schema).parquet(f"{base}/manifest")
 
     if landing_root:
         inventory = landed_inventory(spark, landing_root)
     else:
         inventory = man.select("landing_path").where(F.lit(False))
     status = reconcile.fetch_status(man, inventory)
-    status.write.mode("overwrite").parquet(f"{base}/status")
-    status = spark.read.parquet(f"{base}/status")
+    plan = status.drop("department_key")
+    plan.write.mode("overwrite").parquet(f"{base}/status")
+    status = spark.read.schema(plan.schema).parquet(f"{base}/status")
     reconcile.fetch_summary(status).write.mode("overwrite").parquet(f"{base}/summary")
 
     log = reconcile.run_log_lines(status, run_time)
-    reconcile.write_run_log(log, f"{base}/log")
+    log_path = f"{base}/ {run_time.strftime('%d-%m-%y %H%p')}.txt"
+    reconcile.write_run_log(log, log_path)
     manifest.rejected_rows(man).write.mode("overwrite").parquet(f"{base}/rejected")
 
-    return {name: spark.read.parquet(f"{base}/{name}")
-            for name in ("selected", "manifest", "status", "summary", "rejected")} | {
-        "log": spark.read.text(f"{base}/log")}
+    return {"selected": selected, "manifest": man, "status": status} | {
+        name: spark.read.parquet(f"{base}/{name}") for name in ("summary", "rejected")} | {
+        "log": spark.read.text(log_path)}
 
 
 def _date(s: str) -> _dt.date:
@@ -76,10 +84,10 @@ def _date(s: str) -> _dt.date:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
-    ap.add_argument("--registry", required=True, help="folder with one Parquet dataset per table")
+    ap.add_argument("--registry", required=True, action="append",
+                    help="folder with one Parquet dataset per table, or name=folder; may be repeated")
     ap.add_argument("--out", required=True, help="output folder")
     ap.add_argument("--landing", help="landing root to reconcile against (optional)")
-    ap.add_argument("--source", default="default", help="registry name (tag only)")
     ap.add_argument("--folder-size", type=int, default=REFERENCE.folder_size)
     ap.add_argument("--inception-after", type=_date, default=REFERENCE.inception_after)
     ap.add_argument("--created-before", type=_dt.datetime.fromisoformat, default=REFERENCE.created_before)
@@ -91,7 +99,8 @@ def main(argv: list[str] | None = None) -> None:
                           created_before=args.created_before, path_separator=args.path_separator,
                           case_sensitive=args.case_sensitive, match_policy_refs=args.match_policy_refs)
     spark = SparkSession.builder.appName("slipflow-job").getOrCreate()
-    run(spark, load_parquet(spark, args.registry, source=args.source), cfg, args.out,
+    named = [r.split("=", 1) if "=" in r else (f"registry_{i}", r) for i, r in enumerate(args.registry)]
+    run(spark, [load_parquet(spark, folder, source=name) for name, folder in named], cfg, args.out,
         landing_root=args.landing)
 
 

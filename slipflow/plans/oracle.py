@@ -9,41 +9,53 @@ original ``+`` and NULL-skipping concatenation (``coalesce(x, '')``) for ``CONCA
 
 from __future__ import annotations
 
-from ..config import FIXTURE, STOP_WORDS
-
-INCEPTION_AFTER = FIXTURE.inception_after.isoformat()
-CREATED_BEFORE = FIXTURE.created_before.isoformat(sep=" ")
+# The oracle's own constants, written out so that a slip in the engine's configuration shows.
+INCEPTION_AFTER = "1995-07-01 00:00:00"
+CREATED_BEFORE = "2000-02-15 00:00:00"
 MANIFEST_FOLDER_SIZE = 10
 ORDERS_FOLDER_SIZE = 300
-LOG_FILE = "04-08-21 14PM.txt"
+LOG_FILE = " 04-08-21 14PM.txt"
+# The stop-words, in the original order.
+STOP_WORDS = ("Note Bind Binder Cert Certificate Invoices Withhold Wording Debit DebitNote Credit Note CoverNote "
+              "Quote Client cc cv subscription FON Endt Endors Placing Amend Excess xs dec schedule cover "
+              "consort").split()
+# What Python takes as blanks, as a class of characters.
+BLANKS = (r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 
 FIXTURE_CTES = """
 divisions AS (
   SELECT n_nationkey AS DivisionID,
-    CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 1 END AS Version,
-    'http://srv' || CAST(n_regionkey AS VARCHAR) AS Server,
+    CASE WHEN c = 1 THEN NULL ELSE CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 1 END END AS Version,
+    CASE c WHEN 0 THEN 'http://srv' ELSE 'http://alt' END || CAST(n_regionkey AS VARCHAR) AS Server,
     'sites/' || n_name || '/ws' AS WorkSpace, 'Docs' AS DocumentDocLibrary,
     CASE WHEN n_nationkey = 7 THEN NULL ELSE 'p' || CAST(n_nationkey AS VARCHAR) END AS DocumentPath
-  FROM nation),
-departments AS (SELECT n_nationkey AS DepartmentID, n_name AS DepartmentName FROM nation),
+  FROM nation JOIN (VALUES (0), (1)) AS copies(c) ON c = 0 OR n_nationkey = 1),
+departments AS (SELECT n_nationkey AS DepartmentID,
+  CASE n_nationkey WHEN 3 THEN '' WHEN 5 THEN '007' ELSE n_name END AS DepartmentName FROM nation),
 sub_departments AS (SELECT s_suppkey AS SubDepartmentID, s_name AS Name FROM supplier),
 business_objects AS (
   SELECT * FROM (VALUES ('P','Master Policy'),('F1','Facility A'),('F2','Facility B'))
     AS t(ObjectCode, ObjectName)),
 facility_types AS (SELECT * FROM (VALUES (1,'F1'),(2,'F2')) AS t(FacilityTypesID, Code)),
 facility AS (
-  SELECT c_custkey AS FacilityID, 'FAC ' || CAST(c_custkey AS VARCHAR) AS FacilityRef,
+  SELECT c_custkey AS FacilityID,
+    CASE WHEN c_custkey % 13 = 0 THEN 'FAC' || chr(160) || CAST(c_custkey AS VARCHAR)
+         WHEN c_custkey % 17 = 0 THEN chr(160) || ' FAC ' || CAST(c_custkey AS VARCHAR)
+         WHEN c_custkey % 19 = 0 THEN chr(160) || '  ' WHEN c_custkey % 23 = 0 THEN NULL
+         ELSE 'FAC ' || CAST(c_custkey AS VARCHAR) END AS FacilityRef,
     CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE 'B' || CAST(c_custkey % 500 AS VARCHAR) END AS UniqueMarketRef,
-    make_date(CAST(1994 + c_custkey % 5 AS INT), CAST(1 + c_custkey % 12 AS INT), 1) AS InceptionDate,
-    CAST(NULL AS DATE) AS ExpiryDate, CAST(NULL AS TIMESTAMP) AS CreateDate,
+    make_timestamp(1994 + c_custkey % 5, 1 + c_custkey % 12, 1, CASE c_custkey % 120 WHEN 6 THEN 9 ELSE 0 END,
+      0, 0) AS InceptionDate,
+    CAST(NULL AS TIMESTAMP) AS ExpiryDate, CAST(NULL AS TIMESTAMP) AS CreateDate,
     c_nationkey AS DepartmentID, c_custkey % 11 AS SubDepartmentID, CAST(NULL AS INT) AS BrokerID,
     CAST(c_custkey % 3 AS INT) AS TypeFacility
   FROM customer WHERE c_custkey % 3 <> 0),
 master_policy AS (
   SELECT c_custkey AS PolicyID, 'POL ' || CAST(c_custkey AS VARCHAR) AS PolicyRef,
     'P' || CAST(c_custkey % 500 AS VARCHAR) AS UniqueMarketRef,
-    make_date(CAST(1994 + c_custkey % 5 AS INT), CAST(1 + c_custkey % 12 AS INT), 1) AS InceptionDate,
-    CAST(NULL AS DATE) AS ExpiryDate, CAST(NULL AS TIMESTAMP) AS CreateDate,
+    make_timestamp(1994 + c_custkey % 5, 1 + c_custkey % 12, 1, CASE c_custkey % 120 WHEN 6 THEN 9 ELSE 0 END,
+      0, 0) AS InceptionDate,
+    CAST(NULL AS TIMESTAMP) AS ExpiryDate, CAST(NULL AS TIMESTAMP) AS CreateDate,
     c_nationkey AS DepartmentID, c_custkey % 11 AS SubDepartmentID, CAST(NULL AS INT) AS BrokerProducerID
   FROM customer WHERE c_custkey % 3 = 0),
 folders AS (
@@ -64,7 +76,9 @@ docs AS (
       WHEN 7 THEN 'Scan' WHEN 8 THEN 'FOS' WHEN 9 THEN 'Policy' WHEN 10 THEN 'Cover note'
       WHEN 11 THEN 'Binder MRC' WHEN 12 THEN 'CONTRACT' WHEN 13 THEN 'slip final' WHEN 14 THEN 'Sign'
       WHEN 15 THEN 'Client Contract' WHEN 16 THEN 'Quote Slip' WHEN 17 THEN 'Endt Slip'
-      WHEN 18 THEN 'Declaration MRC' WHEN 19 THEN 'MRC xs' WHEN 20 THEN 'Misc' WHEN 21 THEN 'Placing slip'
+      WHEN 18 THEN 'Declaration MRC' WHEN 19 THEN 'MRC xs'
+      WHEN 20 THEN CASE o_orderkey % 2 WHEN 0 THEN 'pol ' || CAST(3 * (o_orderkey % 40 + 1) AS VARCHAR) || ' '
+        ELSE 'Misc' END WHEN 21 THEN 'Placing slip'
       ELSE NULL END AS DocumentName,
     CASE o_orderkey % 5 WHEN 0 THEN '/' || CAST(o_orderkey AS VARCHAR) || '.v1.docx'
       WHEN 1 THEN '/' || CAST(o_orderkey AS VARCHAR) || '.PDF' WHEN 2 THEN '/noext'
@@ -137,7 +151,7 @@ eligible AS (
   SELECT * FROM joined
   WHERE FolderTypeID IN (44, 52, 60, 83, 97)
     AND lower(rtrim(StatusName)) = 'exists'
-    AND InceptionDate > DATE '{INCEPTION_AFTER}'
+    AND InceptionDate > TIMESTAMP '{INCEPTION_AFTER}'
     AND CreateDate < TIMESTAMP '{CREATED_BEFORE}'),
 """
 
@@ -177,11 +191,20 @@ RANKED_SELECT = """DocumentID, FolderType, UniqueMarketRef, RootObjectID, Refere
     DocumentFilePath, DocumentFileURL, LibraryPath, FolderPath, StrippedFileName AS FileName,
     DocNumber, CreateDate"""
 
+def _ties(object_name: str = "ObjectName", file_name: str = "FileName") -> str:
+    """The rest of a total order: every other result column."""
+    columns = ["DocumentFileURL", "DocumentFilePath", "LibraryPath", "ServerName", "SiteName", "FolderType",
+               "FolderPath", "DepartmentName", object_name, "RootObjectID", "FolderID", "DocumentName", file_name,
+               "DocNumber", "UniqueMarketRef", "Reference", "InceptionDate", "SubDepartmentName"]
+    return ", ".join(f"{c} ASC NULLS FIRST" for c in columns)
+
+
 PRIORITY_CTES = f"""
 prioritised AS (SELECT *, {_ladder(False)} AS DocumentTypePriorityOrdinal FROM eligible),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY RootObjectID, lower(rtrim(RootObjectCode))
-    ORDER BY DocumentTypePriorityOrdinal ASC, CreateDate DESC NULLS LAST, DocumentID ASC)
+    ORDER BY DocumentTypePriorityOrdinal ASC, CreateDate DESC NULLS LAST, DocumentID ASC,
+      {_ties("BusObjectName", "StrippedFileName")})
     AS DocumentPriorityOrdinal
   FROM prioritised),
 selected AS (
@@ -194,17 +217,22 @@ manifest AS (
     landing_file AS filename,
     ' ' || CAST(record_num // {MANIFEST_FOLDER_SIZE} AS VARCHAR) || ' ' || DepartmentName || '/'
       || CAST(record_num AS VARCHAR) || ' - ' || landing_file AS landing_path,
-    DocumentFileURL, UniqueMarketRef, DocumentID
+    DocumentFileURL, UniqueMarketRef, DocumentID,
+    CASE WHEN DocumentID IS NULL OR RootObjectID IS NULL OR Reference IS NULL OR DocumentFileType IS NULL
+           THEN 'file name part missing'
+         WHEN landing_file IS NULL THEN 'file name cannot be built'
+         WHEN UniqueMarketRef IS NULL THEN 'market reference missing' END AS reason
   FROM (
     SELECT *, row_number() OVER (PARTITION BY DepartmentName
-        ORDER BY CreateDate ASC NULLS LAST, DocumentID ASC) - 1 AS record_num,
-      nullif(regexp_extract(CAST(DocumentID AS VARCHAR), '(\\S+)', 1), '') || '_'
-        || nullif(regexp_extract(CAST(RootObjectID AS VARCHAR), '(\\S+)', 1), '') || '_'
-        || nullif(regexp_extract(Reference, '(\\S+)', 1), '') || '.'
-        || nullif(regexp_extract(DocumentFileType, '(\\S+)', 1), '') AS landing_file
+        ORDER BY CreateDate ASC NULLS LAST, DocumentID ASC, {_ties()}) - 1 AS record_num,
+      nullif(regexp_extract(CAST(DocumentID AS VARCHAR), '([^{BLANKS}]+)', 1), '') || '_'
+        || nullif(regexp_extract(CAST(RootObjectID AS VARCHAR), '([^{BLANKS}]+)', 1), '') || '_'
+        || nullif(regexp_extract(Reference, '([^{BLANKS}]+)', 1), '') || '.'
+        || nullif(regexp_extract(DocumentFileType, '([^{BLANKS}]+)', 1), '') AS landing_file
     FROM selected WHERE DepartmentName IS NOT NULL) m),
 fetch_status AS (
-  SELECT *, CASE WHEN landing_path IS NOT NULL AND DocumentFileURL NOT LIKE '%*%'
+  SELECT *, CASE WHEN landing_path IS NOT NULL
+                  AND DocumentID IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'N')
                  THEN 'OK' ELSE 'FILE NOT FOUND' END AS status
   FROM manifest)
 """
@@ -266,14 +294,22 @@ JOIN (VALUES {', '.join(f"('{w}')" for w in dict.fromkeys(STOP_WORDS))})
   AS w(StopWord)
   ON position(lower(w.StopWord) IN lower(p.DocumentName)) > 0""",
     "selected_documents": BASE + "SELECT * FROM selected ORDER BY UniqueMarketRef DESC NULLS LAST, "
-                                 "DocumentPriorityOrdinal, DocumentID",
-    "registry_union": BASE + """
-SELECT *, 'RKH' AS Source FROM selected UNION ALL SELECT *, 'LUX' AS Source FROM selected""",
-    "decoded_text": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS decoded_length FROM documents",
+                                 "DocumentPriorityOrdinal, DocumentID, " + _ties(),
+    "registry_union": " UNION ALL ".join(
+        "SELECT *, '" + source + "' AS Source FROM (" + BASE.replace(
+            "FROM orders)", f"FROM orders WHERE o_orderkey % 2 = {half})") + "SELECT * FROM selected)"
+        for half, source in enumerate(("registry_a", "registry_b"))),
+    "decoded_text": """
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS decoded_length,
+  sha256(array_to_string(list_transform(range(0, strlen(text)),
+    lambda i: chr(CAST('0x' || substr(hex(encode(text)), 2 * i + 1, 2) AS INT))), '')) AS decoded_sha256
+FROM documents""",
     "creation_order": BASE + """
-SELECT *, row_number() OVER (ORDER BY CreateDate ASC NULLS LAST, DocumentID ASC) - 1 AS position
+SELECT *, row_number() OVER (ORDER BY CreateDate ASC NULLS LAST, DocumentID ASC, """ + _ties() + """) - 1
+  AS position
 FROM selected""",
-    "first_documents": BASE + "SELECT * FROM selected ORDER BY CreateDate ASC NULLS LAST, DocumentID LIMIT 5",
+    "first_documents": BASE + "SELECT * FROM selected ORDER BY CreateDate ASC NULLS LAST, DocumentID, "
+                              + _ties() + " LIMIT 5",
     "department_list": BASE + "SELECT DISTINCT DepartmentName FROM selected",
     "department_column_counts": BASE + f"""
 SELECT DepartmentName, {', '.join(f'count({c}) AS {c}' for c in _OTHERS)}
@@ -290,9 +326,7 @@ FROM (SELECT o_orderpriority, o_orderkey, o_orderdate,
     "folder_sizes": BASE + "SELECT DepartmentName, folder_num, count(*) AS documents FROM manifest "
                            "GROUP BY DepartmentName, folder_num",
     "rejected_rows": BASE + """
-SELECT DocumentID, DepartmentName, record_num,
-  CASE WHEN filename IS NULL THEN 'file name cannot be built' ELSE 'market reference missing' END AS reason
-FROM manifest WHERE filename IS NULL OR UniqueMarketRef IS NULL""",
+SELECT DocumentID, DepartmentName, record_num, reason FROM manifest WHERE reason IS NOT NULL""",
     "fetch_status": BASE + "SELECT * FROM fetch_status",
     "missing_files": BASE + "SELECT * EXCLUDE (status) FROM fetch_status WHERE status = 'FILE NOT FOUND'",
     "fetch_summary": BASE + "SELECT DepartmentName, status, count(*) AS documents FROM fetch_status "
@@ -307,6 +341,10 @@ UNION ALL
 SELECT DepartmentName, CAST(-1 AS BIGINT), DepartmentName || ' ' || CAST(count(*) AS VARCHAR), '{LOG_FILE}'
 FROM fetch_status GROUP BY DepartmentName""",
     "write_manifest": BASE + "SELECT * FROM manifest",
+    "landed_departments": BASE + """
+SELECT d.DepartmentName, count(m.DocumentID) AS documents, count(DISTINCT m.folder_num) AS folders,
+  count(m.DocumentID) > 0 AS landed
+FROM departments d LEFT JOIN manifest m ON m.DepartmentName = d.DepartmentName GROUP BY d.DepartmentName""",
     "run_log_file": BASE + f"""
 SELECT line AS value FROM (
   SELECT CASE WHEN status = 'OK' THEN coalesce(filename, '') || ' , OK , ' || coalesce(UniqueMarketRef, '')

@@ -14,9 +14,7 @@ def decode_latin1(c: Column) -> Column:
 
 
 def read_latin1_text(spark, path: str):
-    """Latin-1 text files, one row per line (``value``). The ``text`` source ignores the
-    encoding option, so the lines go through the CSV source with quoting off and a NUL
-    separator (one column per line); files are split and read in parallel."""
-    return (spark.read.schema("value string").option("encoding", LATIN1).option("sep", "\u0000")
-            .option("quote", "").option("escape", "\u0000").option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(path))
+    """Latin-1 text files, one row per line (``value``), blank lines and NUL bytes kept. The
+    ``text`` source splits files into lines without decoding them, so the bytes of a line are
+    intact and are decoded here; files are split and read in parallel."""
+    return spark.read.text(path).select(decode_latin1(F.col("value").cast("binary")).alias("value"))

@@ -27,6 +27,7 @@ FOLDERS = [
     (6, 60, "Signed", "sec6", "/e/f"),
 ]
 STATUSES = [(1, "Exists"), (2, "Deleted")]
+NBSP = "\u00a0"
 # Document names by o_orderkey % 23 (index 22 is a NULL name).
 DOCUMENT_NAMES = [
     "MRC Slip", "Signed Slip", "Contract v2", "London Market MRC", "Final wording", "Final",
@@ -70,10 +71,14 @@ def _small(spark: SparkSession, rows, schema: str) -> DataFrame:
 def divisions(spark, sf_dir):
     n = _read(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
+    # division 1 has settings for version 0 and for a NULL version: both match version 0
+    twice = F.when(k == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    n = n.withColumn("_copy", F.explode(twice))
     return n.select(
         k.alias("DivisionID"),
-        _case(k % 4, {0: F.lit(None).cast("int"), 1: 0}, F.lit(1)).alias("Version"),
-        F.concat(F.lit("http://srv"), F.col("n_regionkey").cast("string")).alias("Server"),
+        F.when(F.col("_copy") == 0, _case(k % 4, {0: F.lit(None).cast("int"), 1: 0}, F.lit(1))).alias("Version"),
+        F.concat(F.when(F.col("_copy") == 0, F.lit("http://srv")).otherwise(F.lit("http://alt")),
+                 F.col("n_regionkey").cast("string")).alias("Server"),
         F.concat(F.lit("sites/"), F.col("n_name"), F.lit("/ws")).alias("WorkSpace"),
         F.lit("Docs").alias("DocumentDocLibrary"),
         F.when(k == 7, F.lit(None).cast("string"))
@@ -82,8 +87,11 @@ def divisions(spark, sf_dir):
 
 
 def departments(spark, sf_dir):
+    """Nations; one department has an empty name and one a name of digits."""
+    k = F.col("n_nationkey")
     return _read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("DepartmentID"), F.col("n_name").alias("DepartmentName"))
+        k.alias("DepartmentID"), F.when(k == 3, F.lit("")).when(k == 5, F.lit("007"))
+        .otherwise(F.col("n_name")).alias("DepartmentName"))
 
 
 def sub_departments(spark, sf_dir):
@@ -93,7 +101,9 @@ def sub_departments(spark, sf_dir):
 
 def _contract_common(c):
     k = F.col("c_custkey")
-    inception = F.make_date((F.lit(1994) + k % 5).cast("int"), (F.lit(1) + k % 12).cast("int"), F.lit(1))
+    # some contracts incept at nine in the morning, also on the boundary day of the selection
+    inception = F.make_timestamp_ntz((F.lit(1994) + k % 5).cast("int"), (F.lit(1) + k % 12).cast("int"), F.lit(1),
+                                     F.when(k % 120 == 6, F.lit(9)).otherwise(F.lit(0)), F.lit(0), F.lit(0))
     return k, inception
 
 
@@ -102,7 +112,12 @@ def facility(spark, sf_dir):
     k, inception = _contract_common(c)
     return c.where(k % 3 != 0).select(
         k.alias("FacilityID"),
-        F.concat(F.lit("FAC "), k.cast("string")).alias("FacilityRef"),
+        # references with no-break spaces, as Latin-1 text holds them; blank and missing ones
+        F.when(k % 13 == 0, F.concat(F.lit("FAC" + NBSP), k.cast("string")))
+        .when(k % 17 == 0, F.concat(F.lit(NBSP + " FAC "), k.cast("string")))
+        .when(k % 19 == 0, F.lit(NBSP + "  "))
+        .when(k % 23 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("FAC "), k.cast("string"))).alias("FacilityRef"),
         F.when(k % 41 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("B"), (k % 500).cast("string"))).alias("UniqueMarketRef"),
         inception.alias("InceptionDate"),
@@ -139,6 +154,9 @@ def docs(spark, sf_dir):
                  .when(cust % 3 == 0, F.lit("P"))
                  .otherwise(F.concat(F.lit("F"), (cust % 3).cast("string"))))
     names = {i: F.lit(n).cast("string") for i, n in enumerate(DOCUMENT_NAMES)}
+    # some documents are named by a policy reference, in another case and with a blank behind
+    names[20] = F.when(k % 2 == 0, F.concat(F.lit("pol "), (3 * (k % 40 + 1)).cast("string"), F.lit(" "))) \
+        .otherwise(F.lit(DOCUMENT_NAMES[20]))
     return o.select(
         k.alias("DocumentID"),
         cust.alias("RootObjectID"),
@@ -152,10 +170,22 @@ def docs(spark, sf_dir):
         _case(k % 17, {0: F.lit(None).cast("int"), 1: 0, 2: 123}, (k % 17).cast("int")).alias("FolderNumber"),
         F.concat(F.lit("D"), doc_id).alias("DocNumber"),
         F.col("o_orderdate").alias("CreateDate"),
+        F.col("o_orderstatus").alias("UserName"),
     )
 
 
+# Two registries that share the tables but not the documents: each holds one half of them, and
+# the second lacks an optional column.
+HALVES = {"registry_a": 0, "registry_b": 1}
+
+
 def fixture_registry(spark: SparkSession, sf_dir: str, source: str = "default") -> Registry:
+    """All documents, or for the sources of ``HALVES`` the half of them that this source holds."""
+    held = docs(spark, sf_dir)
+    if source in HALVES:
+        held = held.where(F.col("DocumentID") % 2 == HALVES[source])
+        if HALVES[source]:
+            held = held.drop("UserName")
     tables = {
         "divisions": divisions(spark, sf_dir),
         "departments": departments(spark, sf_dir),
@@ -167,6 +197,6 @@ def fixture_registry(spark: SparkSession, sf_dir: str, source: str = "default")
         "folders": _small(spark, FOLDERS, "FolderID int, FolderTypeID int, FolderType string, "
                                           "SectionKey string, FolderPath string"),
         "statuses": _small(spark, STATUSES, "DocumentSystemStatusID int, StatusName string"),
-        "docs": docs(spark, sf_dir),
+        "docs": held,
     }
     return Registry(**{n: conform(df, n) for n, df in tables.items()}, source=source)

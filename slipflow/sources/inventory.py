@@ -1,6 +1,9 @@
 """Landed-file inventory: which files exist under a landing root, read with Spark's
-``binaryFile`` source (file listing is distributed; the ``content`` column is never selected,
-so file bytes are not read)."""
+``binaryFile`` source (the ``content`` column is never selected, so file bytes are not read).
+
+Many folders are listed by tasks, but Spark's driver then holds one file status per listed file.
+So this serves one range of folders at a time (``folders``); for whole runs of many millions of
+files the input of reconciliation is a table of fetch results (``reconcile.fetch_status``)."""
 
 from __future__ import annotations
 

@@ -44,8 +44,8 @@ SCHEMAS: dict[str, T.StructType] = {
         T.StructField("FacilityID", T.LongType()),
         T.StructField("FacilityRef", T.StringType()),
         T.StructField("UniqueMarketRef", T.StringType()),
-        T.StructField("InceptionDate", T.DateType()),
-        T.StructField("ExpiryDate", T.DateType()),
+        T.StructField("InceptionDate", T.TimestampNTZType()),
+        T.StructField("ExpiryDate", T.TimestampNTZType()),
         T.StructField("CreateDate", T.TimestampNTZType()),
         T.StructField("DepartmentID", T.IntegerType()),
         T.StructField("SubDepartmentID", T.LongType()),
@@ -56,8 +56,8 @@ SCHEMAS: dict[str, T.StructType] = {
         T.StructField("PolicyID", T.LongType()),
         T.StructField("PolicyRef", T.StringType()),
         T.StructField("UniqueMarketRef", T.StringType()),
-        T.StructField("InceptionDate", T.DateType()),
-        T.StructField("ExpiryDate", T.DateType()),
+        T.StructField("InceptionDate", T.TimestampNTZType()),
+        T.StructField("ExpiryDate", T.TimestampNTZType()),
         T.StructField("CreateDate", T.TimestampNTZType()),
         T.StructField("DepartmentID", T.IntegerType()),
         T.StructField("SubDepartmentID", T.LongType()),
@@ -100,19 +100,8 @@ OPTIONAL_COLUMNS = {
     "docs": {"TemplateID", "UserName"},
 }
 
-# Source table name in the registry database for each registry member.
-SOURCE_TABLES = {
-    "divisions": "dbo.todmDivisions",
-    "departments": "dbo.toDepartments",
-    "sub_departments": "dbo.toSubDepartments",
-    "business_objects": "dbo.toBusinessObjects",
-    "facility_types": "dbo.toFacilityTypes",
-    "facility": "dbo.toFacility",
-    "master_policy": "dbo.toMasterPolicy",
-    "folders": "dbo.todmFolders",
-    "statuses": "dbo.todmDocumentSystemStatuses",
-    "docs": "dbo.todmDocuments",
-}
+# Tables that grow with the data: over JDBC they are read by ranges of a key, never over one connection.
+LARGE_TABLES = ("docs", "facility", "master_policy")
 
 
 @dataclass(frozen=True)
@@ -169,37 +158,52 @@ def load_parquet(spark: SparkSession, root: str, source: str = "default") -> Reg
     )
 
 
-def jdbc_options(url: str, name: str, *, properties: dict | None = None,
-                 partition_column: str | None = None, lower_bound: int | None = None,
-                 upper_bound: int | None = None, num_partitions: int | None = None) -> dict:
+def jdbc_options(url: str, name: str, *, table: str | None = None, columns: list[str] | None = None,
+                 properties: dict | None = None, partition_column: str | None = None,
+                 lower_bound: int | None = None, upper_bound: int | None = None,
+                 num_partitions: int | None = None) -> dict:
     """Reader options for one registry table: a subquery of only the needed columns, and, for
-    large tables, a range partitioning on an integer key (``num_partitions`` parallel queries)."""
-    cols = ", ".join(f.name for f in SCHEMAS[name].fields)
-    opts = {"url": url, "dbtable": f"(SELECT {cols} FROM {SOURCE_TABLES[name]}) AS t"}
+    large tables, a range partitioning on an integer key (``num_partitions`` parallel queries).
+
+    ``table`` is the source's table name (default: ``name``). ``columns`` are the columns that the
+    source has, so that optional ones it lacks are not asked for (default: all are there).
+    Datetimes are read without a time zone, as the registry stores them. The tables of
+    ``LARGE_TABLES`` need a ``partition_column`` with its bounds.
+    """
+    have = None if columns is None else {c.lower() for c in columns}
+    wanted = [f.name for f in SCHEMAS[name].fields
+              if have is None or f.name.lower() in have or f.name not in OPTIONAL_COLUMNS.get(name, set())]
+    opts = {"url": url, "dbtable": f"(SELECT {', '.join(wanted)} FROM {table or name}) AS t",
+            "preferTimestampNTZ": "true"}
     opts.update(properties or {})
     if partition_column is not None:
         if None in (lower_bound, upper_bound, num_partitions):
             raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
         opts.update({"partitionColumn": partition_column, "lowerBound": str(lower_bound),
                      "upperBound": str(upper_bound), "numPartitions": str(num_partitions)})
+    elif name in LARGE_TABLES:
+        raise ValueError(f"table {name!r} grows with the data: pass partition_column and its bounds")
     return opts
 
 
-def read_jdbc(spark: SparkSession, url: str, name: str, **options) -> DataFrame:
-    """Read one registry table over JDBC, only its needed columns (see ``jdbc_options``).
-
-    Large tables (documents, contracts) should pass ``partition_column`` with bounds so Spark
-    issues ``num_partitions`` range queries in parallel instead of one single-connection scan.
-    """
-    return conform(spark.read.format("jdbc").options(**jdbc_options(url, name, **options)).load(), name)
+def read_jdbc(spark: SparkSession, url: str, name: str, *, table: str | None = None,
+              properties: dict | None = None, **partitioning) -> DataFrame:
+    """Read one registry table over JDBC, only its needed columns (see ``jdbc_options``). The
+    columns that the source has are read from an empty result first."""
+    jdbc_options(url, name, **partitioning)  # fail on missing bounds before any connection
+    empty = {"url": url, "dbtable": f"(SELECT * FROM {table or name} WHERE 1 = 0) AS t", **(properties or {})}
+    columns = spark.read.format("jdbc").options(**empty).load().columns
+    opts = jdbc_options(url, name, table=table, columns=columns, properties=properties, **partitioning)
+    return conform(spark.read.format("jdbc").options(**opts).load(), name)
 
 
-def load_jdbc(spark: SparkSession, url: str, *, properties: dict | None = None,
-              partitions: dict | None = None, source: str = "default") -> Registry:
-    """Registry read over JDBC; ``partitions`` maps a table name to read_jdbc range options."""
-    partitions = partitions or {}
+def load_jdbc(spark: SparkSession, url: str, *, partitions: dict, tables: dict[str, str] | None = None,
+              properties: dict | None = None, source: str = "default") -> Registry:
+    """Registry read over JDBC. ``partitions`` maps a table name to its range options, needed for
+    every table of ``LARGE_TABLES``; ``tables`` maps a registry table to its name in the source."""
+    tables = tables or {}
     return Registry(
-        **{n: read_jdbc(spark, url, n, properties=properties, **partitions.get(n, {}))
+        **{n: read_jdbc(spark, url, n, table=tables.get(n), properties=properties, **partitions.get(n, {}))
            for n in Registry.table_names()},
         source=source,
     )

@@ -39,7 +39,10 @@ def doc(doc_id, name, *, folder=60, file_name=None, root=100, code="P", dept=1,
 
 def frame(spark, name, rows):
     schema = SCHEMAS[name]
-    data = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
+    def value(v):  # dates stand for midnight
+        return dt.datetime(v.year, v.month, v.day) if type(v) is dt.date else v
+
+    data = [tuple(value(r.get(f.name)) for f in schema.fields) for r in rows]
     return conform(spark.createDataFrame(data, schema), name)
 
 

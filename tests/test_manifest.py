@@ -52,6 +52,15 @@ def test_file_name_and_landing_path(spark):
     assert got[13]["filename"] is None and got[13]["landing_path"] is None
     rejected = {r["DocumentID"]: r["reason"] for r in manifest.rejected_rows(man).collect()}
     assert rejected == {11: "market reference missing", 13: "file name cannot be built"}
+    odd = [(1, 7, None, "pdf", "", None, "u", "m"), (2, 7, "FAC\u00a0123", "pdf", "007", None, "u", "m"),
+           (3, 7, "\u2003\u00a0x y", "pdf", "", None, "u", "m"), (4, 7, "\u00a0", "pdf", "", None, "u", "m")]
+    got = {r["DocumentID"]: r for r in manifest.batch_manifest(selected(spark, odd), 300).collect()}
+    assert (got[1]["reason"], got[4]["reason"]) == ("file name part missing", "file name cannot be built")
+    assert got[2]["filename"] == "2_7_" + "FAC\u00a0123".split()[0] + ".pdf"
+    assert got[3]["filename"] == "3_7_" + "\u2003\u00a0x y".split()[0] + ".pdf"
+    keys = {r["k"] for r in spark.createDataFrame([("",), ("007",), ("7",), ("d",)], "n string").select(
+        manifest.department_key(F.col("n")).alias("k")).collect()}
+    assert len(keys) == 4 and "" not in keys
 
 
 def test_creation_order_puts_missing_dates_last(spark):

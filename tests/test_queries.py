@@ -17,7 +17,7 @@ def con():
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.count() == 34
+    assert df.count() == 37
     assert len(df.columns) == 24
 
 

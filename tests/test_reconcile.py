@@ -46,7 +46,7 @@ def test_fetch_status_against_landed_files(spark, tmp_path):
     assert lines[("Marine", 0)] == "1_7_FAC.pdf , OK , U1"
     assert lines[("Marine", 1)] == "2_7_FAC.pdf , FILE NOT FOUND  , U2"
     assert lines[("Aviation", 0)] == "3_7_POL.pdf , OK , "
-    assert {r["log_file"] for r in log.collect()} == {"04-08-21 14PM.txt"}
+    assert {r["log_file"] for r in log.collect()} == {" 04-08-21 14PM.txt"}
 
 
 def test_write_run_log_keeps_order(spark, tmp_path):

@@ -21,8 +21,10 @@ def hot_registry(spark):
 
 
 def ranks(df):
-    return {r["DocumentID"]: r["DocumentPriorityOrdinal"]
-            for r in df.select("DocumentID", "DocumentPriorityOrdinal").collect()}
+    rows = df.select("DocumentID", "DocumentFileURL", "RootObjectID", "DocumentPriorityOrdinal").collect()
+    out = {(r["DocumentID"], r["DocumentFileURL"], r["RootObjectID"]): r["DocumentPriorityOrdinal"] for r in rows}
+    assert len(out) == len(rows)
+    return out
 
 
 def test_hot_contract_is_split_and_exact(spark):
@@ -40,17 +42,60 @@ def test_hot_contract_is_split_and_exact(spark):
     assert ranks(auto) == want
     assert ranks(priority.rank_documents(p, strategy="split", num_slices=16)) == want
 
-    best = {r["DocumentID"] for r in priority.best_document(p).collect()}
-    assert best == {d for d, r in want.items() if r == 1}
+    first = {d for d, r in want.items() if r == 1}
+    key = lambda r: (r["DocumentID"], r["DocumentFileURL"], r["RootObjectID"])
+    assert {key(r) for r in priority.best_document(p).collect()} == first
+    assert {key(r) for r in priority.best_documents(hot_registry(spark), FIXTURE).collect()} == first
+
+
+def test_hot_contract_is_measured_and_reduced_before_the_contract_join(spark):
+    """Neither the measuring nor the rank-1 aggregation stands on the contract join."""
+    reg = hot_registry(spark)
+    sizes = priority.contract_sizes(reg, FIXTURE)
+    p = priority.rank_input(priority.prioritised_documents(reg, FIXTURE))
+    real = {(r[0], r[1]): r[2] for r in p.groupBy(*priority.CONTRACT_KEYS).count().collect()}
+    bound = {(r[0], r[1]): r[2] for r in sizes.collect()}
+    assert all(bound[k] >= n for k, n in real.items())
+    plan = sizes._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    want = ranks(priority.rank_documents(p, strategy="window"))
+    got = priority.rank_documents(p, single_task_rows=40, group_sizes=lambda: sizes)
+    assert ranks(got) == want
+    best = priority.best_documents(reg, FIXTURE)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, ln in enumerate(best) if "Join Inner" in ln and "ContractCode" in ln]
+    groups = [i for i, ln in enumerate(best) if "Aggregate" in ln]
+    assert joins and groups and min(joins) < min(groups)  # the aggregations lie below the join
+
+
+def test_references_split_hot_keys(spark):
+    """Semi-join to repeated references: plain exchanges on both sides. Policy flags: a frequent
+    name is joined under many salts, each document once."""
+    from slipflow.operators import selection
+    reg = registry(spark, SF)
+    sel = selection.selected_documents(reg, FIXTURE, ordered=False)
+    refs = reg.master_policy.select("UniqueMarketRef")
+    plan = selection.filter_by_reference(sel, refs.unionByName(refs), FIXTURE)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in text and "Aggregate" not in text.split("LeftSemi")[1].split("master")[0][:200]
+    assert plan.exceptAll(selection.filter_by_reference(sel, refs, FIXTURE)).count() == 0
+    docs = reg.docs.withColumn("DocumentName", F.when(F.col("DocumentID") % 3 == 0, F.lit("POL 3"))
+                               .otherwise(F.col("DocumentName")))
+    flagged = priority.policy_ref_flags(reg, docs, FIXTURE)
+    assert flagged.count() == docs.count()
+    hot = flagged.where("DocumentName = 'POL 3'")
+    assert hot.where("NOT IsPolicyRef OR IsPolicyRef IS NULL").count() == 0
+    assert flagged.where("DocumentName IS NULL AND IsPolicyRef IS NOT NULL").count() == 0
 
 
 def test_registry_row_bound(spark):
     from slipflow.sources.fixtures import fixture_registry
     reg = fixture_registry(spark, "/root/testdata/sf0.001")
-    assert priority.registry_row_bound(reg, FIXTURE) == reg.docs.count()      # keys unique: fan-out 1
+    once = reg.with_tables(divisions=reg.divisions.where("Server NOT LIKE 'http://alt%'"))
+    assert priority.registry_row_bound(once, FIXTURE) == reg.docs.count()     # keys unique: fan-out 1
+    assert priority.registry_row_bound(reg, FIXTURE) == 2 * reg.docs.count()  # division 1 matches twice
     bos = reg.business_objects.unionByName(reg.business_objects.where("ObjectCode = 'P'"))
     doubled = reg.with_tables(business_objects=bos)                           # code P twice
-    assert priority.registry_row_bound(doubled, FIXTURE) == 4 * reg.docs.count()  # lookup x contracts
+    assert priority.registry_row_bound(doubled, FIXTURE) == 8 * reg.docs.count()  # divisions x lookup x contracts
 
 
 def test_manifest_with_every_department_hot(spark):
@@ -60,5 +105,5 @@ def test_manifest_with_every_department_hot(spark):
     plain = manifest.batch_manifest(sel, 10, strategy="window")
     hot = manifest.batch_manifest(sel, 10, single_task_rows=5, num_slices=12)
     plan = hot._jdf.queryExecution().optimizedPlan().toString()
-    assert "_pos" in plan
-    assert plain.count() == 541 and plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+    assert "_pos" in plan and "row_number" not in plan.split("_pos")[0]  # no second branch
+    assert plain.count() > 500 and plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0

@@ -16,13 +16,13 @@ def test_parquet_registry_round_trip(spark, tmp_path):
     reg = fixture_registry(spark, "/root/testdata/sf0.001")
     for name in Registry.table_names():
         reg.table(name).write.parquet(str(tmp_path / f"{name}.parquet"))
-    loaded = load_parquet(spark, str(tmp_path), source="RKH")
-    assert loaded.source == "RKH"
+    loaded = load_parquet(spark, str(tmp_path), source="registry_a")
+    assert loaded.source == "registry_a"
     for name in Registry.table_names():
         assert loaded.table(name).schema == SCHEMAS[name]
     a = selection.selected_documents(reg, FIXTURE, ordered=False)
     b = selection.selected_documents(loaded, FIXTURE, ordered=False)
-    assert a.count() == 34 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.count() == 37 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_conform_adds_missing_optional_columns_and_ignores_extra(spark):
@@ -45,18 +45,34 @@ def test_latin1_decoding(spark):
 def test_read_latin1_text_lines(spark, tmp_path):
     from slipflow.sources.encoding import read_latin1_text
     (tmp_path / "a.txt").write_bytes(b'caf\xe9 "x", y\n  na\xefve \n')
-    assert [r["value"] for r in read_latin1_text(spark, str(tmp_path)).collect()] == ['café "x", y', "  naïve "]
+    (tmp_path / "b.txt").write_bytes(b"one\n\n   \ntwo\x00tail\nthree\xa0\n")
+    assert sorted(r["value"] for r in read_latin1_text(spark, str(tmp_path)).collect()) == sorted(
+        ['café "x", y', "  naïve ", "one", "", "   ", "two\x00tail", "three\xa0"])
 
 
 def test_jdbc_options_read_only_needed_columns_in_parallel():
     from slipflow.sources.registry import jdbc_options
-    opts = jdbc_options("jdbc:sqlserver://host;databaseName=x", "docs", properties={"user": "u"},
-                        partition_column="DocumentID", lower_bound=1, upper_bound=10_000_000,
+    opts = jdbc_options("jdbc:sqlserver://host;databaseName=x", "docs", table="dbo.Documents",
+                        properties={"user": "u"}, partition_column="DocumentID", lower_bound=1, upper_bound=10_000_000,
                         num_partitions=200)
     assert opts["dbtable"].startswith("(SELECT DocumentID, RootObjectID, RootObjectCode, FolderID")
-    assert "FROM dbo.todmDocuments) AS t" in opts["dbtable"]
+    assert "FROM dbo.Documents) AS t" in opts["dbtable"] and opts["preferTimestampNTZ"] == "true"
     assert (opts["partitionColumn"], opts["numPartitions"], opts["user"]) == ("DocumentID", "200", "u")
     divisions = jdbc_options("jdbc:x", "divisions")["dbtable"]
     assert "Password" not in divisions and "partitionColumn" not in jdbc_options("jdbc:x", "divisions")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "docs", partition_column="DocumentID")
+    for large in ("docs", "facility", "master_policy"):  # never over one connection
+        with pytest.raises(ValueError, match="partition_column"):
+            jdbc_options("jdbc:x", large)
+
+
+def test_jdbc_does_not_ask_for_optional_columns_the_source_lacks():
+    from slipflow.sources.registry import jdbc_options
+    bounds = dict(partition_column="FacilityID", lower_bound=1, upper_bound=9, num_partitions=2)
+    have = ["facilityid", "FacilityRef", "UniqueMarketRef", "InceptionDate", "DepartmentID", "SubDepartmentID",
+            "TypeFacility"]
+    query = jdbc_options("jdbc:x", "facility", columns=have, **bounds)["dbtable"]
+    assert "ExpiryDate" not in query and "BrokerID" not in query and "FacilityID" in query
+    missing = jdbc_options("jdbc:x", "facility", columns=["FacilityID"], **bounds)["dbtable"]
+    assert "TypeFacility" in missing  # a required column is asked for and fails at the source
