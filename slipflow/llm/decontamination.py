@@ -152,7 +152,7 @@ class Benchmark:
         self.items, owner, vectors = [], [], []
         # a word that no item has weighs at most as much in a window's norm as the items' median
         # word: a few rare words put into a copy must not hide it
-        own = np.unique([term(w) for _, t in items for w in map(plain, t.encode().lower().split())])
+        own = np.unique(np.array([term(w) for _, t in items for w in map(plain, t.encode().lower().split())], np.int64))
         own = own[own < TERMS]
         self.norm = np.minimum(self.idf, np.median(idf[own]) if len(own) else np.inf).astype(np.float32)
         self.norm[own] = self.idf[own]

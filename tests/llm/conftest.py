@@ -1,17 +1,6 @@
 import pytest
-from pyspark.sql import types as T
 
-SF = "/root/testdata/sf0.001"
-
-DOC_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
-    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("n_chars", T.LongType()),
-    # names that operators use themselves
-    T.StructField("score", T.StringType()), T.StructField("node", T.StringType()),
-    T.StructField("drop", T.StringType()), T.StructField("text_key", T.StringType()),
-    T.StructField("label", T.StringType()),
-])
+from llm_cases import DOC_SCHEMA, SF
 
 
 @pytest.fixture(scope="session")
@@ -28,9 +17,3 @@ def sample():
     """(doc_id, text) of the smallest documents table."""
     import duckdb
     return duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY 1").fetchall()
-
-
-#: nulls, empty and blank texts, ties, repeated rows
-ODD = [(None, None), (None, "a line of some length\nshort"), (1, None), (2, ""), (3, " \t\n "), (4, "word"),
-       (5, "Word "), (5, "Word "), (5, "another text of the same id"), (6, "a line of some length\nshort"),
-       (7, "A LINE OF SOME LENGTH\nother"), (8, "x" * 3000 + "\n" + "é ü 日本 " * 50)]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import ODD, SF
+from llm_cases import ODD
 from slipflow.llm import quality_ftrl, toxicity_cnn
 
 BIG = "/root/testdata/sf0.01"
@@ -105,5 +105,3 @@ def test_calibration_by_language():
     assert 0.2 < cut["en"] < 0.3 and 0.6 < cut["de"] < 0.7 and "fr" not in cut
 
 
-def test_sf_is_there():
-    assert SF

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as E
-from conftest import ODD, SF
+from llm_cases import ODD, SF
 from slipflow.llm import decontamination as D
 
 ITEM_SCHEMA = "item_id long, text string, doc_id string"

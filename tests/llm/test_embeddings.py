@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF
+from llm_cases import SF
 from slipflow.llm import embedding_dedup as V
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, key string"

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 
 import __spark_entry__ as E
-from conftest import ODD, SF
+from llm_cases import ODD, SF
 from oracle_compare import compare, duck
 from slipflow.llm.line_dedup import dedup_lines, drop_repeated_lines
 

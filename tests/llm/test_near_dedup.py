@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
-from conftest import ODD, SF
+from llm_cases import ODD, SF
 from slipflow.llm import near_dedup as N
 from slipflow.llm.components import components
 

@@ -4,7 +4,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import ODD, SF
+from llm_cases import ODD, SF
 from slipflow.llm import pii_crf
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

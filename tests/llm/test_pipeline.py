@@ -3,7 +3,7 @@
 import hashlib
 
 import corpus_pipeline as P
-from conftest import ODD, SF
+from llm_cases import ODD, SF
 from slipflow.llm import decontamination, quality_ftrl, sentencepieces
 from test_line_dedup import brute as line_brute
 from test_near_dedup import brute as near_brute

@@ -5,7 +5,7 @@ import pytest
 import sentencepiece
 
 import __spark_entry__ as E
-from conftest import ODD, SF
+from llm_cases import ODD, SF
 from slipflow.llm import sentencepieces as S
 
 

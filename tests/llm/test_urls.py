@@ -1,5 +1,5 @@
 import __spark_entry__ as E
-from conftest import SF
+from llm_cases import SF
 from oracle_compare import compare, duck
 from slipflow.llm import url_filter as U
 
