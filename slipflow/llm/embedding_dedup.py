@@ -106,7 +106,8 @@ def compare(kind: str, threshold: float):
         out = {"node": [], "other": [], "links": []}
         if len(left) and len(right):
             x, y = units(left["raw"], kind), units(right["raw"], kind)
-            signs = np.unpackbits(np.stack([np.frombuffer(c, np.uint8) for c in left["code"]]), axis=1)[:, :dim] * 2.0 - 1
+            code = np.stack([np.frombuffer(c, np.uint8) for c in left["code"]])
+            signs = np.unpackbits(code, axis=1)[:, :dim] * 2.0 - 1
             f = left["factor"].to_numpy()[:, None]
             estimate = signs @ (y @ rotation(dim, 0).T).T / math.sqrt(dim) / f
             bound = EPSILON * np.sqrt(np.maximum(1 - f * f, 0)) / f / math.sqrt(max(dim - 1, 1))

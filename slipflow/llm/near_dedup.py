@@ -10,8 +10,8 @@ and every link is verified by the exact J_P.
 Scale and skew. Exact copies meet in an aggregation and go on as one node, so a group of copies
 costs one row per task. In a bucket, texts are compared by their registers in numpy, blocks of at
 most ``CHUNK`` rows against each other, and only a spanning forest of the likely links leaves the
-task. Links that fail the exact test are followed by a second round over the buckets that still
-hold several components, with the ``FEW`` best partners of every node in other components, and,
+task. It may miss some, and some fail the exact test: a second round over the buckets that still
+hold several components follows, with the ``FEW`` best partners of every node in other components, and,
 if some node has more, by a last one with all of them. Only connected components are asked for, so
 pairs inside one component are never looked at again, and none between two components stays
 unexamined.
@@ -34,8 +34,8 @@ from .components import components
 WORDS = 5
 BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
-CHUNK = 512
-FEW = 16
+CHUNK = 4096
+BEST, FEW = 8, 16
 SHARE = 20_000
 SIMILARITY = 0.8
 #: A pair goes to the exact test when at least this share of its registers agrees: more than six
@@ -183,11 +183,30 @@ def spanning(u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
+def agreements(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Equal registers of every row with every column of the transposed registers."""
+    if columns.shape[1] <= 64:
+        return (rows[:, None, :] == columns.T[None, :, :]).sum(2)
+    total = np.zeros((len(rows), columns.shape[1]), np.uint8)  # REGISTERS < 256
+    for r in range(REGISTERS):
+        total += rows[:, r, None] == columns[r]
+    return total
+
+
+def forest(pairs: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Of pairs (row, row, agreements) those of a spanning forest of their components, the best first."""
+    if not len(pairs):
+        return pairs
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]
+    at = np.unique(comp[pairs[:, :2]], return_inverse=True)[1].reshape(-1, 2)
+    return pairs[spanning(at[:, 0], at[:, 1])]
+
+
 def likely_links(take: int):
     """Function for applyInPandas over one share of the block pairs: pairs of different components
     that agree on LIKELY of the registers. take 0: of every block pair a spanning forest of the
-    best of them; otherwise the best ``take`` of every node (below 0: all). A pair of nulls tells
-    that a node had more than were taken."""
+    ``BEST`` of every node; otherwise the best ``take`` of every node (below 0: all). A pair of nulls
+    tells that a node had more than were taken."""
     def find(share: pd.DataFrame) -> pd.DataFrame:
         share = share.sort_values(["bucket", "x", "y", "node"], ignore_index=True)
         bucket, x, y, side = (share[c].to_numpy(np.int64) for c in ("bucket", "x", "y", "side"))
@@ -212,27 +231,28 @@ def likely_links(take: int):
             alike, band = x[a] == y[a], bucket[a] >> 8 * ROWS
             left = np.arange(a, b) if alike else a + np.flatnonzero(side[a:b] == 1)
             right = left if alike else a + np.flatnonzero(side[a:b] == 2)
-            pairs = [np.zeros((0, 3), np.int64)]
-            for i in left:
-                equal = sig[right] == sig[i]
-                same = equal.sum(1)
-                ok = (same >= LIKELY * REGISTERS) & (comp[right] != comp[i])
-                if alike and take <= 0:
-                    ok &= right > i
-                ok = np.flatnonzero(ok)
-                if band and len(ok):
-                    ok = ok[~equal[ok, :band * ROWS].reshape(len(ok), band, ROWS).all(2).any(1)]
-                if take > 0 and len(ok) > take:
-                    more = True
-                    ok = ok[np.argsort(-same[ok], kind="stable")[:take]]
-                pairs.append(np.stack([np.full(len(ok), i), right[ok], same[ok]], axis=1))
+            pairs, columns = [np.zeros((0, 3), np.int64)], np.ascontiguousarray(sig[right].T)
+            for at in range(0, len(left), 64):
+                some = left[at:at + 64]
+                same = agreements(sig[some], columns)
+                ok = (same >= LIKELY * REGISTERS) & (comp[right] != comp[some][:, None])
+                if alike and take < 0:
+                    ok &= right > some[:, None]
+                most = take or BEST
+                if 0 < most < ok.sum(1).max(initial=0):  # the best of each row
+                    more |= take > 0
+                    best = np.argpartition(np.where(ok, same, 0), -most, axis=1)[:, -most:]
+                    chosen = np.zeros_like(ok)
+                    np.put_along_axis(chosen, best, True, axis=1)
+                    ok &= chosen
+                i, j = np.nonzero(ok)
+                if band and len(i):
+                    equal = sig[some[i], :band * ROWS] == sig[right[j], :band * ROWS]
+                    fresh = ~equal.reshape(len(i), band, ROWS).all(2).any(1)
+                    i, j = i[fresh], j[fresh]
+                pairs.append(np.stack([some[i], right[j], same[i, j]], axis=1).astype(np.int64))
             pairs = np.concatenate(pairs)
-            if take == 0 and len(pairs):
-                pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]
-                names, at = np.unique(comp[pairs[:, :2]], return_inverse=True)
-                at = at.reshape(-1, 2)
-                pairs = pairs[spanning(at[:, 0], at[:, 1])]
-            found.append(pairs[:, :2])
+            found.append((forest(pairs, comp) if take == 0 else pairs)[:, :2])
         pairs = np.unique(np.concatenate(found), axis=0)
         p, q, mark = node[pairs[:, 0]], node[pairs[:, 1]], [None] * more
         swap = p > q
@@ -377,4 +397,5 @@ def _texts_of(rows: DataFrame, near: DataFrame) -> DataFrame:
 
 def op10_probminhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_class", "n_copies", "kept")
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_class", "n_copies", "kept")

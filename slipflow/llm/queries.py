@@ -14,7 +14,8 @@ from .toxicity_cnn import op5_toxicity_cnn
 from .url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii_crf, op2_lm_scoring, op3_embedding_dedup, op4_line_dedup, op5_toxicity_cnn, op6_decontamination, op7_url_filter, op8_quality_ftrl, op9_sentencepiece, op10_probminhash,
+    op1_pii_crf, op2_lm_scoring, op3_embedding_dedup, op4_line_dedup, op5_toxicity_cnn, op6_decontamination,
+    op7_url_filter, op8_quality_ftrl, op9_sentencepiece, op10_probminhash,
 )}
 
 ORACLE = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
