@@ -47,7 +47,8 @@ def streams(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
 
 def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sparse vector (slots, values) of each training text."""
+    """Sparse vector (slots, values; as bytes, which the driver holds ten times smaller than rows
+    of numbers) of each training text."""
     for run in pieces(batches):
         out = [[] for _ in range(len(run))]
         for slots, starts, ends in streams(run):
@@ -58,7 +59,7 @@ def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             slots, counts = np.unique(np.concatenate(parts), return_counts=True)
             rows.append((slots.astype(np.int32), (counts * (SCALE / max(1, len(parts[0])))).astype(np.float32)))
         yield pd.DataFrame({"label": run["label"].to_numpy(np.int32), "order": run["doc_id"].to_numpy(np.int64),
-                            "slots": [r[0] for r in rows], "vals": [r[1] for r in rows]})
+                            "slots": [r[0].tobytes() for r in rows], "vals": [r[1].tobytes() for r in rows]})
 
 
 def ftrl(rows: list[tuple[float, np.ndarray, np.ndarray]], size: int, alpha: float = 0.3,
@@ -88,9 +89,10 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int
     """FTRL model from at most ``most`` labelled documents (the documented bound of the sample;
     their sparse vectors are the only rows the driver gets). No labels: an all-zero model."""
     sample = (training_rows(docs, labels, target, most, fold)
-              .mapInPandas(vectors, "label int, order long, slots array<int>, vals array<float>")
+              .mapInPandas(vectors, "label int, order long, slots binary, vals binary")
               .orderBy(F.xxhash64("order"), "order", F.hash("slots")).collect())
-    rows = [(float(r.label), np.array(r.slots, np.int64), np.array(r.vals)) for r in sample]
+    rows = [(float(r.label), np.frombuffer(bytes(r.slots), np.int32), np.frombuffer(bytes(r.vals), np.float32))
+            for r in sample]
     return ftrl(rows, 1 << BITS)
 
 

@@ -60,7 +60,8 @@ def test_ftrl_streams_match_a_plain_count(make_docs):
 
     got = next(quality_ftrl.scorer(Model)(iter([run])))["score"].to_numpy()
     for vec, score in zip(next(quality_ftrl.vectors(iter([run]))).itertuples(), got):
-        assert score == pytest.approx(1 / (1 + np.exp(-(0.5 + float(weights[vec.slots].astype(float) @ vec.vals)))), abs=1e-5)
+        slots, vals = np.frombuffer(vec.slots, np.int32), np.frombuffer(vec.vals, np.float32)
+        assert score == pytest.approx(1 / (1 + np.exp(-(0.5 + float(weights[slots].astype(float) @ vals)))), abs=1e-5)
 
 
 @pytest.mark.parametrize("kind", ["quality", "toxic"])
