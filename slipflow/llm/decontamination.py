@@ -117,7 +117,7 @@ def randomised_svd(items: DataFrame, idf: np.ndarray, rank: int = RANK, power: i
     """(TERMS, rank) leading right singular vectors of the passages' TF-IDF matrix. Each pass is a
     Spark job: a task adds up A_r'(A_r Q) of its rows, blocks of terms are summed across tasks."""
     spark = items.sparkSession
-    q = np.random.default_rng(seed).standard_normal((TERMS, rank)).astype(np.float32)
+    q = np.random.default_rng(seed).standard_normal((TERMS, rank), dtype=np.float32)
     for _ in range(power):
         basis, weight = spark.sparkContext.broadcast(q), idf
 
@@ -138,8 +138,8 @@ def randomised_svd(items: DataFrame, idf: np.ndarray, rank: int = RANK, power: i
         for r in (items.mapInPandas(partial, "block int, part binary").groupBy("block")
                   .applyInPandas(add, "block int, part binary").collect()):
             z[r.block] = np.frombuffer(bytes(r.part), np.float32).reshape(TERM_BLOCK, rank)
-        q = np.linalg.qr(z.reshape(TERMS, rank).astype(np.float64))[0].astype(np.float32)
-        basis.unpersist()
+        basis.destroy()  # nothing of a pass stays in the driver
+        q = np.linalg.qr(z.reshape(TERMS, rank))[0]
     return q
 
 
