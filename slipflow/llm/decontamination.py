@@ -6,8 +6,10 @@ share of A'(AQ) term block by term block) gives a latent space. Every window of
 projected into it and compared by cosine with every passage, in matrix blocks inside the scan; the
 window's full TF-IDF norm is kept, so text outside the benchmark's vocabulary lowers the cosine,
 which is taken relative to the passage's cosine with itself.
-Windows over the threshold are settled on the words themselves: longest common subsequence with
-the whole item, and for paraphrases a check that the item's answer (its last sentence) occurs.
+Beside them stand the stretches that hold several of an item's rarest words: so many that no stretch
+with ``PARAPHRASE`` of the item's words in order lacks them, whatever its cosine.
+Both are settled on the words themselves: longest common subsequence with the whole item, and for
+paraphrases a check that the item's answer (its last sentence) occurs.
 
 Scale: documents are scanned twice (document frequencies, search) and never shuffled. The model is
 ``TERMS`` x ``RANK`` numbers. The benchmark is the stated query set; it is taken in blocks of at
@@ -39,6 +41,9 @@ MIN_WORDS = 8
 #: keeps more of some passages than of others).
 COSINE = 0.4
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.6
+#: Occurrences of an item's rarest words that make a stretch a candidate without a cosine; the words
+#: are so many that any stretch that could be a paraphrase has this many.
+RARE = 3
 TERM_BLOCK = 1024
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -150,6 +155,8 @@ class Benchmark:
         self.idf = np.append(idf, 0.0).astype(np.float32)
         self.project = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
         self.items, owner, vectors = [], [], []
+        self.rare: dict[bytes, list[int]] = {}  # by word of the items: those that have it among their rarest
+        self.least, self.span = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
         # a word that no item has weighs at most as much in a window's norm as the items' median
         # word: a few rare words put into a copy must not hide it
         own = np.unique(np.array([term(w) for _, t in items for w in map(plain, t.encode().lower().split())], np.int64))
@@ -168,6 +175,16 @@ class Benchmark:
                 norm = np.sqrt(sum(self.idf[term(w)] ** 2 for w in p))
                 kept = max(np.linalg.norm(v) / norm, 0.1)  # what the space keeps of the passage
                 vectors.append(v / max(np.linalg.norm(v), 1e-12) / kept)
+            if len(names) >= MIN_WORDS:
+                # a stretch may lack n - least of the item's n words: of any RARE more it has RARE
+                n = len(names)
+                least = next(m for m in range(n + 1) if m / n >= PARAPHRASE)
+                self.least[len(self.items)] = least
+                self.span[len(self.items)] = WINDOW + 2 * n
+                for w in set(names):
+                    self.rare.setdefault(w, [])
+                for w in set(sorted(names, key=lambda w: (-idf[term(w)], w))[:n - least + min(RARE, least)]):
+                    self.rare[w].append(len(self.items))
             self.items.append((item_id, names, set(rare[:max(1, (len(rare) + 1) // 2)])))
         self.owner = np.array(owner, np.int64)
         self.vectors = np.array(vectors, np.float32).reshape(-1, space.shape[1])
@@ -201,6 +218,55 @@ def settle(item: tuple[int, list[bytes], set[bytes]], region: list[bytes]) -> tu
     return common, found, verdict
 
 
+def _runs(key: np.ndarray, at: np.ndarray, n: np.ndarray, span: np.ndarray) -> list[np.ndarray]:
+    """(key, begin, end) of the regions that hold every stretch of ``span`` words with ``n`` of the
+    occurrences ``at`` of its key (sorted by key and place), merged where they meet."""
+    last = np.arange(len(key)) + n - 1
+    fits = np.flatnonzero(last < len(key))
+    last = last[fits]
+    close = (key[last] == key[fits]) & (at[last] - at[fits] < span[fits])
+    fits, last = fits[close], last[close]
+    a, b = at[last] - span[fits] + 1, at[fits] + span[fits]
+    k = key[fits]
+    new = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (a[1:] > b[:-1]))[:len(k)])
+    return [k[new], a[new], b[np.append(new[1:], len(k)) - 1] if len(k) else b]
+
+
+def rare_regions(names: list[bytes], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                 bench: Benchmark) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """Regions (begin, end in words) by (text, item) that hold every stretch of ``bench.span`` words
+    which has ``PARAPHRASE`` of the item's words: by the rarest words first, then by all of them."""
+    spelt: dict[bytes, list[int]] = {}  # ids by plain word, of the items' words
+    for i, w in enumerate(names):
+        if w in bench.rare:
+            spelt.setdefault(w, []).append(i)
+    size = np.zeros(len(names), np.int64)
+    for w, some in spelt.items():
+        size[some] = len(bench.rare[w])
+    flat = np.fromiter((k for i in np.flatnonzero(size) for k in bench.rare[names[i]]), np.int64, size.sum())
+    n = size[ids]
+    at = np.repeat(np.arange(len(ids)), n)
+    item = flat[np.repeat((np.cumsum(size) - size)[ids], n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+    key = np.searchsorted(ends, at, "right") * len(bench.items) + item
+    order = np.argsort(key, kind="stable")
+    found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    key, at, item = key[order], at[order], item[order]
+    masks: dict[int, np.ndarray] = {}
+    for key, a, b in zip(*_runs(key, at, np.minimum(RARE, bench.least[item]), bench.span[item])):
+        d, k = divmod(int(key), len(bench.items))
+        if k not in masks:
+            masks[k] = np.zeros(len(names), bool)
+            masks[k][[i for w in set(bench.items[k][1]) for i in spelt.get(w, ())]] = True
+        a, b = max(a, starts[d]), min(b, ends[d])
+        held = a + np.flatnonzero(masks[k][ids[a:b]])
+        if len(held) < bench.least[k]:
+            continue
+        same = np.full(len(held), bench.least[k]), np.full(len(held), bench.span[k])
+        for _, x, y in zip(*_runs(np.zeros(len(held), np.int64), held, *same)):
+            found.setdefault((d, k), []).append((max(int(x - starts[d]), 0), int(min(y, ends[d]) - starts[d])))
+    return found
+
+
 def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, float, float, str]]:
     """(row, item_id, cosine, lcs share, answer share, verdict) of the leaks in a batch of texts."""
     names, terms, ids, starts, ends = batch_terms(run)
@@ -223,12 +289,14 @@ def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, f
     rows = max(1, 20_000_000 // max(1, len(bench.vectors)))
     for a in range(0, size, rows):
         cos = window[a:a + rows] @ bench.vectors.T
-        for w, p in zip(*np.nonzero(cos >= COSINE)):
-            d = int(np.searchsorted(first, a + w, "right")) - 1
-            best.setdefault((d, int(bench.owner[p])), []).append((a + w, float(cos[w, p])))
+        w, p = np.nonzero(cos >= COSINE)
+        doc = np.searchsorted(first, a + w, "right") - 1
+        for d, k, at, c in zip(doc.tolist(), bench.owner[p].tolist(), (a + w).tolist(), cos[w, p].tolist()):
+            best.setdefault((d, k), []).append((at, c))
+    held = rare_regions(names, ids, starts, ends, bench)
     found, spelt = [], {}
-    for (d, k), hits in sorted(best.items()):
-        item = bench.items[k]
+    for d, k in sorted(best.keys() | held.keys()):
+        item, hits = bench.items[k], best.get((d, k), ())
         reach = len(item[1])
         if d not in spelt:
             spelt = {d: [names[i] for i in ids[starts[d]:ends[d]].tolist()]}
@@ -240,6 +308,9 @@ def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, f
                 spans[-1][2] = max(spans[-1][2], c)
             else:
                 spans.append([max(0, at - reach), at + WINDOW + reach, c])
+        for a, b in held.get((d, k), ()):  # with the best cosine of the windows there
+            some = window[first[d] + a // STEP:first[d] + max(a // STEP + 1, -(-b // STEP))]
+            spans.append([a, b, float((some @ bench.vectors[bench.owner == k].T).max())])
         top = None
         for a, b, c in spans:
             region = spelt[d][a:b]

@@ -116,3 +116,36 @@ def test_odd_cases(spark, make_docs, corpus):
         assert D.leaks(make_docs(rows), none).count() == 0
         assert D.drop_leaks(make_docs(rows), none).count() == len(rows)
     assert D.leaks(make_docs([]), bench).count() == 0
+
+
+def many_words(rng, n):
+    return " ".join(f"w{i}" for i in rng.integers(0, 30_000, n))
+
+
+def found(docs, items, space=None):
+    """(doc, item) pairs of the search in one batch, in the items' own space if none is given, and
+    the searched form of the items."""
+    import pandas as pd
+    run = pd.DataFrame(docs, columns=["doc_id", "text"])
+    _, terms, ids, starts, ends = D.batch_terms(run)
+    df = np.zeros(D.TERMS)
+    for a, b in zip(starts, ends):
+        df[np.unique(terms[ids[a:b]])] += 1
+    idf = np.log((len(docs) + 1) / (df + 1.0)) + 0.01
+    if space is None:
+        full = np.zeros((len(items), D.TERMS), np.float32)
+        for row, (at, v) in zip(full, D._vectors(pd.DataFrame(items, columns=["item_id", "text"]), idf)):
+            row[at] = v
+        space = np.linalg.svd(full, full_matrices=False)[2][:D.RANK].T
+    bench = D.Benchmark(items, idf, space)
+    return {(f[0], f[1]) for f in D.search(run, bench)}, bench
+
+
+def test_short_item_held_by_a_third_of_long_texts(spark, make_docs):
+    rng = np.random.default_rng(21)
+    items = [(k, many_words(rng, 15)) for k in range(40)]
+    docs = [(i, many_words(rng, 120) + " " + (items[0][1] if i % 3 == 0 else "") + " " + many_words(rng, 120))
+            for i in range(90)]
+    bench = spark.createDataFrame([(k, t, "x") for k, t in items], ITEM_SCHEMA)
+    got = {(r.doc_id, r.item_id) for r in D.leaks(make_docs(docs), bench).collect()}
+    assert got == {(i, 0) for i in range(0, 90, 3)}
