@@ -149,3 +149,11 @@ def test_short_item_held_by_a_third_of_long_texts(spark, make_docs):
     bench = spark.createDataFrame([(k, t, "x") for k, t in items], ITEM_SCHEMA)
     got = {(r.doc_id, r.item_id) for r in D.leaks(make_docs(docs), bench).collect()}
     assert got == {(i, 0) for i in range(0, 90, 3)}
+
+
+def test_copies_that_the_space_keeps_nothing_of():
+    rng = np.random.default_rng(22)
+    items = [(k, many_words(rng, 30)) for k in range(50)]
+    docs = [(k, many_words(rng, 100) + " " + items[k][1] + " " + many_words(rng, 100)) for k in range(50)]
+    space = np.linalg.qr(rng.standard_normal((D.TERMS, 4), dtype=np.float32))[0]
+    assert found(docs, items, space)[0] == {(k, k) for k in range(50)}
