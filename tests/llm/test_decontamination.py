@@ -157,3 +157,22 @@ def test_copies_that_the_space_keeps_nothing_of():
     docs = [(k, many_words(rng, 100) + " " + items[k][1] + " " + many_words(rng, 100)) for k in range(50)]
     space = np.linalg.qr(rng.standard_normal((D.TERMS, 4), dtype=np.float32))[0]
     assert found(docs, items, space)[0] == {(k, k) for k in range(50)}
+
+
+def test_paraphrases_of_short_items():
+    rng = np.random.default_rng(23)
+
+    def uneven(n):  # few words are common, most are rare
+        return [f"w{int(i)}" for i in 30_000 ** rng.random(n)]
+
+    items = [(k, " ".join(uneven(n))) for k, n in enumerate(np.repeat((15, 17, 20, 25), 100))]
+    docs, spoilt = [], []
+    for k, t in items:
+        words = t.split()
+        for j in rng.permutation(len(words))[:len(words) * 39 // 100]:
+            words[j] = uneven(1)[0]
+        spoilt.append([w.encode() for w in words])
+        docs.append((k, " ".join([*uneven(200), *words, *uneven(200)])))
+    got, bench = found(docs, items)
+    due = {(k, k) for k, _ in items if D.settle(bench.items[k], spoilt[k])[2]}
+    assert due <= got and len(due) > 100
