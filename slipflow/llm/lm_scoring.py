@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,15 +138,17 @@ def _gradient(p: dict, x: np.ndarray, y: np.ndarray) -> dict:
     w = np.exp(s - s.max(-1, keepdims=True))
     w /= w.sum(-1, keepdims=True)
     o = h + w @ v
-    logits = o @ p["out"] + p["bias"]
+    late, y = o[:, CONTEXT:], y[:, CONTEXT:]  # what comes before is never scored
+    logits = late @ p["out"] + p["bias"]
     e = np.exp(logits - logits.max(-1, keepdims=True))
     d = e / e.sum(-1, keepdims=True)
     real = y >= 0
     d[np.nonzero(real) + (y[real],)] -= 1
     d *= (real / max(1, real.sum()))[..., None].astype(np.float32)
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    g = {"out": flat(o).T @ flat(d), "bias": flat(d).sum(0)}
-    do = d @ p["out"].T
+    g = {"out": flat(late).T @ flat(d), "bias": flat(d).sum(0)}
+    do = np.zeros_like(o)
+    do[:, CONTEXT:] = d @ p["out"].T
     dv = w.transpose(0, 2, 1) @ do
     dw = do @ v.transpose(0, 2, 1)
     ds = w * (dw - (dw * w).sum(-1, keepdims=True)) / np.sqrt(DIM, dtype=np.float32)
@@ -194,15 +197,109 @@ def token_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def _sequences(run: pd.DataFrame, heads: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(subword ids of all texts one after the other, each with its end, ends)."""
+    seen, end = Words(), len(heads) + 1
+    local = [seen.ids(token_words(t)) for t in run["text"]]
+    head = np.fromiter((head_of(w, heads, longest) for w in seen.words), np.int64, len(seen.words))
+    ids = [np.append(head[x], end) for x in local]
+    return np.concatenate(ids), np.cumsum([len(x) for x in ids])
+
+
+def subword_counts(rows: DataFrame, heads: dict[str, int]) -> tuple[np.ndarray, int]:
+    """(occurrences by subword id, ends among them, over all ``rows``; texts). A task sends one row
+    per id at most."""
+    longest = max(map(len, heads))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(heads) + 2, np.int64)
+        for run in pieces(batches):
+            total += np.bincount(_sequences(run, heads, longest)[0], minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"id": some.astype(np.int32), "n": total[some]})
+
+    total = np.zeros(len(heads) + 3, np.int64)
+    for r in rows.mapInPandas(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+        total[r.id] = r.n
+    return total, int(total[len(heads) + 1])
+
+
+PARTS = ("place", "query", "key", "value", "out", "bias")
+ID_BLOCK = 1024
+DOCS_PER_TRAINER = 4000
+
+
+def averaged_pass(rows: DataFrame, start: Attention, heads: dict[str, int], trainers: int,
+                  batch: int = 96, rate: float = 0.03) -> Attention:
+    """``start`` after one pass over all texts of ``rows``: every task trains on from it (Adagrad) over
+    its own texts, and the changes are averaged by tokens, those of an id by its occurrences. A task
+    sends the blocks of ids it has met; the driver gets one model."""
+    longest, shared = max(map(len, heads)), rows.sparkSession.sparkContext.broadcast(start)
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = shared.value
+        p = {k: getattr(first, k).copy() for k in ("embed", *PARTS)}
+        square = {k: np.full_like(a, 1e-8) for k, a in p.items()}
+        met, rng = np.zeros(len(first.embed), np.int64), np.random.default_rng(5)
+        for run in pieces(batches, 2_000_000):
+            ids, ends = _sequences(run, heads, longest)
+            x, t = windows(ids, ends, first.begin)
+            y = np.where(t >= 0, first.classes[ids[t]], -1)
+            met += np.bincount(x.ravel(), minlength=len(met))
+            order = rng.permutation(len(x))
+            for a in range(0, len(x), batch):
+                some = order[a:a + batch]
+                own, place = np.unique(x[some], return_inverse=True)
+                g = _gradient(p | {"embed": p["embed"][own]}, place.reshape(len(some), WINDOW), y[some])
+                for k in PARTS:
+                    square[k] += g[k] ** 2
+                    p[k] -= rate * g[k] / np.sqrt(square[k])
+                square["embed"][own] += g["embed"] ** 2
+                p["embed"][own] -= rate * g["embed"] / np.sqrt(square["embed"][own])
+        task, tokens, out = TaskContext.get().partitionId(), met.sum(), []
+        if tokens:
+            dense = np.concatenate([(p[k] - getattr(first, k)).ravel() for k in PARTS])
+            out.append((task, -1, np.array([tokens], np.int64).tobytes(), dense.astype(np.float32).tobytes()))
+            for b in np.unique(np.flatnonzero(met) // ID_BLOCK):
+                at = slice(b * ID_BLOCK, (b + 1) * ID_BLOCK)
+                out.append((task, int(b), met[at].tobytes(), (p["embed"][at] - first.embed[at]).tobytes()))
+        yield pd.DataFrame(out, columns=["task", "block", "n", "part"])
+
+    def add(found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values("task")
+        n, total = 0, 0.0
+        for count, part in zip(found["n"], found["part"]):
+            count = np.frombuffer(count, np.int64)
+            n = n + count
+            total = total + count[:, None] * np.frombuffer(part, np.float32).reshape(len(count), -1).astype(np.float64)
+        mean = (total / np.maximum(n, 1)[:, None]).astype(np.float32)
+        return pd.DataFrame({"block": found["block"].iloc[:1], "part": [mean.tobytes()]})
+
+    change = (rows.coalesce(trainers).mapInPandas(learn, "task int, block int, n binary, part binary")
+              .groupBy("block").applyInPandas(add, "block int, part binary").collect())
+    p = {k: getattr(start, k).copy() for k in ("embed", *PARTS)}
+    for r in change:
+        mean = np.frombuffer(bytes(r.part), np.float32)
+        if r.block >= 0:
+            p["embed"][r.block * ID_BLOCK:(r.block + 1) * ID_BLOCK] += mean.reshape(-1, DIM)
+        else:
+            for k, x in zip(PARTS, np.split(mean, np.cumsum([p[k].size for k in PARTS])[:-1])):
+                p[k] += x.reshape(p[k].shape)
+    shared.destroy()
+    return Attention(heads, start.classes, **p)
+
+
 def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int, int] = FOLD) -> Attention:
-    """Attention model from at most ``most`` texts outside the held-out fold (the documented bound
-    of its sample; the driver gets their subword ids only). Classes: the most frequent subword ids
-    of the sample one each, the others by hash into the last quarter."""
+    """Attention model from all texts outside the held-out fold: started on ``most`` of them (the
+    driver gets their subword ids only), then trained by a pass over all, averaged over partitions.
+    Classes: the most frequent subword ids of all these texts one each, the others by hash into the
+    last quarter."""
     heads = subword_heads(path)
     longest = max(map(len, heads))
     chosen = (docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
               .filter(remainder("doc_id", fold[0]) != fold[1]).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    learnt = texts(docs).filter("doc_id IS NOT NULL").filter(remainder("doc_id", fold[0]) != fold[1])
 
     def to_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -214,7 +311,8 @@ def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int,
             .orderBy(F.xxhash64("doc_id"), "doc_id", "ids").collect())
     n = len(heads) + 1
     sequences = [np.append(np.frombuffer(bytes(r.ids), np.int32), n).astype(np.int64) for r in rows]
-    count = np.bincount(np.concatenate(sequences), minlength=n + 2) if sequences else np.zeros(n + 2, np.int64)
+    count, n_texts = subword_counts(learnt, heads)
+    count = count[:n + 2]
     count[n:] = 0
     own = CLASSES * 3 // 4
     classes = (own + np.arange(n + 2) * 2654435761 % 2 ** 32 % (CLASSES - own)).astype(np.int64)
@@ -224,7 +322,12 @@ def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int,
     classes[n:] = 0
     model = train_attention(sequences, n, classes)
     model.heads = heads
-    return model
+    # class shares of all texts instead of the starting ones
+    count[n] = n_texts
+    seen = np.bincount(np.concatenate(sequences), minlength=n + 2) if sequences else np.zeros(n + 2, np.int64)
+    share = [np.bincount(classes, weights=c, minlength=CLASSES) + 0.5 for c in (count, seen)]
+    model.bias += np.log(share[0] / share[0].sum() / (share[1] / share[1].sum())).astype(np.float32)
+    return averaged_pass(learnt, model, heads, 1 + n_texts // DOCS_PER_TRAINER)
 
 
 def runs(model, slices: int):

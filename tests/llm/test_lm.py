@@ -128,3 +128,15 @@ def test_odd_cases(spark, make_docs):
     assert all(np.isfinite(r.score) for r in got)
     assert L.lm_scores(make_docs([]), model()).count() == 0
     assert L.lm_scores(make_docs([(1, None)])).first().n_tokens == 1  # trained on itself
+
+
+def test_all_texts_train_the_model(spark, make_docs):
+    """Words of texts beyond the starting sample get classes of their own, and their order is learnt."""
+    words = ["the", "of", "and", "to", "in", "is", "that", "for", "was", "on"]
+    rows = [(i, f"{words[i % 10]} {words[(i + 1) % 10]} " * 60) for i in range(1000)]
+    m = L.train(make_docs(rows), most=1)
+    heads = [L.head_of(w.encode(), m.heads, 20) for w in words]
+    assert sorted(m.classes[heads]) == list(range(1, 11))
+    ids = np.concatenate([np.append(np.tile([heads[i], heads[(i + 1) % 10]], 60), m.end) for i in range(10)])
+    log = L.class_log_probs(m, ids, np.cumsum([121] * 10))
+    assert log.mean() > math.log(1 / 10) + 0.5  # even odds of ten words give -2.3
