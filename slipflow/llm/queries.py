@@ -9,6 +9,7 @@ from .lm_scoring import op2_lm_scoring
 from .near_dedup import op10_probminhash
 from .pii_crf import op1_pii_crf
 from .quality_ftrl import op8_quality_ftrl
+from .secret_crf import op13_secret_crf
 from .sentencepieces import op9_sentencepiece
 from .spelling_variants import OP11_SQL, op11_spelling_variants
 from .toxicity_cnn import op5_toxicity_cnn
@@ -16,7 +17,7 @@ from .url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {f.__name__: f for f in (
     op1_pii_crf, op2_lm_scoring, op3_embedding_dedup, op4_line_dedup, op5_toxicity_cnn, op6_decontamination,
-    op7_url_filter, op8_quality_ftrl, op9_sentencepiece, op10_probminhash, op11_spelling_variants,
+    op7_url_filter, op8_quality_ftrl, op9_sentencepiece, op10_probminhash, op11_spelling_variants, op13_secret_crf,
 )}
 
 ORACLE = {"op4_line_dedup": OP4_SQL, "op7_url_filter": OP7_SQL, "op11_spelling_variants": OP11_SQL}
