@@ -23,6 +23,8 @@ from ..sources.encoding import decode_latin1
 from ..sources.inventory import landed_inventory
 from ..session import ensure_checkpoint_dir
 from ..sources.registry import Registry
+from ..sources.views import run_sql
+from .selection_sql import SELECTED_SQL, parameters
 
 # Parameters of the registered queries.
 CFG = FIXTURE
@@ -146,6 +148,12 @@ def q_selected_documents(spark, sf_dir):
     return selection.selected_documents(registry(spark, sf_dir), CFG)
 
 
+def q_selected_documents_sql(spark, sf_dir):
+    """The flagship as SQL text over the registry's views, its parameters bound."""
+    reg = registry(spark, sf_dir)
+    return run_sql(spark, SELECTED_SQL, parameters(CFG, reg), registry=reg)
+
+
 def q_registry_union(spark, sf_dir):
     """Two registries with different documents, the second without an optional column: each is
     selected for itself, and the selections are appended."""

@@ -9,6 +9,10 @@ the log and the outcome summary.
 ``sources.registry.load_parquet``), or ``name=folder``; it may be given several times, and the
 selections of all registries are then appended before batching. JDBC deployments build the
 registries with ``sources.registry.load_jdbc`` and call ``run`` directly.
+
+With ``--sql query.sql`` (and ``--param name=value`` for each of its markers) the job runs that SQL
+text over the views of the registry instead and writes the result to ``out/result``; with several
+registries their views are named ``{name}_{table}``.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from ..operators.priority import registry_row_bound
 from ..session import ensure_checkpoint_dir
 from ..sources.inventory import landed_inventory
 from ..sources.registry import Registry, load_parquet
+from ..sources.views import parse_param, register_views, run_sql
 
 
 def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfig, out_dir: str, *,
@@ -94,14 +99,23 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--path-separator", default=REFERENCE.path_separator)
     ap.add_argument("--case-sensitive", action="store_true")
     ap.add_argument("--match-policy-refs", action="store_true")
+    ap.add_argument("--sql", help="file with SQL text to run over the registry's views instead")
+    ap.add_argument("--param", action="append", default=[], help="name=value of a marker of the SQL text")
     args = ap.parse_args(argv)
     cfg = REFERENCE.with_(folder_size=args.folder_size, inception_after=args.inception_after,
                           created_before=args.created_before, path_separator=args.path_separator,
                           case_sensitive=args.case_sensitive, match_policy_refs=args.match_policy_refs)
     spark = SparkSession.builder.appName("slipflow-job").getOrCreate()
     named = [r.split("=", 1) if "=" in r else (f"registry_{i}", r) for i, r in enumerate(args.registry)]
-    run(spark, [load_parquet(spark, folder, source=name) for name, folder in named], cfg, args.out,
-        landing_root=args.landing)
+    regs = [load_parquet(spark, folder, source=name) for name, folder in named]
+    if args.sql:
+        for reg in regs:
+            register_views(reg, "" if len(regs) == 1 else f"{reg.source}_")
+        text = spark.read.text(args.sql, wholetext=True).first()[0]
+        run_sql(spark, text, dict(map(parse_param, args.param))).write.mode("overwrite").parquet(
+            f"{args.out.rstrip('/')}/result")
+        return
+    run(spark, regs, cfg, args.out, landing_root=args.landing)
 
 
 if __name__ == "__main__":

@@ -364,3 +364,5 @@ SELECT DocumentID, DocumentName, IsPolicyRef, DocumentTypePriorityOrdinal FROM p
 SELECT * FROM selected
 WHERE lower(rtrim(UniqueMarketRef)) IN (SELECT lower(rtrim(UniqueMarketRef)) FROM master_policy)""",
 }
+# The same rows as the operators' selection, which the engine takes from SQL text.
+ORACLE["selected_documents_sql"] = ORACLE["selected_documents"]

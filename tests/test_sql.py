@@ -1,0 +1,124 @@
+"""SQL text over registry views: equal to the operators, parameters bound, no more exchanges."""
+
+import datetime as dt
+import re
+
+import pytest
+
+from helpers import CFG, doc, registry
+from slipflow.config import FIXTURE
+from slipflow.operators import selection
+from slipflow.plans.catalog import registry as fixture
+from slipflow.plans.selection_sql import SELECTED_SQL, parameters
+from slipflow.sources.views import bound, parse_param, register_views, run_sql
+
+SF = "/root/testdata/sf0.01"
+
+
+def selected(spark, reg, cfg=CFG, **kw):
+    return run_sql(spark, SELECTED_SQL, parameters(cfg, reg) | kw, registry=reg)
+
+
+def test_flagship_text_equals_the_operators(spark):
+    reg = fixture(spark, SF)
+    got, want = selected(spark, reg, FIXTURE), selection.selected_documents(reg, FIXTURE)
+    assert got.columns == want.columns and [t for _, t in got.dtypes] == [t for _, t in want.dtypes]
+    assert got.collect() == want.collect()  # rows and their order
+
+
+def count(df, what):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(what, plan))
+
+
+def test_flagship_text_has_no_more_exchanges(spark):
+    reg = fixture(spark, SF)
+    got = selected(spark, reg, FIXTURE)
+    want = selection.selected_documents(reg, FIXTURE)
+    assert count(got, r"(?<!Broadcast)Exchange (hash|range|Single)") <= count(want, r"(?<!Broadcast)Exchange (hash|range|Single)")
+    assert count(got, "NestedLoopJoin|CartesianProduct") == 0
+    none = reg.with_tables(business_objects=reg.business_objects.where("ObjectCode <> 'P'"))
+    got, want = selected(spark, none, FIXTURE), selection.selected_documents(none, FIXTURE)
+    assert got.collect() == want.collect()
+
+
+def test_result_order_with_ties_and_missing_references(spark):
+    """market reference descending with NULL last, then rank, then id; SQL and operators."""
+    contracts = [dict(FacilityID=i, FacilityRef=f"F{i}", UniqueMarketRef=u, InceptionDate=dt.date(1998, 1, 1),
+                      DepartmentID=1, SubDepartmentID=1, TypeFacility=1)
+                 for i, u in ((1, "B"), (2, None), (3, "B"), (4, "C"), (5, None), (6, "b"))]
+    docs = [doc(10 * root + k, "MRC", root=root, code="F1", created=dt.datetime(1999, 1, 1 + k % 2))
+            for root in (5, 2, 6, 3, 1, 4) for k in (2, 0, 1)]
+    reg = registry(spark, docs, facility=contracts, facility_types=[dict(FacilityTypesID=1, Code="F1")])
+    want = []
+    for c in contracts:
+        own = sorted((d for d in docs if d["RootObjectID"] == c["FacilityID"]),
+                     key=lambda d: (-d["CreateDate"].timestamp(), d["DocumentID"]))
+        want += [(c["UniqueMarketRef"], r, d["DocumentID"]) for r, d in enumerate(own, 1)]
+    # descending references, missing ones last; equal references by rank, then id
+    want.sort(key=lambda x: (x[1], x[2]))
+    want.sort(key=lambda x: (x[0] is not None, x[0] or ""), reverse=True)
+    for df in (selection.selected_documents(reg, CFG), selected(spark, reg)):
+        got = [(r["UniqueMarketRef"], r["DocumentPriorityOrdinal"], r["DocumentID"]) for r in df.collect()]
+        assert got == want and len(got) == 18
+
+
+def test_parameters_are_bound_not_pasted(spark):
+    reg = registry(spark, [doc(1, "MRC"), doc(2, "O'Hara MRC")])
+    register_views(reg, "own_")
+    text = "SELECT DocumentID FROM own_docs WHERE DocumentName = :name OR array_contains(:ids, DocumentID) ORDER BY 1"
+    run = lambda **p: [r[0] for r in run_sql(spark, text, p).collect()]
+    assert run(name="O'Hara MRC", ids=[0]) == [2]
+    assert run(name="x' OR '1' = '1", ids=[0]) == []
+    assert run(name="MRC", ids=[2, 5]) == [1, 2]
+    with pytest.raises(Exception, match="UNBOUND_SQL_PARAMETER"):
+        run_sql(spark, text, {"name": "x"})
+    with pytest.raises(ValueError, match="no marker"):
+        run_sql(spark, text, {"name": "x", "ids": [1], "idz": 1})
+    assert selected(spark, reg, file_type="docx").count() == 0
+
+
+def test_datetimes_take_no_time_zone(spark):
+    reg = registry(spark, [doc(1, "MRC", created=dt.datetime(2021, 3, 28, 1, 30))])
+    text = "SELECT count(*) FROM docs WHERE CreateDate = CAST(:at AS TIMESTAMP_NTZ)"
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        assert run_sql(spark, text, {"at": dt.datetime(2021, 3, 28, 1, 30)}, registry=reg).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    with pytest.raises(ValueError):
+        bound(dt.datetime(2021, 3, 28, tzinfo=dt.timezone.utc))
+    with pytest.raises(ValueError):
+        bound([])
+    with pytest.raises(TypeError):
+        bound(object())
+
+
+def test_views_of_two_registries_and_later_ones(spark):
+    a, b = registry(spark, [doc(1, "MRC")]), registry(spark, [doc(2, "MRC"), doc(3, "MRC")])
+    register_views(a, "a_")
+    register_views(b, "b_")
+    both = run_sql(spark, "SELECT DocumentID FROM a_docs UNION ALL SELECT DocumentID FROM b_docs ORDER BY 1")
+    register_views(b, "a_")
+    assert [r[0] for r in both.collect()] == [1, 2, 3]
+    with pytest.raises(ValueError):
+        register_views(a, "x; DROP ")
+
+
+def test_command_line_parameters():
+    assert parse_param("n=12") == ("n", 12) and parse_param("d=2021-07-01") == ("d", dt.date(2021, 7, 1))
+    assert parse_param("l=[a, 2]") == ("l", ["a", 2]) and parse_param("t=a=b") == ("t", "a=b")
+    with pytest.raises(ValueError):
+        parse_param("1x=2")
+
+
+def test_job_runs_sql_text(spark, tmp_path):
+    from slipflow.plans import job
+    reg = registry(spark, [doc(1, "MRC"), doc(2, "Slip"), doc(3, "MRC 2")])
+    for name in reg.table_names():
+        reg.table(name).write.parquet(str(tmp_path / "reg" / f"{name}.parquet"))
+    (tmp_path / "q.sql").write_text("SELECT DocumentID, :tag AS tag FROM docs\nWHERE contains(DocumentName, :word)")
+    job.main(["--registry", str(tmp_path / "reg"), "--out", str(tmp_path / "out"), "--sql", str(tmp_path / "q.sql"),
+              "--param", "word=MRC", "--param", "tag=2021-07-01"])
+    rows = spark.read.parquet(str(tmp_path / "out" / "result")).collect()
+    assert sorted((r[0], r[1]) for r in rows) == [(1, dt.date(2021, 7, 1)), (3, dt.date(2021, 7, 1))]
