@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import LOG_NOT_FOUND, LOG_OK, RUN_STAMP_FORMAT
 from ..functions.text import plus
+from .manifest import department_key
 
 
 def _match_key(on: str):
@@ -54,6 +55,27 @@ def fetch_summary(status: DataFrame) -> DataFrame:
     return status.groupBy("DepartmentName", "status").agg(F.count(F.lit(1)).alias("documents"))
 
 
+def landed_departments(manifest: DataFrame, departments: DataFrame, landed: DataFrame,
+                       others: DataFrame) -> DataFrame:
+    """Per department of ``departments``: its manifest rows, how many of its folders hold a landed
+    file and the bytes of those, and how many hold one of ``others``. ``landed`` and ``others`` are
+    listings of a tree with a folder per department key and, in it, one per landing folder."""
+    def folders(files: DataFrame) -> DataFrame:
+        part = lambda name: F.regexp_extract("landing_path", f"(?:^|/){name}=([^/]+)/", 1)
+        return files.groupBy(part("department_key").alias("department_key"), part("folder_num").alias("_folder")) \
+            .agg(F.sum("length").alias("_bytes"))
+
+    rows = manifest.groupBy("DepartmentName").agg(F.count(F.lit(1)).alias("documents"))
+    found = folders(landed).groupBy("department_key").agg(
+        F.count(F.lit(1)).alias("landed_folders"), F.sum("_bytes").alias("landed_bytes"))
+    rest = folders(others).groupBy("department_key").agg(F.count(F.lit(1)).alias("other_folders"))
+    joined = (departments.join(rows, "DepartmentName", "left")
+              .withColumn("department_key", department_key(F.col("DepartmentName")))
+              .join(found, "department_key", "left").join(rest, "department_key", "left"))
+    counts = ("documents", "landed_folders", "landed_bytes", "other_folders")
+    return joined.select("DepartmentName", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts])
+
+
 def run_stamp(run_time: _dt.datetime):
     """Log file stamp: day-month-year, 24h hour and AM/PM (e.g. ``03-12-26 21PM``)."""
     return F.date_format(F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz"), RUN_STAMP_FORMAT)

@@ -14,13 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE
+from ..config import FIXTURE, LOG_OK
 from ..operators import contracts, locations, manifest, priority, reconcile, selection
 from ..operators.joins import dimension, key_text
 from ..operators.numbering import write_stage
 from ..sources.fixtures import fixture_registry
 from ..sources.encoding import decode_latin1
-from ..sources.inventory import landed_inventory
+from ..sources.listing import list_landed
 from ..session import ensure_checkpoint_dir
 from ..sources.registry import Registry
 from ..sources.views import run_sql
@@ -248,24 +248,23 @@ def q_write_manifest(spark, sf_dir):
 
 
 def q_landed_departments(spark, sf_dir):
-    """List the files that the manifest sink has written (only those ending in ``.parquet``) and
-    hold them to the manifest's folder sizes: per department its documents, its folders and
-    whether files of it landed. One more department, without documents, has none."""
-    man = write_stage(_manifest(spark, sf_dir), "manifest-rows")
+    """What a run has left below its landing root, listed in tasks and held to the manifest.
+
+    The tree has a folder per department and one in it per landing folder. Documents that were
+    fetched are lines of ``.txt`` files, the others of ``.json`` files. Per department: its documents,
+    the folders that hold a ``.txt`` file, the bytes of those files, and the folders that hold a file
+    of another suffix. One more department has no documents and no folder."""
+    status = write_stage(_status(spark, sf_dir), "status")
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
-    manifest.sink_layout(man).write.partitionBy("department_key").parquet(root)
-    files = landed_inventory(spark, root, suffix=".parquet")
-    landed = (files.select(F.regexp_extract("landing_path", "department_key=([^/]+)/", 1).alias("department_key"))
-              .distinct().withColumn("landed", F.lit(True)))
-    sizes = manifest.folder_sizes(man).groupBy("DepartmentName").agg(
-        F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("folders"))
-    every = registry(spark, sf_dir).departments.select("DepartmentName")
-    return (every.join(sizes, "DepartmentName", "left")
-            .withColumn("department_key", manifest.department_key(F.col("DepartmentName")))
-            .join(landed, "department_key", "left")
-            .select("DepartmentName", F.coalesce("documents", F.lit(0)).alias("documents"),
-                    F.coalesce("folders", F.lit(0)).alias("folders"),
-                    F.coalesce("landed", F.lit(False)).alias("landed")))
+    lines = status.select(manifest.department_key(F.col("DepartmentName")).alias("department_key"), "folder_num",
+                          F.coalesce("filename", F.lit("")).alias("value"), "status")
+    for wanted, kind in ((True, "text"), (False, "json")):
+        (lines.where((F.col("status") == LOG_OK) == F.lit(wanted)).drop("status")
+         .write.mode("append").partitionBy("department_key", "folder_num").format(kind).save(root))
+    names = spark.range(1).select(F.lit("NOWHERE").alias("DepartmentName"))
+    every = registry(spark, sf_dir).departments.select("DepartmentName").unionByName(names)
+    return reconcile.landed_departments(status, every, list_landed(spark, root, suffix=".txt"),
+                                        list_landed(spark, root).where(~F.col("path").endswith(".txt")))
 
 
 def q_run_log_file(spark, sf_dir):

@@ -28,12 +28,14 @@ from ..operators import manifest, reconcile, selection
 from ..operators.priority import registry_row_bound
 from ..session import ensure_checkpoint_dir
 from ..sources.inventory import landed_inventory
+from ..sources.listing import list_landed
 from ..sources.registry import Registry, load_parquet
 from ..sources.views import parse_param, register_views, run_sql
 
 
 def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfig, out_dir: str, *,
-        landing_root: str | None = None, run_time: _dt.datetime | None = None) -> dict[str, DataFrame]:
+        landing_root: str | None = None, run_time: _dt.datetime | None = None,
+        listing: str = "tasks") -> dict[str, DataFrame]:
     """Run every step, for one registry or the appended selections of several, and write the
     outputs under ``out_dir``:
 
@@ -45,6 +47,9 @@ def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfi
     - ``" {stamp}.txt"``: the run log as text (part files in order), named by the run stamp;
     - ``rejected/``: rows that need a look, with a reason.
 
+    ``listing``: files below the landing root are listed in tasks (``sources.listing``), or by
+    Spark's file index ("index"), for stores that only Spark's readers reach.
+
     Returns the written outputs read back as DataFrames.
     """
     ensure_checkpoint_dir(spark)
@@ -64,7 +69,7 @@ def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfi
     man = spark.read.schema(laid.schema).parquet(f"{base}/manifest")
 
     if landing_root:
-        inventory = landed_inventory(spark, landing_root)
+        inventory = (list_landed if listing == "tasks" else landed_inventory)(spark, landing_root)
     else:
         inventory = man.select("landing_path").where(F.lit(False))
     status = reconcile.fetch_status(man, inventory)
@@ -93,6 +98,8 @@ def main(argv: list[str] | None = None) -> None:
                     help="folder with one Parquet dataset per table, or name=folder; may be repeated")
     ap.add_argument("--out", required=True, help="output folder")
     ap.add_argument("--landing", help="landing root to reconcile against (optional)")
+    ap.add_argument("--listing", choices=["tasks", "index"], default="tasks",
+                    help="how landed files are listed: in tasks, or by Spark's file index")
     ap.add_argument("--folder-size", type=int, default=REFERENCE.folder_size)
     ap.add_argument("--inception-after", type=_date, default=REFERENCE.inception_after)
     ap.add_argument("--created-before", type=_dt.datetime.fromisoformat, default=REFERENCE.created_before)
@@ -115,7 +122,7 @@ def main(argv: list[str] | None = None) -> None:
         run_sql(spark, text, dict(map(parse_param, args.param))).write.mode("overwrite").parquet(
             f"{args.out.rstrip('/')}/result")
         return
-    run(spark, regs, cfg, args.out, landing_root=args.landing)
+    run(spark, regs, cfg, args.out, landing_root=args.landing, listing=args.listing)
 
 
 if __name__ == "__main__":

@@ -342,9 +342,13 @@ SELECT DepartmentName, CAST(-1 AS BIGINT), DepartmentName || ' ' || CAST(count(*
 FROM fetch_status GROUP BY DepartmentName""",
     "write_manifest": BASE + "SELECT * FROM manifest",
     "landed_departments": BASE + """
-SELECT d.DepartmentName, count(m.DocumentID) AS documents, count(DISTINCT m.folder_num) AS folders,
-  count(m.DocumentID) > 0 AS landed
-FROM departments d LEFT JOIN manifest m ON m.DepartmentName = d.DepartmentName GROUP BY d.DepartmentName""",
+SELECT d.DepartmentName, count(f.status) AS documents,
+  count(DISTINCT CASE WHEN f.status = 'OK' THEN f.folder_num END) AS landed_folders,
+  CAST(coalesce(sum(CASE WHEN f.status = 'OK' THEN strlen(coalesce(f.filename, '')) + 1 END), 0) AS BIGINT)
+    AS landed_bytes,
+  count(DISTINCT CASE WHEN f.status <> 'OK' THEN f.folder_num END) AS other_folders
+FROM (SELECT DepartmentName FROM departments UNION ALL SELECT 'NOWHERE') d
+LEFT JOIN fetch_status f ON f.DepartmentName = d.DepartmentName GROUP BY d.DepartmentName""",
     "run_log_file": BASE + f"""
 SELECT line AS value FROM (
   SELECT CASE WHEN status = 'OK' THEN coalesce(filename, '') || ' , OK , ' || coalesce(UniqueMarketRef, '')
