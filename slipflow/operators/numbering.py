@@ -20,16 +20,17 @@ while splitting every group over many tasks:
    or, keeping only groups that began in an earlier slice, at most one row per slice; either
    way a proven bound, so it is broadcast to the final step.
 
-``strategy="auto"`` (the default) first measures group sizes with one aggregation (a narrow
-pass: only key columns). A group is *hot* when it has more than ``single_task_rows`` rows (at
-least ``MIN_SINGLE_TASK_ROWS``, or the fair share of one task, whichever is larger). Groups that
-are not hot go through the plain one-window plan (each provably fits a task, and the window
-reuses an upstream shuffle on the same keys); only the rows of hot groups take the split plan.
-There are at most ``rows / bound`` hot keys (each has more than ``bound`` rows), a proven bound,
-so their key hashes are read and the two parts are separated by a membership filter that
-Catalyst pushes below upstream joins. Contracts at scale are typically all small
-(plain plan, no extra shuffle), departments are all hot (split plan), and one hot contract
-sends only its own rows to the split plan.
+``strategy="auto"`` (the default) first looks for *hot* groups, those with more rows than a task
+should take (``single_task_rows``, at least ``MIN_SINGLE_TASK_ROWS`` or the fair share of one task,
+whichever is larger). ``heavy_groups`` finds them without grouping the rows: a mergeable sketch of
+frequent items, one per task and merged, names at most twice as many candidates as there can be hot
+groups, and a second narrow pass counts exactly these. The hot groups are written as a table of at
+most ``rows / bound`` key hashes; the input is parted by joins with that table (anti for the cold
+rows, semi for the hot ones), below its own joins where the caller says how (``rebuild``). No key is
+collected or inlined. Groups that are not hot go through the plain one-window plan (each provably fits a task, and
+the window reuses an upstream shuffle on the same keys); only the rows of hot groups take the split
+plan. Contracts at scale are typically all small (plain plan, no extra shuffle), departments are all
+hot (split plan), and one hot contract sends only its own rows to the split plan.
 
 ``order_by`` must make the order total (end it with a unique key) so the numbering is
 deterministic.
@@ -84,27 +85,31 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
                 out_col: str = "row_num", start: int = 1, *, strategy: str = "auto",
                 num_slices: int | None = None, single_task_rows: int | None = None,
                 stage_input: bool = False, max_rows: int | None = None,
-                group_sizes=None) -> DataFrame:
+                measured=None, rebuild=None) -> DataFrame:
     """Add ``out_col`` = ``row_number() - 1 + start`` over ``partition_by`` ordered by ``order_by``.
 
     ``strategy``: ``"auto"`` (see module doc), ``"split"`` (always the skew-proof plan) or
     ``"window"`` (always one plain window, no measurement; for comparisons).
 
-    Group sizes are measured by one aggregation over the input, for which Catalyst keeps only
-    the key columns of the upstream plan (a narrow pass). When no group is hot the plain window
-    runs on the input itself, so it reuses an upstream shuffle on the same keys (the contract
-    join for the ranking): no extra shuffle and no write. The plain window is deterministic
-    whatever the row order, so only rows taking the split plan are staged: they are sliced and
-    written under the checkpoint folder in one job (``_sliced``). ``stage_input=True`` writes
-    the whole input first instead (for inputs whose upstream is too costly to run twice).
+    When no group is hot the plain window runs on the input itself, so it reuses an upstream shuffle
+    on the same keys (the contract join for the ranking): no extra shuffle and no write. The plain
+    window is deterministic whatever the row order, so only rows taking the split plan are staged:
+    they are sliced and written under the checkpoint folder in one job (``_sliced``).
+    ``stage_input=True`` writes the whole input first instead (for inputs whose upstream is too
+    costly to run three times).
 
     ``max_rows`` is a proven upper bound on the input's row count (from source statistics, see
     ``priority.registry_row_bound``). When it is within one task, no group can be hot and the
     plain window is used without measuring.
 
-    ``group_sizes`` is a function without arguments giving upper bounds of the group sizes (the
-    group columns and ``_rows``), for inputs whose own aggregation would run in the tasks of a
-    join on the same keys (``priority.contract_sizes``). It is called only when sizes are needed.
+    ``measured`` is a function without arguments giving (rows, weights) to look for hot groups in,
+    instead of the input (``priority.contract_sizes``): rows with the group columns, and a table of
+    group columns and ``_weight`` with the groups each of whose rows stands for several rows of the
+    input (None: no group). It is called only when sizes are needed.
+
+    ``rebuild`` is a function (part, hot) giving the input anew with ``part``, a restriction of rows
+    that have the group columns, applied where its builder likes, so that it stands below the
+    builder's joins; ``hot`` tells which part is asked for. Without it the input itself is parted.
 
     The split plan uses ``num_slices`` slices, by default the larger of the shuffle partition
     count and ``rows / ROWS_PER_SLICE``.
@@ -117,45 +122,88 @@ def number_rows(df: DataFrame, partition_by: list[str], order_by: list[Column],
         return _plain(df, partition_by, order_by, out_col, start)
 
     base = write_stage(df, "numbering") if stage_input else df
-    floor = single_task_rows or MIN_SINGLE_TASK_ROWS
-    key_hash = F.xxhash64(*[F.col(c) for c in partition_by]) if partition_by else None
-    if partition_by:
-        # One aggregation gives the totals and the candidates for hot groups: groups above the
-        # single-task floor, at most rows / floor of them (a proven bound), as (key hash, rows).
-        measured = group_sizes() if group_sizes else base.groupBy(*partition_by).agg(
-            F.count(F.lit(1)).alias("_rows"))
-        sizes = measured.select(key_hash.alias("_h"), "_rows")
-        row = sizes.agg(F.sum("_rows"), F.max("_rows"), F.count(F.lit(1)),
-                        F.collect_list(F.when(F.col("_rows") > F.lit(floor),
-                                              F.struct("_h", "_rows")))).first()
-        total, largest, groups = int(row[0] or 0), int(row[1] or 0), int(row[2] or 0)
-        candidates = [(r["_h"], r["_rows"]) for r in row[3]]
-    else:
-        total = largest = base.count()
-        groups, candidates = 1, []
+    rows, weights = measured() if measured and partition_by else (base, None)
+    total = rows.count()
     n = num_slices or max(_shuffle_partitions(df), -(-total // ROWS_PER_SLICE))
     bound = single_task_rows or max(MIN_SINGLE_TASK_ROWS, total // max(n, 1))
     if strategy == "split":
-        split = _split_few_groups if groups <= FEW_GROUPS else _split
-        return split(base, partition_by, order_by, out_col, start, n)
-    if largest <= bound:
+        groups = min(FEW_GROUPS + 1, base.select(*partition_by).distinct().limit(FEW_GROUPS + 1).count()) \
+            if partition_by else 1
+        return _split_for(groups)(base, partition_by, order_by, out_col, start, n)
+    if weights is None and total <= bound:
         return _plain(base, partition_by, order_by, out_col, start)
     if not partition_by:  # one group holding every row: it is the hot group
         return _split_few_groups(base, partition_by, order_by, out_col, start, n)
-    # The hot groups' 64-bit key hashes split the input with a plain membership filter, which
-    # Catalyst pushes below upstream joins, so hot rows never enter the cold branch's shuffle. A
-    # hash shared with a cold group only moves that group to the (equally exact) split plan; a
-    # group never straddles the two branches.
-    hot_hashes = sorted({h for h, rows in candidates if rows > bound})
-    split = _split_few_groups if len(hot_hashes) <= FEW_GROUPS else _split
-    if sum(1 for _, rows in candidates if rows > bound) == groups:  # every group is hot: no second branch
+    hot, groups, in_hot = heavy_groups(rows, partition_by, bound, total, weights)
+    if not groups:
+        return _plain(base, partition_by, order_by, out_col, start)
+    if num_slices is None:  # the weights may make more rows than were counted
+        n = max(n, -(-in_hot // ROWS_PER_SLICE))
+    split = _split_for(groups)
+    if measured is None and in_hot == total:  # every group is hot: no second branch
         return split(base, partition_by, order_by, out_col, start, n)
-    is_hot = key_hash.isin(hot_hashes)
-    cold_rows, hot_rows = base.where(~is_hot), base.where(is_hot)
+    # At most rows / bound hashes (see module doc), so they are broadcast. A hash shared with a cold
+    # group only moves that group to the (equally exact) split plan; a group never straddles both.
+    is_hot = group_hash(partition_by) == F.col("_hot")
+    hashes = F.broadcast(hot.select(F.col("_hash").alias("_hot")))
+
+    def part(how: str) -> DataFrame:
+        def taken(rows: DataFrame) -> DataFrame:
+            return rows.join(hashes, is_hot, how)
+        return rebuild(taken, how == "left_semi") if rebuild else taken(base)
+
+    cold_rows, hot_rows = part("left_anti"), part("left_semi")
     return _plain(cold_rows, partition_by, order_by, out_col, start).unionByName(
         split(hot_rows, partition_by, order_by, out_col, start, n))
 
 
+def _split_for(groups: int):
+    return _split_few_groups if groups <= FEW_GROUPS else _split
+
+
+def group_hash(partition_by: list[str]) -> Column:
+    """64-bit hash of a group's columns, NULLs included."""
+    return F.xxhash64(*[F.col(c) for c in partition_by])
+
+
+# Most items a sketch of frequent items may track (Spark's own limit).
+MOST_TRACKED = 1_000_000
+
+
+def heavy_groups(rows: DataFrame, partition_by: list[str], bound: int, total: int,
+                 weights: DataFrame | None = None) -> tuple[DataFrame, int, int]:
+    """(table of ``_hash`` and ``_rows`` of the groups with more than ``bound`` of the ``total`` rows,
+    their number, their rows).
+
+    A sketch of frequent items that tracks m of them errs by at most 3.5 * total / m, and reports
+    every item above twice its error; with m = 7 * total / bound that is every group above the bound.
+    It reports fewer than 2 * total / bound others as large, which the exact count then tells apart.
+    Beyond ``MOST_TRACKED`` items the bound rises with the rows, to 7 millionths of them.
+
+    ``weights`` (the group columns, ``_weight``) makes every row of a group count so often. Its
+    groups are candidates too, whatever their rows, so none is missed and a heavy weight of one group
+    makes no other one hot.
+    """
+    tracked = max(16, -(-7 * total // max(bound, 1)))
+    if tracked > MOST_TRACKED:
+        tracked, bound = MOST_TRACKED, max(bound, -(-7 * total // MOST_TRACKED))
+    most = min(tracked, 2 * (total // max(bound, 1)) + 2)
+    hashed = rows.select(group_hash(partition_by).alias("_hash"))
+    named = hashed.agg(F.expr(f"approx_top_k(_hash, {most}, {tracked})").alias("top")) \
+        .select(F.explode("top").alias("x")).select(F.col("x.item").alias("_hash"))
+    if weights is not None:
+        weighed = weights.select(group_hash(partition_by).alias("_hash"), F.col("_weight"))
+        named = named.unionByName(weighed.select("_hash")).distinct()
+    candidates = write_stage(named, "hot-candidates")
+    sized = hashed.join(candidates, "_hash").groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    if weights is not None:
+        sized = sized.join(weighed.groupBy("_hash").agg(F.sum("_weight").alias("_weight")), "_hash", "left") \
+            .select("_hash", (F.col("_rows") * F.coalesce("_weight", F.lit(1))).alias("_rows"))
+    hot = write_stage(sized.where(F.col("_rows") > F.lit(bound)), "hot-groups")
+    found = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    return hot, int(found[0]), int(found[1])
+
+
 def _sliced(rows: DataFrame, partition_by, order_by, n, positions: bool) -> DataFrame:
     """Range-partition ``rows`` on (group, order) into ``n`` slices, tag every row with its slice
     (and, with ``positions``, its position inside the sorted slice), and write the result as a

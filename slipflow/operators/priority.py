@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import weakref
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SelectionConfig
@@ -104,35 +104,40 @@ def policy_ref_flags(reg: Registry, docs: DataFrame, cfg: SelectionConfig) -> Da
             .drop("_ref", "_salt", "_is_ref"))
 
 
-def document_side(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+def with_contract_code(docs: DataFrame, cfg: SelectionConfig) -> DataFrame:
+    """``docs`` with ``ContractCode``; a stored table has it already (``sources.stored``)."""
+    if "ContractCode" in docs.columns:
+        return docs
+    return docs.withColumn("ContractCode", key_text(F.col("RootObjectCode"), cfg.case_sensitive))
+
+
+def document_side(reg: Registry, cfg: SelectionConfig, docs: DataFrame | None = None) -> DataFrame:
     """Documents joined to folder, location, status, business object and department (all of them
     size-checked broadcasts), before the contract join."""
     cs = cfg.case_sensitive
     statuses = dimension(reg.statuses).select("DocumentSystemStatusID", "StatusName")
     bo = dimension(reg.business_objects).select(
-        key_text(F.col("ObjectCode"), cs).alias("_code"), F.col("ObjectName").alias("BusObjectName"))
+        key_text(F.col("ObjectCode"), cs).alias("ContractCode"), F.col("ObjectName").alias("BusObjectName"))
     depts = dimension(reg.departments).select("DepartmentID", "DepartmentName")
-    docs = reg.docs
+    docs = reg.docs if docs is None else docs
     if cfg.match_policy_refs:
         docs = policy_ref_flags(reg, docs, cfg)
-    located = located_documents(reg, cfg, docs=docs)
-    return (located.join(statuses, "DocumentSystemStatusID")
-            .withColumn("_code", key_text(F.col("RootObjectCode"), cs))
-            .join(bo, "_code")
-            .withColumnRenamed("_code", "ContractCode")
-            .join(depts, "DepartmentID"))
+    located = located_documents(reg, cfg, docs=with_contract_code(docs, cfg))
+    return located.join(statuses, "DocumentSystemStatusID").join(bo, "ContractCode").join(depts, "DepartmentID")
 
 
 def contract_side(reg: Registry, cfg: SelectionConfig) -> DataFrame:
     """The contract columns a document takes, with the join keys ``ObjectID`` and ``_ocode``."""
+    if reg.stored_contracts is not None:
+        return reg.stored_contracts
     return contract_objects(reg, cfg).select(
         F.col("ObjectID"), key_text(F.col("ObjectCode"), cfg.case_sensitive).alias("_ocode"), *CONTRACT_TAKEN)
 
 
-def joined_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+def joined_documents(reg: Registry, cfg: SelectionConfig, docs: DataFrame | None = None) -> DataFrame:
     """Documents with their lookups, joined to their contract: the one shuffle join (documents and
     contracts both grow with the data)."""
-    d, c = document_side(reg, cfg), contract_side(reg, cfg)
+    d, c = document_side(reg, cfg, docs), contract_side(reg, cfg)
     return d.join(c, (d["RootObjectID"] == c["ObjectID"]) & (d["ContractCode"] == c["_ocode"])) \
         .drop("_ocode", "ObjectID")
 
@@ -199,17 +204,17 @@ def type_priority(cfg: SelectionConfig) -> Column:
                   F.col("IsPolicyRef") if cfg.match_policy_refs else None)
 
 
-def prioritised_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+def prioritised_documents(reg: Registry, cfg: SelectionConfig, docs: DataFrame | None = None) -> DataFrame:
     """Eligible documents (folder type, status, date window) with their type priority."""
-    d = joined_documents(reg, cfg).where(eligibility(cfg))
+    d = joined_documents(reg, cfg, docs).where(eligibility(cfg))
     return d.withColumn("DocumentTypePriorityOrdinal", type_priority(cfg))
 
 
-def top_priority_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
+def top_priority_documents(reg: Registry, cfg: SelectionConfig, docs: DataFrame | None = None) -> DataFrame:
     """Eligible documents of priority 1: the condition of the first outcome alone, which is what
     reaches the scan, and the priority as a literal."""
     first = top_priority(cfg, F.col("DocumentName"), F.col("FolderTypeID"), F.col("DocumentFileType"))
-    d = joined_documents(reg, cfg).where(eligibility(cfg) & first)
+    d = joined_documents(reg, cfg, docs).where(eligibility(cfg) & first)
     return d.withColumn("DocumentTypePriorityOrdinal", F.lit(1))
 
 
@@ -229,15 +234,27 @@ def rank_order(columns: list[str] = TIE_BREAK) -> list[Column]:
             F.col("DocumentID").asc(), *[F.col(c).asc_nulls_first() for c in TIE_BREAK if c in columns]]
 
 
-def contract_sizes(reg: Registry, cfg: SelectionConfig, top_only: bool = False) -> DataFrame:
-    """Upper bound of the ranked rows per contract (``CONTRACT_KEYS``, ``_rows``), measured before
-    the contract join: eligible documents per key (map-side combine, so a hot contract costs a
-    row per task) times the contracts' largest fan-out."""
+def contract_sizes(reg: Registry, cfg: SelectionConfig, top_only: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What the ranking's hot contracts are looked for in, before the contract join (see
+    ``number_rows``): the eligible documents' contract keys, and the keys that several contracts
+    share with their number. A document of such a key becomes so many ranked rows, and no other."""
     d = document_side(reg, cfg).where(document_eligibility(cfg))
     if top_only:
         d = d.where(top_priority(cfg, F.col("DocumentName"), F.col("FolderTypeID"), F.col("DocumentFileType")))
-    fan_out = _max_per_key(contract_side(reg, cfg), F.col("ObjectID"), F.col("_ocode"))
-    return d.groupBy(*CONTRACT_KEYS).agg((F.count(F.lit(1)) * fan_out).alias("_rows"))
+    shared = (contract_side(reg, cfg).groupBy(F.col("ObjectID").alias("RootObjectID"), F.col("_ocode").alias("ContractCode"))
+              .agg(F.count(F.lit(1)).alias("_weight")).where("_weight > 1"))
+    return d.select(*CONTRACT_KEYS), shared
+
+
+def ranking_parts(reg: Registry, cfg: SelectionConfig, top_only: bool = False) -> dict:
+    """Options of ``number_rows`` for the ranking of a registry: where its hot contracts are looked
+    for, and how its input is built of hot or other documents only, parted below every join."""
+    def rebuild(part, hot: bool) -> DataFrame:
+        rows = top_priority_documents if top_only else prioritised_documents
+        # hot documents are not read by key: a bucket that holds them must be many tasks' work
+        docs = reg.plain_docs if hot and reg.plain_docs is not None else reg.docs
+        return rank_input(rows(reg, cfg, part(with_contract_code(docs, cfg))))
+    return {"measured": lambda: contract_sizes(reg, cfg, top_only), "rebuild": rebuild}
 
 
 def rank_documents(prioritised: DataFrame, *, top_priority_only: bool = False,
@@ -279,43 +296,54 @@ def output_columns(df: DataFrame) -> DataFrame:
     return df.select(*RANKED_COLUMNS)
 
 
-def _first_row(rows: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:
-    """The first row of every key in rank order, as one ``min`` aggregation of (order, row)."""
-    payload = [c for c in rows.columns if c not in keys]
-    key = F.struct(
-        F.col("DocumentTypePriorityOrdinal").alias("k1"),
-        F.col("CreateDate").isNull().alias("k2"),
-        (-F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                           F.col("CreateDate"))).alias("k3"),
-        F.col("DocumentID").alias("k4"),
-        *[F.col(c).alias(f"t_{c}") for c in ties if c in rows.columns],
-        *[F.col(c).alias(f"v_{c}") for c in payload],
-    )
-    best = rows.groupBy(*keys).agg(F.min(key).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.v_{c}").alias(c) for c in payload])
+def first_rows(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of every key. Spark limits each task to a row per key before the shuffle
+    (WindowGroupLimit), so a hot key costs a row per task."""
+    return rows.withColumn("_first", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))) \
+        .where("_first = 1").drop("_first")
 
 
 def best_document(prioritised: DataFrame) -> DataFrame:
-    """Rank-1 document per contract of rows that are joined to their contracts already, as an
-    aggregation instead of a window. On top of the contract join both halves of the aggregation
-    run in the task of the join; ``best_documents`` has no such hot task."""
-    return _first_row(prioritised, CONTRACT_KEYS, TIE_BREAK) \
+    """Rank-1 document per contract of rows that are joined to their contracts already. On top of
+    the contract join the limit runs in the task of the join; ``best_documents`` has no such hot
+    task."""
+    return first_rows(prioritised, CONTRACT_KEYS, rank_order(prioritised.columns)) \
         .withColumn("DocumentPriorityOrdinal", F.lit(1).cast("long"))
 
 
+# What names a document's winners beside the contract key: the order's first three columns.
+_NARROW = ["DocumentTypePriorityOrdinal", "CreateDate", "DocumentID"]
+
+
 def best_documents(reg: Registry, cfg: SelectionConfig) -> DataFrame:
-    """Rank-1 document per contract, with the documents aggregated per contract before the
-    contract join: the map-side halves run on the scan, so a hot contract costs a row per task,
-    and the join has one row per key on either side. The order's document columns come before its
-    contract columns, so the first document with the first contract is the first pair."""
-    docs = document_side(reg, cfg).where(document_eligibility(cfg)) \
-        .withColumn("DocumentTypePriorityOrdinal", type_priority(cfg)) \
+    """Rank-1 document per contract, found before the contract join in two narrow passes.
+
+    The first pass ranks only keys, priority, date and id: map-side limits leave a row per contract
+    and task, so a hot contract makes no hot task. Rows that tie in these are told apart by the
+    remaining columns of the order, so all of them are winners as yet. The second pass takes the whole
+    documents of the winners' ids by a semi-join, gives only these their lookups and picks the first
+    one by the full order. The order's document columns come before its contract columns, so the
+    first document with the first contract is the first pair. Dates are compared as they are, without
+    a time zone.
+    """
+    order = rank_order([])
+
+    def eligible(docs: DataFrame | None) -> DataFrame:
+        return document_side(reg, cfg, docs).where(document_eligibility(cfg)) \
+            .withColumn("DocumentTypePriorityOrdinal", type_priority(cfg))
+
+    first = Window.partitionBy(*CONTRACT_KEYS).orderBy(*order)
+    winners = (eligible(None).select(*CONTRACT_KEYS, *_NARROW).withColumn("_rank", F.rank().over(first))
+               .where("_rank = 1").select(*[F.col(c).alias(f"_w_{c}") for c in (*CONTRACT_KEYS, "DocumentID")]).distinct())
+    docs = with_contract_code(reg.docs, cfg)
+    same = [docs[c].eqNullSafe(winners[f"_w_{c}"]) if c == "DocumentID" else docs[c] == winners[f"_w_{c}"]
+            for c in (*CONTRACT_KEYS, "DocumentID")]
+    whole = eligible(docs.join(winners, same[0] & same[1] & same[2], "left_semi")) \
         .withColumnRenamed("BusObjectName", "ObjectName") \
         .select(*[c for c in RANK_INPUT_COLUMNS if c not in CONTRACT_TAKEN])
-    ties = [c for c in DOCUMENT_TIES if c not in CONTRACT_KEYS]
-    docs = _first_row(docs, CONTRACT_KEYS, ties)
-    contracts = (contract_side(reg, cfg).where(contract_eligibility(cfg)).groupBy("ObjectID", "_ocode")
-                 .agg(F.min(F.struct(*CONTRACT_TAKEN)).alias("_c")))
-    joined = docs.join(contracts, (docs["RootObjectID"] == contracts["ObjectID"])
-                       & (docs["ContractCode"] == contracts["_ocode"]))
-    return joined.select(*docs.columns, "_c.*").withColumn("DocumentPriorityOrdinal", F.lit(1).cast("long"))
+    best = first_rows(whole, CONTRACT_KEYS, rank_order([c for c in whole.columns if c in DOCUMENT_TIES]))
+    contracts = first_rows(contract_side(reg, cfg).where(contract_eligibility(cfg)), ["ObjectID", "_ocode"],
+                           [F.col(c).asc_nulls_first() for c in CONTRACT_TAKEN])
+    joined = best.join(contracts, (best["RootObjectID"] == contracts["ObjectID"])
+                       & (best["ContractCode"] == contracts["_ocode"]))
+    return joined.drop("ObjectID", "_ocode").withColumn("DocumentPriorityOrdinal", F.lit(1).cast("long"))

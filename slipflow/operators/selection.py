@@ -9,8 +9,8 @@ from ..config import SelectionConfig
 from ..functions.text import contains_any, matched_words, same_text
 from ..sources.registry import Registry
 from .joins import key_text
-from .priority import (TIE_BREAK, contract_sizes, output_columns, prioritised_documents, rank_documents,
-                       rank_input, registry_row_bound, top_priority_documents)
+from .priority import (TIE_BREAK, output_columns, prioritised_documents, rank_documents,
+                       rank_input, ranking_parts, registry_row_bound, top_priority_documents)
 
 
 def final_filter(ranked: DataFrame, cfg: SelectionConfig):
@@ -38,7 +38,7 @@ def selected_documents(reg: Registry, cfg: SelectionConfig, *, ordered: bool = T
     bound = registry_row_bound(reg, cfg) if strategy == "auto" else None
     rows = top_priority_documents(reg, cfg) if prefilter else prioritised_documents(reg, cfg)
     ranked = rank_documents(rank_input(rows), strategy=strategy, max_rows=bound,
-                            group_sizes=lambda: contract_sizes(reg, cfg, top_only=prefilter))
+                            **ranking_parts(reg, cfg, top_only=prefilter))
     out = output_columns(ranked.where(final_filter(ranked, cfg)))
     return out.orderBy(*result_order()) if ordered else out
 

@@ -133,7 +133,7 @@ def q_document_rank(spark, sf_dir):
     reg = registry(spark, sf_dir)
     return priority.output_columns(priority.rank_documents(
         priority.rank_input(p), max_rows=_bound(spark, sf_dir),
-        group_sizes=lambda: priority.contract_sizes(reg, CFG)))
+        **priority.ranking_parts(reg, CFG)))
 
 
 def q_best_document(spark, sf_dir):

@@ -118,6 +118,10 @@ class Registry:
     docs: DataFrame
     # Which registry the rows come from (several registries share one schema).
     source: str = "default"
+    # The contract columns that documents take, where they are stored by key (``sources.stored``).
+    stored_contracts: DataFrame | None = None
+    # The same rows as ``docs``, read without their buckets.
+    plain_docs: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -127,7 +131,7 @@ class Registry:
 
     @classmethod
     def table_names(cls) -> list[str]:
-        return [f.name for f in fields(cls) if f.name != "source"]
+        return [f.name for f in fields(cls) if f.name not in ("source", "stored_contracts", "plain_docs")]
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
