@@ -39,52 +39,52 @@ MODULUS = 32
 LEAST, TOP = 100, 2000
 MOST_BITS = 1 << 28
 BUCKETS = 16
-SPARE = 4_000_000  # characters of chunks that a batch gathers before it counts
+SPARE = 16_000_000  # characters of chunks that a batch gathers before it counts
 
 _BREAK = b"\n"
-_TABLE = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b
+_MARK = b"\xff"  # a break inside a batch: no byte of UTF-8, and no blank
+_TABLE = bytes(255 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b
                for b in range(256))
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str) -> list[bytes]:
     """Words and breaks of a text, A-Z lower-cased."""
-    raw = text.encode().translate(_TABLE).replace(b"\n", b" \n ")
-    return [t for t in raw.split(b" ") if t]
+    return text.encode().translate(_TABLE).replace(_MARK, b" " + _MARK + b" ").split()
 
 
-def cuts(hashes: np.ndarray, modulus: int = MODULUS) -> np.ndarray:
-    """Where the chunks of a stream with these token hashes begin: at 0 and at every trigger."""
+def triggers(hashes: np.ndarray, modulus: int = MODULUS) -> np.ndarray:
+    """Where a window of a stream with these token hashes is a trigger."""
     n = len(hashes) - WINDOW + 1
-    if n <= 1:
-        return np.zeros(1, np.int64)
+    if n < 1:
+        return np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
         rolled = np.zeros(n, np.uint64)
         for i in range(WINDOW):
             rolled = rolled * _PRIME + hashes[i:i + n]
-        at = np.flatnonzero(mix64(rolled) % np.uint64(modulus) == 0)
-    return at if len(at) and at[0] == 0 else np.concatenate([[0], at])
+        return np.flatnonzero(mix64(rolled) % np.uint64(modulus) == 0)
 
 
 def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(lang, text) to the distinct chunks of each run of whole texts: (lang, text, last, parses).
     ``last`` marks the end of a stream, whose last window counts as well."""
     for run in pieces(batches):
+        words, streams = Words(), [tokens(text) for text in run["text"]]
+        parts = [words.ids(stream) for stream in streams]
+        cuts = triggers(crcs(words.words)[np.concatenate(parts)]) if words else np.zeros(0, np.int64)
         seen: Counter = Counter()
-        words = Words()
-        for lang, text in zip(run["lang"], run["text"]):
-            found = tokens(text)
-            if not found:
-                continue
-            ids = words.ids(found)
-            own = np.unique(ids)
-            hashes = np.zeros(len(words), np.uint64)
-            hashes[own] = crcs([words.words[i] for i in own.tolist()])
-            at = cuts(hashes[ids]).tolist()
-            for a, b in zip(at, at[1:]):
-                seen[lang, b" ".join(found[a:b + WINDOW]), False] += 1
-            seen[lang, b" ".join(found[at[-1]:]), True] += 1
-        yield pd.DataFrame([(g, c.decode(), last, n) for (g, c, last), n in seen.items()],
+        start = 0
+        for lang, stream in zip(run["lang"], streams):
+            if stream:
+                end = start + len(stream)
+                # triggers whose whole window is this stream's
+                own = cuts[np.searchsorted(cuts, start + 1):np.searchsorted(cuts, end - WINDOW, side="right")] - start
+                at = [0, *own.tolist()]
+                for a, b in zip(at, at[1:]):
+                    seen[lang, b" ".join(stream[a:b + WINDOW]), False] += 1
+                seen[lang, b" ".join(stream[at[-1]:]), True] += 1
+                start = end
+        yield pd.DataFrame([(g, c.replace(_MARK, _BREAK).decode(), last, n) for (g, c, last), n in seen.items()],
                            columns=["lang", "text", "last", "parses"])
 
 

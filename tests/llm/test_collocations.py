@@ -74,7 +74,7 @@ def result(df):
 
 @pytest.mark.parametrize("modulus", [1, 3, 1 << 40])
 def test_chunks_hold_every_phrase_once(made_up, modulus, monkeypatch):
-    monkeypatch.setattr(co.cuts, "__defaults__", (modulus,))
+    monkeypatch.setattr(co.triggers, "__defaults__", (modulus,))
     rows = [(t, "und" if g is None else g) for t, g in made_up]
     parsed = pd.concat(co.parse(iter([pd.DataFrame(rows, columns=["text", "lang"])])))
     chunks = co.Chunks(parsed.reset_index(drop=True))
