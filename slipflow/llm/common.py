@@ -45,6 +45,18 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, with underscores behind those that ``docs`` has already (Spark does
+    not tell names apart by case)."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def remainder(id_col: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -8,13 +8,15 @@ costs about shingles + m log m arrivals. Bands of registers are the buckets of c
 and every link is verified by the exact J_P.
 
 Scale and skew. Exact copies meet in an aggregation and go on as one node, so a group of copies
-costs one row per task. In a bucket, texts are compared by their registers in numpy, blocks of at
-most ``CHUNK`` rows against each other, and only a spanning forest of the likely links leaves the
-task. It may miss some, and some fail the exact test: a second round over the buckets that still
-hold several components follows, with the ``FEW`` best partners of every node in other components, and,
-if some node has more, by a last one with all of them. Only connected components are asked for, so
-pairs inside one component are never looked at again, and none between two components stays
-unexamined.
+costs one row per task. Two steps follow. In the buckets, texts are compared by their registers in
+numpy, blocks of at most ``CHUNK`` rows against each other; a block gives no pairs, only a
+representative of each node's component among the likely links, which falls silent as soon as the
+whole block is one component. The components over all buckets are *groups*, and every likely link
+lies inside one. Then the shingle sets of a group's nodes are dealt once, in blocks of at most
+``BLOCK`` nodes and ``BLOCK_BYTES``, and every task settles the exact J_P of all pairs of its blocks
+by merging the lists of their shingles. A spanning forest of verified links leaves the task, at most
+a row per node, however many pairs a group has. Links join nodes of one group only, so nothing is
+looked at twice, and no link between different texts that meet in a bucket stays unexamined.
 """
 
 from __future__ import annotations
@@ -28,21 +30,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, packed, pieces, staged, staged_with, table, texts
+from .bitmaps import bit_map
+from .common import free_names, mix64, packed, pieces, staged, staged_with, table, texts
 from .components import components
 
 WORDS = 5
 BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
 CHUNK = 4096
-BEST, FEW = 8, 16
-SHARE = 20_000
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
+SHARE, SHARE_BYTES = 20_000, 32 << 20
 SIMILARITY = 0.8
-#: A pair goes to the exact test when at least this share of its registers agrees, more than three
-#: standard errors under the threshold (sqrt(0.8 * 0.2 / 180) = 0.03): a pair at exactly 0.8 stays
-#: under it with probability 0.0003, one at 0.82 with 0.00001. Pairs well under
-#: the threshold mostly end here: at 0.65 seven of eight.
-LIKELY = 0.7
+#: A pair of a bucket is likely when at least this share of its registers agrees, more than six
+#: standard errors under the threshold (sqrt(0.8 * 0.2 / 180) = 0.03): a pair at exactly 0.8 stays under
+#: it with a probability of about 10^-9.
+LIKELY = 0.61
 
 
 def shingles(run: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -118,7 +120,7 @@ def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for j in range(ROWS):  # band number and the kept bits of its registers: the bucket itself
             band = (band << 8) | low[:, j::ROWS]
         has = n > 0
-        node = [hashlib.md5(b" ".join(t.encode().lower().split())).hexdigest() if h else None
+        node = [hashlib.md5(b" ".join(t.encode().lower().split())).digest() if h else None
                 for t, h in zip(run["text"], has)]
         yield pd.DataFrame({
             "doc_id": run["doc_id"].to_numpy(), "text_key": run["text_key"].to_numpy(), "node": node,
@@ -126,16 +128,22 @@ def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "registers": [r.tobytes() if h else None for r, h in zip(low, has)]})
 
 
-def weighted_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(node, elements, weights): sorted hashes as bytes; weights null when all are one."""
-    for run in pieces(batches, 3_000_000):
-        doc, element, weight, _ = shingles(run)
-        cut = np.searchsorted(doc, np.arange(len(run) + 1))
-        yield pd.DataFrame({
-            "node": run["node"].to_numpy(),
-            "elements": [element[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])],
-            "weights": [None if (weight[a:b] == 1).all() else weight[a:b].astype(np.int32).tobytes()
-                        for a, b in zip(cut[:-1], cut[1:])]})
+def weighted_shingles(wanted):
+    """Function for mapInPandas: (doc_id, text_key, hash, text) to (doc_id, text_key, elements,
+    weights) of the rows whose hash may be wanted: sorted hashes as bytes; weights null when all are
+    one."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            some = batch[wanted.value.has(batch["hash"].to_numpy(np.int64).view(np.uint64))]
+            for part in pieces(iter([some]), 3_000_000):
+                doc, element, weight, _ = shingles(part)
+                cut = np.searchsorted(doc, np.arange(len(part) + 1))
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"].to_numpy(), "text_key": part["text_key"].to_numpy(),
+                    "elements": [element[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])],
+                    "weights": [None if (weight[a:b] == 1).all() else weight[a:b].astype(np.int32).tobytes()
+                                for a, b in zip(cut[:-1], cut[1:])]})
+    return run
 
 
 def probability_jaccard(a: np.ndarray, u: np.ndarray, b: np.ndarray, v: np.ndarray) -> float:
@@ -152,39 +160,6 @@ def probability_jaccard(a: np.ndarray, u: np.ndarray, b: np.ndarray, v: np.ndarr
     return float(sum(c / np.maximum(x / p, y / q).sum() for (p, q), c in zip(kinds.T, counts)))
 
 
-def spanning(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Positions of a spanning forest of the edges (u, v), the first edges preferred. The number
-    of components is counted first, so that the walk ends with the last edge needed."""
-    size = max(u.max(), v.max()) + 1
-    label = np.arange(size)
-    while True:
-        low = np.minimum(label[u], label[v])
-        new = label.copy()
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    needed = size - len(np.unique(label))
-    parent, kept = list(range(size)), []
-
-    def root(c):
-        while parent[c] != c:
-            parent[c] = parent[parent[c]]
-            c = parent[c]
-        return c
-
-    for k, (a, b) in enumerate(zip(u.tolist(), v.tolist())):
-        if len(kept) == needed:
-            break
-        p, q = root(a), root(b)
-        if p != q:
-            parent[p] = q
-            kept.append(k)
-    return np.array(kept, np.int64)
-
-
 def agreements(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Equal registers of every row with every column of the transposed registers."""
     if columns.shape[1] <= 64:
@@ -195,106 +170,197 @@ def agreements(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
     return total
 
 
-def forest(pairs: np.ndarray, comp: np.ndarray) -> np.ndarray:
-    """Of pairs (row, row, agreements) those of a spanning forest of their components, the best first."""
-    if not len(pairs):
-        return pairs
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]
-    at = np.unique(comp[pairs[:, :2]], return_inverse=True)[1].reshape(-1, 2)
-    return pairs[spanning(at[:, 0], at[:, 1])]
-
-
-def likely_links(take: int):
-    """Function for applyInPandas over one share of the block pairs: pairs of different components
-    that agree on LIKELY of the registers. take 0: of every block pair a spanning forest of the
-    ``BEST`` of every node; otherwise the best ``take`` of every node (below 0: all). A pair of nulls
-    tells that a node had more than were taken."""
+def joined(label: np.ndarray, at: int, others: np.ndarray) -> None:
+    """Give ``at``, ``others`` and all that share a label with one of them the smallest of their labels."""
+    labels = np.unique(np.append(label[others], label[at]))
+    if len(labels) > 1:
+        label[np.isin(label, labels)] = labels[0]
+
+
+def likely_components(sig: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Label of every row: rows that a chain of likely links between ``left`` and ``right`` joins share
+    one. Ends as soon as all rows do."""
+    label = np.arange(len(sig))
+    columns = np.ascontiguousarray(sig[right].T)
+    for at in range(0, len(left), 64):
+        some = left[at:at + 64]
+        ok = agreements(sig[some], columns) >= LIKELY * REGISTERS
+        for i, row in zip(some.tolist(), ok):
+            others = right[row]
+            if len(others) and (label[others] != label[i]).any():
+                joined(label, i, others)
+        if (label == label[0]).all():
+            break
+    return label
+
+
+def likely_edges(share: pd.DataFrame) -> pd.DataFrame:
+    """For applyInPandas over one share of the block pairs of buckets: (a, b) with every node and the
+    representative of its component among the likely links of its block pair."""
+    share = share.sort_values(["bucket", "x", "y", "node"], ignore_index=True)
+    bucket, x, y, side = (share[c].to_numpy(np.int64) for c in ("bucket", "x", "y", "side"))
+    node = share["node"].to_numpy(object)
+    sig = np.frombuffer(b"".join(share["registers"]), np.uint8).reshape(len(share), REGISTERS)
+    new = np.ones(len(share), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    cut = np.append(np.flatnonzero(new), len(share))
+    found = [np.zeros((0, 2), np.int64)]
+    # buckets of two, which most are: all at once
+    two = cut[:-1][np.diff(cut) == 2]
+    two = two[x[two] == y[two]]
+    ok = (sig[two] == sig[two + 1]).sum(1) >= LIKELY * REGISTERS
+    found.append(np.stack([two[ok], two[ok] + 1], axis=1))
+    for a, b in zip(cut[:-1], cut[1:]):
+        if b - a < 2 or b - a == 2 and x[a] == y[a]:
+            continue
+        every = np.arange(b - a)
+        left, right = (every, every) if x[a] == y[a] else (np.flatnonzero(side[a:b] == 1), np.flatnonzero(side[a:b] == 2))
+        label = likely_components(sig[a:b], left, right)
+        moved = np.flatnonzero(label != every)
+        found.append(a + np.stack([label[moved], moved], axis=1))
+    pairs = np.concatenate(found)
+    edges = pd.DataFrame({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]}, dtype=object)
+    return edges.drop_duplicates()
+
+
+def verified_forest(elements: list[np.ndarray], weights: list[np.ndarray | None], left: np.ndarray,
+                    right: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs with J_P >= ``similarity`` between ``left`` and ``right`` (None:
+    among ``left``), as positions.
+
+    The lists of the shingles of a row give, for all other rows at once, the number of shingles in
+    common and the sum of the smaller shares of the total weight, which J_P never exceeds. Without
+    repeated shingles J_P is the plain Jaccard similarity, of which the first is all that is needed;
+    the others that the bound leaves are settled one by one, but for those that are joined already.
+    """
+    n = len(elements)
+    size = np.array([len(e) for e in elements], np.int64)
+    once = np.array([w is None for w in weights])
+    share = np.concatenate([np.full(k, 1.0 / max(k, 1)) if w is None else w / w.sum()
+                            for k, w in zip(size, weights)]) if n else np.zeros(0)
+    code = np.unique(np.concatenate(elements), return_inverse=True)[1] if n else np.zeros(0, np.int64)
+    own = np.repeat(np.arange(n), size)
+    several = np.bincount(code)[code] > 1 if len(code) else np.zeros(0, bool)
+    code, own, share = code[several], own[several], share[several]
+    first = np.searchsorted(own, np.arange(n + 1))
+    order = np.argsort(code, kind="stable")
+    owner, part = own[order], share[order]
+    begin = np.searchsorted(code[order], np.arange((code.max() if len(code) else -1) + 2))
+    scope = np.zeros(n, bool)
+    scope[left if right is None else right] = True
+    label, links = np.arange(n), []
+    for i in left.tolist():
+        if right is None:
+            scope[i] = False  # every pair once
+        if (label[scope] == label[i]).all():
+            continue
+        mine = code[first[i]:first[i + 1]]
+        length = begin[mine + 1] - begin[mine]
+        at = np.repeat(begin[mine] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum()) \
+            if len(mine) else np.zeros(0, np.int64)
+        common = np.bincount(owner[at], minlength=n)
+        ok = scope & (common > 0)
+        if once[i]:
+            ok &= ~once | (common / np.maximum(size[i] + size - common, 1) >= similarity)
+            doubtful = ok & ~once
+        else:
+            doubtful = ok.copy()
+        if doubtful.any():
+            most = np.bincount(owner[at], np.minimum(np.repeat(share[first[i]:first[i + 1]], length), part[at]), n)
+            doubtful &= most >= similarity - 1e-9
+            sure = np.flatnonzero(ok & once) if once[i] else np.zeros(0, np.int64)
+            joined_to = set(label[sure].tolist()) | {int(label[i])}
+            checked = []
+            for j in np.flatnonzero(doubtful)[np.argsort(-most[doubtful], kind="stable")].tolist():
+                if int(label[j]) not in joined_to and probability_jaccard(
+                        elements[i], _weights(weights[i], size[i]), elements[j], _weights(weights[j], size[j])) >= similarity:
+                    checked.append(j)
+                    joined_to.add(int(label[j]))
+            others = np.concatenate([sure, np.array(checked, np.int64)])
+        else:
+            others = np.flatnonzero(ok)
+        others = others[label[others] != label[i]]
+        if len(others):
+            _, one = np.unique(label[others], return_index=True)
+            links += [(i, j) for j in others[one].tolist()]
+            joined(label, i, others)
+    return links
+
+
+def _weights(w: np.ndarray | None, n: int) -> np.ndarray:
+    return np.ones(n) if w is None else w.astype(float)
+
+
+def verified_links(similarity: float):
+    """Function for applyInPandas over one share of the block pairs of groups: (a, b), a spanning
+    forest of the links of every block pair."""
     def find(share: pd.DataFrame) -> pd.DataFrame:
-        share = share.sort_values(["bucket", "x", "y", "node"], ignore_index=True)
-        bucket, x, y, side = (share[c].to_numpy(np.int64) for c in ("bucket", "x", "y", "side"))
-        node = share["node"].to_numpy(object)
-        comp = pd.factorize(share["component"])[0]
-        sig = np.frombuffer(b"".join(share["registers"]), np.uint8).reshape(len(share), REGISTERS)
-        new = np.ones(len(share), bool)
-        new[1:] = (bucket[1:] != bucket[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-        cut = np.append(np.flatnonzero(new), len(share))
-        found, more = [np.zeros((0, 2), np.int64)], False
-        # buckets of two, which most are: all at once
-        two = cut[:-1][np.diff(cut) == 2]
-        two = two[x[two] == y[two]]
-        equal = sig[two] == sig[two + 1]
-        earlier = equal.reshape(len(two), BANDS, ROWS).all(2)
-        ok = (equal.sum(1) >= LIKELY * REGISTERS) & (comp[two] != comp[two + 1])
-        ok &= earlier.argmax(1) == bucket[two] >> 8 * ROWS  # a pair counts in the first of its buckets
-        found.append(np.stack([two[ok], two[ok] + 1], axis=1))
-        for a, b in zip(cut[:-1], cut[1:]):
-            if b - a < 2 or b - a == 2 and x[a] == y[a]:
-                continue
-            alike, band = x[a] == y[a], bucket[a] >> 8 * ROWS
-            left = np.arange(a, b) if alike else a + np.flatnonzero(side[a:b] == 1)
-            right = left if alike else a + np.flatnonzero(side[a:b] == 2)
-            pairs, columns = [np.zeros((0, 3), np.int64)], np.ascontiguousarray(sig[right].T)
-            for at in range(0, len(left), 64):
-                some = left[at:at + 64]
-                same = agreements(sig[some], columns)
-                ok = (same >= LIKELY * REGISTERS) & (comp[right] != comp[some][:, None])
-                if alike and take < 0:
-                    ok &= right > some[:, None]
-                most = take or BEST
-                if 0 < most < ok.sum(1).max(initial=0):  # the best of each row
-                    more |= take > 0
-                    best = np.argpartition(np.where(ok, same, 0), -most, axis=1)[:, -most:]
-                    chosen = np.zeros_like(ok)
-                    np.put_along_axis(chosen, best, True, axis=1)
-                    ok &= chosen
-                i, j = np.nonzero(ok)
-                if band and len(i):
-                    equal = sig[some[i], :band * ROWS] == sig[right[j], :band * ROWS]
-                    fresh = ~equal.reshape(len(i), band, ROWS).all(2).any(1)
-                    i, j = i[fresh], j[fresh]
-                pairs.append(np.stack([some[i], right[j], same[i, j]], axis=1).astype(np.int64))
-            pairs = np.concatenate(pairs)
-            found.append((forest(pairs, comp) if take == 0 else pairs)[:, :2])
-        pairs = np.unique(np.concatenate(found), axis=0)
-        p, q, mark = node[pairs[:, 0]], node[pairs[:, 1]], [None] * more
-        swap = p > q
-        return pd.DataFrame({"a": pd.Series([*np.where(swap, q, p), *mark], dtype=object),
-                             "b": pd.Series([*np.where(swap, p, q), *mark], dtype=object)})
+        pairs: list[tuple] = []
+        for (_, x, y), block in share.groupby(["component", "x", "y"], sort=False):
+            block = block.sort_values("node", ignore_index=True)
+            elements = [np.frombuffer(e, np.uint64) for e in block["elements"]]
+            weights = [None if w is None else np.frombuffer(w, np.int32) for w in block["weights"]]
+            side = block["side"].to_numpy()
+            left = np.arange(len(block)) if x == y else np.flatnonzero(side == 1)
+            right = None if x == y else np.flatnonzero(side == 2)
+            node = block["node"].tolist()
+            pairs += [(node[i], node[j]) for i, j in verified_forest(elements, weights, left, right, similarity)]
+        return pd.DataFrame(pairs, columns=["a", "b"], dtype=object)
     return find
 
 
-def verify(similarity: float):
-    """Function for mapInPandas: candidate pairs with both shingle sets to the pairs that hold."""
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def weights(raw, n):
-            return np.ones(n) if raw is None else np.frombuffer(raw, np.int32).astype(float)
-        for batch in batches:
-            keep = []
-            for ea, wa, eb, wb in zip(batch["ea"], batch["wa"], batch["eb"], batch["wb"]):
-                a, b = np.frombuffer(ea, np.uint64), np.frombuffer(eb, np.uint64)
-                keep.append(probability_jaccard(a, weights(wa, len(a)), b, weights(wb, len(b))) >= similarity)
-            yield batch.loc[keep, ["a", "b"]]
-    return check
-
-
-def _blocks(rows: DataFrame, registers: DataFrame) -> DataFrame:
-    """The rows of the buckets that hold several components, dealt to block pairs. A bucket of n
-    nodes has ceil(n / CHUNK) blocks; a row goes to the pair of its block with every block. Block
-    pairs go by hash to shares of about ``SHARE`` rows, one task's work at a time."""
-    size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
-                                      F.max("component").alias("hi")).filter("lo < hi") \
-        .select("bucket", "n", F.ceil(F.col("n") / CHUNK).cast("int").alias("k"))
-    size, total = staged_with(size, "buckets", F.sum(F.col("n") * F.col("k")).alias("rows"))
-    shares = 1 + (total["rows"] or 0) // SHARE
-    mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-    dealt = (rows.join(size.select("bucket", "k"), "bucket").withColumn("mine", mine)
+def _sides(dealt: DataFrame, key: str, shares: int) -> DataFrame:
+    """Rows with ``k`` blocks of their ``key`` dealt to the pair of their block with every block, with
+    the pair (x, y), its share of the work and ``side``: 1 and 2 are the two blocks of a pair, 0 a block
+    against itself."""
+    dealt = (dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-             .withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other"))
-             .join(registers, "node"))
-    # side 1 and 2: the two blocks of a pair; 0: a block against itself
-    return dealt.select(F.pmod(F.xxhash64("bucket", "x", "y"), F.lit(shares)).alias("share"), "bucket", "x", "y",
+             .withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other")))
+    return dealt.select(F.pmod(F.xxhash64(key, "x", "y"), F.lit(shares)).alias("share"), key, "x", "y", "node",
                         F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
-                        .otherwise(2).alias("side"), "node", "component", "registers")
+                        .otherwise(2).alias("side"))
+
+
+def _likely_groups(hits: DataFrame, registers: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that chains of likely links join; ``hits`` are (bucket, node) of
+    the buckets with several nodes. Block pairs go by hash to shares of about ``SHARE`` rows, one
+    task's work at a time."""
+    size, total = staged_with(
+        hits.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("k"), F.count(F.lit(1)).alias("n")),
+        "buckets", F.sum(F.col("n") * F.col("k")).alias("rows"))
+    dealt = _sides(hits.join(size.select("bucket", "k"), "bucket"), "bucket", 1 + (total["rows"] or 0) // SHARE)
+    edges = (dealt.join(registers, "node").groupBy("share").applyInPandas(likely_edges, "a binary, b binary").distinct())
+    return staged(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
+
+
+def _shingle_sets(rows: DataFrame, copies: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, component, elements, weights, bytes) of the nodes in groups, from the text of the row
+    that stands for each. The texts are not shuffled: a bit map of the wanted rows goes to them."""
+    wanted, seen = staged_with(
+        groups.join(copies.select("node", "place"), "node").select(
+            "node", "component", F.col("place.doc_id").alias("doc_id"), F.col("place.text_key").alias("text_key"),
+            F.xxhash64("place.doc_id", "place.text_key").alias("hash")), "wanted", F.count(F.lit(1)).alias("n"))
+    sent = rows.sparkSession.sparkContext.broadcast(bit_map(wanted, seen["n"]))
+    sets = rows.withColumn("hash", F.xxhash64("doc_id", "text_key")).select("doc_id", "text_key", "hash", "text") \
+        .mapInPandas(weighted_shingles(sent), "doc_id long, text_key long, elements binary, weights binary")
+    sets = sets.withColumnsRenamed({"doc_id": "_doc", "text_key": "_text"})
+    of_node = sets.join(wanted, wanted["doc_id"].eqNullSafe(sets["_doc"]) & (wanted["text_key"] == sets["_text"]))
+    # rows that repeat an id and a text give equal sets
+    return staged(of_node.groupBy("node", "component").agg(F.first("elements").alias("elements"),
+                                                           F.first("weights").alias("weights"))
+                  .withColumn("bytes", F.octet_length("elements").cast("long")), "shingles")
+
+
+def _verified(sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that span the classes of near duplicates, from the sets of the groups."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    size, total = staged_with(
+        sets.groupBy("component").agg(blocks.alias("k"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+        .filter("n > 1"), "group-sizes", F.sum(F.col("bytes") * F.col("k")).alias("bytes"))
+    dealt = _sides(sets.select("node", "component").join(size.select("component", "k"), "component"), "component",
+                   1 + (total["bytes"] or 0) // SHARE_BYTES)
+    return (dealt.join(sets.select("node", "elements", "weights"), "node").groupBy("share")
+            .applyInPandas(verified_links(similarity), "a binary, b binary"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
@@ -310,7 +376,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     null when no member has one). An empty table gives an empty result; other columns are ignored.
     """
     rows = texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    signed = staged(rows.mapInPandas(signatures, "doc_id long, text_key long, node string, bands array<long>, "
+    signed = staged(rows.mapInPandas(signatures, "doc_id long, text_key long, node binary, bands array<long>, "
                                      "registers binary"), "signatures")
     # of each node the row of its smallest doc_id stands for it (null ids last)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
@@ -320,41 +386,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     hits = copies.select("node", F.explode("bands").alias("bucket"))
     shared = hits.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     hits = staged(hits.join(staged(shared, "shared"), "bucket"), "hits")
-    near = copies.join(hits.select("node").distinct(), "node", "left_semi")
-    near = staged(near.select("node", "place", "registers"), "near")
-    registers = near.select("node", "registers")
-    # the shingles of the texts that share a bucket, once per node
-    sets = staged(_texts_of(rows, near).mapInPandas(
-        weighted_shingles, "node string, elements binary, weights binary"), "shingles")
-    labels, links, tried = None, None, None
-    for take in (0, FEW, -1):
-        component = hits.withColumn("component", F.col("node")) if labels is None else hits.join(
-            labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        found = (_blocks(component, registers).groupBy("share")
-                 .applyInPandas(likely_links(take), "a string, b string").distinct())
-        if tried is not None:
-            found = found.join(tried, ["a", "b"], "left_anti")
-        found, state = staged_with(found, "candidates", F.count("a").alias("pairs"),
-                                   F.count(F.lit(1)).alias("rows"))
-        found = found.filter("a IS NOT NULL")
-        if state["pairs"]:
-            held, kept = staged_with(_with_sets(found, sets).mapInPandas(verify(similarity), "a string, b string"),
-                                     "links", F.count(F.lit(1)).alias("rows"))
-            if kept["rows"]:
-                links = held if links is None else links.unionByName(held)
-                labels = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
-            tried = found if tried is None else tried.unionByName(found)
-        if take and state["rows"] == state["pairs"]:  # no node had more partners
-            break
+    groups = _likely_groups(hits, copies.select("node", "registers"))
+    links, found = staged_with(_verified(_shingle_sets(rows, copies, groups), similarity), "links",
+                               F.count(F.lit(1)).alias("rows"))
+    labels = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels") \
+        if found["rows"] else None
     members = copies.select("node", "least", "n_copies")
     if labels is not None:
         members = members.join(labels, "node", "left")
     else:
-        members = members.withColumn("component", F.lit(None).cast("string"))
+        members = members.withColumn("component", F.lit(None).cast("binary"))
     members = members.withColumn("component", F.coalesce("component", "node"))
     first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node"))
-    classes = members.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("n_copies").alias("n_class"),
-                                               first.alias("first"))
+    # written first, so that the join has a plain exchange on either side, which can be split
+    classes = staged(members.groupBy("component").agg(
+        F.min("least").alias("class_id"), F.sum("n_copies").alias("n_class"), first.alias("first")), "class-sizes")
     of_node = staged(members.join(classes, "component").select(
         "node", "class_id", "n_class", "n_copies",
         F.when(F.col("first.node") == F.col("node"), F.struct("least")).alias("chosen")), "classes")
@@ -370,31 +416,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, with all their columns, without near duplicates: of each class of
     ``near_duplicates`` the row marked ``kept`` stays, of rows equal in doc_id and words one."""
-    found = near_duplicates(docs, similarity).filter("kept")
-    chosen = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
-                           F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("_rows"))
-    chosen = staged(chosen, "kept")
-    out = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-                    & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key")))
-    again = chosen.groupBy("_id", "_node").agg(F.sum("_rows").alias("n")).filter("n > 1 AND _node IS NOT NULL")
+    i, key, node, rows = free_names(docs, "_id", "_key", "_node", "_rows")
+    found = staged(near_duplicates(docs, similarity).filter("kept").select(
+        F.col("doc_id").alias(i), F.col("text_key").alias(key), F.col("node").alias(node)), "kept")
+    chosen = staged(found.groupBy(i, key, node).agg(F.count(F.lit(1)).alias(rows)), "chosen")
+    out = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(chosen[i])
+                    & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == chosen[key]))
+    again = chosen.groupBy(i, node).agg(F.sum(rows).alias("n")).filter(F.col(node).isNotNull() & (F.col("n") > 1))
     if not again.isEmpty():  # rows that repeat a doc_id with the same words
-        alone = out.filter("_node IS NULL")
-        out = alone.unionByName(out.filter("_node IS NOT NULL").dropDuplicates(["_id", "_node"]))
-    return out.select(*[docs[c] for c in docs.columns])
-
-
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the shingles of both."""
-    side = lambda c, e, w: sets.select(F.col("node").alias(c), F.col("elements").alias(e),
-                                       F.col("weights").alias(w))
-    return pairs.join(side("a", "ea", "wa"), "a").join(side("b", "eb", "wb"), "b")
-
-
-def _texts_of(rows: DataFrame, near: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in ``near``, one row each: the text of the row that stands for it."""
-    wanted = near.select("node", F.col("place.doc_id").alias("_id"), F.col("place.text_key").alias("_key"))
-    some = rows.join(wanted, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["text_key"] == F.col("_key")))
-    return some.groupBy("node").agg(F.first("text").alias("text"))
+        alone = out.filter(F.col(node).isNull())
+        out = alone.unionByName(out.filter(F.col(node).isNotNull()).dropDuplicates([i, node]))
+    return out.select(*docs.columns)
 
 
 def op10_probminhash(spark, sf_dir: str) -> DataFrame:

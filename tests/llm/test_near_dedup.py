@@ -61,8 +61,93 @@ def test_large_group_in_small_blocks(spark, make_docs, monkeypatch):
     words = [f"w{i}" for i in range(120)]
     rows = [(100 + i, t) for i, t in enumerate([" ".join(words), *variants(rng, words, 60, 2), *variants(rng, words, 20, 5)])]
     rows += ODD
+    # some with repeated shingles, so that weights count
+    rows += [(300 + i, t + " " + " ".join(words[:40 + i % 3])) for i, (_, t) in enumerate(rows[:12])]
     monkeypatch.setattr(N, "CHUNK", 7)
+    monkeypatch.setattr(N, "BLOCK", 5)
     assert classes(N.near_duplicates(make_docs(rows))) == brute(rows)
+    monkeypatch.setattr(N, "BLOCK", 1000)
+    monkeypatch.setattr(N, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(N, "SHARE_BYTES", 10_000)
+    monkeypatch.setattr(N, "SHARE", 50)
+    assert classes(N.near_duplicates(make_docs(rows))) == brute(rows)
+
+
+def sets_of(texts):
+    doc, element, weight, _ = N.shingles(pd.DataFrame({"text": texts}))
+    cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+    parts = [(element[a:b], weight[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    return [e for e, _ in parts], [None if (w == 1).all() else w for _, w in parts]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_forest_spans_all_links(seed):
+    """The forest joins what all pairs of exact J_P join, within a block and between two."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(60)]
+    texts = [t for k in (0, 1, 2, 3) for t in variants(rng, words + words[:seed * 10], 9, k)]
+    texts += ["", "a b", "a b", "c"] + variants(rng, words[:20] * 3, 8, 2)
+    order = rng.permutation(len(texts))
+    elements, weights = sets_of([texts[i] for i in order])
+    full = [N._weights(w, len(e)) for e, w in zip(elements, weights)]
+    n = len(texts)
+    links = {(i, j) for i in range(n) for j in range(i + 1, n)
+             if N.probability_jaccard(elements[i], full[i], elements[j], full[j]) >= 0.8}
+
+    def joined(pairs):
+        label = list(range(n))
+        for a, b in pairs:
+            x, y = label[a], label[b]
+            label = [min(x, y) if v in (x, y) else v for v in label]
+        return label
+    got = N.verified_forest(elements, weights, np.arange(n), None, 0.8)
+    assert {tuple(sorted(p)) for p in got} <= links and joined(got) == joined(links)
+    left, right = np.arange(0, n, 2), np.arange(1, n, 2)
+    between = {(i, j) for i, j in links if i % 2 != j % 2}
+    got = N.verified_forest(elements, weights, left, right, 0.8)
+    assert {tuple(sorted(p)) for p in got} <= between and joined(got) == joined(between)
+
+
+def test_rows_that_leave_the_tasks_follow_the_nodes(spark, make_docs, monkeypatch):
+    """Near copies of one text, most pairs of which fail the threshold: their likely pairs grow with
+    the square of the group, what the tasks give with the group."""
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(120)]
+    for n in (100, 200):
+        made = {}
+        real = N.staged_with
+        monkeypatch.setattr(N, "staged_with", lambda df, label, *m: made.setdefault(label, real(df, label, *m)))
+        N.near_duplicates(make_docs(list(enumerate([" ".join(words)] + variants(rng, words, n, 2))))).count()
+        monkeypatch.setattr(N, "staged_with", real)
+        assert n / 2 < made["links"][0].count() <= n and made["wanted"][0].count() <= n + 1
+
+
+def test_likely_components_are_those_of_all_pairs():
+    rng = np.random.default_rng(4)
+    for n in (2, 9, 150):
+        sig = rng.integers(0, 3, (n, N.REGISTERS)).astype(np.uint8)
+        for i in range(1, n):  # chains: each row near an earlier one
+            if rng.random() < 0.7:
+                k = rng.integers(i)
+                keep = rng.random(N.REGISTERS) < rng.choice([0.3, 0.55, 0.8])
+                sig[i, keep] = sig[k, keep]
+        near = (sig[:, None] == sig[None]).sum(2) >= N.LIKELY * N.REGISTERS
+        for left, right in ((np.arange(n), np.arange(n)), (np.arange(0, n, 2), np.arange(1, n, 2))):
+            want = np.arange(n)
+            for _ in range(n):
+                for i in left:
+                    for j in right[near[i, right]]:
+                        want[i] = want[j] = min(want[i], want[j])
+            got = N.likely_components(sig, left, right)
+            assert len(set(zip(got.tolist(), want.tolist()))) == len(set(got.tolist())) == len(set(want.tolist()))
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "same words here", "p", "q", "r", "s"), (2, "same words here", "p", "q", "r", "s"),
+                                  (2, "same  words here", "p", "q", "r", "s")],
+                                 "doc_id long, text string, _id string, _KEY string, _node string, _rows string")
+    kept = N.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "same words here", "p", "q", "r", "s")]
 
 
 def test_odd_cases(spark, make_docs):
