@@ -18,18 +18,24 @@ from ..config import FIXTURE, LOG_OK
 from ..operators import contracts, locations, manifest, priority, reconcile, selection
 from ..operators.joins import dimension, key_text
 from ..operators.numbering import write_stage
+from ..sources import monthly, ranges
 from ..sources.fixtures import fixture_registry
 from ..sources.encoding import decode_latin1
 from ..sources.listing import list_landed
 from ..session import ensure_checkpoint_dir
 from ..sources.registry import Registry
+from ..sources.stored import load_stored, store_by_contract
 from ..sources.views import run_sql
+from . import publish
 from .selection_sql import SELECTED_SQL, parameters
 
 # Parameters of the registered queries.
 CFG = FIXTURE
 MANIFEST_FOLDER_SIZE = 10     # the selection is small: size 10 gives several folders per department
 ORDERS_FOLDER_SIZE = 300      # the original folder size, on orders grouped by priority
+EXTRACTION_PARTS = 12
+ROWS_PER_FILE = 100
+STORED_BUCKETS = 16           # one for about a gigabyte at scale (sources.stored)
 RUN_TIME = _dt.datetime(2021, 8, 4, 14, 10, 12)
 REGISTRIES = ("registry_a", "registry_b")
 
@@ -64,6 +70,12 @@ def fetch_results(spark, sf_dir) -> DataFrame:
     return lines.where(F.col("l_returnflag") != "N").select(F.col("l_orderkey").alias("DocumentID"))
 
 
+def _months(spark, sf_dir) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/months-{uuid.uuid4().hex}"
+    monthly.store_by_month(registry(spark, sf_dir).docs, path)
+    return monthly.load_months(spark, path)
+
+
 def _status(spark, sf_dir) -> DataFrame:
     return reconcile.fetch_status(_manifest(spark, sf_dir), fetch_results(spark, sf_dir), "DocumentID")
 
@@ -136,6 +148,17 @@ def q_document_rank(spark, sf_dir):
         **priority.ranking_parts(reg, CFG)))
 
 
+def q_document_rank_stored(spark, sf_dir):
+    """The ranking of a registry that was stored by contract key: no exchange for the contract join
+    and none for the window."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    store_by_contract(registry(spark, sf_dir), CFG, path, STORED_BUCKETS)
+    reg = load_stored(spark, path, CFG)
+    p = priority.rank_input(priority.prioritised_documents(reg, CFG))
+    return priority.output_columns(priority.rank_documents(p, max_rows=_bound(spark, sf_dir),
+                                                           **priority.ranking_parts(reg, CFG)))
+
+
 def q_best_document(spark, sf_dir):
     return priority.output_columns(priority.best_documents(registry(spark, sf_dir), CFG))
 
@@ -154,6 +177,31 @@ def q_selected_documents_sql(spark, sf_dir):
     return run_sql(spark, SELECTED_SQL, parameters(CFG, reg), registry=reg)
 
 
+def q_selected_documents_monthly(spark, sf_dir):
+    """The flagship over documents stored by month, of which only the months of the run are read."""
+    reg, months = registry(spark, sf_dir), _months(spark, sf_dir)
+    return selection.selected_documents(reg.with_tables(docs=monthly.created_before(months, CFG).drop(monthly.MONTH)), CFG)
+
+
+def q_documents_of_months(spark, sf_dir):
+    """Documents created in a month in which an eligible contract incepts: the months are known only
+    when the query runs, and only their files are read."""
+    contracts_ = contracts.contract_objects(registry(spark, sf_dir), CFG).where(priority.contract_eligibility(CFG))
+    wanted = contracts_.select(monthly.month_of(F.col("InceptionDate")).alias(monthly.MONTH))
+    return monthly.in_months(_months(spark, sf_dir), wanted).select("DocumentID", monthly.MONTH, "CreateDate")
+
+
+def q_planned_ranges(spark, sf_dir):
+    """Extraction ranges planned on a skewed key with missing values: how many of them read each
+    document (one), and whether it is the part of missing keys."""
+    docs = registry(spark, sf_dir).docs.select("DocumentID", F.when(
+        F.col("RootObjectCode") != "X", F.when(F.col("RootObjectID") % 3 == 0, F.lit(3)).otherwise(F.col("RootObjectID")))
+        .alias("key"))
+    predicates = ranges.plan_ranges(docs, "key", EXTRACTION_PARTS)
+    number, hits = ranges.part_of("key", predicates)
+    return docs.select("DocumentID", hits.alias("ranges"), (number == len(predicates) - 1).alias("without_key"))
+
+
 def q_registry_union(spark, sf_dir):
     """Two registries with different documents, the second without an optional column: each is
     selected for itself, and the selections are appended."""
@@ -247,6 +295,20 @@ def q_write_manifest(spark, sf_dir):
         .select(*manifest.MANIFEST_COLUMNS)
 
 
+def q_published_manifest(spark, sf_dir):
+    """The manifest of the published run, after two: the first holds only the odd record numbers, the
+    second replaces every department by the whole of it."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    laid = write_stage(manifest.sink_layout(_manifest(spark, sf_dir)), "laid")
+
+    def first(folder: str) -> list[str]:
+        publish.write_departments(laid.where("record_num % 2 = 1"), f"{folder}/manifest", ROWS_PER_FILE)
+        return ["manifest"]
+    publish.run_and_publish(spark, base, "first", first)
+    publish.amend_departments(spark, base, "second", laid, rows_per_file=ROWS_PER_FILE)
+    return publish.read_current(spark, base, "manifest").select(*manifest.MANIFEST_COLUMNS)
+
+
 def q_landed_departments(spark, sf_dir):
     """What a run has left below its landing root, listed in tasks and held to the manifest.
 

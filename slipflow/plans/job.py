@@ -31,6 +31,7 @@ from ..sources.inventory import landed_inventory
 from ..sources.listing import list_landed
 from ..sources.registry import Registry, load_parquet
 from ..sources.views import parse_param, register_views, run_sql
+from .publish import run_and_publish, write_departments
 
 
 def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfig, out_dir: str, *,
@@ -65,7 +66,7 @@ def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfi
     man = manifest.batch_manifest(selected, cfg.folder_size,
                                   max_rows=sum(registry_row_bound(r, cfg) for r in regs))
     laid = manifest.sink_layout(man)
-    laid.write.mode("overwrite").partitionBy("department_key").parquet(f"{base}/manifest")
+    write_departments(laid, f"{base}/manifest")
     man = spark.read.schema(laid.schema).parquet(f"{base}/manifest")
 
     if landing_root:
@@ -88,6 +89,20 @@ def run(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfi
         "log": spark.read.text(log_path)}
 
 
+# The outputs of ``run`` that a publication needs whole, and the one it has with a landing root or not.
+OUTPUTS = ["selected", "manifest", "status", "summary", "rejected"]
+
+
+def run_published(spark: SparkSession, reg: Registry | list[Registry], cfg: SelectionConfig, base: str,
+                  run_id: str, **options) -> str:
+    """``run`` into a folder of its own below ``base``, published by the pointer there when every
+    output is complete (``plans.publish``). Returns the folder."""
+    def write(folder: str) -> list[str]:
+        run(spark, reg, cfg, folder, **options)
+        return OUTPUTS
+    return run_and_publish(spark, base, run_id, write)
+
+
 def _date(s: str) -> _dt.date:
     return _dt.date.fromisoformat(s)
 
@@ -97,6 +112,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--registry", required=True, action="append",
                     help="folder with one Parquet dataset per table, or name=folder; may be repeated")
     ap.add_argument("--out", required=True, help="output folder")
+    ap.add_argument("--run-id", help="write below out/runs/ID and publish the run by out/CURRENT")
     ap.add_argument("--landing", help="landing root to reconcile against (optional)")
     ap.add_argument("--listing", choices=["tasks", "index"], default="tasks",
                     help="how landed files are listed: in tasks, or by Spark's file index")
@@ -122,7 +138,10 @@ def main(argv: list[str] | None = None) -> None:
         run_sql(spark, text, dict(map(parse_param, args.param))).write.mode("overwrite").parquet(
             f"{args.out.rstrip('/')}/result")
         return
-    run(spark, regs, cfg, args.out, landing_root=args.landing, listing=args.listing)
+    if args.run_id:
+        run_published(spark, regs, cfg, args.out, args.run_id, landing_root=args.landing, listing=args.listing)
+    else:
+        run(spark, regs, cfg, args.out, landing_root=args.landing, listing=args.listing)
 
 
 if __name__ == "__main__":

@@ -368,5 +368,14 @@ SELECT DocumentID, DocumentName, IsPolicyRef, DocumentTypePriorityOrdinal FROM p
 SELECT * FROM selected
 WHERE lower(rtrim(UniqueMarketRef)) IN (SELECT lower(rtrim(UniqueMarketRef)) FROM master_policy)""",
 }
-# The same rows as the operators' selection, which the engine takes from SQL text.
+# The same rows by other ways of the engine: from SQL text, from a registry stored by key.
 ORACLE["selected_documents_sql"] = ORACLE["selected_documents"]
+ORACLE["document_rank_stored"] = ORACLE["document_rank"]
+ORACLE["selected_documents_monthly"] = ORACLE["selected_documents"]
+ORACLE["documents_of_months"] = BASE + f"""
+SELECT DocumentID, strftime(CreateDate, '%Y-%m') AS created_month, CreateDate FROM docs
+WHERE strftime(CreateDate, '%Y-%m') IN (
+  SELECT strftime(InceptionDate, '%Y-%m') FROM contract_objects WHERE InceptionDate > TIMESTAMP '{INCEPTION_AFTER}')"""
+ORACLE["planned_ranges"] = BASE + """
+SELECT DocumentID, CAST(1 AS INT) AS ranges, RootObjectCode = 'X' AS without_key FROM docs"""
+ORACLE["published_manifest"] = ORACLE["write_manifest"]

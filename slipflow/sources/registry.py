@@ -165,14 +165,15 @@ def load_parquet(spark: SparkSession, root: str, source: str = "default") -> Reg
 def jdbc_options(url: str, name: str, *, table: str | None = None, columns: list[str] | None = None,
                  properties: dict | None = None, partition_column: str | None = None,
                  lower_bound: int | None = None, upper_bound: int | None = None,
-                 num_partitions: int | None = None) -> dict:
+                 num_partitions: int | None = None, predicates: list[str] | None = None) -> dict:
     """Reader options for one registry table: a subquery of only the needed columns, and, for
     large tables, a range partitioning on an integer key (``num_partitions`` parallel queries).
 
     ``table`` is the source's table name (default: ``name``). ``columns`` are the columns that the
     source has, so that optional ones it lacks are not asked for (default: all are there).
     Datetimes are read without a time zone, as the registry stores them. The tables of
-    ``LARGE_TABLES`` need a ``partition_column`` with its bounds.
+    ``LARGE_TABLES`` need a ``partition_column`` with its bounds, or ``predicates`` that part them
+    (``sources.ranges``).
     """
     have = None if columns is None else {c.lower() for c in columns}
     wanted = [f.name for f in SCHEMAS[name].fields
@@ -185,8 +186,8 @@ def jdbc_options(url: str, name: str, *, table: str | None = None, columns: list
             raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
         opts.update({"partitionColumn": partition_column, "lowerBound": str(lower_bound),
                      "upperBound": str(upper_bound), "numPartitions": str(num_partitions)})
-    elif name in LARGE_TABLES:
-        raise ValueError(f"table {name!r} grows with the data: pass partition_column and its bounds")
+    elif name in LARGE_TABLES and not predicates:
+        raise ValueError(f"table {name!r} grows with the data: pass partition_column and its bounds, or predicates")
     return opts
 
 
@@ -198,6 +199,10 @@ def read_jdbc(spark: SparkSession, url: str, name: str, *, table: str | None = N
     empty = {"url": url, "dbtable": f"(SELECT * FROM {table or name} WHERE 1 = 0) AS t", **(properties or {})}
     columns = spark.read.format("jdbc").options(**empty).load().columns
     opts = jdbc_options(url, name, table=table, columns=columns, properties=properties, **partitioning)
+    if partitioning.get("predicates"):  # one query a predicate
+        rest = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+        return conform(spark.read.jdbc(opts["url"], opts["dbtable"], predicates=partitioning["predicates"],
+                                       properties=rest), name)
     return conform(spark.read.format("jdbc").options(**opts).load(), name)
 
 

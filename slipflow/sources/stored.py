@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import SelectionConfig
 from ..operators.priority import CONTRACT_KEYS, contract_side, with_contract_code
-from .registry import LARGE_TABLES, Registry, conform
+from .registry import Registry, conform
 
 KEYS = {"docs": CONTRACT_KEYS, "contracts": ["ObjectID", "_ocode"]}
 BYTES_PER_BUCKET = 1 << 30
@@ -49,9 +49,7 @@ def store_by_contract(reg: Registry, cfg: SelectionConfig, path: str, buckets: i
          .sortBy(*KEYS[name]).option("path", f"{path}/{name}").format("parquet").saveAsTable(table))
         spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
     for name in Registry.table_names():
-        if name not in LARGE_TABLES:
-            reg.table(name).write.mode("overwrite").parquet(f"{path}/{name}")
-        elif name != "docs":
+        if name != "docs":
             reg.table(name).write.mode("overwrite").parquet(f"{path}/{name}")
     spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(cfg.case_sensitive).alias("case_sensitive")) \
         .write.mode("overwrite").parquet(f"{path}/layout")
