@@ -9,12 +9,12 @@ number of their parses are the dictionary, and everything is counted in it, weig
 most ``WINDOW`` + 1 words that begins before a chunk's last window lies in that chunk as a whole; one
 that begins in the last window is the next chunk's. So every occurrence counts once.
 
-Counting takes three passes over the dictionary. The first counts words. The second counts pairs of
-words that both reach the least count, by a 64-bit hash: a collision can only make a count too large.
-The third counts phrases, by their words, where every pair in them may reach the least count. Which
-words and pairs do is sent to the tasks as a bit map of their hashes: it may say yes wrongly, which
-costs a row, and never says no wrongly. Its size follows the number of frequent words or pairs up to
-``MOST_BITS`` (32 MB), whatever the corpus; more of them make it less sharp, not larger.
+Counting goes over the dictionary in passes. The first counts words. The second counts pairs of words
+that both reach the least count, by 128 bits of hash, and notes for each pair a chunk that holds it;
+the pairs that reach the count get their words from these chunks alone. The last counts longer
+phrases, by their words, where every pair in them reaches the least count. Which words, pairs and
+chunks are meant is sent to the tasks as bit maps (``bitmaps``), which may say yes wrongly, which costs
+a row, and never say no wrongly.
 
 Skew. Batches count before rows leave them and Spark once more before the shuffle, so a common chunk,
 pair or phrase costs a row per task. The best phrases of a language are taken in ``BUCKETS`` parts
@@ -28,16 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bitmaps import bit_map
 from .common import Words, crcs, mix64, pieces, staged, staged_with, table
 
 LONGEST = 5
 WINDOW = LONGEST - 1
 MODULUS = 32
 LEAST, TOP = 100, 2000
-MOST_BITS = 1 << 28
 BUCKETS = 16
 SPARE = 16_000_000  # characters of chunks that a batch gathers before it counts
 
@@ -111,19 +112,32 @@ class Chunks:
         at = np.arange(len(self.ids))
         self.lang = lang.astype(np.int64)[rows]
         self.weight = batch["parses"].to_numpy(np.int64)[rows]
+        self.chunk = batch["chunk"].to_numpy(np.int64)[rows]
         own_end = ends - np.where(batch["last"].to_numpy(bool), 0, WINDOW)
         counted = at < own_end[rows]
         # the next break or the chunk's end bounds a phrase
         stop = np.where(self.ids == self.words.get(_BREAK, -1), at, len(self.ids))
         stop = np.minimum(np.minimum.accumulate(stop[::-1])[::-1] if len(stop) else stop, ends[rows])
         self.room = np.where(counted, stop - at, 0)  # 0 at a break
-        self.hash = mix64(crcs(self.words.words)) if self.words.words else np.zeros(0, np.uint64)
+        self.hashes = [word_hashes(self.words.words, seed) for seed in (0, 1)]
 
-    def pair_hash(self, at: np.ndarray) -> np.ndarray:
-        """Hash of the words at each position and the next, and their language."""
-        with np.errstate(over="ignore"):
-            lang = mix64(crcs([str(x).encode() for x in self.langs]))[self.lang[at]]
-            return mix64((self.hash[self.ids[at]] * _PRIME + self.hash[self.ids[at + 1]]) ^ lang)
+    def pair_hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of hash of the words at each position and the next, and their language."""
+        out = []
+        for seed, own in enumerate(self.hashes):
+            lang = word_hashes([str(x).encode() for x in self.langs], seed + 2)[self.lang[at]]
+            with np.errstate(over="ignore"):
+                out.append(mix64((own[self.ids[at]] * _PRIME + own[self.ids[at + 1]]) ^ lang))
+        return out[0], out[1]
+
+
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def in_chunk(hashes: np.ndarray, chunks: np.ndarray) -> np.ndarray:
+    """Hash of a pair's hash and a chunk's number."""
+    return mix64(hashes ^ mix64(chunks.astype(np.int64).view(np.uint64)))
 
 
 def gathered(batches: Iterator[pd.DataFrame], most: int = SPARE) -> Iterator[pd.DataFrame]:
@@ -161,62 +175,59 @@ def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "phrase": [c.words.words[i].decode() for i in (key % size).tolist()]})
 
 
-class Bits:
-    """A bit map of hashes: ``has`` is true for all that were put in, and seldom for others."""
-
-    def __init__(self, bits: int, blocks: dict[int, bytes]):
-        self.mask = np.uint64(bits - 1)
-        self.bytes = np.zeros(max(bits // 8, BLOCK_BYTES), np.uint8)
-        for k, block in blocks.items():
-            self.bytes[k * BLOCK_BYTES:(k + 1) * BLOCK_BYTES] = np.frombuffer(block, np.uint8)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & self.mask
-        return (self.bytes[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-BLOCK_BYTES = 4096  # of a block of Spark's bitmap aggregates
-
-
-def bit_map(rows: DataFrame, n: int) -> Bits:
-    """Bit map of the column ``hash`` of ``n`` rows: 64 bits for each, ``MOST_BITS`` in all at most."""
-    bits = 8 * BLOCK_BYTES
-    while bits < min(64 * n, MOST_BITS):
-        bits *= 2
-    at = F.col("hash").bitwiseAND(F.lit(bits - 1).cast("long")) + 1
-    blocks = (rows.select(F.bitmap_bucket_number(at).alias("block"), F.bitmap_bit_position(at).alias("bit"))
-              .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")))
-    return Bits(bits, {r["block"] - 1: bytes(r["bits"]) for r in blocks.toLocalIterator()})
-
-
 def pair_counter(words):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Hashes of the pairs of words that may both be frequent, with their weights."""
+        """(h1, h2, f, chunk): the pairs of words that may both be frequent, with their weights and a
+        chunk that holds them."""
         for batch in gathered(batches):
             c = Chunks(batch)
-            frequent = words.value.has(c.hash)[c.ids] if len(c.ids) else np.zeros(0, bool)
+            frequent = words.value.has(c.hashes[0])[c.ids] if len(c.ids) else np.zeros(0, bool)
             at = np.flatnonzero((c.room > 1) & frequent & np.append(frequent[1:], False))
-            (hashes,), total = _summed(c.pair_hash(at), weight=c.weight[at])
-            yield pd.DataFrame({"hash": hashes.astype(np.int64), "f": total})
+            h1, h2 = c.pair_hashes(at)
+            order = np.argsort(h1, kind="stable")
+            h1, h2 = h1[order], h2[order]
+            # two pairs of one h1 may take turns: then a pair has several rows, which are summed later
+            first = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))[:len(h1)])
+            total = np.add.reduceat(c.weight[at][order], first) if len(first) else np.zeros(0, np.int64)
+            yield pd.DataFrame({"h1": h1[first].view(np.int64), "h2": h2[first].view(np.int64), "f": total,
+                                "chunk": c.chunk[at[order[first]]]})
+    return run
+
+
+def pair_namer(chunks, pairs):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """(h1, h2, chunk, lang, phrase) of the pairs that may have been noted with their chunk."""
+        for batch in batches:
+            no_pair = np.zeros(len(batch), np.uint64)
+            some = batch[chunks.value.has(in_chunk(no_pair, batch["chunk"].to_numpy()))].reset_index(drop=True)
+            c = Chunks(some)
+            at = np.flatnonzero(c.room > 1)
+            h1, h2 = c.pair_hashes(at)
+            ok = pairs.value.has(in_chunk(h1, c.chunk[at]))
+            at, h1, h2 = at[ok], h1[ok], h2[ok]
+            (chunk, h1, h2, lang, x, y), _ = _summed(
+                c.chunk[at], h1, h2, c.lang[at], c.ids[at], c.ids[at + 1], weight=c.weight[at])
+            names = c.words.words
+            yield pd.DataFrame({"h1": h1.view(np.int64), "h2": h2.view(np.int64), "chunk": chunk, "lang": c.langs[lang],
+                                "phrase": [(names[i] + b" " + names[j]).decode() for i, j in zip(x.tolist(), y.tolist())]})
     return run
 
 
 def phrase_counter(pairs):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Phrases all of whose pairs of words may be frequent, with their weights."""
+        """Phrases of three words or more all of whose pairs may be frequent, with their weights."""
         for batch in gathered(batches):
             c = Chunks(batch)
             pair = np.zeros(len(c.ids), bool)
-            # the last window's pairs belong to longer phrases that begin before it
+            # pairs of a chunk's last window belong to longer phrases that begin before it
             at = np.arange(max(len(c.ids) - 1, 0))
             edge = c.words.get(_BREAK, -1)
             at = at[(c.ids[at] != edge) & (c.ids[at + 1] != edge)]
-            pair[at] = pairs.value.has(c.pair_hash(at))
+            pair[at] = pairs.value.has(c.pair_hashes(at)[0])
             at = np.flatnonzero((c.room > 1) & pair)
-            for n in range(2, LONGEST + 1):
-                if n > 2:
-                    at = at[(c.room[at] >= n)]
-                    at = at[pair[at + n - 2]]
+            for n in range(3, LONGEST + 1):
+                at = at[c.room[at] >= n]
+                at = at[pair[at + n - 2]]
                 if not len(at):
                     break
                 (lang, *ids), total = _summed(c.lang[at], *(c.ids[at + i] for i in range(n)), weight=c.weight[at])
@@ -229,28 +240,39 @@ def phrase_counter(pairs):
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """((lang, n) with all word occurrences, (lang, phrase, words, f) of every word and phrase of at
     most ``LONGEST`` words with ``least`` occurrences or more)."""
-    spark = docs.sparkSession
-    chunks = staged(dictionary(docs), "chunks")
+    send = docs.sparkSession.sparkContext.broadcast
+    counted = F.count(F.lit(1)).alias("n")
+    chunks = staged(dictionary(docs).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
     words = staged(chunks.mapInPandas(count_words, "lang string, f long, phrase string")
                    .groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    often, seen = staged_with(words.filter(F.col("f") >= least).withColumn("hash", _word_hash()), "often-words",
-                              F.count(F.lit(1)).alias("n"))
-    sent = spark.sparkContext.broadcast(bit_map(often, seen["n"]))
-    pairs, seen = staged_with(chunks.mapInPandas(pair_counter(sent), "hash long, f long").groupBy("hash")
-                              .agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "often-pairs",
-                              F.count(F.lit(1)).alias("n"))
-    sent = spark.sparkContext.broadcast(bit_map(pairs, seen["n"]))
-    phrases = (chunks.mapInPandas(phrase_counter(sent), "lang string, words int, f long, phrase string")
+    often, seen = staged_with(words.filter(F.col("f") >= least).withColumn("hash", _word_hash("phrase")),
+                              "often-words", counted)
+    pairs, held = staged_with(
+        chunks.mapInPandas(pair_counter(send(bit_map(often, seen["n"]))), "h1 long, h2 long, f long, chunk long")
+        .groupBy("h1", "h2").agg(F.sum("f").alias("f"), F.min("chunk").alias("chunk")).filter(F.col("f") >= least),
+        "often-pairs", counted)
+    noted = bit_map(pairs.select(_in_chunk(F.lit(0).cast("long"), "chunk").alias("hash")), held["n"])
+    placed = bit_map(pairs.select(_in_chunk("h1", "chunk").alias("hash")), held["n"])
+    names = chunks.mapInPandas(pair_namer(send(noted), send(placed)),
+                               "h1 long, h2 long, chunk long, lang string, phrase string")
+    named = pairs.join(names, ["h1", "h2", "chunk"]).select("lang", "phrase", F.lit(2).alias("words"), "f")
+    likely = bit_map(pairs.select(F.col("h1").alias("hash")), held["n"])
+    phrases = (chunks.mapInPandas(phrase_counter(send(likely)), "lang string, words int, f long, phrase string")
                .groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
-    every = often.select("lang", "phrase", F.lit(1).alias("words"), "f").unionByName(phrases)
+    every = often.select("lang", "phrase", F.lit(1).alias("words"), "f").unionByName(named).unionByName(phrases)
     return totals, staged(every, "phrases")
 
 
-def _word_hash():
-    """``Chunks.hash`` of a word, for bit maps: only its low bits are used, so both sides must agree."""
-    return F.pandas_udf(lambda words: pd.Series(mix64(crcs([w.encode() for w in words])).astype(np.int64)),
-                        "long")("phrase")
+def _word_hash(word):
+    """``word_hashes`` of a column."""
+    return F.pandas_udf(lambda w: pd.Series(word_hashes([x.encode() for x in w]).view(np.int64)), "long")(word)
+
+
+def _in_chunk(pair, chunk):
+    """``in_chunk`` of two columns."""
+    return F.pandas_udf(lambda h, c: pd.Series(in_chunk(h.to_numpy(np.int64).view(np.uint64), c.to_numpy(np.int64))
+                                               .view(np.int64)), "long")(pair, chunk)
 
 
 #: floor(1000 * a * n / (l * r)) in decimals of up to 38 digits: exact while n is under 9 * 10^15.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from llm_cases import ODD, SF
 from slipflow.llm import collocations as co
+from slipflow.llm.bitmaps import Bits, bit_map
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -77,7 +78,7 @@ def test_chunks_hold_every_phrase_once(made_up, modulus, monkeypatch):
     monkeypatch.setattr(co.triggers, "__defaults__", (modulus,))
     rows = [(t, "und" if g is None else g) for t, g in made_up]
     parsed = pd.concat(co.parse(iter([pd.DataFrame(rows, columns=["text", "lang"])])))
-    chunks = co.Chunks(parsed.reset_index(drop=True))
+    chunks = co.Chunks(parsed.reset_index(drop=True).assign(chunk=0))
     got = Counter()
     for at in np.flatnonzero(chunks.room):
         for m in range(1, min(5, chunks.room[at]) + 1):
@@ -105,19 +106,27 @@ def test_against_brute_force(spark, made_up, least, top):
     assert got == want and (least == 100 or len(want) > 10)
 
 
+def yes(rows, n):
+    """A bit map that says yes to everything."""
+    bits = Bits(8 * 4096, {})
+    bits.bytes[:] = 255
+    return bits
+
+
 def test_dull_bit_maps_change_nothing(spark, made_up, monkeypatch):
-    monkeypatch.setattr(co, "MOST_BITS", 1)
-    monkeypatch.setattr(co, "SPARE", 50)
-    monkeypatch.setattr(co.Bits, "has", lambda self, hashes: np.ones(len(hashes), bool))
+    monkeypatch.setattr(co, "bit_map", yes)
+    monkeypatch.setattr(co.gathered, "__defaults__", (50,))
     assert result(co.collocations(frame(spark, made_up), 3, 50)) == plain(made_up, 3, 50)
 
 
 def test_bit_map_holds_all(spark):
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 63, 5000).astype(np.int64) * rng.choice([-1, 1], 5000)
-    bits = co.bit_map(spark.createDataFrame(pd.DataFrame({"hash": hashes})), 5000)
+    bits = bit_map(spark.createDataFrame(pd.DataFrame({"hash": hashes})), 5000)
     assert bits.has(hashes.view(np.uint64)).all()
     assert bits.has(co.mix64(np.arange(20_000, dtype=np.uint64))).mean() < 0.05
+    dull = bit_map(spark.createDataFrame(pd.DataFrame({"hash": hashes})), 5000, most=1)
+    assert dull.has(hashes.view(np.uint64)).all()
 
 
 def test_scores_are_exact(spark):
