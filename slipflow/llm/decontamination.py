@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, pieces, staged, table, texts
+from .common import free_names, packed, pieces, staged, table, texts
 
 TERM_BITS = 16
 TERMS = 1 << TERM_BITS
@@ -61,8 +61,10 @@ def term(word: bytes) -> int:
 def batch_terms(run: pd.DataFrame):
     """(plain words by id, term by id, ids, starts, ends); words of marks only are left out."""
     words, ids, ends = packed(run)
-    names = [plain(w) for w in words.words]
-    terms = np.fromiter(map(term, names), np.int32, len(names))
+    names = [w.strip(MARKS) for w in words.words]
+    # ``term`` of all at once
+    terms = (np.fromiter(map(zlib.crc32, names), np.uint32, len(names)) >> np.uint32(32 - TERM_BITS)).astype(np.int32)
+    terms[np.fromiter(map(len, names), np.int64, len(names)) == 0] = TERMS
     full = terms[ids] != TERMS if len(ids) else np.zeros(0, bool)
     before = np.concatenate([[0], np.cumsum(full)])
     ends = before[ends].astype(np.int64)
@@ -78,10 +80,10 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
             _, terms, ids, starts, ends = batch_terms(run)
             for a in range(0, len(run), 128):  # one bit a document and term
                 b = min(a + 128, len(run))
-                seen = np.zeros((b - a, TERMS), bool)
+                seen = np.zeros((b - a, TERMS), np.uint8)
                 doc = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
-                seen[doc, terms[ids[starts[a]:ends[b - 1]]]] = True
-                total += seen.sum(0)
+                seen[doc, terms[ids[starts[a]:ends[b - 1]]]] = 1
+                total += seen.sum(0, dtype=np.uint8)  # 128 at most
             rows += len(run)
         some = np.flatnonzero(total)
         yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(total[some], rows)})
@@ -154,6 +156,7 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]], idf: np.ndarray, space: np.ndarray):
         self.idf = np.append(idf, 0.0).astype(np.float32)
         self.project = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
+        self.used = self.project.any(axis=1)
         self.items, owner, vectors = [], [], []
         self.rare: dict[bytes, list[int]] = {}  # by word of the items: those that have it among their rarest
         self.least, self.span = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
@@ -210,7 +213,7 @@ def settle(item: tuple[int, list[bytes], set[bytes]], region: list[bytes]) -> tu
     """(share of the item's words in common order, share of its answer found, verdict)."""
     _, names, answer = item
     held = set(region)
-    if sum(w in held for w in names) < PARAPHRASE * len(names):  # no subsequence can be longer
+    if sum(map(held.__contains__, names)) < PARAPHRASE * len(names):  # no subsequence can be longer
         return 0.0, 0.0, None
     common = lcs(names, region) / len(names)
     found = len(answer & held) / max(1, len(answer))
@@ -278,9 +281,11 @@ def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, f
     line[np.arange(len(ids)) - np.repeat(starts, n) + np.repeat(first[:-1] * STEP, n)] = terms[ids]
     part = np.zeros((first[-1], bench.project.shape[1]), np.float32)
     norm = np.zeros(first[-1], np.float32)
-    for j in range(STEP):
-        part += bench.project[line[j::STEP]]
-        norm += bench.norm[line[j::STEP]] ** 2
+    for j in range(STEP):  # a term that no item has adds nothing but to the norm
+        at = line[j::STEP]
+        some = np.flatnonzero(bench.used[at])
+        part[some] += bench.project[at[some]]
+        norm += bench.norm[at] ** 2
     size = max(0, first[-1] - tail)
     window = sum(part[j:j + size] for j in range(tail + 1))
     norm = np.sqrt(sum(norm[j:j + size] for j in range(tail + 1)))
@@ -353,7 +358,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(Benchmark([(r.item_id, r.text) for r in block], idf, space))
 
         def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for run in pieces(batches, 2_000_000):
+            for run in pieces(batches, 4_000_000):
                 found = search(run, shared.value)
                 some = run.iloc[[f[0] for f in found]]
                 yield pd.DataFrame({
@@ -369,9 +374,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, in whose texts ``leaks`` finds no item."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    return docs.join(staged(found.distinct(), "leaks"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key")), "left_anti")
+    i, key = free_names(docs, "_id", "_key")
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias(i), F.col("text_key").alias(key))
+    return docs.join(staged(found.distinct(), "leaks"), docs["doc_id"].cast("long").eqNullSafe(F.col(i))
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(key)), "left_anti")
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

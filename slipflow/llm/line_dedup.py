@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, table, texts
+from .common import free_names, staged, table, texts
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,12 +78,13 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2)
     counted anew where the text changed. The same rules and cases as ``dedup_lines``; a null text
     stays null."""
     rows = texts(docs).withColumn("text_key", F.xxhash64("text"))
+    i, key, drop = free_names(docs, "_drop_id", "_drop_key", "_drop")
     drops = repeated_lines(rows, min_chars, min_docs).select(
-        F.col("doc_id").alias("_drop_id"), F.col("text_key").alias("_drop_key"), F.col("drop").alias("_drop"))
-    found = docs.join(drops, (docs["doc_id"].cast("long") == F.col("_drop_id"))
-                      & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_drop_key")), "left")
-    changed = F.col("_drop").isNotNull()
-    text = F.when(changed, without(docs["text"], F.col("_drop"))).otherwise(docs["text"])
+        F.col("doc_id").alias(i), F.col("text_key").alias(key), F.col("drop").alias(drop))
+    found = docs.join(drops, (docs["doc_id"].cast("long") == F.col(i))
+                      & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(key)), "left")
+    changed = F.col(drop).isNotNull()
+    text = F.when(changed, without(docs["text"], F.col(drop))).otherwise(docs["text"])
     columns = [text.alias("text") if c == "text" else
                F.when(changed, F.char_length(text)).otherwise(docs[c]).cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else docs[c] for c in docs.columns]

@@ -8,7 +8,7 @@ def make_docs(spark):
     """documents-like table from (doc_id, text) pairs, with extra columns of clashing names."""
     def make(rows):
         return spark.createDataFrame(
-            [(i, t, None, "s", None if t is None else len(t), "x", "x", "x", "x", "x") for i, t in rows], DOC_SCHEMA)
+            [(i, t, None, "s", None if t is None else len(t), *["x"] * (len(DOC_SCHEMA) - 5)) for i, t in rows], DOC_SCHEMA)
     return make
 
 

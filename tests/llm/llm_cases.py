@@ -12,6 +12,7 @@ DOC_SCHEMA = T.StructType([
     T.StructField("score", T.StringType()), T.StructField("node", T.StringType()),
     T.StructField("drop", T.StringType()), T.StructField("text_key", T.StringType()),
     T.StructField("label", T.StringType()),
+    *(T.StructField(c, T.StringType()) for c in ("_id", "_key", "_node", "_rows", "_drop", "_DROP_ID", "_drop_key")),
 ])
 
 #: nulls, empty and blank texts, ties, repeated rows
