@@ -66,13 +66,22 @@ def _star(edges: DataFrame, large: bool) -> tuple[DataFrame, dict]:
     return staged_with(out.filter("u <> v").distinct(), "star", *_mark())
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether all edges are stars: no node has two, and none that has one is another's centre. One
+    aggregation, where a round that changes nothing would take four steps to tell."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("centre")))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("centre").alias("centre")) \
+        .filter("out + centre > 1").isEmpty()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns u, v: two long ids or two strings);
     component is the smallest node reachable. Loops, repeated edges and nulls are ignored."""
     whole = edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     now, state = staged_with(whole.mapInPandas(_contract, whole.schema).distinct(), "edges", *_mark())
     for _ in range(rounds):
-        if not state["n"]:
+        if not state["n"] or _settled(now):
             break
         before = state
         now, state = _star(_star(now, True)[0], False)

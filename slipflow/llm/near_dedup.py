@@ -39,7 +39,7 @@ BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
 CHUNK = 4096
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
-SHARE, SHARE_BYTES = 20_000, 32 << 20
+SHARE, SHARE_BYTES = 20_000, 2 << 20
 SIMILARITY = 0.8
 #: A pair of a bucket is likely when at least this share of its registers agrees, more than six
 #: standard errors under the threshold (sqrt(0.8 * 0.2 / 180) = 0.03): a pair at exactly 0.8 stays under
