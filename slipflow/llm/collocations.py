@@ -85,6 +85,8 @@ def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     seen[lang, b" ".join(stream[a:b + WINDOW]), False] += 1
                 seen[lang, b" ".join(stream[at[-1]:]), True] += 1
                 start = end
+        if not seen:
+            continue
         yield pd.DataFrame([(g, c.replace(_MARK, _BREAK).decode(), last, n) for (g, c, last), n in seen.items()],
                            columns=["lang", "text", "last", "parses"])
 
@@ -171,6 +173,8 @@ def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = np.flatnonzero(c.room > 0)
         size = max(len(c.words), 1)
         (key,), total = _summed(c.lang[at] * size + c.ids[at], weight=c.weight[at])
+        if not len(key):
+            continue
         yield pd.DataFrame({"lang": c.langs[key // size], "f": total,
                             "phrase": [c.words.words[i].decode() for i in (key % size).tolist()]})
 
@@ -207,6 +211,8 @@ def pair_namer(chunks, pairs):
             at, h1, h2 = at[ok], h1[ok], h2[ok]
             (chunk, h1, h2, lang, x, y), _ = _summed(
                 c.chunk[at], h1, h2, c.lang[at], c.ids[at], c.ids[at + 1], weight=c.weight[at])
+            if not len(chunk):
+                continue
             names = c.words.words
             yield pd.DataFrame({"h1": h1.view(np.int64), "h2": h2.view(np.int64), "chunk": chunk, "lang": c.langs[lang],
                                 "phrase": [(names[i] + b" " + names[j]).decode() for i, j in zip(x.tolist(), y.tolist())]})

@@ -144,6 +144,13 @@ def test_odd_cases(spark, made_up):
     assert co.collocations(frame(spark, [(None, None), ("", "en"), ("one two", "en")])).collect() == []
 
 
+def test_batches_without_a_hit(spark, made_up):
+    """Pairs that are frequent in one file of the dictionary only: the tasks of others give no row."""
+    rows = [("only here now " * 9, "en")] + [(" ".join(f"w{i}x{j}" for j in range(40)), "en") for i in range(60)]
+    df = frame(spark, rows).repartition(9)
+    assert result(co.collocations(df, 9, 50)) == plain(rows, 9, 50)
+
+
 def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
