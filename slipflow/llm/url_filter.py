@@ -4,7 +4,7 @@ Rules (host, path) give every URL the verdict of the longest rule that fits. A U
 fits takes the decision of its aliases: URLs that differ only in scheme, query, fragment, a
 ``www.`` or ``m.`` before the host, a closing ``/`` or ``.html`` are one address, and
 ``<link rel="canonical">`` and ``<meta http-equiv="refresh">`` in a page link its address to
-another. Connected components over these edges (``components``) carry the decisions: an explicit
+another, also by relative targets. Connected components over these edges (``components``) carry the decisions: an explicit
 allow of any alias wins, then a block, else the URL is allowed.
 
 Scale: the rules are a short list of literals, folded into one expression that needs no join. Only
@@ -76,9 +76,18 @@ def address(host: Column, path: Column) -> Column:
                     F.regexp_replace(F.regexp_replace(path, r"(\.html|/+)$", ""), "^/", ""))
 
 
+def without_dots(path: Column) -> Column:
+    """A path that begins with / without its segments "." and ".."."""
+    parts = F.split(path, "/", -1)
+    return F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.lit(""), lambda seen, s: (
+        F.when(s == "..", F.regexp_replace(seen, "/[^/]*$", "")).when(s == ".", seen)
+        .otherwise(F.concat(seen, F.lit("/"), s))))
+
+
 def _linked(html: Column, url: Column) -> Column:
-    """URLs that a page names as its canonical or refresh target; those without :// are taken
-    relative to the page's host when they begin with /."""
+    """URLs that a page names as its canonical or refresh target. What has no scheme is taken relative
+    to the page: ``//host/x`` to its scheme, ``/x`` to its host, ``x`` and ``../x`` to the folder of its
+    path; ``?x`` and ``#x`` are the page itself."""
     text = F.coalesce(html, F.lit(""))
     tags = F.concat(
         F.regexp_extract_all(text, F.lit(r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"), 1),
@@ -86,8 +95,14 @@ def _linked(html: Column, url: Column) -> Column:
     target = F.transform(tags, lambda t: F.regexp_extract(
         t, r"(?is)\b(?:href\s*=\s*|url\s*=\s*)[\"']?([^\"'>\s;]+)", 1))
     origin = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(.*?://[^/?#]*)", 1)
-    whole = F.transform(target, lambda u: F.when(u.startswith("/") & ~u.startswith("//"), F.concat(origin, u))
-                        .when(u.startswith("//"), F.concat(F.lit("http:"), u)).otherwise(u))
+    folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(url_path(url), "[^/]*$", ""), "^/", ""))
+    own = lambda u: F.regexp_extract(u, r"(?s)^[^?#]*", 0)
+    whole = F.transform(target, lambda u: (
+        F.when(u.startswith("//"), F.concat(F.lit("http:"), u))
+        .when(u.startswith("/"), F.concat(origin, without_dots(own(u))))
+        .when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), u)
+        .when(own(u) == "", F.lit(""))
+        .otherwise(F.concat(origin, without_dots(F.concat(folder, own(u)))))))
     return F.filter(whole, lambda u: url_host(u) != "")
 
 
@@ -153,15 +168,30 @@ a AS (
            regexp_replace(regexp_replace(p.path, '(\.html|/+)$', ''), '^/', '') END AS address
   FROM p LEFT JOIN fit USING (page_id)),
 t AS (
-  SELECT address, regexp_extract(regexp_extract(coalesce(html, ''),
-           '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>|<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1),
-           '(?is)\b(?:href\s*=\s*|url\s*=\s*)["'']?([^"''>\s;]+)', 1) AS target FROM a),
+  SELECT address, url, path, regexp_extract(unnest(
+      regexp_extract_all(coalesce(html, ''), '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1) ||
+      regexp_extract_all(coalesce(html, ''), '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1)),
+    '(?is)\b(?:href\s*=\s*|url\s*=\s*)["'']?([^"''>\s;]+)', 1) AS target FROM a WHERE address IS NOT NULL),
+s AS (  -- what stands before a relative target, and its path up to ? or #
+  SELECT *, regexp_extract(url, '^((?:.|\n)*?://[^/?#]*)', 1) AS origin, regexp_extract(target, '^[^?#]*', 0) AS own,
+    '/' || regexp_replace(regexp_replace(path, '[^/]*$', ''), '^/', '') AS folder FROM t),
+m AS (
+  SELECT address, CASE
+      WHEN starts_with(target, '//') THEN 'http:' || target
+      WHEN starts_with(target, '/') THEN origin || list_reduce(string_split(own, '/')[2:], lambda seen, s: CASE s
+        WHEN '..' THEN regexp_replace(seen, '/[^/]*$', '') WHEN '.' THEN seen ELSE seen || '/' || s END, '')
+      WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN target
+      WHEN own = '' THEN ''
+      ELSE origin || list_reduce(string_split(folder || own, '/')[2:], lambda seen, s: CASE s
+        WHEN '..' THEN regexp_replace(seen, '/[^/]*$', '') WHEN '.' THEN seen ELSE seen || '/' || s END, '')
+    END AS target FROM s),
+h AS (
+  SELECT address, translate(regexp_extract(target, '^(?:.|\n)*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS thost, regexp_extract(target, '^(?:.|\n)*?://[^/?#]*([^?#]*)', 1) AS tpath FROM m),
 e AS (
-  SELECT DISTINCT address AS u,
-         regexp_replace(lower(regexp_extract(target, '://([^/?#]*)', 1)), '^(www|m)\.', '') || '/' ||
-         regexp_replace(regexp_replace(regexp_extract(target, '://[^/?#]*([^?#]*)', 1),
-                                       '(\.html|/+)$', ''), '^/', '') AS v
-  FROM t WHERE address IS NOT NULL AND target LIKE '%://%'),
+  SELECT DISTINCT address AS u, regexp_replace(thost, '^(www|m)\.', '') || '/' ||
+    regexp_replace(regexp_replace(tpath, '(\.html|/+)$', ''), '^/', '') AS v
+  FROM h WHERE thost <> ''),
 b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
 reach(u, v) AS (
   SELECT DISTINCT address, address FROM a WHERE address IS NOT NULL

@@ -86,3 +86,37 @@ def test_odd_cases(spark):
     assert judged(got)[4][3] == "block" and judged(got)[2][3] == "allow"
     assert U.judge_urls(frame(spark, [])).count() == 0
     assert {r.verdict for r in U.judge_urls(frame(spark, rows), rules=()).collect()} == {"allow"}
+
+
+RELATIVE = [
+    (1, "http://a.example.org/x/p.html", CANON.format("q.html")), (2, "http://a.example.org/x/q.html", None),
+    (3, "http://a.example.org/x/y/r", CANON.format("../../z/s/./t")), (4, "http://a.example.org/z/s/t/", None),
+    (5, "http://a.example.org/u?p=1", CANON.format("?p=2")), (6, "http://a.example.org", CANON.format("top.html#x")),
+    (7, "https://www.a.example.org/top", None), (8, "http://a.example.org/v/w", CANON.format("../../../../k")),
+    (9, "http://a.example.org/k", None), (10, "http://a.example.org/l/", CANON.format("m/") + REFRESH.format("/n/../o")),
+    (11, "http://a.example.org/l/m", None), (12, "http://a.example.org/o.html", None),
+    (13, "http://a.example.org/mail", CANON.format("mailto:x")), (14, "http://a.example.org/two", CANON.format("//b.net/es/two")),
+    (15, "http://b.net/es/two", None), (16, "no scheme", CANON.format("q.html")), (17, None, None),
+    (18, "http://c.org/a/b", REFRESH.format("c") + REFRESH.format("../d") + CANON.format("#e")), (19, "http://c.org/a/c", None),
+    (20, "http://c.org/d", CANON.format("HTTP://B.NET/es/two?x")), (21, "http://q.org/a//b", CANON.format(".//c")),
+    (22, "http://q.org/a//c", None), (23, "http://q.org/a///c", None)]
+
+
+def test_relative_targets(spark):
+    got = {r.page_id: (r.component, r.verdict) for r in U.judge_urls(frame(spark, RELATIVE)).collect()}
+    for a, b in ((1, 2), (3, 4), (6, 7), (8, 9), (10, 11), (10, 12), (18, 19), (18, 20), (14, 15), (21, 23)):
+        assert got[a] == got[b], (a, b)
+    assert got[5][0] == "a.example.org/u" and got[13][0] == "a.example.org/mail" and got[16][0] is None
+    assert {got[i][1] for i in (14, 15, 18, 19, 20)} == {"block"} and got[1][1] == "allow"
+
+
+def test_sql_on_pages_with_links(spark):
+    """The SQL on pages with every kind of link, which the given pages do not hold."""
+    import duckdb
+    rows = RELATIVE + [(100 + i, f"http://chain.org/{i}", CANON.format(f"{i + 1}")) for i in range(12)]
+    rows += [(112, "http://chain.org/12", CANON.format("http://e.net/es/end")), (113, "http://e.net/es/end", None),
+             (114, "http://f.com/x", REFRESH.format("http://chain.org/3")), (115, "http://chain.org/3.html", "")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert not compare(U.judge_urls(frame(spark, rows)), con, U.OP7_SQL)[2]
