@@ -9,13 +9,15 @@ outcomes and render the log lines, all as joins and aggregations.
 from __future__ import annotations
 
 import datetime as _dt
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LOG_NOT_FOUND, LOG_OK, RUN_STAMP_FORMAT
 from ..functions.text import plus
 from .manifest import department_key
+from .numbering import write_stage
 
 
 def _match_key(on: str):
@@ -42,6 +44,47 @@ def fetch_status(manifest: DataFrame, landed: DataFrame, on: str = "landing_path
             .drop("_key", "_landed"))
 
 
+def written_manifest(manifest: DataFrame) -> DataFrame:
+    """``manifest`` as a written table with a filter that every row meets (record numbers are never
+    missing): a scan that Spark builds a Bloom filter of in a join."""
+    return write_stage(manifest, "manifest-keys").where(F.col("record_num") >= 0)
+
+
+def fetch_status_reduced(manifest: DataFrame, landed: DataFrame, on: str = "landing_path",
+                         larger_than: str = "10GB") -> DataFrame:
+    """``fetch_status`` for a table of fetch results far larger than the manifest, such as those of all
+    runs: a Bloom filter of the manifest's keys drops most of its rows in the scan, before they are
+    counted once and shuffled. The filter may let a row through that no document has, which the join
+    then leaves out, and loses none.
+
+    Spark plans the filter where the results' files have more bytes than ``larger_than`` and the
+    manifest's key columns at most ``CREATION_BYTES``, unless the join needs no exchange. It does so
+    when the query runs, so the result is written before the session's settings are put back.
+    """
+    spark = manifest.sparkSession
+    rows = written_manifest(manifest)
+    with settings(spark, {f"{_BLOOM}.enabled": "true", f"{_BLOOM}.applicationSideScanSizeThreshold": larger_than,
+                          f"{_BLOOM}.creationSideThreshold": CREATION_BYTES}):
+        return write_stage(fetch_status(rows, landed, on), "status")
+
+
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
+CREATION_BYTES = "256MB"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def missing_files(manifest: DataFrame, landed: DataFrame, on: str = "landing_path") -> DataFrame:
     """Manifest rows with no landed file (left anti join)."""
     keys = landed.select(F.concat(F.lit("="), F.col(on).cast("string")).alias("_key"))

@@ -263,6 +263,12 @@ def q_fetch_status(spark, sf_dir):
     return _status(spark, sf_dir)
 
 
+def q_fetch_status_reduced(spark, sf_dir):
+    """The same with a Bloom filter of the manifest's keys before the fetch results are shuffled."""
+    return reconcile.fetch_status_reduced(_manifest(spark, sf_dir), fetch_results(spark, sf_dir), "DocumentID",
+                                          larger_than="1")
+
+
 def q_missing_files(spark, sf_dir):
     return reconcile.missing_files(_manifest(spark, sf_dir), fetch_results(spark, sf_dir), "DocumentID")
 

@@ -379,3 +379,4 @@ WHERE strftime(CreateDate, '%Y-%m') IN (
 ORACLE["planned_ranges"] = BASE + """
 SELECT DocumentID, CAST(1 AS INT) AS ranges, RootObjectCode = 'X' AS without_key FROM docs"""
 ORACLE["published_manifest"] = ORACLE["write_manifest"]
+ORACLE["fetch_status_reduced"] = ORACLE["fetch_status"]
