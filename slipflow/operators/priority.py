@@ -88,12 +88,15 @@ def policy_ref_flags(reg: Registry, docs: DataFrame, cfg: SelectionConfig) -> Da
     The distinct references stand ``REF_SALTS`` times with a salt and every document draws one, so
     a name that a third of the documents carry is joined by many tasks. Documents without a name
     take a salt of their own kind that no reference has, spread by document.
+
+    The references grow with the registry and Spark sizes the repeated ones as if they stood once, so
+    the join is asked for by merging: they must never be gathered in the driver for a broadcast.
     """
     cs = cfg.case_sensitive
     refs = (reg.master_policy.select(key_text(F.col("PolicyRef"), cs).alias("_ref"))
             .where(F.col("_ref").isNotNull()).distinct()
             .select("_ref", F.explode(F.sequence(F.lit(0), F.lit(REF_SALTS - 1))).alias("_salt"))
-            .withColumn("_is_ref", F.lit(True)))
+            .withColumn("_is_ref", F.lit(True)).hint("merge"))
     spread = F.xxhash64("DocumentID", "FileName")
     keyed = docs.withColumn("_ref", F.coalesce(key_text(F.col("DocumentName"), cs), F.lit(""))) \
         .withColumn("_salt", F.when(F.col("DocumentName").isNotNull(), F.pmod(spread, F.lit(REF_SALTS)).cast("int"))

@@ -92,6 +92,16 @@ def test_references_split_hot_keys(spark):
     assert flagged.where("DocumentName IS NULL AND IsPolicyRef IS NOT NULL").count() == 0
 
 
+def test_policy_references_are_not_broadcast(spark):
+    """The references stand once a salt, which Spark's estimate does not see: no broadcast of them,
+    neither planned nor from the sizes of the run."""
+    reg = registry(spark, SF)
+    flagged = priority.policy_ref_flags(reg, reg.docs, FIXTURE)
+    flagged.collect()
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_registry_row_bound(spark):
     from slipflow.sources.fixtures import fixture_registry
     reg = fixture_registry(spark, "/root/testdata/sf0.001")
