@@ -21,6 +21,7 @@ from ..operators.numbering import write_stage
 from ..sources import monthly, ranges
 from ..sources.fixtures import fixture_registry
 from ..sources.encoding import decode_latin1
+from ..sources.landing import write_landing
 from ..sources.listing import list_landed
 from ..session import ensure_checkpoint_dir
 from ..sources.registry import Registry
@@ -326,9 +327,9 @@ def q_landed_departments(spark, sf_dir):
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
     lines = status.select(manifest.department_key(F.col("DepartmentName")).alias("department_key"), "folder_num",
                           F.coalesce("filename", F.lit("")).alias("value"), "status")
-    for wanted, kind in ((True, "text"), (False, "json")):
-        (lines.where((F.col("status") == LOG_OK) == F.lit(wanted)).drop("status")
-         .write.mode("append").partitionBy("department_key", "folder_num").format(kind).save(root))
+    ok = F.col("status") == LOG_OK
+    write_landing(lines.where(ok), root, ".txt")
+    write_landing(lines.where(~ok).withColumn("value", F.to_json(F.struct("value"))), root, ".json")
     names = spark.range(1).select(F.lit("NOWHERE").alias("DepartmentName"))
     every = registry(spark, sf_dir).departments.select("DepartmentName").unionByName(names)
     return reconcile.landed_departments(status, every, list_landed(spark, root, suffix=".txt"),

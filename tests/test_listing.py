@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from slipflow.operators import reconcile
 from slipflow.sources.inventory import landed_inventory
+from slipflow.sources.landing import write_landing
 from slipflow.sources.listing import LandedReader, is_listed, list_landed
 
 
@@ -97,3 +98,30 @@ def test_landed_departments_tells_suffixes_and_folders_apart(spark, tmp_path):
     want = {("A", 2, 1, 4, 1), ("", 1, 1, 0, 0), ("B", 0, 0, 0, 0)}
     assert got(list_landed(spark, root, ".txt")) == want
     assert got(list_landed(spark, root)) != want
+
+
+def test_a_landing_folder_gets_one_file(spark, tmp_path):
+    """However many tasks its rows come from; files of earlier calls stay, and lines are kept whole."""
+    root = str(tmp_path / "t")
+    lines = spark.range(200).repartition(8).selectExpr(
+        "concat('d', id % 3) AS department_key", "id % 10 AS folder_num", "concat('é ', id) AS value")
+    assert write_landing(lines, root, ".txt") == 30
+    assert write_landing(lines.where("folder_num = 4"), root, ".json") == 3
+    assert write_landing(lines.where("false"), root, ".txt") == 0
+    assert list_landed(spark, root, ".txt").count() == 30 and list_landed(spark, root).count() == 33
+    assert sorted(x for d, _, names in os.walk(root) for n in names if n.endswith(".txt")
+                  for x in open(os.path.join(d, n), encoding="utf-8").read().split("\n")[:-1]) \
+        == sorted(f"é {i}" for i in range(200))
+    assert not [n for _, _, names in os.walk(root) for n in names if n.startswith(".")]
+
+
+def test_landed_departments_writes_one_file_a_folder(spark):
+    from slipflow.plans import catalog
+    from slipflow.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    got = catalog.q_landed_departments(spark, "/root/testdata/sf0.01").agg(
+        F.sum("landed_folders"), F.sum("other_folders")).first()
+    root, = [n for n in set(os.listdir(base)) - before if n.startswith("landing-")]
+    for suffix, folders in zip((".txt", ".json"), got):
+        assert list_landed(spark, os.path.join(base, root), suffix).count() == folders > 0
