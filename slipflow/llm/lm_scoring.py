@@ -8,8 +8,9 @@ P(class | ids before) * (count + 1) / (class count + class words + 1).
 Texts are cut into windows of ``WINDOW`` ids that overlap by ``CONTEXT``: a window scores its last
 ``STRIDE`` ids, so every token is scored once; windows go through masked attention in batches.
 
-Counts come from the whole corpus. One scan turns runs of texts into local word ids and the words
-of a run into slices by word hash; a slice group adds up the counts of its words over all runs and
+Texts are cut into words once: one scan turns runs of texts into local word ids, the subword ids that
+the model is trained on, and the words of a run into slices by word hash. Counts come from the whole
+corpus: a slice group adds up the counts of its words over all runs and
 sends each run its own words' totals; the run's texts meet them by run. A very frequent word is
 one entry per run, so no key is hot, and no vocabulary is broadcast or held whole anywhere.
 """
@@ -34,6 +35,7 @@ DIM = 16
 CLASSES = 128
 WINDOW, CONTEXT = 32, 8
 STRIDE = WINDOW - CONTEXT
+FEW = 48  # windows whose class scores fit a core's cache
 FOLD = (7, 2)
 DOCS_PER_SLICE = 2000
 
@@ -131,64 +133,86 @@ def train_attention(sequences: list[np.ndarray], n_ids: int, classes: np.ndarray
     return Attention({}, classes, **p)
 
 
+def _softmax(a: np.ndarray) -> None:
+    """Softmax over the axis before the last, in place: numpy reduces it in long rows."""
+    a -= a.max(-2, keepdims=True)
+    np.exp(a, out=a)
+    a /= a.sum(-2, keepdims=True)
+
+
 def _gradient(p: dict, x: np.ndarray, y: np.ndarray) -> dict:
     h = p["embed"][x] + p["place"]
     q, k, v = h @ p["query"], h @ p["key"], h @ p["value"]
-    s = q @ k.transpose(0, 2, 1) / np.sqrt(DIM, dtype=np.float32) + _MASK
-    w = np.exp(s - s.max(-1, keepdims=True))
-    w /= w.sum(-1, keepdims=True)
-    o = h + w @ v
-    late, y = o[:, CONTEXT:], y[:, CONTEXT:]  # what comes before is never scored
-    logits = late @ p["out"] + p["bias"]
-    e = np.exp(logits - logits.max(-1, keepdims=True))
-    d = e / e.sum(-1, keepdims=True)
+    w = k @ q.transpose(0, 2, 1)  # by the token attended to, then the one that attends
+    for a in range(0, len(x), FEW):  # few at a time stay in the cache
+        s = w[a:a + FEW]
+        s /= np.sqrt(DIM, dtype=np.float32)
+        s += _MASK.T
+        _softmax(s)
+    o = h + w.transpose(0, 2, 1) @ v
+    late, y = o[:, CONTEXT:].reshape(-1, DIM), y[:, CONTEXT:].ravel()  # what comes before is never scored
     real = y >= 0
-    d[np.nonzero(real) + (y[real],)] -= 1
-    d *= (real / max(1, real.sum()))[..., None].astype(np.float32)
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    g = {"out": flat(late).T @ flat(d), "bias": flat(d).sum(0)}
+    share = (real / max(1, real.sum())).astype(np.float32)
+    g = {"out": np.zeros_like(p["out"]), "bias": np.zeros_like(p["bias"])}
     do = np.zeros_like(o)
-    do[:, CONTEXT:] = d @ p["out"].T
-    dv = w.transpose(0, 2, 1) @ do
-    dw = do @ v.transpose(0, 2, 1)
-    ds = w * (dw - (dw * w).sum(-1, keepdims=True)) / np.sqrt(DIM, dtype=np.float32)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    back = np.empty_like(late)
+    for a in range(0, len(late), FEW * STRIDE):
+        some = slice(a, a + FEW * STRIDE)
+        d = p["out"].T @ late[some].T  # by class, then token
+        d += p["bias"][:, None]
+        _softmax(d)
+        at = np.flatnonzero(real[some])
+        d[y[some][at], at] -= 1
+        d *= share[some]
+        g["out"] += (d @ late[some]).T
+        g["bias"] += d.sum(1)
+        back[some] = (p["out"] @ d).T
+    do[:, CONTEXT:] = back.reshape(len(x), STRIDE, DIM)
+    dv = w @ do
+    ds = v @ do.transpose(0, 2, 1)
+    ds -= (ds * w).sum(1, keepdims=True)
+    ds *= w
+    ds /= np.sqrt(DIM, dtype=np.float32)
+    dq, dk = ds.transpose(0, 2, 1) @ k, ds @ q
+    flat = lambda a: a.reshape(-1, a.shape[-1])
     g["query"], g["key"], g["value"] = (flat(h).T @ flat(z) for z in (dq, dk, dv))
     dh = do + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
     g["place"] = dh.sum(0)
     g["embed"] = np.zeros_like(p["embed"])
-    np.add.at(g["embed"], x.ravel(), flat(dh))
+    at = x.ravel()
+    order = np.argsort(at.astype(np.min_scalar_type(len(p["embed"]))), kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    g["embed"][at[first]] = np.add.reduceat(flat(dh)[order], first, axis=0)
     return g
 
 
-def class_log_probs(m: Attention, ids: np.ndarray, ends: np.ndarray, batch: int = 512) -> np.ndarray:
+def class_log_probs(m: Attention, ids: np.ndarray, ends: np.ndarray, batch: int = FEW) -> np.ndarray:
     """Natural log of P(class of token | tokens before) for every token of the sequences."""
     out = np.zeros(len(ids), np.float64)
     x, target = windows(ids, ends, m.begin)
     scale = np.float32(1 / np.sqrt(DIM))
     tables = [(m.embed @ w, m.place @ w) for w in (m.query * scale, m.key, m.value)]
-    mask, late = _MASK[CONTEXT:], slice(CONTEXT, WINDOW)
+    mask, late = _MASK[CONTEXT:].T, slice(CONTEXT, WINDOW)
     for a in range(0, len(x), batch):
         some = x[a:a + batch]
         q = tables[0][0][some[:, late]] + tables[0][1][late]
         k, v = (t[some] + place for t, place in tables[1:])
-        s = q @ k.transpose(0, 2, 1)
+        s = k @ q.transpose(0, 2, 1)  # by the token attended to, then the one that attends
         s += mask
-        s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        o = s @ v
-        o /= s.sum(-1, keepdims=True)
+        _softmax(s)
+        o = s.transpose(0, 2, 1) @ v
         o += m.embed[some[:, late]] + m.place[late]
         want = target[a:a + batch, late].ravel()
         real = want >= 0
         want, o = want[real], o.reshape(-1, DIM)[real]
-        logits = o @ m.out
-        logits += m.bias
-        chosen = logits[np.arange(len(want)), m.classes[ids[want]]].astype(np.float64)
-        top = logits.max(-1, keepdims=True)
+        logits = m.out.T @ o.T  # by class, then token
+        logits += m.bias[:, None]
+        chosen = logits[m.classes[ids[want]], np.arange(len(want))].astype(np.float64)
+        top = logits.max(0)
         logits -= top
         np.exp(logits, out=logits)
-        out[want] = chosen - top[:, 0] - np.log(logits.sum(-1, dtype=np.float64))
+        out[want] = chosen - top - np.log(logits.sum(0, dtype=np.float64))
     return out
 
 
@@ -197,24 +221,49 @@ def token_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def _sequences(run: pd.DataFrame, heads: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray]:
+def head_ids(words: list[bytes], heads: dict[str, int]) -> np.ndarray:
+    longest = max(map(len, heads))
+    return np.fromiter((head_of(w, heads, longest) for w in words), np.int32, len(words))
+
+
+def id_type(heads: dict[str, int]) -> np.dtype:
+    """Smallest type of a subword id as it is stored."""
+    return np.min_scalar_type(len(heads) + 1)
+
+
+SUBWORDS = "chars long, subwords binary"
+
+
+def subword_rows(heads: dict[str, int]):
+    """Function for mapInPandas: texts to (chars, subword ids)."""
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in pieces(batches):
+            seen = Words()
+            local = [seen.ids(token_words(t)) for t in run["text"]]
+            head = head_ids(seen.words, heads).astype(id_type(heads))
+            yield pd.DataFrame({"chars": run["text"].str.len(), "subwords": [head[x].tobytes() for x in local]})
+    return make
+
+
+def _sequences(run: pd.DataFrame, heads: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """(subword ids of all texts one after the other, each with its end, ends)."""
-    seen, end = Words(), len(heads) + 1
-    local = [seen.ids(token_words(t)) for t in run["text"]]
-    head = np.fromiter((head_of(w, heads, longest) for w in seen.words), np.int64, len(seen.words))
-    ids = [np.append(head[x], end) for x in local]
-    return np.concatenate(ids), np.cumsum([len(x) for x in ids])
+    kind = id_type(heads)
+    size = np.fromiter(map(len, run["subwords"]), np.int64, len(run)) // kind.itemsize
+    ends = np.cumsum(size + 1)
+    ids = np.full(ends[-1], len(heads) + 1, np.int64)
+    inside = np.ones(len(ids), bool)
+    inside[ends - 1] = False
+    ids[inside] = np.frombuffer(b"".join(run["subwords"]), kind)
+    return ids, ends
 
 
 def subword_counts(rows: DataFrame, heads: dict[str, int]) -> tuple[np.ndarray, int]:
-    """(occurrences by subword id, ends among them, over all ``rows``; texts). A task sends one row
-    per id at most."""
-    longest = max(map(len, heads))
-
+    """(occurrences by subword id, ends among them, over all ``rows`` of ``SUBWORDS``; texts). A task
+    sends one row per id at most."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(heads) + 2, np.int64)
-        for run in pieces(batches):
-            total += np.bincount(_sequences(run, heads, longest)[0], minlength=len(total))
+        for run in pieces(batches, size="chars"):
+            total += np.bincount(_sequences(run, heads)[0], minlength=len(total))
         some = np.flatnonzero(total)
         yield pd.DataFrame({"id": some.astype(np.int32), "n": total[some]})
 
@@ -231,18 +280,18 @@ DOCS_PER_TRAINER = 4000
 
 def averaged_pass(rows: DataFrame, start: Attention, heads: dict[str, int], trainers: int,
                   batch: int = 96, rate: float = 0.03) -> Attention:
-    """``start`` after one pass over all texts of ``rows``: every task trains on from it (Adagrad) over
-    its own texts, and the changes are averaged by tokens, those of an id by its occurrences. A task
+    """``start`` after one pass over all texts of ``rows`` (``SUBWORDS``): every task trains on from it
+    (Adagrad) over its own texts, and the changes are averaged by tokens, those of an id by its occurrences. A task
     sends the blocks of ids it has met; the driver gets one model."""
-    longest, shared = max(map(len, heads)), rows.sparkSession.sparkContext.broadcast(start)
+    shared = rows.sparkSession.sparkContext.broadcast(start)
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = shared.value
         p = {k: getattr(first, k).copy() for k in ("embed", *PARTS)}
         square = {k: np.full_like(a, 1e-8) for k, a in p.items()}
         met, rng = np.zeros(len(first.embed), np.int64), np.random.default_rng(5)
-        for run in pieces(batches, 2_000_000):
-            ids, ends = _sequences(run, heads, longest)
+        for run in pieces(batches, 2_000_000, "chars"):
+            ids, ends = _sequences(run, heads)
             x, t = windows(ids, ends, first.begin)
             y = np.where(t >= 0, first.classes[ids[t]], -1)
             met += np.bincount(x.ravel(), minlength=len(met))
@@ -289,17 +338,20 @@ def averaged_pass(rows: DataFrame, start: Attention, heads: dict[str, int], trai
     return Attention(heads, start.classes, **p)
 
 
-def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int, int] = FOLD) -> Attention:
+def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int, int] = FOLD,
+          subwords: DataFrame | None = None) -> Attention:
     """Attention model from all texts outside the held-out fold: started on ``most`` of them (the
     driver gets their subword ids only), then trained by a pass over all, averaged over partitions.
     Classes: the most frequent subword ids of all these texts one each, the others by hash into the
-    last quarter."""
+    last quarter. ``subwords`` holds all these texts as ``SUBWORDS``, if they are cut already."""
     heads = subword_heads(path)
     longest = max(map(len, heads))
     chosen = (docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
               .filter(remainder("doc_id", fold[0]) != fold[1]).distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    learnt = texts(docs).filter("doc_id IS NOT NULL").filter(remainder("doc_id", fold[0]) != fold[1])
+    if subwords is None:
+        learnt = texts(docs).filter("doc_id IS NOT NULL").filter(remainder("doc_id", fold[0]) != fold[1])
+        subwords = staged(learnt.mapInPandas(subword_rows(heads), SUBWORDS), "lm-subwords")
 
     def to_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -311,7 +363,7 @@ def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int,
             .orderBy(F.xxhash64("doc_id"), "doc_id", "ids").collect())
     n = len(heads) + 1
     sequences = [np.append(np.frombuffer(bytes(r.ids), np.int32), n).astype(np.int64) for r in rows]
-    count, n_texts = subword_counts(learnt, heads)
+    count, n_texts = subword_counts(subwords, heads)
     count = count[:n + 2]
     count[n:] = 0
     own = CLASSES * 3 // 4
@@ -327,57 +379,59 @@ def train(docs: DataFrame, path: str = MODEL, most: int = 600, fold: tuple[int,
     seen = np.bincount(np.concatenate(sequences), minlength=n + 2) if sequences else np.zeros(n + 2, np.int64)
     share = [np.bincount(classes, weights=c, minlength=CLASSES) + 0.5 for c in (count, seen)]
     model.bias += np.log(share[0] / share[0].sum() / (share[1] / share[1].sum())).astype(np.float32)
-    return averaged_pass(learnt, model, heads, 1 + n_texts // DOCS_PER_TRAINER)
+    return averaged_pass(subwords, model, heads, 1 + n_texts // DOCS_PER_TRAINER)
 
 
-def runs(model, slices: int):
-    """Function for mapInPandas: texts to runs. A run has one row per text (its local word ids), one
-    row with the subword ids of its words, and one row per slice with the words themselves."""
+def runs(shared, slices: int, training: bool):
+    """Function for mapInPandas: texts to runs. A run has one row per text (its local word ids, and the
+    subword ids of one that is ``training`` the model), one row with the subword ids of its words, and
+    one row per slice with the words themselves and their subword ids."""
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heads = model.value.heads
-        longest, classes = max(map(len, heads)), model.value.classes
+        heads = shared.value
         for run in pieces(batches, 12_000_000):
             seen, ids = Words(), []
             for text in run["text"]:
                 ids.append(seen.ids(token_words(text)))
             learn = run["learn"].to_numpy(bool)
             n = len(seen.words)
-            counts = np.zeros(n, np.int64)
-            for x in (x for x, use in zip(ids, learn) if use):
-                counts += np.bincount(x, minlength=n)
+            counts = np.bincount(np.concatenate([np.zeros(0, np.int32), *(x for x, use in zip(ids, learn) if use)]),
+                                 minlength=n)
             # words in the order of their slices
             where = np.fromiter(map(zlib.crc32, seen.words), np.int64, n) % slices
             order = np.argsort(where, kind="stable")
             rank = np.empty(n, np.int32)
             rank[order] = np.arange(n, dtype=np.int32)
             words = [seen.words[i] for i in order]
-            head = np.fromiter((head_of(w, heads, longest) for w in words), np.int32, n)
+            head = head_ids(words, heads)
+            small = head.astype(id_type(heads))
             counts, where = counts[order], where[order]
             name = uuid.uuid4().hex
-            rows = {c: [] for c in ("doc_id", "held", "ids", "heads", "slice", "words", "counts", "classes")}
+            rows = {c: [] for c in ("doc_id", "held", "ids", "chars", "subwords", "heads", "slice", "words", "counts")}
 
             def add(**values):
                 for c, col in rows.items():
                     col.append(values.get(c))
 
-            for doc_id, held, x in zip(run["doc_id"], run["held"], ids):
-                add(doc_id=None if pd.isna(doc_id) else int(doc_id), held=bool(held), ids=rank[x].tobytes())
+            for doc_id, held, x, use, chars in zip(run["doc_id"], run["held"], ids, learn, run["text"].str.len()):
+                x = rank[x]
+                add(doc_id=None if pd.isna(doc_id) else int(doc_id), held=bool(held), ids=x.tobytes(),
+                    **({"chars": int(chars), "subwords": small[x].tobytes()} if training and use else {}))
             add(heads=head.tobytes())
             edge = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if n else []
             for a, b in zip(edge, np.append(edge[1:], n)):
                 add(slice=int(where[a]), words=b" ".join(words[a:b]), counts=counts[a:b].astype(np.int32).tobytes(),
-                    classes=classes[head[a:b]].astype(np.uint8).tobytes())
+                    heads=head[a:b].tobytes())
             out = pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in rows.items()})
             out.insert(0, "run", pd.Series([name] * len(out), dtype=object))
             yield out
     return make
 
 
-RUN_SCHEMA = ("run string, doc_id long, held boolean, ids binary, heads binary, slice int, words binary, "
-              "counts binary, classes binary")
+RUN_SCHEMA = (f"run string, doc_id long, held boolean, ids binary, {SUBWORDS}, heads binary, slice int, words binary, "
+              "counts binary")
 
 
-def add_up(part: pd.DataFrame) -> pd.DataFrame:
+def add_up(model, part: pd.DataFrame) -> pd.DataFrame:
     """Counts of a slice's words over all runs: each run's totals, and the class sums (run null)."""
     words, sizes = [], []
     for w in part["words"]:
@@ -388,7 +442,7 @@ def add_up(part: pd.DataFrame) -> pd.DataFrame:
     count = np.concatenate([np.frombuffer(c, np.int32) for c in part["counts"]]).astype(np.int64)
     total = np.bincount(code, weights=count).astype(np.int64)
     first = np.unique(code, return_index=True)[1]
-    kind = np.concatenate([np.frombuffer(c, np.uint8) for c in part["classes"]])[first]
+    kind = model.value.classes[np.concatenate([np.frombuffer(c, np.int32) for c in part["heads"]])[first]]
     n = np.bincount(kind, weights=total, minlength=CLASSES).astype(np.int64)
     v = np.bincount(kind, weights=total > 0, minlength=CLASSES).astype(np.int64)
     every, at = total[code], np.cumsum([0] + sizes)
@@ -439,18 +493,19 @@ def lm_scores(docs: DataFrame, model: Attention | None = None, fold: tuple[int,
     result; other columns are ignored.
     """
     spark = docs.sparkSession
-    model = model or train(docs, fold=fold)
-    shared = spark.sparkContext.broadcast(model)  # subword ids x DIM floats
+    heads = spark.sparkContext.broadcast(model.heads if model else subword_heads())
     rest = remainder("doc_id", fold[0])
     rows = texts(docs).select("doc_id", "text", F.coalesce(rest == fold[1], F.lit(False)).alias("held"),
                               F.coalesce(rest != fold[1], F.lit(False)).alias("learn"))
     known = rows.agg(F.count(F.lit(1)), F.sum(F.col("learn").cast("long"))).first()
     n_docs, end_count = known[0], known[1] or 0
     slices = 16 + n_docs // DOCS_PER_SLICE
-    made = staged(rows.mapInPandas(runs(shared, slices), RUN_SCHEMA), "lm-runs")
-    totals = staged(made.filter("slice IS NOT NULL").select("run", "slice", "words", "counts", "classes")
+    made = staged(rows.mapInPandas(runs(heads, slices, model is None), RUN_SCHEMA), "lm-runs")
+    model = model or train(docs, fold=fold, subwords=made.filter("subwords IS NOT NULL").select("chars", "subwords"))
+    shared = spark.sparkContext.broadcast(model)  # subword ids x DIM floats
+    totals = staged(made.filter("slice IS NOT NULL").select("run", "slice", "words", "counts", "heads")
                     .groupBy("slice").applyInPandas(
-                        add_up, "run string, slice int, totals binary, kind int, n long, v long"), "lm-totals")
+                        lambda part: add_up(shared, part), "run string, slice int, totals binary, kind int, n long, v long"), "lm-totals")
     class_n, class_v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in totals.filter("kind >= 0").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         class_n[r.kind], class_v[r.kind] = r.n, r.v

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from llm_cases import ODD, SF
@@ -140,3 +141,29 @@ def test_all_texts_train_the_model(spark, make_docs):
     ids = np.concatenate([np.append(np.tile([heads[i], heads[(i + 1) % 10]], 60), m.end) for i in range(10)])
     log = L.class_log_probs(m, ids, np.cumsum([121] * 10))
     assert log.mean() > math.log(1 / 10) + 0.5  # even odds of ten words give -2.3
+
+
+def test_texts_are_cut_into_words_once(spark, make_docs):
+    """The text column is computed for the starting sample and for the runs, not again for every pass
+    of the training."""
+    rows = [(i, f"some words of text {i} " * 20) for i in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = make_docs(rows).withColumn("text", F.udf(seen, "string")("text"))
+    check(rows, L.lm_scores(docs).collect())
+    assert len(rows) <= read.value < 3 * len(rows)  # the sample twice, as its order is by ranges
+
+
+def test_stored_subwords_train_the_same_model(spark, make_docs):
+    rows = [*ODD, *((i, f"Words of the text {i} in a line" * (i % 5)) for i in range(20, 60))]
+    docs = make_docs(rows).coalesce(1)
+    heads = L.subword_heads()
+    learn = [t or "" for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    kept = spark.createDataFrame([(len(t), np.array([L.head_of(w, heads, 40) for w in L.token_words(t)],
+                                                    L.id_type(heads)).tobytes()) for t in learn], L.SUBWORDS).coalesce(1)
+    own, given = L.train(docs, most=5), L.train(docs, most=5, subwords=kept)
+    assert all(np.array_equal(getattr(own, k), getattr(given, k)) for k in ("classes", "embed", *L.PARTS))
