@@ -24,10 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, packed, pieces, staged, table, texts
+from .common import free_names, pieces, staged, table, texts
 
 TERM_BITS = 16
 TERMS = 1 << TERM_BITS
@@ -60,8 +62,14 @@ def term(word: bytes) -> int:
 
 def batch_terms(run: pd.DataFrame):
     """(plain words by id, term by id, ids, starts, ends); words of marks only are left out."""
-    words, ids, ends = packed(run)
-    names = [w.strip(MARKS) for w in words.words]
+    text = pc.ascii_lower(pa.array(run["text"], pa.large_string()))
+    split = pc.ascii_split_whitespace(text)  # gives empty words at blank ends, left out below
+    ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+    words = split.flatten().dictionary_encode()
+    if isinstance(words, pa.ChunkedArray):
+        words = words.combine_chunks()
+    names = [w.strip(MARKS) for w in words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)]
+    ids = words.indices.to_numpy()
     # ``term`` of all at once
     terms = (np.fromiter(map(zlib.crc32, names), np.uint32, len(names)) >> np.uint32(32 - TERM_BITS)).astype(np.int32)
     terms[np.fromiter(map(len, names), np.int64, len(names)) == 0] = TERMS
@@ -157,6 +165,8 @@ class Benchmark:
         self.idf = np.append(idf, 0.0).astype(np.float32)
         self.project = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
         self.used = self.project.any(axis=1)
+        # the used rows alone, close together, and the place of each
+        self.rows, self.row = self.project[self.used], np.cumsum(self.used) - 1
         self.items, owner, vectors = [], [], []
         self.rare: dict[bytes, list[int]] = {}  # by word of the items: those that have it among their rarest
         self.least, self.span = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
@@ -250,8 +260,8 @@ def rare_regions(names: list[bytes], ids: np.ndarray, starts: np.ndarray, ends:
     n = size[ids]
     at = np.repeat(np.arange(len(ids)), n)
     item = flat[np.repeat((np.cumsum(size) - size)[ids], n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
-    key = np.searchsorted(ends, at, "right") * len(bench.items) + item
-    order = np.argsort(key, kind="stable")
+    key = np.repeat(np.repeat(np.arange(len(ends)), ends - starts), n) * len(bench.items) + item
+    order = np.argsort(key * len(ids) + at)  # by place within a key
     found: dict[tuple[int, int], list[tuple[int, int]]] = {}
     key, at, item = key[order], at[order], item[order]
     masks: dict[int, np.ndarray] = {}
@@ -284,14 +294,14 @@ def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, f
     for j in range(STEP):  # a term that no item has adds nothing but to the norm
         at = line[j::STEP]
         some = np.flatnonzero(bench.used[at])
-        part[some] += bench.project[at[some]]
+        part[some] += bench.rows[bench.row[at[some]]]
         norm += bench.norm[at] ** 2
     size = max(0, first[-1] - tail)
     window = sum(part[j:j + size] for j in range(tail + 1))
     norm = np.sqrt(sum(norm[j:j + size] for j in range(tail + 1)))
     window /= np.maximum(norm, 1e-6)[:, None]
     best: dict[tuple[int, int], list] = {}
-    rows = max(1, 20_000_000 // max(1, len(bench.vectors)))
+    rows = max(1, 500_000 // max(1, len(bench.vectors)))
     for a in range(0, size, rows):
         cos = window[a:a + rows] @ bench.vectors.T
         w, p = np.nonzero(cos >= COSINE)

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -176,3 +177,25 @@ def test_paraphrases_of_short_items():
     got, bench = found(docs, items)
     due = {(k, k) for k, _ in items if D.settle(bench.items[k], spoilt[k])[2]}
     assert due <= got and len(due) > 100
+
+
+def test_batch_terms_are_the_words_between_ascii_blanks():
+    """Split by Arrow: empty words at blank ends and words of marks only are left out, other blanks split nothing."""
+    texts = ["", " a  B.\t\n", "\x0b\x0cÉa\r\"É\" !!! x\x1cy", "\xa0q\x85  z", "a \0 b", "...", "İ K ẞ A\n\nz"]
+    for rows in (texts, texts[:1], []):
+        run = pd.DataFrame({"text": pd.Series(rows, index=range(3, 3 + len(rows)), dtype=object)})
+        names, terms, ids, starts, ends = D.batch_terms(run)
+        want = [[w for w in map(D.plain, t.encode().lower().split()) if w] for t in rows]
+        assert [[names[i] for i in ids[a:b]] for a, b in zip(starts, ends)] == want
+        assert terms[ids].tolist() == [D.term(w) for ws in want for w in ws]
+
+
+def test_only_used_terms_are_projected():
+    idf = np.ones(D.TERMS)
+    words = [f"w{i}" for i in range(12)]
+    space = np.zeros((D.TERMS, 4), np.float32)
+    used = sorted({D.term(w.encode()) for w in words})
+    space[used] = np.arange(1, 1 + 4 * len(used)).reshape(-1, 4)
+    bench = D.Benchmark([(1, " ".join(words))], idf, space)
+    assert len(bench.rows) == len(used)
+    assert np.array_equal(bench.rows[bench.row[used]], bench.project[used])
