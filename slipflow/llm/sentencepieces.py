@@ -21,16 +21,19 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix64, pieces, table, texts
+from .common import Words, mix64, table, texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"  # stands for a blank in pieces
 _CUTS = re.compile(f"{BLANK}?[^{BLANK}\n]+|{BLANK}|\n")
-INDEX_CHARS = 600_000  # text indexed at once (one longer cut is indexed whole)
+RUN_BYTES = 4_000_000  # text whose distinct cuts are held at once (one longer text is a run)
+INDEX_CHARS = 300_000  # text indexed at once (one longer cut is indexed whole)
 NEVER = np.int32(2 ** 31 - 1)
 BEGIN, UNSET = -1, -2
 CACHE_BITS = 21
@@ -83,18 +86,20 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     by_name = {names[i]: i for i in plain}
     longer = sorted((i for i in plain if len(names[i]) > 1), key=lambda i: (-sp.get_score(i), i))
     order = {names[i]: k for k, i in enumerate(longer)}
-    trees = {i: _merge_tree(names[i], order) for i in plain}
-    usable = [i for i in plain if trees[i] is not None and (len(names[i]) == 1 or names[i].strip(BLANK))]
 
-    def edge(i: int, side: int) -> list[int]:
+    def edge(tree: dict[str, tuple[str, str]], name: str, side: int) -> list[int]:
         """Pieces along one edge of the merge tree, from a character up to the piece."""
-        out, name = [], names[i]
+        out = []
         while len(name) > 1:
             out.append(by_name[name])
-            name = trees[i][name][side]
+            name = tree[name][side]
         return (out + [by_name[name]])[::-1] if name in by_name else out[::-1]
 
-    edges = {i: (edge(i, 0), edge(i, 1)) for i in usable}
+    edges = {}  # of the pieces that merges build; one tree at a time is held
+    for i in plain:
+        if (len(names[i]) == 1 or names[i].strip(BLANK)) and (tree := _merge_tree(names[i], order)) is not None:
+            edges[i] = edge(tree, names[i], 0), edge(tree, names[i], 1)
+    usable = list(edges)
     depth = max(max(map(len, e)) for e in edges.values())
     left, right = np.zeros((n + 1, depth), np.int32), np.zeros((n + 1, depth), np.int32)
     until = np.full((2, n + 1, depth), NEVER, np.int32)
@@ -105,7 +110,7 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     pairs = sorted((by_name[p[:k]] * n + by_name[p[k:]], order[p]) for p in order for k in range(1, len(p))
                    if p[:k] in by_name and p[k:] in by_name)
     longest = max(len(names[i]) for i in usable)
-    codes = np.zeros((len(usable), longest), np.int64)
+    codes = np.zeros((len(usable), longest), np.int32)
     for r, i in enumerate(usable):
         codes[r, :len(names[i])] = [ord(c) + 1 for c in names[i]]
     first_byte = next(i for i in range(n) if sp.is_byte(i))
@@ -119,15 +124,23 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of the next ``depth`` codes, by doubling the compared length."""
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64)
-    k = 1
+    """Positions in the order of the next ``depth`` codes: as many codes as 63 bits hold are compared
+    at once, then the compared length is doubled."""
+    n, key = len(codes), np.zeros(len(codes), np.int64)
+    used = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    used[codes] = True
+    small = np.cumsum(used, dtype=np.int32)[codes]  # 0 stands for the end
+    bits = int(small.max(initial=1)).bit_length()
+    k = min(63 // bits, depth)
+    for i in range(k):
+        key <<= bits
+        key[:max(n - i, 0)] |= small[i:]
     while k < depth:
-        after = np.zeros(len(rank), np.int64)
-        after[:-k] = rank[k:] + 1
-        rank = np.unique(rank * (len(rank) + 1) + after, return_inverse=True)[1]
+        rank = np.unique(key, return_inverse=True)[1]
+        key = rank * (n + 1)
+        key[:max(n - k, 0)] += rank[k:] + 1
         k *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(key, kind="stable").astype(np.int32)
 
 
 def occurrence_ranges(codes: np.ndarray, order: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +148,7 @@ def occurrence_ranges(codes: np.ndarray, order: np.ndarray, wanted: np.ndarray)
     search for all rows together, one code at a time."""
     n = len(codes)
     padded = np.append(codes, np.zeros(wanted.shape[1], codes.dtype))
-    lo, hi = np.zeros(len(wanted), np.int64), np.full(len(wanted), n, np.int64)
+    lo, hi = np.zeros(len(wanted), np.int32), np.full(len(wanted), n, np.int32)
 
     def bound(rows, j, target):
         a, b = lo[rows].copy(), hi[rows].copy()
@@ -210,24 +223,25 @@ def encode_cuts(cuts: list[str], v: Vocabulary, pairs: Pairs) -> tuple[np.ndarra
     size = np.fromiter(map(len, cuts), np.int64, len(cuts))
     end = np.cumsum(size + 1) - 1  # a 0 follows each cut
     start = end - size
-    raw = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32).astype(np.int64) + 1
-    owner = np.repeat(np.arange(len(cuts)), size)
-    place = np.arange(len(raw)) + owner
-    codes = np.zeros(end[-1] + 1, np.int64)
+    raw = np.frombuffer("".join(cuts).encode("utf-32-le"), np.int32) + np.int32(1)
+    owner = np.repeat(np.arange(len(cuts), dtype=np.int32), size)
+    place = np.arange(len(raw), dtype=np.int32) + owner
+    codes = np.zeros(end[-1] + 1, np.int32)
     codes[place] = raw
     order = suffix_array(codes, v.codes.shape[1])
     lo, hi = occurrence_ranges(codes, order, v.codes)
     count = hi - lo
     token = np.repeat(v.ids, count)
-    where = order[np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(token))]
+    skip = (lo - np.cumsum(count) + count).astype(np.int32)
+    where = order[np.repeat(skip, count) + np.arange(len(token), dtype=np.int32)]
     single = np.zeros(len(codes), bool)
     single[where[v.length[token] == 1]] = True
     strange = place[~single[place]]
     token = np.concatenate([token, np.full(len(strange), unknown, np.int32)])
     where = np.concatenate([where, strange])
     # sort by position in the cut: all cuts are relaxed side by side
-    depth = np.zeros(len(codes), np.int64)
-    depth[place] = place - start[owner]
+    depth = np.zeros(len(codes), np.int32)
+    depth[place] = place - start.astype(np.int32)[owner]
     level = depth[where]
     deepest = int(size.max(initial=0))
     by = np.argsort(level.astype(np.uint16) if deepest < 65536 else level, kind="stable")
@@ -235,7 +249,7 @@ def encode_cuts(cuts: list[str], v: Vocabulary, pairs: Pairs) -> tuple[np.ndarra
     bounds = np.concatenate([[0], np.cumsum(np.bincount(level, minlength=max(1, deepest)))])
     last = np.full(len(codes) + 1, UNSET, np.int32)  # the piece that ends before a position
     last[start] = BEGIN
-    stop = where + v.length[token]
+    stop = where + v.length[token].astype(np.int32)
     for k in range(deepest):
         a, b = bounds[k], bounds[k + 1]
         if a == b:
@@ -330,20 +344,32 @@ def restored(text: str) -> str:
     return text.replace(BLANK, " ")
 
 
+def _runs(batches: Iterator[pa.RecordBatch], most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of whole texts of about ``most`` bytes; no text is copied."""
+    for batch in batches:
+        size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        group = np.cumsum(size, dtype=np.int64) // most
+        edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)) if len(group) else []
+        for a, b in zip(edges, edges[1:]):
+            yield batch.slice(a, b - a)
+
+
 def _encoder(path: str, with_ids: bool):
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)  # read once per worker
         pairs = _worker_pairs(path)
-        for run in pieces(batches, 8_000_000):
-            batch = run["text"].tolist()
+        for run in _runs(batches):
+            batch = run.column("text").to_pylist()
             ids = encode_batch(batch, v, pairs)
-            out = {"doc_id": run["doc_id"].to_numpy(),
-                   "n_tokens": [len(x) for x in ids],
-                   "ids_sha256": [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids],
-                   "round_trip": [decode_ids(x, v) == restored(t) for x, t in zip(ids, batch)]}
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            out = {"doc_id": run.column("doc_id"),
+                   "n_tokens": pa.array(size),
+                   "ids_sha256": pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]),
+                   "round_trip": pa.array([decode_ids(x, v) == restored(t) for x, t in zip(ids, batch)])}
             if with_ids:
-                out["ids"] = ids
-            yield pd.DataFrame(out)
+                edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                out["ids"] = pa.ListArray.from_arrays(edges, np.concatenate(ids).astype(np.int32, copy=False))
+            yield pa.RecordBatch.from_pydict(out)
     return encode
 
 
@@ -362,7 +388,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL, with_ids: bool = True)
     ignored. ``path`` must be readable where the tasks run.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean"
-    return texts(docs).mapInPandas(_encoder(path, with_ids), schema + (", ids array<int>" if with_ids else ""))
+    return texts(docs).mapInArrow(_encoder(path, with_ids), schema + (", ids array<int>" if with_ids else ""))
 
 
 def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:

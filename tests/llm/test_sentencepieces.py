@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -65,6 +66,35 @@ def test_suffix_array_and_ranges():
         assert sorted(order[a:b]) == [i for i in range(len(codes) - len(p) + 1) if list(codes[i:i + len(p)]) == p]
 
 
+def test_index_memory_stays_small(library, tools):
+    rng = random.Random(3)
+    words = list({"".join(rng.choice("etaoinshrdlucmfw") for _ in range(rng.randint(4, 12))) for _ in range(90_000)})
+    texts = [" ".join(words[a:a + 300]) for a in range(0, len(words), 300)]
+    tracemalloc.start()
+    ids = S.encode_batch(texts, *tools)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x.tolist() for x in ids] == [library.encode(t) for t in texts]
+    assert peak < 60e6, peak  # of about 0.7 million characters, almost all of distinct cuts
+
+
+def test_runs_are_whole_texts_in_order():
+    import pyarrow as pa
+    sizes = [0, 5, 30, 0, 12, 1, 1, 9, 0]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text": ["é" * n for n in sizes]})
+    runs = list(S._runs(iter([batch, batch.slice(0, 0)]), 20))
+    assert [i for r in runs for i in r.column("doc_id").to_pylist()] == list(range(9))
+    assert all(sum(len(t.encode()) for t in r.column("text").to_pylist()[1:]) < 20 for r in runs) and len(runs) > 3
+
+
+def test_suffix_array_of_a_large_alphabet():
+    codes = np.random.default_rng(4).integers(0, 70_000, 5000)
+    codes[1000:2000] = codes[:1000]
+    order = S.suffix_array(codes, 16)
+    keys = [tuple(codes[i:i + 16]) for i in order]
+    assert keys == sorted(keys) and sorted(order) == list(range(5000))
+
+
 def test_query(spark, sample, library):
     import hashlib
     got = {r.doc_id: r for r in E.queries()["op9_sentencepiece"](spark, SF).collect()}
