@@ -47,6 +47,7 @@ COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.6
 #: are so many that any stretch that could be a paraphrase has this many.
 RARE = 3
 TERM_BLOCK = 1024
+RUN = 2_000_000  # characters whose terms and windows are held at once (one longer text is a run)
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -84,7 +85,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     per term at most; the driver gets TERMS numbers."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, rows = np.zeros(TERMS, np.int64), 0
-        for run in pieces(batches):
+        for run in pieces(batches, RUN):
             _, terms, ids, starts, ends = batch_terms(run)
             for a in range(0, len(run), 128):  # one bit a document and term
                 b = min(a + 128, len(run))
@@ -368,7 +369,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(Benchmark([(r.item_id, r.text) for r in block], idf, space))
 
         def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for run in pieces(batches, 4_000_000):
+            for run in pieces(batches, RUN):
                 found = search(run, shared.value)
                 some = run.iloc[[f[0] for f in found]]
                 yield pd.DataFrame({

@@ -41,6 +41,7 @@ CHUNK = 4096
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
 SHARE, SHARE_BYTES = 20_000, 2 << 20
 SIMILARITY = 0.8
+RUN = 2_000_000  # characters whose shingles are held at once (one longer text is a run)
 #: A pair of a bucket is likely when at least this share of its registers agrees, more than six
 #: standard errors under the threshold (sqrt(0.8 * 0.2 / 180) = 0.03): a pair at exactly 0.8 stays under
 #: it with a probability of about 10^-9.
@@ -112,7 +113,7 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_doc
 def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(doc_id, text_key, node, bands, registers): ``node`` is a 128-bit hash of the text's words, null for a
     text without words; ``registers`` has 8 bits of every register's element, ``bands`` the buckets."""
-    for run in pieces(batches, 3_000_000):
+    for run in pieces(batches, RUN):
         doc, element, weight, n = shingles(run)
         holder = prob_minhash(doc, element, weight, len(run))
         low = (mix64(holder) >> np.uint64(56)).astype(np.uint8)
@@ -135,7 +136,7 @@ def weighted_shingles(wanted):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             some = batch[wanted.value.has(batch["hash"].to_numpy(np.int64).view(np.uint64))]
-            for part in pieces(iter([some]), 3_000_000):
+            for part in pieces(iter([some]), RUN):
                 doc, element, weight, _ = shingles(part)
                 cut = np.searchsorted(doc, np.arange(len(part) + 1))
                 yield pd.DataFrame({

@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crcs, mix64, packed, pieces, remainder, shape, sigmoid, sums_between, table, texts
+from .common import arrow_pieces, crcs, mix64, packed, pieces, remainder, shape, sigmoid, sums_between, table, texts
 from .labelled import training_rows
 
 BITS = 18
 SCALE = 8.0
+RUN = 2_000_000  # text whose features are held at once (one longer text is a run)
 
 
 def streams(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -49,7 +50,7 @@ def streams(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sparse vector (slots, values; as bytes, which the driver holds ten times smaller than rows
     of numbers) of each training text."""
-    for run in pieces(batches):
+    for run in pieces(batches, RUN):
         out = [[] for _ in range(len(run))]
         for slots, starts, ends in streams(run):
             for i in range(len(run)):
@@ -100,7 +101,7 @@ def scorer(model):
     """Function for mapInPandas: (doc_id, text) to (doc_id, score)."""
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights, bias = model.value
-        for run in pieces(batches):
+        for run in pieces(batches, RUN):
             total, n = np.zeros(len(run)), None
             for slots, starts, ends in streams(run):
                 n = ends - starts if n is None else n
@@ -127,7 +128,7 @@ def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], threshold: fl
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):
-        for batch in batches:
+        for batch in arrow_pieces(batches, RUN):
             column = batch.schema.get_field_index("text")
             frame = pd.DataFrame({"doc_id": np.arange(batch.num_rows),
                                   "text": [t or "" for t in batch.column(column).to_pylist()]})

@@ -22,12 +22,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix64, table, texts
+from .common import Words, arrow_pieces, mix64, table, texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"  # stands for a blank in pieces
@@ -344,21 +343,11 @@ def restored(text: str) -> str:
     return text.replace(BLANK, " ")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of whole texts of about ``most`` bytes; no text is copied."""
-    for batch in batches:
-        size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-        group = np.cumsum(size, dtype=np.int64) // most
-        edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)) if len(group) else []
-        for a, b in zip(edges, edges[1:]):
-            yield batch.slice(a, b - a)
-
-
 def _encoder(path: str, with_ids: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)  # read once per worker
         pairs = _worker_pairs(path)
-        for run in _runs(batches):
+        for run in arrow_pieces(batches, RUN_BYTES):
             batch = run.column("text").to_pylist()
             ids = encode_batch(batch, v, pairs)
             size = np.fromiter(map(len, ids), np.int64, len(ids))

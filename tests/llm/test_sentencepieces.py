@@ -80,9 +80,10 @@ def test_index_memory_stays_small(library, tools):
 
 def test_runs_are_whole_texts_in_order():
     import pyarrow as pa
+    from slipflow.llm.common import arrow_pieces
     sizes = [0, 5, 30, 0, 12, 1, 1, 9, 0]
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text": ["é" * n for n in sizes]})
-    runs = list(S._runs(iter([batch, batch.slice(0, 0)]), 20))
+    runs = list(arrow_pieces(iter([batch, batch.slice(0, 0)]), 20))
     assert [i for r in runs for i in r.column("doc_id").to_pylist()] == list(range(9))
     assert all(sum(len(t.encode()) for t in r.column("text").to_pylist()[1:]) < 20 for r in runs) and len(runs) > 3
 
