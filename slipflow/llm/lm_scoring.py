@@ -133,11 +133,16 @@ def train_attention(sequences: list[np.ndarray], n_ids: int, classes: np.ndarray
     return Attention({}, classes, **p)
 
 
-def _softmax(a: np.ndarray) -> None:
-    """Softmax over the axis before the last, in place: numpy reduces it in long rows."""
+def _softmax(a: np.ndarray, share: np.ndarray | float = 1) -> None:
+    """Softmax over the axis before the last, times ``share``, in place: numpy reduces it in long rows."""
     a -= a.max(-2, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(-2, keepdims=True)
+    a *= share / a.sum(-2, keepdims=True)
+
+
+def _with_one(rows: np.ndarray) -> np.ndarray:
+    """Rows with a 1 behind each, which a product with the bias behind the weights adds or sums up."""
+    return np.append(rows, np.ones((len(rows), 1), rows.dtype), axis=1)
 
 
 def _gradient(p: dict, x: np.ndarray, y: np.ndarray) -> dict:
@@ -153,20 +158,20 @@ def _gradient(p: dict, x: np.ndarray, y: np.ndarray) -> dict:
     late, y = o[:, CONTEXT:].reshape(-1, DIM), y[:, CONTEXT:].ravel()  # what comes before is never scored
     real = y >= 0
     share = (real / max(1, real.sum())).astype(np.float32)
-    g = {"out": np.zeros_like(p["out"]), "bias": np.zeros_like(p["bias"])}
+    both, out = np.zeros((CLASSES, DIM + 1), p["out"].dtype), np.append(p["out"], p["bias"][None], axis=0).T
+    g = {}
     do = np.zeros_like(o)
     back = np.empty_like(late)
+    late = _with_one(late)
     for a in range(0, len(late), FEW * STRIDE):
         some = slice(a, a + FEW * STRIDE)
-        d = p["out"].T @ late[some].T  # by class, then token
-        d += p["bias"][:, None]
-        _softmax(d)
+        d = out @ late[some].T  # by class, then token
+        _softmax(d, share[some])
         at = np.flatnonzero(real[some])
-        d[y[some][at], at] -= 1
-        d *= share[some]
-        g["out"] += (d @ late[some]).T
-        g["bias"] += d.sum(1)
+        d[y[some][at], at] -= share[some][at]
+        both += d @ late[some]
         back[some] = (p["out"] @ d).T
+    g["out"], g["bias"] = both[:, :DIM].T, both[:, DIM]
     do[:, CONTEXT:] = back.reshape(len(x), STRIDE, DIM)
     dv = w @ do
     ds = v @ do.transpose(0, 2, 1)
@@ -194,6 +199,7 @@ def class_log_probs(m: Attention, ids: np.ndarray, ends: np.ndarray, batch: int
     scale = np.float32(1 / np.sqrt(DIM))
     tables = [(m.embed @ w, m.place @ w) for w in (m.query * scale, m.key, m.value)]
     mask, late = _MASK[CONTEXT:].T, slice(CONTEXT, WINDOW)
+    by_class = np.append(m.out, m.bias[None], axis=0).T
     for a in range(0, len(x), batch):
         some = x[a:a + batch]
         q = tables[0][0][some[:, late]] + tables[0][1][late]
@@ -206,8 +212,7 @@ def class_log_probs(m: Attention, ids: np.ndarray, ends: np.ndarray, batch: int
         want = target[a:a + batch, late].ravel()
         real = want >= 0
         want, o = want[real], o.reshape(-1, DIM)[real]
-        logits = m.out.T @ o.T  # by class, then token
-        logits += m.bias[:, None]
+        logits = by_class @ _with_one(o).T  # by class, then token
         chosen = logits[m.classes[ids[want]], np.arange(len(want))].astype(np.float64)
         top = logits.max(0)
         logits -= top

@@ -167,3 +167,11 @@ def test_stored_subwords_train_the_same_model(spark, make_docs):
                                                     L.id_type(heads)).tobytes()) for t in learn], L.SUBWORDS).coalesce(1)
     own, given = L.train(docs, most=5), L.train(docs, most=5, subwords=kept)
     assert all(np.array_equal(getattr(own, k), getattr(given, k)) for k in ("classes", "embed", *L.PARTS))
+
+
+def test_weights_of_positions_pass_through_softmax():
+    rng = np.random.default_rng(8)
+    a, share = rng.standard_normal((5, 7)).astype(np.float32), rng.random(7).astype(np.float32)
+    plain = np.exp(a) / np.exp(a).sum(0) * share
+    L._softmax(a, share)
+    assert np.allclose(a, plain, atol=1e-6) and a.dtype == np.float32
