@@ -155,6 +155,7 @@ def randomised_svd(items: DataFrame, idf: np.ndarray, rank: int = RANK, power: i
                   .applyInPandas(add, "block int, part binary").collect()):
             z[r.block] = np.frombuffer(bytes(r.part), np.float32).reshape(TERM_BLOCK, rank)
         basis.destroy()  # nothing of a pass stays in the driver
+        del q  # one basis at a time in the driver, beside the factorisation
         q = np.linalg.qr(z.reshape(TERMS, rank))[0]
     return q
 
@@ -164,10 +165,11 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, str]], idf: np.ndarray, space: np.ndarray):
         self.idf = np.append(idf, 0.0).astype(np.float32)
-        self.project = np.concatenate([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
-        self.used = self.project.any(axis=1)
+        project = np.zeros((TERMS + 1, space.shape[1]), np.float32)
+        np.multiply(space, idf[:, None], out=project[:-1], casting="same_kind")
+        self.used = project.any(axis=1)
         # the used rows alone, close together, and the place of each
-        self.rows, self.row = self.project[self.used], np.cumsum(self.used) - 1
+        self.rows, self.row = project[self.used], np.cumsum(self.used) - 1
         self.items, owner, vectors = [], [], []
         self.rare: dict[bytes, list[int]] = {}  # by word of the items: those that have it among their rarest
         self.least, self.span = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
@@ -185,7 +187,7 @@ class Benchmark:
             rare = sorted(set(last), key=lambda w: (-idf[term(w)], w))
             for p in passages_of(names):
                 owner.append(len(self.items))
-                v = np.sum([self.project[term(w)] for w in p], axis=0)
+                v = np.sum([project[term(w)] for w in p], axis=0)
                 norm = np.sqrt(sum(self.idf[term(w)] ** 2 for w in p))
                 kept = max(np.linalg.norm(v) / norm, 0.1)  # what the space keeps of the passage
                 vectors.append(v / max(np.linalg.norm(v), 1e-12) / kept)
@@ -203,6 +205,13 @@ class Benchmark:
         self.owner = np.array(owner, np.int64)
         self.vectors = np.array(vectors, np.float32).reshape(-1, space.shape[1])
 
+    @property
+    def project(self) -> np.ndarray:
+        """The projection of every term; only its used rows are held and sent."""
+        out = np.zeros((len(self.used), self.rows.shape[1]), np.float32)
+        out[self.used] = self.rows
+        return out
+
 
 def lcs(a: list, b: list) -> int:
     """Length of the longest common subsequence (one machine-word step per element of b, with the
@@ -290,7 +299,7 @@ def search(run: pd.DataFrame, bench: Benchmark) -> list[tuple[int, int, float, f
     first = np.concatenate([[0], np.cumsum(blocks)])
     line = np.full(first[-1] * STEP, TERMS, np.int32)
     line[np.arange(len(ids)) - np.repeat(starts, n) + np.repeat(first[:-1] * STEP, n)] = terms[ids]
-    part = np.zeros((first[-1], bench.project.shape[1]), np.float32)
+    part = np.zeros((first[-1], bench.rows.shape[1]), np.float32)
     norm = np.zeros(first[-1], np.float32)
     for j in range(STEP):  # a term that no item has adds nothing but to the norm
         at = line[j::STEP]

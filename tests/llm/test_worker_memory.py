@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from slipflow.llm import near_dedup, quality_ftrl
+from slipflow.llm import decontamination, near_dedup, quality_ftrl
 
 
 class Shared:
@@ -55,3 +55,16 @@ def test_quality(rows):
 
 def test_signatures(rows):
     assert peak(near_dedup.signatures(iter([rows]))) < 45e6
+
+
+def test_benchmark_in_the_driver():
+    rng = np.random.default_rng(7)
+    space, idf = rng.standard_normal((decontamination.TERMS, decontamination.RANK), np.float32), rng.random(decontamination.TERMS) + 1
+    space[1::2] = 0
+    tracemalloc.start()
+    bench = decontamination.Benchmark([(1, "one two three four five six seven eight nine ten")], idf, space)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2.5 * space.nbytes
+    assert np.array_equal(bench.rows, (space * idf[:, None])[::2].astype(np.float32))
+    assert sum(x.nbytes for x in vars(bench).values() if isinstance(x, np.ndarray)) < space.nbytes
