@@ -142,6 +142,37 @@ def test_odd_cases(spark, made_up):
     assert co.collocations(frame(spark, [(None, None), ("", "en"), ("one two", "en")])).collect() == []
 
 
+def test_phrases_are_counted_only_where_shorter_ones_are_frequent(spark, monkeypatch):
+    counted_of, seen = co.in_runs, {}
+
+    def in_runs(found, n):
+        seen[n] = {len(r.w) for r in counted_of(found, n).collect()}, counted_of(found, n).count()
+        return counted_of(found, n)
+
+    monkeypatch.setattr(co, "in_runs", in_runs)
+    rows = [("a b. b c. c d. d e. x y z. v w", "en")] * 5 + [("a b c d e", "en"), ("x y z v w", "de")]
+    assert result(co.collocations(frame(spark, rows), 5, 50)) == plain(rows, 5, 50)
+    # every pair of a b c d e is frequent, none of its phrases of three words is; x y z is, in en alone
+    assert seen == {3: ({3}, 4), 4: (set(), 0), 5: (set(), 0)}
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_runs_hold_every_longer_phrase_once(n):
+    rng = np.random.default_rng(n)
+    key, weight = rng.integers(0, 9, 400).astype(np.uint64), np.repeat(rng.integers(1, 5, 8), 50)
+    place = np.tile(np.arange(50), 8)
+    ok, counted_at = (rng.random(400) < 0.7) & (place + n <= 50), place < np.repeat(rng.integers(30, 51, 8), 50)
+    want, got = Counter(), Counter()
+    for i in range(399):
+        if ok[i] and ok[i + 1] and counted_at[i]:
+            want[tuple(key[i:i + n + 1].tolist())] += int(weight[i])
+    for r in co.runs(key, ok, counted_at, weight, n).to_pylist():
+        assert 0 < r["own"] <= len(r["w"]) - n
+        for i in range(r["own"]):
+            got[tuple(r["w"][i:i + n + 1])] += r["f"]
+    assert got == want and len(want) > 20
+
+
 def test_batches_without_a_hit(spark, made_up):
     """Pairs that are frequent in one file of the dictionary only: the tasks of others give no row."""
     rows = [("only here now " * 9, "en")] + [(" ".join(f"w{i}x{j}" for j in range(40)), "en") for i in range(60)]
